@@ -70,14 +70,12 @@ def discount_percent(old: Column, final: Column) -> Column:
 
 
 def offer_discount_rate(explicit: Column, old: Column, current: Column) -> Column:
-    """Explicit absolute rate of at least 1, else the computed one, half up."""
-    given = F.round(F.abs(to_number(explicit)), 0).cast("int")
+    """A stated absolute rate, else the computed one; below one percent gives NULL."""
+    stated = F.abs(to_number(explicit))
     o, c = to_number(old), to_number(current)
-    made = F.round((o - c) * F.lit(100).cast("decimal(5,0)") / o, 0).cast("int")
-    return F.coalesce(
-        F.when(F.abs(to_number(explicit)) >= 1, given),
-        F.when((o > 0) & (c > 0) & (c < o) & (made >= 1), made),
-    )
+    made = F.when((o > 0) & (c < o), (o - c) * F.lit(100).cast("decimal(5,0)") / o)
+    rate = F.when(stated.isNotNull(), stated).otherwise(made)
+    return F.when(rate >= 1, F.round(rate, 0).cast("int"))
 
 
 def percent_text(c: Column) -> Column:
