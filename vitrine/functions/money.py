@@ -73,9 +73,15 @@ def offer_discount_rate(explicit: Column, old: Column, current: Column) -> Colum
     """A stated absolute rate, else the computed one; below one percent gives NULL."""
     stated = F.abs(to_number(explicit))
     o, c = to_number(old), to_number(current)
-    made = F.when((o > 0) & (c < o), (o - c) * F.lit(100).cast("decimal(5,0)") / o)
-    rate = F.when(stated.isNotNull(), stated).otherwise(made)
-    return F.when(rate >= 1, F.round(rate, 0).cast("int"))
+    hundred = F.lit(100).cast("decimal(5,0)")
+    made = F.when(
+        (o > 0) & (c < o) & ((o - c) * hundred >= o), F.round((o - c) * hundred / o, 0)
+    )
+    return (
+        F.when(stated.isNotNull(), F.when(stated >= 1, F.round(stated, 0)))
+        .otherwise(made)
+        .cast("int")
+    )
 
 
 def percent_text(c: Column) -> Column:

@@ -114,7 +114,9 @@ column_query(
 # ---- money ----------------------------------------------------------------------------------
 
 PRICE = money("l_extendedprice")
-FINAL = money("l_extendedprice * (1 - l_discount)")
+_CENTS = "cast(round(l_extendedprice * 100) AS bigint)"
+_LESS = f"({_CENTS} - cast(floor({_CENTS} * cast(round(100 * l_discount) AS int) / 100.0) AS bigint))"
+FINAL = f"concat({vc(f'cast(floor({_LESS} / 100.0) AS bigint)')}, '.', lpad({vc(f'{_LESS} % 100')}, 2, '0'))"
 _BRL = "concat('R$', translate(format('{:,.2f}', cast(%s AS double)), ',.', '.,'))"
 _brl = lambda col: _BRL % col
 column_query(
@@ -156,7 +158,7 @@ column_query(
      "explicit": f"CASE WHEN l_linenumber = 1 THEN concat('-', {vc('l_suppkey')}) WHEN l_linenumber = 2 THEN '0.4' ELSE '' END"},
     {"rate": (lambda c: M.offer_discount_rate(c["explicit"], c["old"], c["current"]),
               "CASE WHEN explicit <> '' THEN CASE WHEN abs(cast(explicit AS double)) >= 1 THEN cast(round(abs(cast(explicit AS double))) AS int) END "
-              "WHEN cast(current AS double) < cast(old AS double) AND (cast(old AS double) - cast(current AS double)) / cast(old AS double) * 100 >= 0.999999 "
+              "WHEN cast(current AS double) < cast(old AS double) AND (cast(old AS decimal(14,2)) - cast(current AS decimal(14,2))) * 100 >= cast(old AS decimal(14,2)) "
               "THEN cast(round((cast(old AS double) - cast(current AS double)) / cast(old AS double) * 100) AS int) END")},
 )
 _PCT = "cast(round(100 * l_discount) AS int)"
