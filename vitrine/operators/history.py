@@ -46,25 +46,20 @@ def last_known(window: DataFrame, keys: list[str], fields: list[str]) -> DataFra
     return window.groupBy(*keys).agg(*[_latest(null_if_blank(F.col(f))).alias(f) for f in fields])
 
 
-def valid_history_sku(line: Column, row: dict[str, Column]) -> Column:
+def valid_history_sku(line: str, row: dict[str, Column]) -> Column:
     """The SKU a history row may contribute, NULL when its line rejects it."""
-    title = row["retailer_sku_name"]
-    sku, legacy = D.normalize_sku(row["sku"]), D.normalize_sku(row["sku_short_version"])
-    no_brand = F.lit("")
-    from_title = D.refrigerator_choice(D.refrigerator_candidates(title, no_brand), title)
-    promoted = (
-        (legacy != "") & (legacy == from_title) & D.is_valid_refrigerator_sku(legacy, title)
-    )
+    title, sku = row["retailer_sku_name"], D.normalize_sku(row["sku"])
+    if line == "REF":
+        # a full model stored in the short column counts when the title proves it
+        legacy = D.normalize_sku(row["sku_short_version"])
+        from_title = D.refrigerator_choice(D.refrigerator_candidates(title, F.lit("")), title)
+        promoted = (legacy != "") & (legacy == from_title)
+        return F.when(D.is_valid_refrigerator_sku(sku, title), sku).when(promoted, legacy)
+    if line == "LDY":
+        return F.when(D.is_valid_washer_sku(sku), sku)
     plain = F.trim(as_text(row["sku"]))
-    own_words = (
-        (F.lower(squash(plain)) == F.lower(squash(title))) & present(title)
-    ) | (F.lower(plain) == row["item_key"])
-    return (
-        F.when(line == "REF",
-               F.when(D.is_valid_refrigerator_sku(sku, title), sku).when(promoted, legacy))
-        .when(line == "LDY", F.when(D.is_valid_washer_sku(sku), sku))
-        .otherwise(F.when((plain != "") & ~own_words, plain))
-    )
+    same_as_title = present(title) & (F.lower(squash(plain)) == F.lower(squash(title)))
+    return F.when((plain != "") & ~same_as_title & (F.lower(plain) != row["item_key"]), plain)
 
 
 def identity_conflict(status: Column, line: Column) -> Column:
@@ -111,13 +106,12 @@ def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, h
     rows, history = rows.withColumn("item_key", key), history.withColumn("valid_key", key)
     history = history.withColumn("item_key", F.lower(F.trim(as_text(F.col("item")))))
     row = {c: F.col(c) for c in rows.columns}
-    line_col = F.lit(line)
-    conflict = identity_conflict(row["parse_status"], line_col) & F.lit(layout == "C")
+    conflict = identity_conflict(row["parse_status"], F.lit(line)) & F.lit(layout == "C")
     dryer = is_standalone_dryer(row["retailer_sku_name"]) & F.lit(line == "LDY" and layout == "C")
     needs = {}
     for f in fields:
         if f == "sku":
-            need = sku_needs_recovery(row, layout, line_col, hosts)
+            need = sku_needs_recovery(row, layout, line, hosts)
         else:
             need = blank(row[f]) & ~conflict
             if f in ("ldy_capacity", "ldy_loading_type"):
@@ -125,7 +119,7 @@ def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, h
         needs[f] = (row["item_key"] != "") & need
     offered = {c: F.col(c) for c in history.columns}
     values = {
-        f: valid_history_sku(line_col, offered) if f == "sku" and layout == "C"
+        f: valid_history_sku(line, offered) if f == "sku" and layout == "C"
         else null_if_blank(offered[f])
         for f in fields
     }
@@ -141,24 +135,22 @@ def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, h
         )
         if line != "TV":
             now = {c: F.col(c) for c in out.columns}
-            short = D.short_for_output(now, now["sku"], F.lit("C"), line_col, F.lit(""))
+            short = D.short_for_output(now, now["sku"], "C", line, F.lit(""))
             out = out.withColumn("sku_short_version", F.when(got, short).otherwise(now["sku_short_version"]))
     return out
 
 
-def sku_needs_recovery(row: dict[str, Column], layout: str, line: Column, hosts) -> Column:
+def sku_needs_recovery(row: dict[str, Column], layout: str, line: str, hosts) -> Column:
     """The published SKU would be blank."""
+    keyed = {**row, "item": row["item_key"]}
     if layout == "M":
-        text = F.trim(as_text(row["sku"]))
-        trusted = (line == "TV") & has_token(row["parse_status"], D.TV_REFERENCE)
-        return (
-            (text == "")
-            | (line.isin("REF", "LDY") & D.is_spec_token(text))
-            | D.is_descriptive(text)
-            | (~trusted & ((F.lower(text) == row["item_key"]) | D.is_synthetic(text)))
-        )
-    shown = D.sku_for_output({**row, "item": row["item_key"]}, F.lit("C"), line, hosts, F.lit(""),
-                             F.lit(False))
+        keyed["sku"] = F.when(F.lower(F.trim(as_text(row["sku"]))) == row["item_key"], "").otherwise(
+            as_text(row["sku"])
+        ) if line != "TV" else row["sku"]
+    shown = D.sku_for_output(keyed, layout, line, hosts, F.lit(""), F.lit(False))
+    if layout == "M" and line == "TV":
+        same = F.lower(F.trim(as_text(row["sku"]))) == row["item_key"]
+        return (shown == "") | (same & ~has_token(row["parse_status"], D.TV_REFERENCE))
     return shown == ""
 
 
