@@ -21,6 +21,15 @@ def lit(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def let(value: Column, fn) -> Column:
+    """Bind a value once: ``fn`` may use it many times without evaluating it again.
+
+    Top-level expressions get common subexpressions from code generation; inside a
+    lambda nothing is shared, so rules there bind what they reuse.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def as_text(c: Column) -> Column:
     """NULL-free text."""
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -68,7 +77,10 @@ def _fold_pairs() -> tuple[str, str]:
 def fold_accents(c: Column) -> Column:
     """Strip accents; other characters stay."""
     src, dst = _fold_pairs()
-    return F.regexp_replace(F.translate(as_text(c), src, dst), r"\p{Mn}", "")
+    text = as_text(c)
+    folded = F.regexp_replace(F.translate(text, src, dst), r"\p{Mn}", "")
+    # pure ASCII needs no folding
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(folded)
 
 
 def ascii_fold(c: Column) -> Column:
@@ -257,10 +269,11 @@ def collapse_repeated_range(c: Column) -> Column:
     """``14-14`` -> ``14``; a real range stays."""
     text = squash(c)
     parts = F.transform(F.split(text, r"\s*[-–—]\s*"), lambda p: F.trim(p))
-    same = (F.size(parts) >= 2) & F.forall(parts, lambda p: p != "") & (
-        F.size(F.array_distinct(F.transform(parts, key_text))) == 1
-    )
-    return F.when(same, F.element_at(parts, 1)).otherwise(text)
+    same = let(parts, lambda arr: (F.size(arr) >= 2) & F.forall(arr, lambda p: p != "") & (
+        F.size(F.array_distinct(F.transform(arr, key_text))) == 1
+    ))
+    first = F.trim(F.regexp_extract(text, r"^(.*?)\s*[-–—]", 1))
+    return F.when(text.rlike("[-–—]"), F.when(same, first).otherwise(text)).otherwise(text)
 
 
 def model_year(c: Column) -> Column:

@@ -33,8 +33,8 @@ def class_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     classes = F.array(
         F.struct(F.lit("energy_class").alias("kind"),
                  energy_class(F.col("estimated_annual_electricity_use")).alias("value")),
-        F.struct(F.lit("fetch_method"), as_text(F.col("fetch_method"))),
-        F.struct(F.lit("parse_status"), as_text(F.col("parse_status"))),
+        F.struct(F.lit("fetch_method").alias("kind"), as_text(F.col("fetch_method")).alias("value")),
+        F.struct(F.lit("parse_status").alias("kind"), as_text(F.col("parse_status")).alias("value")),
     )
     return (
         rows.select(*keys, F.explode(classes).alias("c"))
