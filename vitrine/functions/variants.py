@@ -58,13 +58,13 @@ def children(node: Column, list_limit: int | None = None) -> Column:
     return F.coalesce(from_list, from_object, no_nodes())
 
 
-def walk(df, doc: str, out: str, step: Callable[[Column], Column], depth: int = DEPTH):
-    """Adds ``out``: all nodes below (and including) the root, level by level.
+def walk(df, seed: Column, out: str, step: Callable[[Column], Column], depth: int = DEPTH):
+    """Adds ``out``: the seed nodes and everything ``step`` finds below, level by level.
 
     Levels are staged as columns so that the plan stays linear in the depth.
     """
     level = f"__{out}0"
-    df = df.withColumn(level, root(F.col(doc)))
+    df = df.withColumn(level, seed)
     levels = [level]
     for n in range(1, depth + 1):
         below = F.flatten(F.transform(F.col(levels[-1]), step))

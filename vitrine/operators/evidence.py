@@ -64,16 +64,8 @@ def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc", depth
         F.coalesce(chosen, F.array().cast("array<variant>")),
         lambda d, i: F.struct(F.lpad(i.cast("string"), 5, "0").alias("path"), d.alias("doc")),
     )
-    level = "__f0"
-    df = products.withColumn(level, wrapped)
-    levels = [level]
-    for n in range(1, depth + 1):
-        df = df.withColumn(f"__f{n}", F.flatten(F.transform(F.col(levels[-1]), _elements)))
-        levels.append(f"__f{n}")
-    deeper = F.size(F.flatten(F.transform(F.col(levels[-1]), _elements))) > 0
-    nodes = F.when(
-        deeper, F.raise_error(F.lit(f"facts deeper than {depth} levels")).cast(V.NODE)
-    ).otherwise(F.concat(*levels))
+    df = V.walk(products, wrapped, "__nodes", _elements, depth)
+    nodes = F.col("__nodes")
     name = lambda d: F.coalesce(
         F.nullif(V.get(d, "$.keyName"), F.lit("")), F.nullif(V.get(d, "$.slug"), F.lit("")))
     value = lambda d: clean_text(V.get(d, "$.value"))
