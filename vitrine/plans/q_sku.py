@@ -150,11 +150,17 @@ _APPROW = {
     "sku": f"CASE p_size % 5 WHEN 2 THEN concat('sku', {N}) WHEN 3 THEN '12kg' ELSE '' END", "parse_status": "CASE p_size % 5 WHEN 2 THEN 'casas_ldy_sku_existing_selected' ELSE '' END",
     "sku_short_version": "''",
 }
-column_query("sku_for_output_layout_c_washer", "part", KEY, _APPROW, {
-    "sku": (lambda c: D.sku_for_output(_ROWC(c), "C", "LDY", [], F.lit(""), F.lit(False)),
-            "CASE k WHEN 0 THEN concat('WW11T', n) WHEN 2 THEN concat('SKU', n) ELSE '' END"),
-    "short": (lambda c: D.short_for_output(_ROWC(c), D.sku_for_output(_ROWC(c), "C", "LDY", [], F.lit(""), F.lit(False)), "C", "LDY", F.lit("")),
-              "CASE k WHEN 0 THEN 'WW11T' WHEN 2 THEN concat('SKU', n) ELSE '' END")})
+
+
+@query("sku_for_output_layout_c_washer", f"""WITH r AS (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _APPROW.items())} FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN concat('WW11T', n) WHEN 2 THEN concat('SKU', n) ELSE '' END AS sku, CASE k WHEN 0 THEN 'WW11T' WHEN 2 THEN concat('SKU', n) ELSE '' END AS short FROM r""")
+def sku_for_output_layout_c_washer(spark, sf):
+    rows = I.select(I.spread(I.table(spark, sf, "part")), {"p_partkey": "p_partkey", **_APPROW})
+    c = _ROWC({k: F.col(k) for k in rows.columns})
+    rows = rows.withColumn("resolved", D.sku_for_output(c, "C", "LDY", [], F.lit(""), F.lit(False)))
+    return rows.select("p_partkey", F.col("resolved").alias("sku"),
+                       D.short_for_output(c, F.col("resolved"), "C", "LDY", F.lit("")).alias("short"))
+
 
 # ---- detail rows ---------------------------------------------------------------------------------------------
 
