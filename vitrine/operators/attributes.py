@@ -19,7 +19,7 @@ from vitrine.functions.text import (
 from vitrine.functions.urls import seller_from_url, sku_from_url, url_matches_id
 from vitrine.functions.validators import refrigerator_type
 from vitrine.operators import evidence as E
-from vitrine.operators.labels import label_dictionary
+from vitrine.operators.labels import label_dictionary, label_rows
 from vitrine.operators.relevance import is_line_title, is_standalone_dryer
 from vitrine.operators.sku import resolve_refrigerator_sku, resolve_washer_sku
 from vitrine.sources.pages import data_island
@@ -47,15 +47,17 @@ def resolve_fields(products: DataFrame, labels: DataFrame, keys: list[str], layo
 
     products: keys, title, description (flattened).
     """
-    spark = products.sparkSession
+    wanted = [*LINE_FIELDS[line], "reference", "model"]
+    words = label_dictionary(products.sparkSession, layout).filter(F.col("field").isin(*wanted))
+    rules = tuple(dict.fromkeys(rule for _, field, _, rule in label_rows(layout) if field in wanted))
     ev = E.union_all([
-        E.labelled_evidence(labels, label_dictionary(spark, layout), keys, source),
-        E.description_evidence(products, keys, layout),
-        E.title_evidence(products, keys),
+        E.labelled_evidence(labels, words, keys, source, rules),
+        E.description_evidence(products, keys, layout, fields=wanted),
+        E.title_evidence(products, keys, fields=wanted),
         _title_words(products, keys),
     ])
-    wanted = [*LINE_FIELDS[line], "reference", "model"]
-    resolved = E.resolve(ev.filter(F.col("field").isin(*wanted)), keys)
+    policies = {f: p for f, p in E.POLICIES.items() if f in wanted}
+    resolved = E.resolve(ev.filter(F.col("field").isin(*wanted)), keys, policies)
     out = products.join(E.pivot_fields(resolved, keys, wanted), keys, "left")
     blanks = {f: F.coalesce(F.col(f), F.lit("")) for f in wanted}
     product = is_line_title(F.col("title"), line)
@@ -66,7 +68,6 @@ def resolve_fields(products: DataFrame, labels: DataFrame, keys: list[str], layo
         dryer = is_standalone_dryer(F.col("title"))
         for f in ("ldy_capacity", "ldy_loading_type"):
             blanks[f] = F.when(dryer, "").otherwise(blanks[f])
-        blanks["ldy_color"] = blanks["ldy_color"]
     if line == "TV" and layout == "C":
         blanks["screen_size"] = F.when(
             product, first_present(screen_from_spec(F.col("screen_size")), F.col("screen_size"))).otherwise("")

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import measures as S
 from vitrine.functions import variants as V
-from vitrine.functions.text import as_text, clean_text, collapse_repeated_range, key_text, present, squash
+from vitrine.functions.text import (
+    as_text, clean_text, collapse_repeated_range, key_text, let, present, squash,
+)
 from vitrine.functions.validators import (
-    is_capacity_band, is_screen_size, is_washer_capacity, measure_key, refrigerator_type,
+    is_capacity_band, is_screen_size, is_washer_capacity, measure_key, refrigerator_type, type_specificity,
 )
+from vitrine.operators.labels import labels_of
 
+RULES = ("volume", "energy", "mass", "screen", "loading", "door", "door_count", "text")
 BAND_OFFSET = 100
 TITLE_FALLBACK = 900
 
@@ -148,99 +152,114 @@ def _pairs_of(text: Column, pattern: str, bare) -> Column:
 # ---- labelled values -> evidence -------------------------------------------------------------------
 
 
-def labelled_evidence(rows: DataFrame, dictionary: DataFrame, keys: list[str], source: str) -> DataFrame:
+def labelled_evidence(rows: DataFrame, dictionary: DataFrame, keys: list[str], source: str,
+                      rules: tuple = RULES) -> DataFrame:
     """Join label rows with the dictionary and apply each field's value rule.
 
-    The dictionary is a fixed list of labels, hence the broadcast.
+    The dictionary is a fixed list of labels, hence the broadcast.  ``rules`` names the
+    value rules the dictionary uses, so that a job for one field plans only that one.
     """
-    hits = rows.join(F.broadcast(dictionary), "label_key")
+    hits = rows.join(F.broadcast(dictionary.filter(F.col("rule").isin(*rules))), "label_key")
     value, rule = F.col("value"), F.col("rule")
-    # the volume rules share these columns, so they are computed once per row
-    hits = hits.withColumns({
-        "parts": F.when(rule == "volume", S.capacity_components(value)),
-        "title_parts": F.when(rule == "volume", S.capacity_components(value, title=True)),
-        "vols": F.when(rule == "volume", S.volumes(value)),
-        "energy": F.when(rule == "energy", S.energy_text(value)),
-    })
-    hits = hits.withColumn(
-        "found", F.when(rule == "volume", S.scalar_capacity(F.col("title_parts"), F.col("vols"))))
-    volume = F.transform(
-        S.scalar_capacities(value, F.col("parts"), F.col("found")),
-        lambda v: F.struct(F.col("level").alias("level"), v.alias("raw")),
-    )
-    kinds = F.create_map(F.lit("total"), F.lit(25), F.lit("refrigerator"), F.lit(42), F.lit("freezer"), F.lit(52))
-    split = F.transform(
-        F.col("parts"), lambda p: F.struct(F.element_at(kinds, p["kind"]).alias("level"), p["raw"].alias("raw")))
     one = lambda c: F.array(F.struct(F.col("level").alias("level"), c.alias("raw")))
-    values = (
-        F.when(rule == "volume", F.concat(volume, split))
-        .when(rule == "energy", one(S.labelled_energy(F.col("energy"))))
-        .when(rule == "mass", one(F.when(is_washer_capacity(value), value)))
-        .when(rule == "screen", one(F.when(is_screen_size(value), value)))
-        .when(rule == "loading", one(S.labelled_loading(value)))
-        .when(rule == "door", one(refrigerator_type(value)))
-        .when(rule == "door_count", one(F.when(F.regexp_extract(value, r"(\d+)", 1) == "2", "Duplex")))
-        .otherwise(one(value))
-    )
-    order = "order_key" if "order_key" in rows.columns else "ordinal"
-    out = hits.select(*keys, "field", F.col(order).cast("string").alias("ordinal") if order == "order_key"
-                      else F.lpad(F.col(order).cast("string"), 12, "0").alias("ordinal"),
-                      F.explode(values).alias("e"))
+    branches = {
+        "mass": lambda: one(F.when(is_washer_capacity(value), value)),
+        "screen": lambda: one(F.when(is_screen_size(value), value)),
+        "loading": lambda: one(S.labelled_loading(value)),
+        "door": lambda: one(refrigerator_type(value)),
+        "door_count": lambda: one(F.when(F.regexp_extract(value, r"(\d+)", 1) == "2", "Duplex")),
+        "text": lambda: one(value),
+    }
+    if "energy" in rules:
+        hits = hits.withColumn("energy", F.when(rule == "energy", S.energy_text(value)))
+        branches["energy"] = lambda: one(S.labelled_energy(F.col("energy")))
+    if "volume" in rules:
+        # the volume rule uses these columns several times, so they are computed once
+        hits = hits.withColumns({
+            "parts": F.when(rule == "volume", S.capacity_components(value)),
+            "title_parts": F.when(rule == "volume", S.capacity_components(value, title=True)),
+            "vols": F.when(rule == "volume", S.volumes(value)),
+        }).withColumn(
+            "found", F.when(rule == "volume", S.scalar_capacity(F.col("title_parts"), F.col("vols"))))
+        kinds = F.create_map(
+            F.lit("total"), F.lit(25), F.lit("refrigerator"), F.lit(42), F.lit("freezer"), F.lit(52))
+        branches["volume"] = lambda: F.concat(
+            F.transform(
+                S.scalar_capacities(value, F.col("parts"), F.col("found")),
+                lambda v: F.struct(F.col("level").alias("level"), v.alias("raw"))),
+            F.transform(
+                F.col("parts"),
+                lambda p: F.struct(F.element_at(kinds, p["kind"]).alias("level"), p["raw"].alias("raw"))),
+        )
+    values = F.coalesce(*[F.when(rule == r, branches[r]()) for r in rules])
+    order = F.col("order_key") if "order_key" in rows.columns else F.lpad(F.col("ordinal").cast("string"), 12, "0")
+    out = hits.select(*keys, "field", order.alias("ordinal"), F.explode(values).alias("e"))
     return (
         out.select(*keys, "field", "e.level", "ordinal", F.lit(source).alias("source"), "e.raw")
         .filter(present(F.col("raw")))
     )
 
 
-def description_evidence(products: DataFrame, keys: list[str], layout: str, text: str = "description") -> DataFrame:
-    """Evidence a flattened description states in phrases."""
-    from vitrine.operators.labels import labels_of
+def _wanted(fields, *names) -> bool:
+    return fields is None or any(n in fields for n in names)
 
-    body = F.col(text)
+
+def description_evidence(products: DataFrame, keys: list[str], layout: str, text: str = "description",
+                         fields=None) -> DataFrame:
+    """Evidence a flattened description states in phrases (all fields, or those named)."""
+    body, rows = F.col(text), products
     entry = lambda field, level, arr: F.struct(F.lit(field).alias("field"), F.lit(level).alias("level"), arr.alias("raws"))
-    parts = products.withColumn("parts", S.capacity_components(body))
-    kinds = (("liquid_total", 11), ("total", 26), ("generic", 31), ("refrigerator", 44), ("freezer", 54))
-    found = [entry("ref_capacity", level, S.phrase_capacities(body, kind)) for kind, level in kinds]
-    found += [
-        entry("ref_capacity", level, S.component_values(F.col("parts"), kind))
-        for kind, level in (("total", 26), ("refrigerator", 44), ("freezer", 54))
-    ]
-    found += [
-        entry("ldy_capacity", 30 + level, S.labelled_masses(body, labels_of(layout, "ldy_capacity", level)))
-        for level in (10, 20)
-    ]
-    found += [
-        entry("estimated_annual_electricity_use", 40, S.description_energy(body)),
-        entry("ldy_loading_type", 40, S.description_loadings(body)),
-    ]
-    rows = parts.select(*keys, F.explode(F.array(*found)).alias("f"))
+    found = []
+    if _wanted(fields, "ref_capacity"):
+        rows = rows.withColumn("parts", S.capacity_components(body))
+        kinds = (("liquid_total", 11), ("total", 26), ("generic", 31), ("refrigerator", 44), ("freezer", 54))
+        found += [entry("ref_capacity", level, S.phrase_capacities(body, kind)) for kind, level in kinds]
+        found += [
+            entry("ref_capacity", level, S.component_values(F.col("parts"), kind))
+            for kind, level in (("total", 26), ("refrigerator", 44), ("freezer", 54))
+        ]
+    if _wanted(fields, "ldy_capacity"):
+        found += [
+            entry("ldy_capacity", 30 + level, S.labelled_masses(body, labels_of(layout, "ldy_capacity", level)))
+            for level in (10, 20)
+        ]
+    if _wanted(fields, "estimated_annual_electricity_use"):
+        found.append(entry("estimated_annual_electricity_use", 40, S.description_energy(body)))
+    if _wanted(fields, "ldy_loading_type"):
+        found.append(entry("ldy_loading_type", 40, S.description_loadings(body)))
+    rows = rows.select(*keys, F.explode(F.array(*found)).alias("f"))
     return rows.select(
         *keys, "f.field", "f.level", F.posexplode("f.raws").alias("pos", "raw")
     ).select(*keys, "field", "level", F.lpad(F.col("pos").cast("string"), 12, "0").alias("ordinal"),
              F.lit("description").alias("source"), "raw").filter(present(F.col("raw")))
 
 
-def title_evidence(products: DataFrame, keys: list[str], title: str = "title") -> DataFrame:
+def title_evidence(products: DataFrame, keys: list[str], title: str = "title", fields=None) -> DataFrame:
     """Exact values of a title (level 0) and its fallback values (last level)."""
-    t = squash(F.col(title))
-    staged = products.select(*keys, t.alias("__t")).withColumns({
-        "parts": S.capacity_components(F.col("__t"), title=True), "vols": S.volumes(F.col("__t")),
-        "loads": S.title_loadings(F.col("__t")),
-    })
-    t = F.col("__t")
+    staged, t = products.select(*keys, squash(F.col(title)).alias("__t")), F.col("__t")
     entry = lambda field, level, c: F.struct(F.lit(field).alias("field"), F.lit(level).alias("level"), c.alias("raw"))
-    loads = F.col("loads")
-    found = F.array(
-        entry("screen_size", 0, S.title_screen_size(t)),
-        entry("ref_capacity", 0, S.exact_title_capacity(F.col("parts"), F.col("vols"))),
-        entry("ref_capacity", TITLE_FALLBACK, S.scalar_capacity(F.col("parts"), F.col("vols"))),
-        entry("ldy_capacity", 0, S.exact_title_mass(t)),
-        entry("ldy_capacity", TITLE_FALLBACK, S.title_mass(t)),
-        entry("ldy_loading_type", 0, F.when(F.size(loads) == 1, F.try_element_at(loads, F.lit(1)))),
-        entry("ldy_loading_type", TITLE_FALLBACK, F.array_join(loads, ",")),
-    )
+    found = []
+    if _wanted(fields, "screen_size"):
+        found.append(entry("screen_size", 0, S.title_screen_size(t)))
+    if _wanted(fields, "ref_capacity"):
+        staged = staged.withColumns({"parts": S.capacity_components(t, title=True), "vols": S.volumes(t)})
+        found += [
+            entry("ref_capacity", 0, S.exact_title_capacity(F.col("parts"), F.col("vols"))),
+            entry("ref_capacity", TITLE_FALLBACK, S.scalar_capacity(F.col("parts"), F.col("vols"))),
+        ]
+    if _wanted(fields, "ldy_capacity"):
+        found += [entry("ldy_capacity", 0, S.exact_title_mass(t)), entry("ldy_capacity", TITLE_FALLBACK, S.title_mass(t))]
+    if _wanted(fields, "ldy_loading_type"):
+        staged = staged.withColumn("loads", S.title_loadings(t))
+        loads = F.col("loads")
+        found += [
+            entry("ldy_loading_type", 0, F.when(F.size(loads) == 1, F.get(loads, F.lit(0)))),
+            entry("ldy_loading_type", TITLE_FALLBACK, F.array_join(loads, ",")),
+        ]
+    if not found:
+        found = [entry("screen_size", 0, F.lit(None).cast("string"))]
     return (
-        staged.select(*keys, F.explode(found).alias("f"))
+        staged.select(*keys, F.explode(F.array(*found)).alias("f"))
         .select(*keys, "f.field", "f.level", F.lit("0").alias("ordinal"), F.lit("title").alias("source"), "f.raw")
         .filter(present(F.col("raw")))
     )
@@ -290,46 +309,45 @@ def resolve(evidence: DataFrame, keys: list[str], policies: dict[str, str] = POL
     walk.  type: most specific, title wins ties.  first: the first value.
     """
     small = distinct_evidence(evidence, keys)
+    rule = F.coalesce(*[F.when(F.col("field") == f, F.lit(p)) for f, p in policies.items()], F.lit("distinct"))
+    used = set(policies.values())
     groups = small.groupBy(*keys, "field").agg(
-        F.array_sort(F.collect_list(F.struct("level", "ordinal", "raw", "source"))).alias("ev"))
-    rule = F.coalesce(*[
-        F.when(F.col("field") == f, F.lit(p)) for f, p in policies.items()], F.lit("distinct"))
-    groups = groups.withColumn("rule", rule)
+        F.array_sort(F.collect_list(F.struct("level", "ordinal", "raw", "source"))).alias("ev")
+    ).withColumn("rule", rule)
     ev = F.col("ev")
-    exact = F.when(F.col("rule") == "capacity", S.exact_over_qualified(ev)).otherwise(ev)
-    groups = groups.withColumn("ev", exact)
-    banded = F.transform(
-        ev,
-        lambda v: F.struct(
-            F.when((F.col("rule") == "capacity") & is_capacity_band(v["raw"]) & (v["level"] > 0)
-                   & (v["level"] < TITLE_FALLBACK), v["level"] + BAND_OFFSET)
+    if "capacity" in used:
+        banded = lambda arr: F.array_sort(F.transform(arr, lambda v: F.struct(
+            F.when(is_capacity_band(v["raw"]) & v["level"].between(1, TITLE_FALLBACK - 1), v["level"] + BAND_OFFSET)
             .otherwise(v["level"]).alias("level"),
-            v["ordinal"].alias("ordinal"), v["raw"].alias("raw"), v["source"].alias("source")),
-    )
-    groups = groups.withColumn("ev", F.array_sort(banded))
+            v["ordinal"].alias("ordinal"), v["raw"].alias("raw"), v["source"].alias("source"))))
+        groups = groups.withColumn(
+            "ev", F.when(F.col("rule") == "capacity", banded(S.exact_over_qualified(ev))).otherwise(ev))
     lowest = F.array_min(F.transform(ev, lambda v: v["level"]))
-    groups = groups.withColumn(
-        "top", F.transform(F.filter(ev, lambda v: v["level"] == lowest), lambda v: v["raw"]))
+    groups = groups.withColumn("lowest", lowest).withColumn(
+        "top", F.transform(F.filter(ev, lambda v: v["level"] == F.col("lowest")), lambda v: v["raw"]))
     top = F.col("top")
-    ranked = F.array_sort(F.transform(
-        F.when(F.col("rule") == "type", ev), lambda v: F.struct((-_specificity(v["raw"])).alias("a"), (v["source"] != "title").alias("b"),
-                               v["level"].alias("c"), v["ordinal"].alias("d"), v["raw"].alias("raw"))))
-    value = (
-        F.when(F.col("rule").isin("measure", "capacity"), S.join_measurements(top))
-        .when(F.col("rule") == "washer", S.washer_choice(ev))
-        .when(F.col("rule") == "type", F.try_element_at(ranked, F.lit(1))["raw"])
-        .when(F.col("rule") == "first", F.try_element_at(top, F.lit(1)))
-        .when(F.col("rule") == "all", F.array_join(F.array_distinct(F.transform(ev, lambda v: v["raw"])), " ||| "))
-        .otherwise(F.array_join(S.distinct_texts(top), ","))
-    )
+    policy = {
+        "measure": lambda: S.join_measurements(top), "capacity": lambda: S.join_measurements(top),
+        "washer": lambda: S.washer_choice(ev), "type": lambda: _most_specific(ev), "first": lambda: F.get(top, F.lit(0)),
+        "all": lambda: F.array_join(F.array_distinct(F.transform(ev, lambda v: v["raw"])), " ||| "),
+        "distinct": lambda: F.array_join(S.distinct_texts(top), ","),
+    }
+    if used >= {"measure", "capacity"}:
+        used.discard("capacity")
+        policy["measure"] = lambda: S.join_measurements(top)
+    hit = lambda p: F.col("rule").isin("measure", "capacity") if p == "measure" else F.col("rule") == p
+    value = F.coalesce(*[F.when(hit(p), policy[p]()) for p in sorted(used | {"distinct"})])
     return groups.select(
-        *keys, "field", value.alias("value"), lowest.alias("level"), F.size("ev").alias("candidates"))
-
+        *keys, "field", value.alias("value"), F.col("lowest").alias("level"), F.size("ev").alias("candidates"))
 
-def _specificity(c: Column) -> Column:
-    from vitrine.functions.validators import type_specificity
 
-    return type_specificity(refrigerator_type(c))
+def _most_specific(ev: Column) -> Column:
+    ranked = F.array_sort(F.transform(
+        ev,
+        lambda v: F.struct(
+            (-type_specificity(refrigerator_type(v["raw"]))).alias("a"), (v["source"] != "title").alias("b"),
+            v["level"].alias("c"), v["ordinal"].alias("d"), v["raw"].alias("raw"))))
+    return let(ranked, lambda arr: F.get(arr, F.lit(0))["raw"])
 
 
 def pivot_fields(resolved: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:

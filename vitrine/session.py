@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # AQE merges small shuffle partitions and splits skewed ones at run time, so the
@@ -22,3 +25,17 @@ def build(master: str | None = None, app: str = "vitrine", **conf: str) -> Spark
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder of the session.
+
+    A cluster names that folder in ``spark.checkpoint.dir``.  Only a local session without
+    the setting gets a temporary folder of its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="vitrine-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
