@@ -9,19 +9,22 @@ from vitrine.functions.text import as_text, lookup, present, squash
 
 
 def _split_url(url: Column) -> tuple[Column, Column, Column, Column]:
-    """(scheme, host, path, query) by plain regexes, so odd URLs never fail."""
-    text = F.trim(as_text(url))
-    bare = F.regexp_replace(text, r"#.*$", "")
-    scheme = F.lower(F.regexp_extract(bare, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    host = F.lower(F.regexp_extract(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
-    rest = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*", "")
-    path = F.regexp_extract(rest, r"^([^?]*)", 1)
-    query = F.regexp_extract(rest, r"\?(.*)$", 1)
+    """(scheme, host, path, query) by plain text cuts, so odd URLs never fail."""
+    bare = F.substring_index(F.trim(as_text(url)), "#", 1)
+    before_query = F.substring_index(bare, "?", 1)
+    mark = F.instr(bare, "?")
+    query = F.when(mark > 0, F.substring(bare, mark + 1, F.length(bare))).otherwise("")
+    sep = F.instr(before_query, "://")
+    scheme = F.when(sep > 0, F.lower(F.substring(before_query, F.lit(1), sep - 1))).otherwise("")
+    rest = F.when(sep > 0, F.substring(before_query, sep + 3, F.length(before_query))).otherwise(before_query)
+    host = F.when(sep > 0, F.lower(F.substring_index(rest, "/", 1))).otherwise("")
+    slash = F.instr(rest, "/")
+    path = F.when(sep == 0, rest).when(slash > 0, F.substring(rest, slash, F.length(rest))).otherwise("")
     return scheme, host, path, query
 
 
 def _param_name(p: Column) -> Column:
-    return F.lower(F.regexp_extract(p, r"^([^=]*)", 1))
+    return F.lower(F.substring_index(p, "=", 1))
 
 
 def _reencode(p: Column) -> Column:
@@ -41,18 +44,21 @@ def normalized_url(url: Column) -> Column:
     """Lower-case scheme and host, no ``utm_*``, no fragment, no trailing slash."""
     scheme, host, path, query = _split_url(url)
     kept = F.filter(_params(query), lambda p: ~_param_name(p).startswith("utm_"))
-    joined = F.array_join(F.transform(kept, _reencode), "&")
-    trimmed = F.regexp_replace(path, "/+$", "")
+    joined = F.when(query == "", "").otherwise(F.array_join(F.transform(kept, _reencode), "&"))
     prefix = F.when(scheme != "", F.concat(scheme, F.lit("://"), host)).otherwise(F.lit(""))
     suffix = F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit(""))
-    return F.when(present(url), F.concat(prefix, trimmed, suffix)).otherwise(F.lit(""))
+    return F.when(present(url), F.concat(prefix, F.rtrim(path, F.lit("/")), suffix)).otherwise(F.lit(""))
+
+
+def identity_of(url_key: Column, retailer: Column, sku: Column) -> Column:
+    """One text key from an already normalized URL, else retailer and SKU."""
+    fallback = F.concat_ws("|", F.lit("sku"), F.lower(F.trim(as_text(retailer))), as_text(sku))
+    return F.when(url_key != "", F.concat(F.lit("url|"), url_key)).otherwise(fallback)
 
 
 def identity(url: Column, retailer: Column, sku: Column) -> Column:
     """One text key: the normalized URL, else retailer and SKU."""
-    norm = normalized_url(url)
-    fallback = F.concat_ws("|", F.lit("sku"), F.lower(F.trim(as_text(retailer))), as_text(sku))
-    return F.when(norm != "", F.concat(F.lit("url|"), norm)).otherwise(fallback)
+    return identity_of(normalized_url(url), retailer, sku)
 
 
 def item_from_url(url: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, present
-from vitrine.functions.urls import identity, normalized_url
+from vitrine.functions.urls import identity_of, normalized_url
 from vitrine.operators.numbering import first_rows, prefix_sums, running_rank
 
 RUN = ["retailer", "product_line", "run_date"]
@@ -17,9 +17,7 @@ MAIN_TARGETS, BSR_TARGETS = 300, 100
 def with_identity(df: DataFrame) -> DataFrame:
     """Adds ``url_key`` (normalized URL, '' if none) and ``identity``."""
     out = df.withColumn("url_key", normalized_url(F.col("product_url")))
-    return out.withColumn(
-        "identity", identity(F.col("product_url"), F.col("retailer"), F.col("sku"))
-    )
+    return out.withColumn("identity", identity_of(F.col("url_key"), F.col("retailer"), F.col("sku")))
 
 
 def occurrence_rank(df: DataFrame, keys: list[str] = [*RUN, "run_id"],

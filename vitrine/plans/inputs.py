@@ -66,7 +66,7 @@ LISTING_SQL = (
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    lineitem, part = spread(table(spark, sf_dir, "lineitem")), table(spark, sf_dir, "part")
     return select(lineitem.join(part, lineitem.l_partkey == part.p_partkey), LISTING)
 
 
@@ -114,7 +114,7 @@ PRICE_ROWS = {
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select(table(spark, sf_dir, "lineitem"), OFFERS)
+    return select(spread(table(spark, sf_dir, "lineitem")), OFFERS)
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:

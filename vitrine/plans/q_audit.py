@@ -30,7 +30,7 @@ _ROWS = f"a AS ({I.select_sql(AUDITED, 'lineitem')})"
 
 
 def audited(spark, sf):
-    return I.select(I.table(spark, sf, "lineitem"), AUDITED)
+    return I.select(I.spread(I.table(spark, sf, "lineitem")), AUDITED)
 
 
 COLUMNS = ["item", "product_url", "sku", "delivery_availability", "star_rating", "count_of_star_ratings"]
