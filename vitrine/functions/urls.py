@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, lookup, present, squash
@@ -24,7 +24,8 @@ def _split_url(url: Column) -> tuple[Column, Column, Column, Column]:
 
 
 def _param_name(p: Column) -> Column:
-    return F.lower(F.substring_index(p, "=", 1))
+    name = F.substring_index(p, "=", 1)
+    return F.lower(F.coalesce(F.try_url_decode(name), name))
 
 
 def _reencode(p: Column) -> Column:
@@ -40,16 +41,42 @@ def _params(query: Column) -> Column:
     return F.filter(F.split(query, "&"), lambda p: p != "")
 
 
-def normalized_url(url: Column) -> Column:
-    """Lower-case scheme and host, no ``utm_*``, no fragment, no trailing slash."""
-    scheme, host, path, query = _split_url(url)
+def _joined_params(query: Column, cut: Column) -> Column:
+    """Kept parameters; most queries need no decoding, hence no walk over them."""
+    simple = cut.rlike(r"^(?:[A-Za-z0-9_.-]+=[A-Za-z0-9_.-]*(?:&(?=[A-Za-z0-9])|$))*$")
     kept = F.filter(_params(query), lambda p: ~_param_name(p).startswith("utm_"))
-    joined = F.when(query == "", "").otherwise(F.array_join(F.transform(kept, _reencode), "&"))
+    return (
+        F.when(query == "", "").when(simple & ~cut.rlike("(?i)utm_"), cut)
+        .otherwise(F.array_join(F.transform(kept, _reencode), "&"))
+    )
+
+
+def _without_utm(query: Column) -> Column:
+    return F.ltrim(F.regexp_replace(query, r"(?i)(?:^|&)utm_[^&=]*=[^&]*", ""), F.lit("&"))
+
+
+def _assembled(url: Column, scheme: Column, host: Column, path: Column, joined: Column) -> Column:
     prefix = F.when(scheme != "", F.concat(scheme, F.lit("://"), host)).otherwise(F.lit(""))
     suffix = F.when(joined != "", F.concat(F.lit("?"), joined)).otherwise(F.lit(""))
     return F.when(present(url), F.concat(prefix, F.rtrim(path, F.lit("/")), suffix)).otherwise(F.lit(""))
 
 
+def normalized_url(url: Column) -> Column:
+    """Lower-case scheme and host, no ``utm_*``, no fragment, no trailing slash."""
+    scheme, host, path, query = _split_url(url)
+    return _assembled(url, scheme, host, path, _joined_params(query, _without_utm(query)))
+
+
+def with_normalized_url(df: DataFrame, url: str, out: str) -> DataFrame:
+    """:func:`normalized_url` with its pieces staged, so that each is computed once."""
+    scheme, host, path, query = _split_url(F.col(url))
+    df = df.withColumns({"__scheme": scheme, "__host": host, "__path": path, "__query": query})
+    df = df.withColumn("__cut", _without_utm(F.col("__query")))
+    df = df.withColumn("__joined", _joined_params(F.col("__query"), F.col("__cut")))
+    value = _assembled(F.col(url), F.col("__scheme"), F.col("__host"), F.col("__path"), F.col("__joined"))
+    return df.withColumn(out, value).drop("__scheme", "__host", "__path", "__query", "__cut", "__joined")
+
+
 def identity_of(url_key: Column, retailer: Column, sku: Column) -> Column:
     """One text key from an already normalized URL, else retailer and SKU."""
     fallback = F.concat_ws("|", F.lit("sku"), F.lower(F.trim(as_text(retailer))), as_text(sku))

@@ -2,8 +2,8 @@
 
 A plain ``row_number() OVER (PARTITION BY run ORDER BY page, pos)`` sends every row
 of a run to one task.  Here only one *page* of a run is ordered inside a task; the
-rows in front of a page come from per-page counts, and those are summed in blocks
-of blocks, so no window ever sees more than ``FANOUT`` entries below the top.
+rows in front of a page come from per-page counts, and those are summed in blocks, so a
+window sees ``FANOUT`` pages of a run, and one row per ``FANOUT`` pages at the top.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-FANOUT = 4096
-LEVELS = 2
+FANOUT = 16384
+LEVELS = 1
 
 
 def prefix_sums(totals: DataFrame, keys: list[str], order: str, values: list[str],

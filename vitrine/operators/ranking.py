@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, present
-from vitrine.functions.urls import identity_of, normalized_url
+from vitrine.functions.urls import identity_of, with_normalized_url
 from vitrine.operators.numbering import first_rows, prefix_sums, running_rank
+from vitrine.session import materialize
 
 RUN = ["retailer", "product_line", "run_date"]
 ORDER = ["page", "pos"]
@@ -16,7 +17,7 @@ MAIN_TARGETS, BSR_TARGETS = 300, 100
 
 def with_identity(df: DataFrame) -> DataFrame:
     """Adds ``url_key`` (normalized URL, '' if none) and ``identity``."""
-    out = df.withColumn("url_key", normalized_url(F.col("product_url")))
+    out = with_normalized_url(df, "product_url", "url_key")
     return out.withColumn("identity", identity_of(F.col("url_key"), F.col("retailer"), F.col("sku")))
 
 
@@ -106,7 +107,8 @@ def page_cutoff(df: DataFrame, keys: list[str], target: int, no_growth: int = 5)
     A streak of ``no_growth`` pages ends at page p when the running unique count of p
     equals the one ``no_growth`` pages earlier, so an equi-join replaces a window.
     """
-    pages = page_growth(df, keys)
+    # one row per page, used four times below
+    pages = materialize(page_growth(df, keys), "page-growth")
     earlier = pages.select(
         *keys, (F.col("page_no") + no_growth).alias("page_no"),
         F.col("unique_ids").alias("unique_then"),

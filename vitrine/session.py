@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE merges small shuffle partitions and splits skewed ones at run time, so the
 # partition count only has to be large enough for the largest shuffle of a job.
@@ -27,6 +27,17 @@ def build(master: str | None = None, app: str = "vitrine", **conf: str) -> Spark
     return builder.getOrCreate()
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that a job uses several times, and read it back.
+
+    The written table also cuts the lineage, so a lost executor never sends the job back
+    to the first scan.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session.
 
