@@ -190,7 +190,8 @@ def _json_items(c: Column) -> Column:
             F.nullif(F.try_variant_get(v, f"$.{k}", "string"), F.lit(""))
             for k in ("name", "title", "description", "text", "reviewBody", "summary")
         ])
-        return F.trim(F.coalesce(named, F.try_variant_get(v, "$", "string"), F.to_json(v), F.lit("")))
+        whole = F.when(~F.is_variant_null(v), F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
+        return F.trim(F.coalesce(named, whole, F.lit("")))
 
     return F.when(doc.isNotNull(), F.transform(F.coalesce(items, one), shown))
 

@@ -149,7 +149,7 @@ def usage_ledger(spark, sf):
 
 
 @query("usage_summary", """WITH e AS (SELECT * FROM events WHERE event_type <> 'error')
-SELECT 'total' AS kind, 'error:invalid_ledger_event,invalid_ledger_json' AS name, count(*) AS calls FROM e
+SELECT 'total' AS kind, coalesce((SELECT concat('error:', string_agg(DISTINCT x, ',' ORDER BY x)) FROM (SELECT CASE WHEN user_id < 20 THEN 'invalid_ledger_json' ELSE 'invalid_ledger_event' END AS x FROM events WHERE event_type = 'error')), 'complete') AS name, count(*) AS calls FROM e
 UNION ALL SELECT 'retailer', event_type, count(*) FROM e GROUP BY event_type
 UNION ALL SELECT 'product_line', CASE user_id % 3 WHEN 0 THEN 'tv' WHEN 1 THEN 'ref' ELSE 'unknown' END, count(*) FROM e GROUP BY 2""")
 def usage_summary(spark, sf):
