@@ -22,6 +22,7 @@ from vitrine.operators import evidence as E
 from vitrine.operators.labels import label_dictionary, label_rows
 from vitrine.operators.relevance import is_line_title, is_standalone_dryer
 from vitrine.operators.sku import resolve_refrigerator_sku, resolve_washer_sku
+from vitrine.session import materialize
 from vitrine.sources.pages import data_island
 
 LINE_FIELDS = {
@@ -106,6 +107,8 @@ def detail_layout_m(items: DataFrame, keys: list[str], line: str, doc: str = "do
     base = items.select(
         *keys, d.alias("doc"), F.col(seller).alias("seller_id"), clean_text(g("$.title")).alias("title"),
         flat_description(g("$.description")).alias("description"))
+    # read once per evidence source below; parsing happens here only
+    base = materialize(base, "detail-m")
     labels = E.fact_rows(base, keys, "doc")
     out = resolve_fields(base, labels, keys, "M", line, "fact")
     out = out.withColumn("offer", _offer(F.col("doc"), F.col("seller_id")))
@@ -164,6 +167,7 @@ def detail_layout_c(items: DataFrame, keys: list[str], line: str, doc: str = "do
             F.nullif(V.get(F.col(doc), "$.product.description"), F.lit("")),
             V.get(F.col(doc), "$.product.rawDescription"))).alias("description"),
         spec_groups(F.col(doc)).alias("spec_groups"))
+    base = materialize(base, "detail-c")
     labels = E.spec_rows(base, keys)
     out = resolve_fields(base, labels, keys, "C", line, "spec")
     evidence = F.filter(F.split(F.col("reference"), r" \|\|\| "), lambda r: r != "")

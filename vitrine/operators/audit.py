@@ -180,13 +180,13 @@ def anomaly_summary(suspicious: DataFrame, keys: list[str], samples: int = 20,
     return counts.join(shown, [*keys, "anomaly"])
 
 
-def schema_anomalies(actual: list[str], expected: list[str]) -> Column:
-    """Missing (critical) and extra (low) columns as an array of structs."""
-    have, want = F.array(*[F.lit(c) for c in actual]), F.array(*[F.lit(c) for c in expected])
+def schema_anomalies(actual: Column, expected: list[str]) -> Column:
+    """Missing (critical) and extra (low) columns of a column-name array, as structs."""
+    want = F.array(*[F.lit(c) for c in expected])
     entry = lambda name, severity, cols: F.struct(
         F.lit(name).alias("anomaly"), F.lit(severity).alias("severity"), F.sort_array(cols).alias("columns"))
     both = F.array(
-        entry("missing_columns", "critical", F.array_except(want, have)),
-        entry("extra_columns", "low", F.array_except(have, want)),
+        entry("missing_columns", "critical", F.array_except(want, actual)),
+        entry("extra_columns", "low", F.array_except(actual, want)),
     )
     return F.filter(both, lambda e: F.size(e["columns"]) > 0)

@@ -19,7 +19,8 @@ def prefix_sums(totals: DataFrame, keys: list[str], order: str, values: list[str
                 levels: int = LEVELS, fanout: int = FANOUT) -> DataFrame:
     """Exclusive running sums: adds ``<value>_before`` to one row per (keys, order).
 
-    ``order`` is an integer column, unique inside ``keys``.
+    ``order`` is an integer column, unique inside ``keys``, such as a page or entry number.
+    Blocks hold ``fanout`` consecutive values; use more levels when values are far apart.
     """
     if levels == 0:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

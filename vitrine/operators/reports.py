@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, blank, present
 from vitrine.functions.urls import canonical_retailer, host_allowed, sku_from_url
+from vitrine.operators.numbering import first_rows
 
 REVIEW_LIMIT = 20
 
@@ -98,6 +99,19 @@ def retry_sets(attempts: DataFrame, keys: list[str]) -> DataFrame:
 # ---- reviews -----------------------------------------------------------------------------------------
 
 
+def review_arrays(reviews: DataFrame, keys: list[str], order: str, body: str, limit: int = REVIEW_LIMIT) -> DataFrame:
+    """First ``limit`` non-empty reviews of a product as an array, with the full count.
+
+    The cut is made before anything is collected, so a product with endless reviews
+    costs no more than any other.
+    """
+    some = reviews.filter(present(F.col(body)))
+    kept = first_rows(some, keys, [order], limit, "review_rank")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("review_rank", body))), lambda r: r[body])
+    counts = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_reviews"))
+    return kept.groupBy(*keys).agg(ordered.alias("reviews")).join(counts, keys)
+
+
 def review_rows(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int = REVIEW_LIMIT) -> DataFrame:
     """One row per review, ranked from 1, the first ``limit`` of a product."""
     bodies = F.filter(F.col(reviews), lambda r: present(r))

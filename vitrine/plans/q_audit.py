@@ -117,8 +117,10 @@ def suspicious_provenance(spark, sf):
     return out.select("run", "position", "anomaly", "parse_status", "fetch_method")
 
 
-column_query("schema_anomalies", "nation", ["n_nationkey"], {"a": "n_name"}, {
+column_query("schema_anomalies", "documents", ["doc_id"], {
+    "k": "doc_id % 3",
+    "header": "CASE doc_id % 3 WHEN 0 THEN 'item,sku,country' WHEN 1 THEN concat('item,sku,', lang) ELSE concat(source, ',sku,item,country') END", "lang": "lang", "source": "source"}, {
     "problems": (lambda c: F.array_join(F.transform(
-        A.schema_anomalies(["item", "sku", "x1"], ["item", "sku", "country", "account_name"]),
+        A.schema_anomalies(F.split(c["header"], ","), ["item", "sku", "country"]),
         lambda e: F.concat(e["anomaly"], F.lit(":"), e["severity"], F.lit(":"), F.array_join(e["columns"], ","))), ";"),
-        "'missing_columns:critical:account_name,country;extra_columns:low:x1'")})
+        "CASE k WHEN 0 THEN '' WHEN 1 THEN concat('missing_columns:critical:country;extra_columns:low:', lang) ELSE concat('extra_columns:low:', source) END")})

@@ -145,7 +145,7 @@ def card_snapshot_merge(spark, sf):
 # ---- image requests: every order line is one request --------------------------------------------------
 
 _REQ = {
-    "run": "l_linestatus", "seq": "(l_orderkey * 10 + l_linenumber) * 1000000000 + l_partkey * 1000 + l_suppkey",
+    "run": "l_linestatus", "seq": "l_orderkey * 10 + l_linenumber",
     "url": f"concat(CASE WHEN l_linenumber = 7 THEN 'https://other.example' ELSE 'https://img.shop.example' END, '/', CASE WHEN l_linenumber = 6 THEN 'logo' ELSE '450x450' END, '/', "
            f"CASE WHEN l_linenumber = 5 THEN 'geladeira' ELSE concat('smart-tv-', {I.vc('l_partkey')}) END, '/s', {I.vc('l_suppkey')}, '/', {I.vc('l_partkey')}, '/a.jpg?x=1')",
 }

@@ -103,9 +103,11 @@ _REVSQL = "r AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY con
 
 def _reviews(spark, sf):
     turns = I.table(spark, sf, "conversations")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda t: t["text"])
-    return turns.groupBy("conv_id").agg(ordered.alias("reviews"), F.count(F.lit(1)).alias("n")).withColumn(
-        "count_of_reviews", (F.col("n") + F.col("conv_id") % 3).cast("string"))
+    stated = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    arrays = R.review_arrays(turns, ["conv_id"], "turn", "text")
+    empty = F.array().cast("array<string>")
+    return stated.join(arrays, "conv_id", "left").select(
+        "conv_id", F.coalesce("reviews", empty).alias("reviews"), (F.col("n") + F.col("conv_id") % 3).cast("string").alias("count_of_reviews"))
 
 
 @query("review_rows", f"WITH {_REVSQL} SELECT conv_id, k AS review_rank, text AS detailed_review_content FROM r WHERE k <= 3")
@@ -114,13 +116,13 @@ def review_rows(spark, sf):
 
 
 @query("short_reviews", f"""WITH c AS (SELECT conv_id, count(*) AS n, count(CASE WHEN trim(text) <> '' THEN 1 END) AS actual FROM conversations GROUP BY conv_id)
-SELECT conv_id, cast(n + conv_id % 3 AS varchar) AS count_of_reviews, least(20, n + conv_id % 3) AS expected_review_count, actual AS actual_review_count FROM c
-WHERE least(20, n + conv_id % 3) > actual""")
+SELECT conv_id, cast(n + conv_id % 3 AS varchar) AS count_of_reviews, least(20, n + conv_id % 3) AS expected_review_count, least(20, actual) AS actual_review_count FROM c
+WHERE least(20, n + conv_id % 3) > least(20, actual)""")
 def short_reviews(spark, sf):
     return R.short_reviews(_reviews(spark, sf), ["conv_id"])
 
 
-@query("numbered_reviews", f"""WITH {_REVSQL} SELECT conv_id, md5(string_agg(concat('review', k, ' - ', trim(text)), ' ||| ' ORDER BY k)) AS reviews_md5 FROM r GROUP BY conv_id""")
+@query("numbered_reviews", f"""WITH {_REVSQL} SELECT conv_id, md5(string_agg(concat('review', k, ' - ', trim(text)), ' ||| ' ORDER BY k)) AS reviews_md5 FROM r WHERE k <= 20 GROUP BY conv_id""")
 def numbered_reviews(spark, sf):
     from vitrine.functions.text import join_reviews
 
