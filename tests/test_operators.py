@@ -185,6 +185,12 @@ def _published(spark, account, line, items):
     return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
 
 
+def test_output_table_routing():
+    assert TB.output_table(" tv ") == "tv_retail_com"
+    assert TB.output_table("REF", {"REF": "other"}) == "other"
+    assert TB.output_table("LDY", pattern="{line}_rows") == "ldy_rows"
+
+
 def test_load_modes(spark):
     table = "vitrine_load_test"
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -99,12 +99,16 @@ def loose_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold_accents(F.trim(as_text(c)))), r"(?U)\s+", " "))
 
 
+# the named Latin entities as one map literal, escaped for a SQL string
+_ENTITY_MAP = "map({})".format(", ".join(
+    f"'{name}', '\\u{code:04x}'" for name, code in sorted(name2codepoint.items())
+))
+
+
 def unescape_entities(c: Column) -> Column:
     """Resolve the named Latin entities and every numeric entity in one text."""
     text = as_text(c)
-    names = F.create_map(*[
-        F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))
-    ])
+    names = F.expr(_ENTITY_MAP)
 
     def utf32(digits: Column, base: int) -> Column:
         code = F.conv(digits, base, 16)

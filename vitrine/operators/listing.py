@@ -268,6 +268,21 @@ def listing_with_fallback(sources: list[DataFrame], keys: list[str]) -> DataFram
     return tagged.withColumn("best", F.min("priority").over(best)).filter("priority = best").drop("best")
 
 
+def listing_from_capture(entries: DataFrame, keys: list[str], url_part: str, layout: str, base_url: str,
+                         line: str) -> DataFrame:
+    """Listing documents recorded in a capture; the document with most rows wins.
+
+    ``entries`` comes from the capture reader; equal counts keep the earlier document.
+    """
+    html = entries.filter(
+        (F.col("method") == "GET") & F.contains("url", F.lit(url_part)) & F.contains(F.lower("mime"), F.lit("html"))
+    ).select(*keys, "index", F.col("text").alias("html"))
+    rows = explode_listing(html, [*keys, "index"], layout, base_url, line)
+    counts = rows.groupBy(*keys, "index").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy(*keys).agg(F.max(F.struct("n", (-F.col("index")).alias("back"))).alias("b"))
+    return rows.join(best.select(*keys, (-F.col("b.back")).alias("index")), [*keys, "index"], "left_semi")
+
+
 def image_listing(requests: DataFrame, keys: list[str], order: str, hosts: list[str],
                   url: str = "url") -> DataFrame:
     """Listing recovered from image requests: ``/<w>x<h>/<slug>/<seller>/<product>/...``.

@@ -142,6 +142,19 @@ def card_snapshot_merge(spark, sf):
     return L.merge_card_snapshots(rows, cards, KEYS).select("page_id", "pos", "original_sku_price", "discount_type")
 
 
+@query("listing_from_capture", """WITH p AS (SELECT page_id, page_id // 5 AS capture, page_id % 5 AS entry FROM pages WHERE page_id % 5 IN (1, 2, 4)),
+b AS (SELECT capture, min(entry) AS entry FROM p WHERE entry <> 4 GROUP BY capture)
+SELECT capture, entry AS index, k AS pos, concat('TV ', entry, k) AS title FROM b, (VALUES (0), (1)) v(k)""")
+def listing_from_capture(spark, sf):
+    entries = I.spread(I.table(spark, sf, "pages")).selectExpr(
+        "page_id div 5 AS capture", "cast(page_id % 5 AS int) AS index", "CASE WHEN page_id % 5 = 0 THEN 'POST' ELSE 'GET' END AS method",
+        "CASE WHEN page_id % 5 = 3 THEN 'https://shop.example/x' ELSE 'https://shop.example/busca/tv' END AS url", "'text/HTML' AS mime",
+        "concat(html, '<script id=\"__NEXT_DATA__\">{\"props\":{\"pageProps\":{\"data\":{\"search\":{\"products\":[{\"title\":\"TV ', page_id % 5, '0\",\"path\":\"/p/1/\"}', "
+        "CASE WHEN page_id % 5 = 4 THEN '' ELSE concat(',{\"title\":\"TV ', page_id % 5, '1\",\"path\":\"/p/2/\"}') END, ']}}}}}</script>') AS text")
+    out = L.listing_from_capture(entries, ["capture"], "/busca/tv", "M", BASE, "TV")
+    return out.select("capture", "index", "pos", "title")
+
+
 # ---- image requests: every order line is one request --------------------------------------------------
 
 _REQ = {
