@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import license_scan, packing, repetition, secret_scan, token_counts, url_filter
+from vitrine.llm import (
+    curriculum,
+    fingerprint,
+    license_scan,
+    near_dup,
+    packing,
+    quality_fm,
+    repetition,
+    secret_scan,
+    token_counts,
+    url_filter,
+)
 from vitrine.llm.common import documents
 
 QUERIES: dict = {}
@@ -22,11 +33,22 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+@query("op1_improbable_features")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbours(documents(spark, sf_dir))
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+@query("op3_factorisation_machine")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_fm.score(docs, quality_fm.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query("op4_suffix_array_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_rules(documents(spark, sf_dir)).select(
@@ -35,6 +57,67 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_odd_sketches", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT d.doc_id, count(s) AS n_shingles FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN shingles USING (doc_id) GROUP BY 1
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id > b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * n >= 75 * (p.n_shingles + q.n_shingles - n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links) l ON l.a = r.other
+), components AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN components USING (doc_id)
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op6_curriculum_mix", r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), totals AS (
+  SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source
+), filled AS (
+  SELECT *, 3 * source_size AS cap, row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / w, source NULLS LAST) AS k FROM totals
+), levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS one FROM filled
+), goals AS (
+  SELECT source, source_size, least(cap::DOUBLE, max(one) OVER () * w) AS target FROM levels
+), placed AS (
+  SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS goal,
+    (sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, source_size, target,
+  (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - source_size - start))
+   + greatest(0, least(size, goal - 2 * source_size - start)))::BIGINT AS taken
+FROM placed
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = curriculum.assign(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    ordered = plan.drop("text").withColumn("at", F.get("mix_passes", F.lit(0))["position"]).repartitionByRange("at", "mix_order")
+    return ordered.sortWithinPartitions("at", "mix_order").select(
+        "doc_id", F.col("mix_size").alias("size"), F.col("mix_total").alias("source_size"), F.col("mix_target").alias("target"),
+        F.col("mix_taken").alias("taken"))
+
+
 @query("op7_license_automaton")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).select(
