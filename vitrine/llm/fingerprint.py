@@ -5,7 +5,8 @@ texts, how often each entropy level occurs; the rarer a level, the lower its ran
 of neighbouring windows the one of lowest rank (the first of equals) gains a vote, and windows with
 enough votes are the text's features.  They are hashed into Bloom filters of a fixed number of
 features, one after another.  Two digests compare by the share of common bits of their filters,
-above what chance gives, each filter of the shorter digest against its best partner.
+above what chance gives, each filter of the shorter digest against its best partner, weighed by
+its features.
 
 Digests compare only if they were made with the same ranks.  A text without a feature (shorter
 than a window, or without enough variety) has its whole content as its only feature; an empty
@@ -162,16 +163,16 @@ def likeness(a: bytes, b: bytes) -> float:
     if not a or not b:
         return 0.0
     size = 2 + BITS // 8
-    x, y = (np.frombuffer(d, dtype=np.uint8).reshape(-1, size) for d in sorted((a, b), key=len))
+    x, y = (np.frombuffer(d, dtype=np.uint8).reshape(-1, size) for d in sorted((a, b), key=lambda d: (len(d), d)))
     p, q = x[:, 2:], y[:, 2:]
-    best = []
-    for row, n in zip(p, x[:, :2].copy().view("<u2").ravel()):
+    weights, best = x[:, :2].copy().view("<u2").ravel(), []
+    for row in p:
         shared = np.bitwise_count(row & q).sum(axis=1, dtype=np.int64)
         own, other = int(np.bitwise_count(row).sum()), np.bitwise_count(q).sum(axis=1, dtype=np.int64)
         chance = own * other / BITS
         top = np.minimum(own, other)
-        best.append(float(np.max((shared - chance) / np.maximum(top - chance, 1e-9))))
-    return min(1.0, max(0.0, sum(best) / len(best)))
+        best.append(max(0.0, float(np.max((shared - chance) / np.maximum(top - chance, 1e-9)))))
+    return min(1.0, float(np.average(best, weights=weights)))
 
 
 def edited(text: str, following: str) -> str:

@@ -18,6 +18,8 @@ and columns other than the ones that are named play no part.
 
 from __future__ import annotations
 
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +38,14 @@ POOL = 256
 _WORKER: dict = {}
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Packer:
     """Packs (example, packed ids, first and last loss-bearing token) into sequences of pieces."""
 
@@ -152,14 +162,13 @@ def pack_ids(
 
 def pack_texts(
     docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", end_id: int = 0, doc_id: str = "doc_id", text: str = "text",
-    max_tokens: int = 1024, max_segments: int = 64, max_loss: int | None = None, cache: int = 600_000,
+    max_tokens: int = 1024, max_segments: int = 64, max_loss: int | None = None, cache: int = 1_200_000,
 ) -> DataFrame:
     """Pack whole texts: their ids, then ``end_id``.  All tokens but the end id bear loss."""
 
     def start():
         if _WORKER.get("key") != vocabulary:
-            as_bytes = lambda ids: np.array(ids, dtype="<u4").tobytes()
-            _WORKER.update(key=vocabulary, pieces=tokens.Pieces(tokens.load(vocabulary), as_bytes, None, cache))
+            _WORKER.update(key=vocabulary, pieces=tokens.Pieces(tokens.load(vocabulary), packed_ids, None, cache))
         known, end = _WORKER["pieces"], np.array([end_id], dtype="<u4").tobytes()
 
         def encode(rows):

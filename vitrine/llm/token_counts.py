@@ -42,10 +42,10 @@ def frequent_pieces(docs: DataFrame, text: str = "text", table: int = TABLE, per
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, b in slices(texts):
-                seen.update(" ".join(texts[a:b]).split(" "))
+                seen.update(" ".join(texts[a:b]).replace("\n", " \n").split(" "))
                 if len(seen) > COUNTER:
                     seen = Counter(dict(seen.most_common(COUNTER // 2)))
-        top = [(u, n) for u, n in seen.most_common(per_task) if u and len(u) <= LONGEST and not u[0].isspace() and not u[-1].isspace()]
+        top = [(u, n) for u, n in seen.most_common(per_task) if u and len(u) <= LONGEST and u[:2] != "\n\n" and not u[-1].isspace() and not u.lstrip("\n")[:1].isspace()]
         yield pa.RecordBatch.from_pydict(
             {"piece": [u for u, _ in top], "n": [n for _, n in top]},
             schema=pa.schema([("piece", pa.string()), ("n", pa.int64())]),
@@ -61,11 +61,11 @@ def frequent_pieces(docs: DataFrame, text: str = "text", table: int = TABLE, per
 
 def count_tokens(
     docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", doc_id: str = "doc_id", text: str = "text",
-    limit: int = 512, table: int = TABLE, cache: int = 600_000,
+    limit: int = 512, table: int = TABLE, cache: int = 1_200_000,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every row."""
     pieces = frequent_pieces(docs, text, table)
-    lengths = tokens.Pieces(tokens.load(vocabulary), len).encode([" " + p for p in pieces])
+    lengths = tokens.Pieces(tokens.load(vocabulary), len).encode([p if p[0] == "\n" else " " + p for p in pieces])
     packed = docs.sparkSession.sparkContext.broadcast(("\x00".join(pieces), lengths))
     key = (vocabulary, hash(tuple(pieces)), cache)
 
