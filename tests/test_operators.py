@@ -143,7 +143,7 @@ def test_price_recovery_reasons(spark):
     assert run(good, base=other).price_reason == "existing_price_quote_conflict"
 
 
-def test_backfill_never_changes_values_and_cuts_before_it_validates(spark):
+def test_backfill_never_changes_values_and_reads_the_whole_history(spark):
     rows = spark.createDataFrame([("a", "", "old"), ("b", "kept", "")], "item_key string, x string, y string")
     hist = spark.createDataFrame(
         [("a", "zz", "2024-03", "new", "n1"), ("a", "a", "2024-02", "", "n2"), ("a", "a", "2024-01", "x1", "n3"), ("b", "b", "2024-01", "hx", " ")],
@@ -151,11 +151,10 @@ def test_backfill_never_changes_values_and_cuts_before_it_validates(spark):
     needs = {f: F.col(f) == "" for f in ("x", "y")}
     values = {f: F.nullif(F.trim(F.col(f)), F.lit("")) for f in ("x", "y")}
     valid = F.col("item") == F.col("item_key")
-    out = {r.item_key: r for r in H.backfill(rows, hist, ["item_key"], ["x", "y"], needs, values, ["at"], valid, 3).collect()}
+    old = spark.createDataFrame([("a", "zz", f"2024-04-{i:04}", "new", "n1") for i in range(300)], hist.schema)
+    out = {r.item_key: r for r in H.backfill(rows, hist.unionByName(old), ["item_key"], ["x", "y"], needs, values, ["at"], valid).collect()}
     assert (out["a"].x, out["a"].y, out["a"].recovered) == ("x1", "old", ["x"])
     assert (out["b"].x, out["b"].y, out["b"].recovered) == ("kept", "", [])
-    cut = {r.item_key: r for r in H.backfill(rows, hist, ["item_key"], ["x", "y"], needs, values, ["at"], valid, 2).collect()}
-    assert cut["a"].x == ""  # the two newest rows hold nothing valid, older ones are out
 
 
 def test_detail_merge_blank_versus_absent(spark):
@@ -170,6 +169,17 @@ def test_detail_merge_blank_versus_absent(spark):
     assert (out[3].identity_mode, out[3].screen_size) == ("conflict", "50")
 
 
+def test_merges_return_every_row_once(spark):
+    rows = spark.createDataFrame([(i, "A b", "50") for i in range(3)], "k int, retailer_sku_name string, screen_size string")
+    names = "k int, retailer_sku_name string, screen_size string, has_screen_size boolean, identity_conflict boolean, identity_verified boolean"
+    detail = spark.createDataFrame(
+        [(0, "x", "60", True, False, True), (0, "x", "60", True, False, True), (1, "x", "60", True, False, True), (1, "x", "61", True, False, True)], names)
+    out = {r.k: r for r in MG.merge_detail(rows, detail, ["k"], ["screen_size"]).collect()}
+    assert len(out) == 3 and (out[0].identity_mode, out[0].screen_size) == ("verified", "60")
+    assert (out[1].identity_mode, out[1].screen_size) == ("ambiguous", "50") and out[2].screen_size == "50"
+    assert MG.merge_detail(rows, detail, ["k"], ["screen_size"]).count() == 3
+
+
 def test_snapshot_round_trip_and_missing_path(spark, tmp_path):
     df = spark.createDataFrame([("Patrocinado", "a, \"q\"\nline", None)], "sku_status string, item string, sku string")
     path = str(tmp_path / "snap")

@@ -6,24 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from vitrine.plans import load_queries
 from vitrine.plans.inputs import TABLES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
-# a spread over all modules; VITRINE_ALL=1 runs every registered query
-SAMPLE = [
-    "identity_keys", "occurrence_rank", "final_targets", "page_cutoff", "threshold_gate", "offer_map",
-    "offer_exact_match", "optional_price_attach", "price_coverage", "recover_missing_price", "verify_price_fields",
-    "delivery_backfill", "history_window", "latest_non_blank", "history_backfill", "detail_merge", "jsonld_merge",
-    "page_detail_backfill", "reviews_layout_c", "positional_comparison", "trace_coverage", "field_stats",
-    "suspicious_rows", "suspicious_provenance", "anomaly_summary", "combine_distinct", "resolve_attributes",
-    "title_screen_size", "embedded_json", "listing_layout_m", "listing_layout_c", "anchor_listing", "usage_summary",
-    "run_report", "retry_sets", "capture_operations", "array_discovery", "publish_gate", "freight_texts",
-    "resolve_refrigerator_sku", "resolve_washer_sku", "tv_sku_recovery", "usage_counts_stream",
-]
-
-
 def _norm(v):
     if isinstance(v, bool):
         return str(v).lower()
@@ -40,11 +28,7 @@ def sql():
     return con
 
 
-def _names():
-    return sorted(entry.queries()) if os.environ.get("VITRINE_ALL") else SAMPLE
-
-
-@pytest.mark.parametrize("name", _names())
+@pytest.mark.parametrize("name", sorted(load_queries()[0]))
 def test_query_matches_sql(spark, sql, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
@@ -57,7 +41,8 @@ def test_query_matches_sql(spark, sql, name):
 
 
 def test_every_query_has_a_check():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    queries, checks = load_queries()
+    assert set(queries) == set(checks)
 
 
 def test_entry_runs(spark):

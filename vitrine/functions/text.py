@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -99,14 +99,15 @@ def loose_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold_accents(F.trim(as_text(c)))), r"(?U)\s+", " "))
 
 
-# the named Latin entities as one map literal, escaped for a SQL string
+# every named entity that ends in a semicolon, as one map literal, escaped for a SQL string
 _ENTITY_MAP = "map({})".format(", ".join(
-    f"'{name}', '\\u{code:04x}'" for name, code in sorted(name2codepoint.items())
+    "'{}', '{}'".format(name[:-1], "".join(f"\\U{ord(ch):08x}" for ch in text))
+    for name, text in sorted(html5.items()) if name.endswith(";")
 ))
 
 
 def unescape_entities(c: Column) -> Column:
-    """Resolve the named Latin entities and every numeric entity in one text."""
+    """Resolve every named and numeric entity in one text."""
     text = as_text(c)
     names = F.expr(_ENTITY_MAP)
 
@@ -116,8 +117,8 @@ def unescape_entities(c: Column) -> Column:
 
     def value_of(name: Column) -> Column:
         return (
-            F.when(name.rlike(r"^#[0-9]{1,6}$"), utf32(F.substring(name, 2, 9), 10))
-            .when(name.rlike(r"^#[xX][0-9A-Fa-f]{1,5}$"), utf32(F.substring(name, 3, 9), 16))
+            F.when(name.rlike(r"^#0*(?:[0-9]{1,6}|10[0-9]{5}|110[0-9]{4}|111[0-3][0-9]{3}|11140[0-9]{2}|111410[0-9]|111411[01])$"), utf32(F.substring(name, 2, 99), 10))
+            .when(name.rlike(r"^#[xX]0*(?:[0-9A-Fa-f]{1,5}|10[0-9A-Fa-f]{4})$"), utf32(F.substring(name, 3, 99), 16))
             .otherwise(F.try_element_at(names, name))
         )
 
@@ -297,7 +298,18 @@ def colour_word(c: Column) -> Column:
     return F.regexp_extract(as_text(c), COLOUR_PATTERN, 1)
 
 
-# ---- regex occurrences with their surroundings -------------------------------------------
+# ---- occurrences with their surroundings -------------------------------------------------
+
+
+def starts(text: Column, term: str) -> Column:
+    """Positions (from 1) of every occurrence of a plain term, left to right without overlap."""
+    sizes = F.transform(F.split(text, f"\\Q{term}\\E", -1), lambda g: F.length(g))
+    before = F.slice(sizes, 1, F.greatest(F.size(sizes) - 1, F.lit(0)))
+    # running sums by positions: each start is the gaps before it and the terms between them
+    placed = F.aggregate(
+        before, F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("found")),
+        lambda acc, n: F.struct((acc["at"] + n + len(term)).alias("at"), F.concat(acc["found"], F.array(acc["at"] + n)).alias("found")))
+    return placed["found"]
 
 
 def occurrences(text: Column, pattern: str, before: int = 1 << 20, after: int = 1 << 20) -> Column:

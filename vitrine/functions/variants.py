@@ -38,12 +38,10 @@ def no_nodes() -> Column:
     return F.array().cast(NODE)
 
 
-def children(node: Column, list_limit: int | None = None) -> Column:
+def children(node: Column) -> Column:
     """Direct children of a node with their paths (``a.b``, ``a[0]``)."""
     path = node["path"]
     items = as_array(node["doc"])
-    if list_limit is not None:
-        items = F.slice(items, 1, list_limit)
     from_list = F.transform(
         items,
         lambda d, i: F.struct(

@@ -11,7 +11,7 @@ from vitrine.functions.metrics import digits_int, energy_class
 from vitrine.functions.money import BRL_PATTERN
 from vitrine.functions.text import BAR, as_text, blank, present, tokens
 from vitrine.functions.urls import item_from_url
-from vitrine.operators.numbering import first_rows
+from vitrine.operators.numbering import first_rows, running_rank
 
 
 def field_stats(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -170,14 +170,12 @@ def with_provenance(suspicious: DataFrame, enriched: DataFrame, keys: list[str],
     })
 
 
-def anomaly_summary(suspicious: DataFrame, keys: list[str], samples: int = 20,
-                    position: str = "position") -> DataFrame:
-    """Per check: severity, count, and the positions of the first ``samples`` hits."""
+def anomaly_summary(suspicious: DataFrame, keys: list[str], position: str = "position") -> DataFrame:
+    """Every hit with its rank by position inside its check, and the check's severity and count."""
     counts = suspicious.groupBy(*keys, "anomaly", "severity").agg(F.count(F.lit(1)).alias("n"))
-    firsts = first_rows(suspicious, [*keys, "anomaly"], [position], samples)
-    shown = firsts.groupBy(*keys, "anomaly").agg(
-        F.sort_array(F.collect_list(position)).alias("samples"))
-    return counts.join(shown, [*keys, "anomaly"])
+    hits = suspicious.select(*keys, "anomaly", position).withColumn("__page", F.floor(F.col(position) / 1024))
+    ranked = running_rank(hits, [*keys, "anomaly"], "__page", [position], "sample_rank").drop("__page")
+    return ranked.join(counts, [*keys, "anomaly"]).select(*keys, "anomaly", "severity", "n", position, "sample_rank")
 
 
 def schema_anomalies(actual: Column, expected: list[str]) -> Column:

@@ -12,11 +12,9 @@ from vitrine.functions.text import (
     append_token, as_text, blank, has_token, null_if_blank, present, squash,
 )
 from vitrine.functions.urls import url_item_key
-from vitrine.operators.numbering import first_rows
+from vitrine.operators.numbering import first_rows, spread_blank
 from vitrine.operators.relevance import is_standalone_dryer
 
-HISTORY_DEPTH = 30
-
 # Fields the history may fill, by product line.
 LAST_KNOWN_FIELDS = {
     "TV": ("sku", "screen_size", "estimated_annual_electricity_use", "model_year"),
@@ -25,25 +23,24 @@ LAST_KNOWN_FIELDS = {
 }
 
 
-def history_depth(k: int) -> int:
-    return max(1, min(int(k), 100))
-
-
-def history_window(history: DataFrame, keys: list[str], order: list[str],
-                   k: int = HISTORY_DEPTH) -> DataFrame:
+def history_window(history: DataFrame, keys: list[str], order: list[str], k: int) -> DataFrame:
     """Latest ``k`` rows per key; blanks of an order column come last."""
     by = [F.desc_nulls_last(null_if_blank(F.col(c))) for c in order]
-    return first_rows(history, keys, by, history_depth(k), "history_rank")
+    return first_rows(history, keys, by, max(1, int(k)), "history_rank")
 
 
-def _latest(value: Column) -> Column:
-    """Value of the newest row that has one (rows carry ``history_rank``)."""
-    return F.min_by(value, F.when(value.isNotNull(), F.col("history_rank")))
+def _latest(value: Column, order: list[str]) -> Column:
+    """Value of the newest row that has one; blanks of an order column are older than all else.
+
+    One aggregate over all rows of a key: it combines before the shuffle, however long the history is.
+    """
+    age = F.struct(*[null_if_blank(F.col(c)).alias(c) for c in order])
+    return F.max_by(value, F.when(value.isNotNull(), age))
 
 
-def last_known(window: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+def last_known(history: DataFrame, keys: list[str], fields: list[str], order: list[str]) -> DataFrame:
     """Per key and per field independently: the newest non-blank value."""
-    return window.groupBy(*keys).agg(*[_latest(null_if_blank(F.col(f))).alias(f) for f in fields])
+    return history.groupBy(*keys).agg(*[_latest(null_if_blank(F.col(f)), order).alias(f) for f in fields])
 
 
 def valid_history_sku(line: str, row: dict[str, Column]) -> Column:
@@ -72,22 +69,25 @@ def identity_conflict(status: Column, line: Column) -> Column:
 
 def backfill(rows: DataFrame, history: DataFrame, keys: list[str], fields: list[str],
              needs: dict[str, Column], values: dict[str, Column], order: list[str],
-             valid: Column, k: int = HISTORY_DEPTH) -> DataFrame:
+             valid: Column) -> DataFrame:
     """Fill fields of ``rows`` from the history, blanks (or unproven values) only.
 
     ``needs`` says per field when a row wants it; ``values`` is what a history row
-    offers for it (NULL when nothing valid); ``valid`` checks a history row and is
-    applied after the cut to the latest ``k`` rows.  Adds ``recovered`` (field names).
+    offers for it (NULL when nothing valid); ``valid`` checks a history row.  All rows of a
+    key are looked at.   Adds ``recovered`` (field names).
     """
-    wanted = rows.withColumns({f"__need_{f}": needs[f] for f in fields})
+    wanted = rows.withColumns({f"__need_{f}": F.coalesce(needs[f], F.lit(False)) for f in fields})
     any_need = reduce(lambda a, b: a | b, [F.col(f"__need_{f}") for f in fields])
-    asked = wanted.filter(any_need).select(*keys).distinct()
-    window = history_window(history.join(asked, keys, "left_semi"), keys, order, k)
-    offered = window.filter(valid).withColumns({f"__v_{f}": values[f] for f in fields})
+    offered = history.filter(valid).withColumns({f"__v_{f}": values[f] for f in fields})
     known = offered.groupBy(*keys).agg(
-        *[_latest(F.col(f"__v_{f}")).alias(f"__known_{f}") for f in fields]
+        *[_latest(F.col(f"__v_{f}"), order).alias(f"__known_{f}") for f in fields]
     )
-    out = wanted.join(known, keys, "left")
+    # rows that ask for nothing match nothing, and are dealt over all tasks
+    first = spread_blank(F.when(any_need, F.col(keys[0]).cast("string")))
+    right = known.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [
+        (F.col("__ask") if k == keys[0] else F.col(k)) == F.col(f"__k_{k}").cast("string") for k in keys])
+    out = wanted.withColumn("__ask", first).join(right, match, "left").drop("__ask", *[f"__k_{k}" for k in keys])
     hit = {f: F.col(f"__need_{f}") & F.col(f"__known_{f}").isNotNull() for f in fields}
     filled = {f: F.when(hit[f], F.col(f"__known_{f}")).otherwise(F.col(f)) for f in fields}
     recovered = F.array_compact(F.array(*[F.when(hit[f], F.lit(f)) for f in fields]))
@@ -95,8 +95,7 @@ def backfill(rows: DataFrame, history: DataFrame, keys: list[str], fields: list[
     return out.withColumns({**filled, "recovered": recovered}).drop(*drop)
 
 
-def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, hosts: list[str],
-                  k: int = HISTORY_DEPTH) -> DataFrame:
+def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, hosts: list[str]) -> DataFrame:
     """History backfill of one product line and layout, SKU rules included.
 
     Both sides carry the published columns; ``item_key`` is derived on both.
@@ -125,7 +124,7 @@ def backfill_line(rows: DataFrame, history: DataFrame, line: str, layout: str, h
     }
     out = backfill(rows, history, ["item_key"], fields, needs, values,
                    ["crawl_strdatetime", "batch_id", "product_url"],
-                   F.col("valid_key") == F.col("item_key"), k)
+                   F.col("valid_key") == F.col("item_key"))
     token = {"REF": D.REF_LAST_KNOWN, "LDY": D.LDY_LAST_KNOWN, "TV": D.TV_LAST_KNOWN}[line]
     if layout == "C":
         got = F.array_contains("recovered", "sku")

@@ -16,7 +16,7 @@ from vitrine.functions.text import (
     append_token, as_text, blank, first_present, has_token, key_text, present, squash, tokens,
 )
 from vitrine.functions.urls import sku_from_url
-from vitrine.operators.numbering import first_rows
+from vitrine.operators.numbering import first_rows, one_per_key
 
 # Fields whose evaluated blank clears the listing's value.
 AUDITED_FIELDS = (
@@ -37,7 +37,13 @@ def identity_mode(conflict: Column, verified: Column, row_name: Column, detail_n
 
 
 def _with_detail(rows: DataFrame, detail: DataFrame, keys: list[str]) -> DataFrame:
-    renamed = detail.select(*keys, *[F.col(c).alias(f"d_{c}") for c in detail.columns if c not in keys])
+    """Rows with the columns of their detail row as ``d_*``; each row comes back once.
+
+    Of several detail rows of a key the smallest by its values is taken, and ``d_ambiguous`` says that they differ.
+    """
+    others = [c for c in detail.columns if c not in keys]
+    renamed = one_per_key(detail, keys, others).select(
+        *keys, *[F.col(c).alias(f"d_{c}") for c in others], F.col("ambiguous").alias("d_ambiguous"))
     return rows.join(renamed, keys, "left")
 
 
@@ -47,14 +53,15 @@ def merge_detail(rows: DataFrame, detail: DataFrame, keys: list[str], fields: li
 
     verified: non-blank values overwrite, audited fields also when blank.
     same name: only blanks are filled (never the ``verified_only`` fields).
-    conflict or no proof: nothing is merged.
+    conflict, several detail rows that differ (``ambiguous``) or no proof: nothing is merged.
     ``detail``: one row per key with the fields, ``has_<audited>`` flags,
     ``retailer_sku_name``, ``identity_conflict``, ``identity_verified``.
     """
     out = _with_detail(rows, detail, keys).withColumn(
         "identity_mode",
-        identity_mode(F.col("d_identity_conflict"), F.col("d_identity_verified"),
-                      F.col("retailer_sku_name"), F.col("d_retailer_sku_name")),
+        F.when(F.coalesce("d_ambiguous", F.lit(False)), "ambiguous").otherwise(
+            identity_mode(F.col("d_identity_conflict"), F.col("d_identity_verified"),
+                          F.col("retailer_sku_name"), F.col("d_retailer_sku_name"))),
     )
     mode = F.col("identity_mode")
     changes = {}

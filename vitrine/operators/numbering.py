@@ -8,7 +8,9 @@ window sees ``FANOUT`` pages of a run, and one row per ``FANOUT`` pages at the t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FANOUT = 16384
@@ -64,6 +66,25 @@ def running_rank(df: DataFrame, keys: list[str], page: str, within: list, name:
     )
 
 
+def one_per_key(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """One row per key: the smallest of its rows by ``fields``, and ``ambiguous`` when they differ.
+
+    For the right side of a lookup, so that a row on the left comes back once.  Blank keys stay out:
+    they never match, and all of them would meet in one task.
+    """
+    values = F.struct(*[F.col(f) for f in fields])
+    known = [F.coalesce(F.col(k).cast("string"), F.lit("")) != "" for k in keys]
+    rows = df.filter(reduce(lambda a, b: a & b, known))
+    out = rows.groupBy(*keys).agg(F.min(values).alias("__low"), (F.min(values) != F.max(values)).alias("ambiguous"))
+    return out.select(*keys, *[F.col(f"__low.{f}").alias(f) for f in fields], "ambiguous")
+
+
+def spread_blank(key: Column) -> Column:
+    """A text key whose blanks are dealt over many values that match nothing, so that they don't meet in one task."""
+    dealt = F.concat(F.lit("\x00"), F.pmod(F.monotonically_increasing_id(), F.lit(FANOUT)).cast("string"))
+    return F.when(F.coalesce(key.cast("string"), F.lit("")) != "", key.cast("string")).otherwise(dealt)
+
+
 def first_rows(df: DataFrame, keys: list[str], order: list, n: int = 1,
                name: str | None = None) -> DataFrame:
     """First ``n`` rows per key; the limit is applied before the shuffle as well."""

@@ -15,6 +15,7 @@ from vitrine.functions.money import (
 )
 from vitrine.functions.text import append_token, as_text, blank, present, squash
 from vitrine.functions.urls import host_allowed, sku_from_url
+from vitrine.operators.numbering import one_per_key, spread_blank
 
 PRICE_FIELDS = ["original_sku_price", "final_sku_price", "savings", "discount_type"]
 QUOTE = [
@@ -389,7 +390,8 @@ DEFAULT_SELLER = "10037"
 def discount_backfill(rows: DataFrame, badges: DataFrame, default_seller: str = DEFAULT_SELLER) -> DataFrame:
     """Discount text by (SKU, seller) where the present one is blank or ambiguous.
 
-    ``badges``: sku_id, seller_id, success, discount.  Adds ``discount_outcome``.
+    ``badges``: sku_id, seller_id, success, discount.  Adds ``discount_outcome``.  Badges of one
+    (SKU, seller) that differ are ``ambiguous`` and change nothing; a row always comes back once.
     """
     digits = lambda c: F.when(F.trim(as_text(c)).rlike(r"^\d+$"), F.trim(as_text(c)))
     sku = F.coalesce(
@@ -397,15 +399,17 @@ def discount_backfill(rows: DataFrame, badges: DataFrame, default_seller: str =
         digits(F.col("item")), digits(F.col("retailer_product_id")), F.lit(""),
     )
     seller = F.coalesce(digits(F.col("seller_id")), F.lit(default_seller))
-    found = badges.select(
-        F.col("sku_id").alias("b_sku"), F.col("seller_id").alias("b_seller"),
+    found = one_per_key(badges.select(
+        F.col("sku_id").alias("k_sku"), F.col("seller_id").alias("k_seller"),
         F.col("success").alias("b_success"), F.trim(as_text(F.col("discount"))).alias("b_discount"),
-    )
-    out = rows.withColumns({"b_sku": sku, "b_seller": seller}).join(found, ["b_sku", "b_seller"], "left")
+    ), ["k_sku", "k_seller"], ["b_success", "b_discount"]).withColumnRenamed("ambiguous", "b_ambiguous")
     wants = discount_is_ambiguous(F.col("discount_type"))
+    asked = rows.withColumns({"b_sku": sku, "b_seller": seller}).withColumn("b_key", spread_blank(F.when(wants, F.col("b_sku"))))
+    out = asked.join(found, (F.col("b_key") == F.col("k_sku")) & (F.col("b_seller") == F.col("k_seller")), "left")
     outcome = (
         F.when(~wants, "skipped_existing")
         .when(F.col("b_sku") == "", "skipped_missing_keys")
+        .when(F.coalesce("b_ambiguous", F.lit(False)), "ambiguous")
         .when(~F.coalesce("b_success", F.lit(False)), "failed")
         .when(F.col("b_discount") == "", "no_discount")
         .otherwise("updated")
@@ -417,28 +421,30 @@ def discount_backfill(rows: DataFrame, badges: DataFrame, default_seller: str =
         .otherwise(F.col("fetch_method")),
         "parse_status": F.when(done, append_token(F.col("parse_status"), "discount_type_destaque_api"))
         .otherwise(F.col("parse_status")),
-    }).drop("b_sku", "b_seller", "b_success", "b_discount")
+    }).drop("b_sku", "b_seller", "b_success", "b_discount", "b_key", "k_sku", "k_seller", "b_ambiguous")
 
 
 def delivery_backfill(rows: DataFrame, freight: DataFrame) -> DataFrame:
     """Delivery and pickup by (SKU, seller) where delivery is blank.
 
-    ``freight``: sku_id, seller_id, ok, valid, status, delivery, pickup.
+    ``freight``: sku_id, seller_id, ok, valid, status, delivery, pickup; rows of one (SKU, seller)
+    that differ are ``ambiguous`` and change nothing.
     """
     digits = lambda c: F.regexp_extract(F.trim(as_text(c)), r"^(\d+)$", 1)
     url_sku = F.regexp_extract(as_text(F.col("product_url")), r"/p/(\d+)(?:[/?#]|$)", 1)
     sku = F.when(url_sku != "", url_sku).otherwise(digits(F.col("item")))
-    found = freight.select(
-        F.col("sku_id").alias("f_sku"), F.col("seller_id").alias("f_seller"),
-        *[F.col(c).alias(f"f_{c}") for c in ("ok", "valid", "status", "delivery", "pickup")],
-    )
-    out = rows.withColumns({"f_sku": sku, "f_seller": digits(F.col("seller_id"))}).join(
-        found, ["f_sku", "f_seller"], "left"
-    )
+    facts = ("ok", "valid", "status", "delivery", "pickup")
+    found = one_per_key(freight.select(
+        F.col("sku_id").alias("k_sku"), F.col("seller_id").alias("k_seller"), *[F.col(c).alias(f"f_{c}") for c in facts],
+    ), ["k_sku", "k_seller"], [f"f_{c}" for c in facts]).withColumnRenamed("ambiguous", "f_ambiguous")
+    asked = rows.withColumns({"f_sku": sku, "f_seller": digits(F.col("seller_id"))}).withColumn(
+        "f_key", spread_blank(F.when(F.col("f_seller") != "", F.col("f_sku"))))
+    out = asked.join(found, (F.col("f_key") == F.col("k_sku")) & (F.col("f_seller") == F.col("k_seller")), "left")
     has = present(F.col("f_delivery"))
     outcome = (
         F.when(present(F.col("delivery_availability")), "skipped_existing")
         .when((F.col("f_sku") == "") | (F.col("f_seller") == ""), "skipped_missing_keys")
+        .when(F.coalesce("f_ambiguous", F.lit(False)), "ambiguous")
         .when(F.col("f_ok").isNull(), "not_fetched")
         .when(~F.col("f_ok"), F.when(has, "unavailable").otherwise("failed"))
         .when(~F.col("f_valid"), "failed")
@@ -461,7 +467,7 @@ def delivery_backfill(rows: DataFrame, freight: DataFrame) -> DataFrame:
         .otherwise(F.col("pick_up_availability")),
         "parse_status": F.when(token.isNotNull(), append_token(F.col("parse_status"), token))
         .otherwise(F.col("parse_status")),
-    }).drop("f_sku", "f_seller", "f_ok", "f_valid", "f_status", "f_delivery", "f_pickup")
+    }).drop("f_sku", "f_seller", "f_key", "k_sku", "k_seller", "f_ambiguous", *[f"f_{c}" for c in facts])
 
 
 def listing_quarantine(cards: DataFrame) -> DataFrame:

@@ -88,10 +88,11 @@ def similar_title_relevant(title: Column, line: Column) -> Column:
     )
 
 
-def similar_titles(titles: Column, line: Column, limit: int = 20) -> Column:
-    """Recommended titles of the same line, the first ``limit`` distinct ones."""
+def similar_titles(titles: Column, line: Column, limit: int | None = None) -> Column:
+    """Distinct recommended titles of the same line; with ``limit``, the first ones."""
     kept = F.filter(titles, lambda t: present(t) & similar_title_relevant(t, line))
-    return F.slice(F.array_distinct(kept), 1, limit)
+    distinct = F.array_distinct(kept)
+    return distinct if limit is None else F.slice(distinct, 1, limit)
 
 
 # ---- "product word before any accessory word" -----------------------------------------------

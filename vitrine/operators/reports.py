@@ -9,8 +9,6 @@ from vitrine.functions.text import as_text, blank, present
 from vitrine.functions.urls import canonical_retailer, host_allowed, sku_from_url
 from vitrine.operators.numbering import first_rows
 
-REVIEW_LIMIT = 20
-
 
 # ---- listing pages --------------------------------------------------------------------------------
 
@@ -57,14 +55,11 @@ def row_violations(rows: DataFrame, keys: list[str], retailer: str, line: str, h
     return rows.select(*keys, F.explode(found).alias("violation"))
 
 
-def product_summary(products: DataFrame, keys: list[str], relevant: Column, sponsored: Column,
-                    inspect: int = 2000, position: str = "pos") -> DataFrame:
-    """Returned, inspected, relevant, filtered, sponsored and truncated products per page."""
-    seen = F.col(position) < inspect
+def product_summary(products: DataFrame, keys: list[str], relevant: Column, sponsored: Column) -> DataFrame:
+    """Returned, relevant, filtered and sponsored products per page."""
     return products.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("returned"), F.count_if(seen).alias("inspected"),
-        F.count_if(seen & relevant).alias("relevant"), F.count_if(seen & ~relevant).alias("filtered"),
-        F.count_if(seen & sponsored).alias("sponsored"), F.count_if(~seen).alias("items_truncated"),
+        F.count(F.lit(1)).alias("returned"), F.count_if(relevant).alias("relevant"),
+        F.count_if(~relevant).alias("filtered"), F.count_if(sponsored).alias("sponsored"),
     )
 
 
@@ -99,30 +94,42 @@ def retry_sets(attempts: DataFrame, keys: list[str]) -> DataFrame:
 # ---- reviews -----------------------------------------------------------------------------------------
 
 
-def review_arrays(reviews: DataFrame, keys: list[str], order: str, body: str, limit: int = REVIEW_LIMIT) -> DataFrame:
-    """First ``limit`` non-empty reviews of a product as an array, with the full count.
+def review_arrays(reviews: DataFrame, keys: list[str], order: str, body: str, limit: int | None = None) -> DataFrame:
+    """Non-empty reviews of a product as an array, with their count.
 
-    The cut is made before anything is collected, so a product with endless reviews
-    costs no more than any other.
+    A caller who wants only the first ``limit`` says so; that cut is made before anything
+    is collected.
     """
     some = reviews.filter(present(F.col(body)))
+    if limit is None:
+        listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), F.col(body).alias("body"))))
+        return some.groupBy(*keys).agg(F.transform(listed, lambda r: r["body"]).alias("reviews"), F.count(F.lit(1)).alias("n_reviews"))
     kept = first_rows(some, keys, [order], limit, "review_rank")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("review_rank", body))), lambda r: r[body])
     counts = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_reviews"))
     return kept.groupBy(*keys).agg(ordered.alias("reviews")).join(counts, keys)
 
 
-def review_rows(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int = REVIEW_LIMIT) -> DataFrame:
-    """One row per review, ranked from 1, the first ``limit`` of a product."""
+def review_rows(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int | None = None) -> DataFrame:
+    """One row per review, ranked from 1; with ``limit``, the first ones of a product."""
     bodies = F.filter(F.col(reviews), lambda r: present(r))
-    return rows.select(*keys, F.posexplode(F.slice(bodies, 1, limit)).alias("p", "detailed_review_content")).select(
+    cut = bodies if limit is None else F.slice(bodies, 1, limit)
+    return rows.select(*keys, F.posexplode(cut).alias("p", "detailed_review_content")).select(
         *keys, (F.col("p") + 1).alias("review_rank"), "detailed_review_content")
 
 
-def short_reviews(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int = REVIEW_LIMIT) -> DataFrame:
-    """Products with fewer reviews than min(limit, stated count)."""
+def ranked_reviews(reviews: DataFrame, keys: list[str], order: str, body: str) -> DataFrame:
+    """The same from a long table of reviews: no product's reviews meet in one array."""
+    some = reviews.filter(present(F.col(body)))
+    return some.withColumn("review_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).select(
+        *keys, "review_rank", F.col(body).alias("detailed_review_content"))
+
+
+def short_reviews(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int | None = None) -> DataFrame:
+    """Products with fewer reviews than stated (with ``limit``, than that many of them)."""
     count = F.replace(F.trim(as_text(F.col("count_of_reviews"))), F.lit("."), F.lit("")).try_cast("int")
-    expected = F.least(F.lit(limit), F.greatest(count, F.lit(0)))
+    stated = F.greatest(count, F.lit(0))
+    expected = stated if limit is None else F.least(F.lit(limit), stated)
     actual = F.size(F.filter(F.col(reviews), lambda r: present(r)))
     return rows.select(
         *keys, "count_of_reviews", F.coalesce(expected, F.lit(0)).alias("expected_review_count"),

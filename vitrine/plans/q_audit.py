@@ -85,12 +85,10 @@ def suspicious_rows(spark, sf):
 
 
 @query("anomaly_summary", f"""WITH {_ROWS}, {_HITS},
-r AS (SELECT *, row_number() OVER (PARTITION BY run, anomaly ORDER BY position) AS k FROM hits),
-s AS (SELECT run, anomaly, string_agg(position, ',' ORDER BY position) AS samples FROM r WHERE k <= 20 GROUP BY run, anomaly)
-SELECT run, anomaly, severity, n, samples FROM (SELECT run, anomaly, severity, count(*) AS n FROM hits GROUP BY run, anomaly, severity) JOIN s USING (run, anomaly)""")
+c AS (SELECT run, anomaly, severity, count(*) AS n FROM hits GROUP BY run, anomaly, severity)
+SELECT run, anomaly, hits.severity, c.n, position, row_number() OVER (PARTITION BY run, anomaly ORDER BY position) AS sample_rank FROM hits JOIN c USING (run, anomaly)""")
 def anomaly_summary(spark, sf):
-    out = A.anomaly_summary(A.suspicious_rows(audited(spark, sf), ["run"]), ["run"])
-    return out.withColumn("samples", F.array_join(F.col("samples").cast("array<string>"), ","))
+    return A.anomaly_summary(A.suspicious_rows(audited(spark, sf), ["run"]), ["run"])
 
 
 _ENRICHED = {

@@ -14,12 +14,11 @@ ORDER = ["crawl_strdatetime", "batch_id", "product_url"]
 FIELDS = ["screen_size", "model_year", "sku"]
 _ORDER = ", ".join(f"nullif(trim({c}), '') DESC NULLS LAST" for c in ORDER)
 _HIST = f"h AS ({I.select_sql(I.HISTORY, 'orders')})"
-_WIN = f"""w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_key ORDER BY {_ORDER}) AS history_rank FROM hh)
-  WHERE history_rank <= %d)"""
+_ALL = f"w AS (SELECT *, row_number() OVER (PARTITION BY item_key ORDER BY {_ORDER}) AS history_rank FROM hh)"
 
 
-@query("history_window", f"""WITH {_HIST}, hh AS (SELECT * FROM h), {_WIN % 5}
-SELECT item_key, batch_id, crawl_strdatetime, history_rank FROM w""")
+@query("history_window", f"""WITH {_HIST}, hh AS (SELECT * FROM h), {_ALL}
+SELECT item_key, batch_id, crawl_strdatetime, history_rank FROM w WHERE history_rank <= 5""")
 def history_window(spark, sf):
     out = H.history_window(I.history(spark, sf), ["item_key"], ORDER, 5)
     return out.select("item_key", "batch_id", "crawl_strdatetime", "history_rank")
@@ -29,11 +28,10 @@ def _pick(field: str) -> str:
     return f"arg_min(nullif(trim({field}), ''), history_rank) FILTER (trim({field}) <> '') AS {field}"
 
 
-@query("latest_non_blank", f"""WITH {_HIST}, hh AS (SELECT * FROM h), {_WIN % 30}
+@query("latest_non_blank", f"""WITH {_HIST}, hh AS (SELECT * FROM h), {_ALL}
 SELECT item_key, {', '.join(_pick(f) for f in FIELDS)} FROM w GROUP BY item_key""")
 def latest_non_blank(spark, sf):
-    win = H.history_window(I.history(spark, sf), ["item_key"], ORDER)
-    return H.last_known(win, ["item_key"], FIELDS)
+    return H.last_known(I.history(spark, sf), ["item_key"], FIELDS, ORDER)
 
 
 def _backfilled(spark, sf):
@@ -50,7 +48,7 @@ _NEED = {f: f"c.item_key <> '' AND trim(c.{f}) = ''" for f in FIELDS}
 _NEED["sku"] = "c.item_key <> '' AND (c.sku = '' OR c.sku = 'bivolt')"
 _BACK = f"""WITH {_HIST}, c AS ({I.select_sql(I.CURRENT, 'customer')}),
 asked AS (SELECT DISTINCT item_key FROM c WHERE {' OR '.join('(' + n + ')' for n in _NEED.values())}),
-hh AS (SELECT * FROM h WHERE item_key IN (SELECT item_key FROM asked)), {_WIN % 30},
+hh AS (SELECT * FROM h WHERE item_key IN (SELECT item_key FROM asked)), {_ALL},
 k AS (SELECT item_key, {', '.join(_pick(f) for f in FIELDS)} FROM w WHERE item = item_key GROUP BY item_key),
 f AS (SELECT c.c_custkey, c.segment, c.item_key, """ + ", ".join(
     f"CASE WHEN {_NEED[f]} AND k.{f} IS NOT NULL THEN k.{f} ELSE c.{f} END AS {f}, "
@@ -104,7 +102,7 @@ _LINE_HIST = {
 
 
 @query("line_history_backfill", f"""WITH r AS ({I.select_sql(_LINE_ROWS, 'customer')}), h AS ({I.select_sql(_LINE_HIST, 'orders')}),
-hh AS (SELECT *, item AS item_key FROM h), {_WIN % 30},
+hh AS (SELECT *, item AS item_key FROM h), {_ALL},
 v AS (SELECT *, CASE WHEN sku LIKE 'rx%' THEN upper(sku) WHEN sku_short_version <> '' AND ok % 4 <> 0 THEN sku_short_version END AS good
   FROM w WHERE ok % 7 <> 0),
 k AS (SELECT item_key, arg_min(good, history_rank) FILTER (good IS NOT NULL) AS k_sku,

@@ -166,19 +166,28 @@ _BADGES = {
 }
 _DSQL = f"WITH r AS ({I.select_sql(_DROWS, 'lineitem')}), b AS ({I.select_sql(_BADGES, 'orders')})"
 _DKEY = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"]
+# every fifth answer comes twice, and every tenth with another value
+_TWICE = "WHEN cast({}.sku_id AS bigint) % 10 = 0 THEN 'ambiguous'"
+
+
+def _answers(spark, sf, columns: dict, changed: str):
+    once = I.select(I.table(spark, sf, "orders"), columns)
+    again = once.filter("cast(sku_id AS bigint) % 5 = 0").withColumn(
+        changed, F.expr(f"CASE WHEN cast(sku_id AS bigint) % 10 = 0 THEN 'other' ELSE {changed} END"))
+    return once.unionByName(again)
 
 
 @query("discount_backfill", f"""{_DSQL},
 k AS (SELECT *, CASE WHEN product_url <> '' OR item <> 'n/a' THEN cast(l_orderkey AS varchar) ELSE '' END AS sku,
  CASE WHEN seller_id = '' THEN '10037' ELSE seller_id END AS seller FROM r),
 j AS (SELECT k.*, b.success, b.discount, CASE WHEN l_linenumber = 3 THEN 'skipped_existing' WHEN sku = '' THEN 'skipped_missing_keys'
- WHEN b.success IS NULL OR NOT b.success THEN 'failed' WHEN b.discount = '' THEN 'no_discount' ELSE 'updated' END AS outcome
+ {_TWICE.format('b')} WHEN b.success IS NULL OR NOT b.success THEN 'failed' WHEN b.discount = '' THEN 'no_discount' ELSE 'updated' END AS outcome
  FROM k LEFT JOIN b ON b.sku_id = k.sku AND b.seller_id = k.seller)
 SELECT {', '.join(_DKEY)}, outcome AS discount_outcome, CASE WHEN outcome = 'updated' THEN discount ELSE discount_type END AS discount_type,
  CASE WHEN outcome = 'updated' THEN 'api+casas_bahia_destaque_api' ELSE fetch_method END AS fetch_method FROM j""")
 def discount_backfill(spark, sf):
     rows = I.select(I.table(spark, sf, "lineitem"), _DROWS)
-    out = O.discount_backfill(rows, I.select(I.table(spark, sf, "orders"), _BADGES))
+    out = O.discount_backfill(rows, _answers(spark, sf, _BADGES, "discount"))
     return out.select(*_DKEY, "discount_outcome", "discount_type", "fetch_method")
 
 
@@ -186,11 +195,11 @@ def discount_backfill(spark, sf):
 k AS (SELECT *, CASE WHEN product_url <> '' OR item <> 'n/a' THEN cast(l_orderkey AS varchar) ELSE '' END AS sku,
  CASE WHEN seller_id = '' THEN '10037' ELSE seller_id END AS seller FROM r)
 SELECT CASE WHEN l_linenumber = 3 THEN 'skipped_existing' WHEN sku = '' THEN 'skipped_missing_keys'
- WHEN b.success IS NULL OR NOT b.success THEN 'failed' WHEN b.discount = '' THEN 'no_discount' ELSE 'updated' END AS discount_outcome, count(*) AS n
+ {_TWICE.format('b')} WHEN b.success IS NULL OR NOT b.success THEN 'failed' WHEN b.discount = '' THEN 'no_discount' ELSE 'updated' END AS discount_outcome, count(*) AS n
  FROM k LEFT JOIN b ON b.sku_id = k.sku AND b.seller_id = k.seller GROUP BY 1""")
 def discount_backfill_outcomes(spark, sf):
     rows = I.select(I.table(spark, sf, "lineitem"), _DROWS)
-    out = O.discount_backfill(rows, I.select(I.table(spark, sf, "orders"), _BADGES))
+    out = O.discount_backfill(rows, _answers(spark, sf, _BADGES, "discount"))
     return out.groupBy("discount_outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -204,7 +213,7 @@ _FREIGHT = {
 @query("delivery_backfill", f"""WITH r AS ({I.select_sql(_DROWS, 'lineitem')}), f AS ({I.select_sql(_FREIGHT, 'orders')}),
 j AS (SELECT r.*, f.ok, f.valid, f.status, f.delivery, f.pickup,
  CASE WHEN l_linenumber = 3 THEN 'skipped_existing' WHEN (product_url = '' AND item = 'n/a') OR r.seller_id = '' THEN 'skipped_missing_keys'
- WHEN f.ok IS NULL THEN 'not_fetched' WHEN NOT f.ok THEN CASE WHEN delivery <> '' THEN 'unavailable' ELSE 'failed' END
+ {_TWICE.format('f')} WHEN f.ok IS NULL THEN 'not_fetched' WHEN NOT f.ok THEN CASE WHEN delivery <> '' THEN 'unavailable' ELSE 'failed' END
  WHEN NOT f.valid THEN 'failed' WHEN delivery = '' THEN 'empty' ELSE 'updated' END AS outcome
  FROM r LEFT JOIN f ON f.sku_id = cast(r.l_orderkey AS varchar) AND f.seller_id = r.seller_id AND NOT (product_url = '' AND item = 'n/a'))
 SELECT {', '.join(_DKEY)}, outcome AS delivery_outcome,
@@ -215,7 +224,7 @@ SELECT {', '.join(_DKEY)}, outcome AS delivery_outcome,
   WHEN 'failed' THEN CASE WHEN ok THEN 'ok+freight_cdp_failed:invalid_json' ELSE concat('ok+freight_cdp_failed:status_', status) END ELSE 'ok' END AS parse_status FROM j""")
 def delivery_backfill(spark, sf):
     rows = I.select(I.table(spark, sf, "lineitem"), _DROWS)
-    out = O.delivery_backfill(rows, I.select(I.table(spark, sf, "orders"), _FREIGHT))
+    out = O.delivery_backfill(rows, _answers(spark, sf, _FREIGHT, "pickup"))
     return out.select(*_DKEY, "delivery_outcome", "delivery_availability", "pick_up_availability", "parse_status")
 
 

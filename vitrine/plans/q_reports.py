@@ -47,11 +47,11 @@ column_query("listing_sort_check", "events", ["event_id"],
                              "CASE WHEN (run_id = 'bsr' AND kind = 'soldQuantity') OR (run_id = 'main' AND kind = 'score') THEN '' ELSE concat('selected_sort_mismatch:', CASE kind WHEN '' THEN 'missing' ELSE kind END, ':desc!=', CASE run_id WHEN 'bsr' THEN 'soldQuantity' ELSE 'score' END, ':desc') END")})
 
 
-@query("product_summary", f"""WITH {_PS} SELECT run, page, count(*) AS returned, count(CASE WHEN pos < 4 THEN 1 END) AS inspected, count(CASE WHEN pos < 4 AND relevant THEN 1 END) AS relevant,
-count(CASE WHEN pos < 4 AND NOT relevant THEN 1 END) AS filtered, count(CASE WHEN pos < 4 AND sponsored THEN 1 END) AS sponsored, count(CASE WHEN pos >= 4 THEN 1 END) AS items_truncated FROM p GROUP BY run, page""")
+@query("product_summary", f"""WITH {_PS} SELECT run, page, count(*) AS returned, count(CASE WHEN relevant THEN 1 END) AS relevant,
+count(CASE WHEN NOT relevant THEN 1 END) AS filtered, count(CASE WHEN sponsored THEN 1 END) AS sponsored FROM p GROUP BY run, page""")
 def product_summary(spark, sf):
     rows = I.select(I.table(spark, sf, "lineitem"), _PROD)
-    return R.product_summary(rows, ["run", "page"], F.col("relevant"), F.col("sponsored"), inspect=4)
+    return R.product_summary(rows, ["run", "page"], F.col("relevant"), F.col("sponsored"))
 
 
 _LROWS = {
@@ -110,19 +110,19 @@ def _reviews(spark, sf):
         "conv_id", F.coalesce("reviews", empty).alias("reviews"), (F.col("n") + F.col("conv_id") % 3).cast("string").alias("count_of_reviews"))
 
 
-@query("review_rows", f"WITH {_REVSQL} SELECT conv_id, k AS review_rank, text AS detailed_review_content FROM r WHERE k <= 3")
+@query("review_rows", f"WITH {_REVSQL} SELECT conv_id, k AS review_rank, text AS detailed_review_content FROM r")
 def review_rows(spark, sf):
-    return R.review_rows(_reviews(spark, sf), ["conv_id"], limit=3)
+    return R.ranked_reviews(I.table(spark, sf, "conversations"), ["conv_id"], "turn", "text")
 
 
 @query("short_reviews", f"""WITH c AS (SELECT conv_id, count(*) AS n, count(CASE WHEN trim(text) <> '' THEN 1 END) AS actual FROM conversations GROUP BY conv_id)
-SELECT conv_id, cast(n + conv_id % 3 AS varchar) AS count_of_reviews, least(20, n + conv_id % 3) AS expected_review_count, least(20, actual) AS actual_review_count FROM c
-WHERE least(20, n + conv_id % 3) > least(20, actual)""")
+SELECT conv_id, cast(n + conv_id % 3 AS varchar) AS count_of_reviews, n + conv_id % 3 AS expected_review_count, actual AS actual_review_count FROM c
+WHERE n + conv_id % 3 > actual""")
 def short_reviews(spark, sf):
     return R.short_reviews(_reviews(spark, sf), ["conv_id"])
 
 
-@query("numbered_reviews", f"""WITH {_REVSQL} SELECT conv_id, md5(string_agg(concat('review', k, ' - ', trim(text)), ' ||| ' ORDER BY k)) AS reviews_md5 FROM r WHERE k <= 20 GROUP BY conv_id""")
+@query("numbered_reviews", f"""WITH {_REVSQL} SELECT conv_id, md5(string_agg(concat('review', k, ' - ', trim(text)), ' ||| ' ORDER BY k)) AS reviews_md5 FROM r GROUP BY conv_id""")
 def numbered_reviews(spark, sf):
     from vitrine.functions.text import join_reviews
 
@@ -296,14 +296,15 @@ def capture_operations(spark, sf):
                       F.array_join("variable_keys", ",").alias("variable_keys"), "query_head")
 
 
-_NEST = "concat('{\"page\":{\"list\":[{\"id\":1,\"title\":\"t', cast(event_id AS varchar(20)), '\",\"sub\":{\"notes\":[{\"text\":\"a\",\"author\":\"b\"}]}}],\"n\":[1,2],\"', event_type, '\":{\"summaryText\":\"x\"}}}')"
+_NEST = "concat('{\"page\":{\"more\":[0,0,0,0,0,0,0,0,0,{\"deep\":[{\"sku\":1,\"price\":2}]}],\"list\":[{\"id\":1,\"title\":\"t', cast(event_id AS varchar(20)), '\",\"sub\":{\"notes\":[{\"text\":\"a\",\"author\":\"b\"}]}}],\"n\":[1,2],\"', event_type, '\":{\"summaryText\":\"x\"}}}')"
 
 
 def _docs(spark, sf):
     return I.spread(I.table(spark, sf, "events")).selectExpr("event_id", f"try_parse_json({_NEST}) AS doc")
 
 
-@query("array_discovery", """SELECT event_id, 'page.list' AS path, 'product' AS kind, 1 AS length, 'id,sub,title' AS first_keys FROM events UNION ALL SELECT event_id, 'page.list[0].sub.notes', 'review', 1, 'author,text' FROM events""")
+@query("array_discovery", """SELECT event_id, 'page.list' AS path, 'product' AS kind, 1 AS length, 'id,sub,title' AS first_keys FROM events UNION ALL SELECT event_id, 'page.list[0].sub.notes', 'review', 1, 'author,text' FROM events
+UNION ALL SELECT event_id, 'page.more[9].deep', 'product', 1, 'price,sku' FROM events""")
 def array_discovery(spark, sf):
     out = C.array_discovery(_docs(spark, sf), ["event_id"])
     return out.withColumn("first_keys", F.array_join("first_keys", ","))
@@ -314,12 +315,12 @@ def term_paths(spark, sf):
     return C.term_paths(_docs(spark, sf), ["event_id"], "(?i)summary")
 
 
-@query("term_positions", """WITH t AS (SELECT doc_id, lower(text) AS low, text FROM documents), p AS (SELECT doc_id, text, low, strpos(low, 'er') - 1 AS p1 FROM t)
-SELECT doc_id, 'er' AS term, p1 AS position, md5(substr(text, greatest(p1 + 1 - 5, 1), p1 + 1 + 10 - greatest(p1 + 1 - 5, 1))) AS context_md5 FROM p WHERE p1 >= 0
-UNION ALL SELECT doc_id, 'er', p1 + 1 + strpos(substr(low, p1 + 3), 'er'), md5(substr(text, greatest(p1 + 2 + strpos(substr(low, p1 + 3), 'er') - 5, 1), p1 + 2 + strpos(substr(low, p1 + 3), 'er') + 10 - greatest(p1 + 2 + strpos(substr(low, p1 + 3), 'er') - 5, 1)))
-FROM p WHERE p1 >= 0 AND strpos(substr(low, p1 + 3), 'er') > 0""")
+@query("term_positions", """WITH t AS (SELECT doc_id, text, string_split(lower(text), 'er') AS parts FROM documents),
+p AS (SELECT doc_id, text, unnest(range(1, len(parts))) AS k, parts FROM t),
+q AS (SELECT doc_id, text, CAST(list_sum(list_transform(parts[1:k], lambda x: length(x))) + 2 * (k - 1) AS INTEGER) AS position FROM p)
+SELECT doc_id, 'er' AS term, position, md5(substr(text, greatest(position + 1 - 5, 1), position + 1 + 10 - greatest(position + 1 - 5, 1))) AS context_md5 FROM q""")
 def term_positions(spark, sf):
-    out = C.term_positions(I.spread(I.table(spark, sf, "documents")), ["doc_id"], ["er"], 2, 5, 10)
+    out = C.term_positions(I.table(spark, sf, "documents"), ["doc_id"], ["er"], before=5, after=10)
     return out.select("doc_id", "term", "position", F.md5("context").alias("context_md5"))
 
 

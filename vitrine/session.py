@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +40,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session.
 
-    A cluster names that folder in ``spark.checkpoint.dir``.  Only a local session without
-    the setting gets a temporary folder of its own.
+    A cluster names that folder in ``spark.checkpoint.dir``.  A session without the setting uses
+    its warehouse, which is shared as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="vitrine-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import variants as V
-from vitrine.functions.text import as_text, occurrences, squash
+from vitrine.functions.text import as_text, squash, starts
 
 # Headers that never leave the reader.
 SENSITIVE_HEADERS = ("authorization", "cookie", "set-cookie", "x-api-key")
@@ -28,8 +26,7 @@ def safe_headers(headers: Column) -> Column:
 
 def decoded_body(text: Column, encoding: Column) -> Column:
     """Response text; bodies that are, or look, base64-encoded are decoded."""
-    head = F.substring(as_text(text), 1, 120)
-    looks = (F.length(head) >= 24) & head.rlike(r"^[A-Za-z0-9+/=]+$")
+    looks = (F.length(as_text(text)) >= 24) & as_text(text).rlike(r"^[A-Za-z0-9+/=]+$")
     decoded = F.try_to_binary(text, F.lit("base64"))
     shown = F.when(decoded.isNotNull(), F.decode(decoded, "UTF-8"))
     return F.when((encoding == "base64") | looks, F.coalesce(shown, text)).otherwise(as_text(text))
@@ -98,7 +95,7 @@ def capture_operations(requests: DataFrame, keys: list[str]) -> DataFrame:
     The sets are sets of names (methods, status codes, variable keys), so they are as
     small as the interface; the first query seen gives the head.
     """
-    first = F.min(F.struct("index", "payload_pos", F.substring(squash(F.col("query")), 1, 180).alias("head"), "batch"))
+    first = F.min(F.struct("index", "payload_pos", squash(F.col("query")).alias("head"), "batch"))
     grouped = requests.groupBy(*keys, "endpoint", "operation").agg(
         F.count(F.lit(1)).alias("calls"),
         F.sort_array(F.collect_set(F.when(F.col("method") != "", F.col("method")))).alias("methods"),
@@ -110,7 +107,7 @@ def capture_operations(requests: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "endpoint", "operation", "calls", "methods", "status_codes", "variable_keys",
         F.col("f.head").alias("query_head"), F.col("f.batch").alias("batch_seen"),
         ((F.col("operation") != "") | (F.col("f.head") != "")).alias("batch_candidate"),
-    ).orderBy(F.desc("calls"), "endpoint", "operation")
+    )
 
 
 # ---- discovery inside documents ---------------------------------------------------------------
@@ -129,17 +126,14 @@ def _has_any(keys: Column, names) -> Column:
 
 
 def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc", depth: int = V.DEPTH) -> DataFrame:
-    """Paths whose arrays hold product-like or review-like objects.
-
-    Lists are followed through their first five elements.
-    """
-    df = V.walk(docs, V.root(F.col(doc)), "__nodes", lambda n: V.children(n, 5), depth)
+    """Paths whose arrays hold product-like or review-like objects."""
+    df = V.walk(docs, V.root(F.col(doc)), "__nodes", lambda n: V.children(n), depth)
     nodes = df.select(*keys, F.explode("__nodes").alias("n")).select(*keys, F.col("n.path").alias("path"), F.col("n.doc").alias("d"))
     items = V.as_array(F.col("d"))
     nodes = nodes.filter((F.coalesce(F.size(items), F.lit(0)) > 0) & (F.col("path") != "") & ~F.col("path").endswith("]"))
     # object keys come out sorted by name
     names = F.map_keys(V.get(F.get(V.as_array(F.col("d")), F.lit(0)), "$", "map<string,variant>"))
-    nodes = nodes.withColumns({"length": F.size(items), "first_keys": F.slice(names, 1, 30),
+    nodes = nodes.withColumns({"length": F.size(items), "first_keys": names,
                                "low": F.transform(names, lambda k: F.lower(k))})
     low = F.col("low")
     kinds = F.array_compact(F.array(
@@ -157,22 +151,20 @@ def term_paths(docs: DataFrame, keys: list[str], pattern: str, doc: str = "doc",
     kind = F.schema_of_variant("d")
     text = F.when(kind == "STRING", V.get(F.col("d"), "$")).otherwise("")
     return nodes.filter((F.col("path") != "") & (key.rlike(pattern) | text.rlike(pattern))).select(
-        *keys, "path", F.regexp_extract(kind, r"^(\w+)", 1).alias("kind"), F.substring(text, 1, 180).alias("sample"))
+        *keys, "path", F.regexp_extract(kind, r"^(\w+)", 1).alias("kind"), text.alias("sample"))
 
 
-def term_positions(texts: DataFrame, keys: list[str], terms: list[str], limit: int = 3, before: int = 260,
+def term_positions(texts: DataFrame, keys: list[str], terms: list[str], limit: int | None = None, before: int = 260,
                    after: int = 520, text: str = "text") -> DataFrame:
-    """First ``limit`` positions (from 0) of each term with a window of context."""
+    """Positions (from 0) of each term (with ``limit``, the first ones) with a window of context."""
     hits = [_term_hits(F.col(text), t, limit, before, after) for t in terms]
     return texts.select(*keys, F.explode(F.flatten(F.array(*hits))).alias("h")).select(*keys, "h.*")
 
 
-def _term_hits(body: Column, term: str, limit: int, before: int, after: int) -> Column:
-    found = F.when(
-        F.contains(F.lower(body), F.lit(term.lower())),
-        F.slice(occurrences(F.lower(body), re.escape(term.lower()), 0, 1), 1, limit))
-    shown = F.transform(found, lambda m: F.struct(
-        F.lit(term).alias("term"), (m["start"] - 1).alias("position"),
-        F.substring(body, F.greatest(m["start"] - before, F.lit(1)),
-                    m["start"] + after - F.greatest(m["start"] - before, F.lit(1))).alias("context")))
+def _term_hits(body: Column, term: str, limit: int | None, before: int, after: int) -> Column:
+    every = starts(F.lower(body), term.lower())
+    found = F.when(F.contains(F.lower(body), F.lit(term.lower())), every if limit is None else F.slice(every, 1, limit))
+    shown = F.transform(found, lambda at: F.struct(
+        F.lit(term).alias("term"), (at - 1).alias("position"),
+        F.substring(body, F.greatest(at - before, F.lit(1)), at + after - F.greatest(at - before, F.lit(1))).alias("context")))
     return F.coalesce(shown, F.array().cast("array<struct<term:string,position:int,context:string>>"))
