@@ -181,15 +181,36 @@ def test_sketch_estimates():
 
 
 @pytest.mark.parametrize("block", [4, 1024])
-def test_pairs_across_components(spark, monkeypatch, block):
+def test_members_across_components(spark, monkeypatch, block):
     monkeypatch.setattr(near_dup, "BLOCK", block)
     rng = random.Random(9)
-    sketches = {i: [rng.getrandbits(62) for _ in range(8)] if i % 3 else [7] * 8 for i in range(30)}
-    rows = [(5, i, i % 7, sketches[i], 30) for i in range(30)] + [(6, 40 + i, i, [9] * 8, 3) for i in range(3)]
-    got = sorted((r.a, r.b) for r in near_dup.across(spark.createDataFrame(rows, "band long, id long, component long, sketch array<long>, n long"), "t").collect())
-    near = lambda x, y: sum(bin(p ^ q).count("1") for p, q in zip(x, y)) <= near_dup.most_differing(near_dup.LEAST_ESTIMATE)
-    want = [(i, j) for i in range(30) for j in range(i) if i % 7 != j % 7 and near(sketches[i], sketches[j])] + [(41, 40), (42, 40), (42, 41)]
-    assert got == sorted(want)
+    base = [rng.getrandbits(63) for _ in range(200)]
+    sets = {}
+    for i in range(40):  # a family around one set, and strangers
+        own = [rng.getrandbits(63) for _ in range(200)] if i % 4 == 0 else [x if rng.random() > 0.07 else rng.getrandbits(63) for x in base]
+        sets[i] = np.unique(np.array(own, dtype=np.uint64))
+    sketch = {i: near_dup.odd_sketch(near_dup.samples(s)) for i, s in sets.items()}
+    component = {i: i % 9 for i in sets}
+    near = {
+        (i, j) for i in sets for j in range(i)
+        if component[i] != component[j] and np.bitwise_count(sketch[i].view(np.uint64) ^ sketch[j].view(np.uint64)).sum() <= near_dup.most_differing(near_dup.LEAST_ESTIMATE)
+    }
+    rows = [(5, i, 0, component[i], sketch[i].tolist(), sets[i].tobytes(), len(sets)) for i in sets]
+    table = spark.createDataFrame(rows, "band long, id long, hub long, component long, sketch array<long>, members binary, n long")
+    assert sorted(r.id for r in near_dup.flag(table).collect()) == sorted({x for p in near if 0 not in p for x in p})
+    links = {(r.a, r.b) for r in near_dup.join_components(table).collect()}
+    alike = lambda i, j: 100 * len(np.intersect1d(sets[i], sets[j])) >= 75 * len(np.union1d(sets[i], sets[j]))
+    true = {p for p in near if alike(*p)}
+    assert links <= true
+
+    def joined(pairs):
+        label = dict(component)
+        for i, j in pairs:
+            old, new = label[i], label[j]
+            label = {k: new if v == old else v for k, v in label.items()}
+        return {frozenset(k for k, v in label.items() if v == c) for c in set(label.values())}
+
+    assert joined(links) == joined(true) and len(links) < len(true)
 
 
 def test_components(spark):

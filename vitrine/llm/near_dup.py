@@ -9,8 +9,10 @@ drops pairs that are far below the threshold.  The rest is confirmed on the full
 
 Confirmed links make components (label contraction, tables written between rounds).  A bucket
 whose members then lie in more than one component may hide a link between two members that are
-not its hub: those members are compared with each other by sketch, in blocks of bounded size, only
-across components, and what passes is confirmed and linked too.
+not its hub.  Such members are compared by sketch, in blocks of bounded size and only across
+components; those with a near partner come back with their full sets, meet again in blocks, and
+every link that joins two components is given out, so a block gives fewer links than it has
+components, never its pairs.
 
 Texts without words are linked with nothing.  Rows without an id link with nothing, have no
 component and are kept.  Rows that share an id are one document that holds each of their texts.
@@ -33,9 +35,10 @@ WORDS, THRESHOLD = 5, 75
 BANDS, ROWS = 48, 5
 SAMPLES = BANDS * ROWS
 SKETCH = 512
-#: an estimate this far below the threshold (six standard deviations) ends a pair
-LEAST_ESTIMATE = 0.5
-BLOCK = 1_024
+#: an estimate this far below the threshold (five standard deviations) ends a pair
+LEAST_ESTIMATE = 0.55
+#: members of a bucket that are compared at once, and bits of the map by which texts are picked
+BLOCK, PICK = 1_024, 1 << 22
 
 _RNG = np.random.default_rng(20_240_229)
 _MULTIPLY = _RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,10 +136,17 @@ def differing(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, name: str, doc_id: str, text: str) -> DataFrame:
-    """The (a, b) whose full shingle sets reach the threshold."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+def shingle_sets(docs: DataFrame, ids: DataFrame, name: str, doc_id: str, text: str) -> DataFrame:
+    """(id, members: packed sorted shingles) of the rows whose id is in ``ids`` (and of few others).
+
+    A bitmap of fixed size, of the hashes of all wanted ids, is what travels; texts stay where they
+    are.  However many ids are wanted, the map has PICK bits.
+    """
+    spot = lambda c: F.pmod(F.xxhash64(c), F.lit(PICK))
+    place = [F.shiftright("spot", 6).alias("w"), F.expr("shiftleft(1L, CAST(spot & 63 AS INT))").alias("bit")]
+    marks = ids.select(spot("id").alias("spot")).select(*place).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+    source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).withColumn("spot", spot("id"))
+    picked = source.select("id", "text", *place).join(F.broadcast(marks), "w").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
 
     def start():
         def encode(rows: dict):
@@ -146,21 +156,28 @@ def confirm(pairs: DataFrame, docs: DataFrame, name: str, doc_id: str, text: str
 
         return encode
 
-    sets = materialize(map_batches(source.join(ids, "id", "left_semi"), "id long, members binary", start), f"{name}-sets")
+    return materialize(map_batches(picked.where("id IS NOT NULL").select("id", "text"), "id long, members binary", start), name)
+
+
+def enough(both: int, x: int, y: int) -> bool:
+    return both > 0 and 100 * both >= THRESHOLD * (x + y - both)
+
+
+LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (a, b) whose full shingle sets reach the threshold."""
 
     def compare(batches):
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             d = batch.to_pydict()
             near = []
             for i, (x, y) in enumerate(zip(d["x"], d["y"])):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                if 100 * min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * both >= THRESHOLD * (len(x) + len(y) - both) and both:
+                if enough(min(len(x), len(y)), len(x), len(y)) and enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)):
                     near.append(i)
-            yield pa.RecordBatch.from_pydict({"a": [d["a"][i] for i in near], "b": [d["b"][i] for i in near]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"a": [d["a"][i] for i in near], "b": [d["b"][i] for i in near]}, schema=LINK)
 
     both = (
         pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
@@ -191,57 +208,112 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         mark = now
 
 
-def across(members: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose sketches are near.
+def in_blocks(members: DataFrame, columns: list[str], ddl: str, schema: pa.Schema, compare) -> DataFrame:
+    """Run ``compare(rows, same)`` over the members of each bucket (band; n members), at most two blocks at a time.
 
-    ``members``: (band, id, component, sketch, n). A bucket of more than BLOCK members is dealt into
-    blocks, and every two blocks meet in one group, so that a group has at most two blocks.
+    Rows are tuples of ``columns`` and their block. A bucket of more than BLOCK members is dealt into
+    blocks and every two of them meet; ``same`` says that they are one block, else only pairs of
+    different blocks are to be compared, as those inside a block meet in a group of their own.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     others = F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j")))
     dealt = members.withColumn("own", own).withColumn("to", F.explode(others)).select(
-        "band", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "own", "id", "component", "sketch")
-    limit = most_differing(LEAST_ESTIMATE)
+        "band", F.col("to.i").alias("i"), F.col("to.j").alias("j"), *columns, "own")
 
-    def compare(batches):
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    def run(batches):
         held: list = []
         at = None
 
-        def pairs():
-            if len(held) < 2:
-                return None
-            ids, comps = np.array([r[0] for r in held]), np.array([r[1] for r in held])
-            sketch = np.array([r[2] for r in held], dtype=np.int64).view(np.uint64)
-            block = np.array([r[3] for r in held])
-            out_a, out_b = [], []
-            for k in range(len(held) - 1):
-                rest = slice(k + 1, None)
-                other = comps[rest] != comps[k]
-                if at[1] != at[2]:  # pairs inside one block meet in that block's own group
-                    other &= block[rest] != block[k]
-                where = np.flatnonzero(other) + k + 1
-                if len(where):
-                    near = where[np.bitwise_count(sketch[where] ^ sketch[k]).sum(axis=1) <= limit]
-                    out_a += [ids[k]] * len(near)
-                    out_b += ids[near].tolist()
-            return pa.RecordBatch.from_pydict({"a": out_a, "b": out_b}, schema=schema) if out_a else None
+        def close():
+            out = compare(held, at[1] == at[2]) if len(held) > 1 else None
+            return pa.RecordBatch.from_pydict(out, schema=schema) if out else None
 
         for batch in batches:
             d = batch.to_pydict()
-            for band, i, j, *row in zip(d["band"], d["i"], d["j"], d["id"], d["component"], d["sketch"], d["own"]):
+            for band, i, j, *row in zip(*(d[c] for c in ("band", "i", "j", *columns, "own"))):
                 if at != (band, i, j):
-                    if found := pairs():
-                        yield found
+                    if at and (out := close()):
+                        yield out
                     held.clear()
                     at = (band, i, j)
-                held.append(row)
-        if found := pairs():
-            yield found
+                held.append((band, *row))
+        if at and (out := close()):
+            yield out
 
-    near = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id").mapInArrow(compare, "a long, b long")
-    return near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "id").mapInArrow(run, ddl)
+
+
+def _sketches(rows: list, at: int) -> np.ndarray:
+    return np.array([r[at] for r in rows], dtype=np.int64).view(np.uint64)
+
+
+def flag(members: DataFrame) -> DataFrame:
+    """(band, id) of members that have a near partner of another component in their bucket, hubs aside.
+
+    ``members``: (band, id, hub, component, sketch, n).
+    """
+    limit = most_differing(LEAST_ESTIMATE)
+
+    def compare(rows: list, same: bool) -> dict | None:
+        ids, hubs, comps, block = (np.array([r[k] for r in rows]) for k in (1, 2, 3, 5))
+        sketch, found = _sketches(rows, 4), np.zeros(len(rows), dtype=bool)
+        aside = ids == hubs
+        for k in range(len(rows) - 1):
+            other = (comps[k + 1 :] != comps[k]) & ~aside[k + 1 :]
+            if not same:
+                other &= block[k + 1 :] != block[k]
+            at = np.flatnonzero(other) + k + 1
+            if len(at) and not aside[k]:
+                near = at[np.bitwise_count(sketch[at] ^ sketch[k]).sum(axis=1) <= limit]
+                found[near] = True
+                found[k] |= len(near) > 0
+        return {"band": [rows[0][0]] * int(found.sum()), "id": ids[found].tolist()} if found.any() else None
+
+    schema = pa.schema([("band", pa.int64()), ("id", pa.int64())])
+    return in_blocks(members, ["id", "hub", "component", "sketch"], "band long, id long", schema, compare).distinct()
+
+
+def join_components(members: DataFrame) -> DataFrame:
+    """Links (a, b) between members of one bucket, enough to join all components that any of its links joins.
+
+    ``members``: (band, id, component, sketch, members, n).
+    """
+    limit = most_differing(LEAST_ESTIMATE)
+
+    def compare(rows: list, same: bool) -> dict | None:
+        sizes: dict = {}
+        for r in rows:
+            sizes[r[2]] = sizes.get(r[2], 0) + 1
+        rows = sorted(rows, key=lambda r: (sizes[r[2]], r[2], r[1]))  # small components ask, large ones answer
+        sketch, block = _sketches(rows, 3), np.array([r[5] for r in rows])
+        sets = [np.frombuffer(r[4], dtype=np.uint64) for r in rows]
+        lengths = np.array([len(s) for s in sets])
+        owner, values = np.repeat(np.arange(len(rows)), lengths), np.concatenate(sets)
+        by = np.argsort(values, kind="stable")
+        owner, values = owner[by], values[by]
+        root = np.unique([r[2] for r in rows], return_inverse=True)[1]
+        a, b = [], []
+        for k in range(len(rows) - 1):
+            other = root[k + 1 :] != root[k]
+            if not same:
+                other &= block[k + 1 :] != block[k]
+            at = np.flatnonzero(other) + k + 1
+            at = at[np.bitwise_count(sketch[at] ^ sketch[k]).sum(axis=1) <= limit] if len(at) else at
+            if not len(at):
+                continue
+            first, last = np.searchsorted(values, sets[k], side="left"), np.searchsorted(values, sets[k], side="right")
+            spans = last - first
+            shared = np.bincount(
+                owner[np.repeat(first - np.r_[0, np.cumsum(spans)[:-1]], spans) + np.arange(spans.sum())], minlength=len(rows))
+            for x in at.tolist():
+                if root[x] != root[k] and enough(int(shared[x]), int(lengths[x]), int(lengths[k])):
+                    a.append(max(rows[x][1], rows[k][1]))
+                    b.append(min(rows[x][1], rows[k][1]))
+                    root[root == root[x]] = root[k]
+        return {"a": a, "b": b} if a else None
+
+    return in_blocks(members, ["id", "component", "sketch", "members"], "a long, b long", LINK, compare).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,27 +322,33 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("leader"))
     leads = classes.withColumnRenamed("leader", "doc_id")
-    leaders = materialize(known.join(leads, ["class", "doc_id"]).select(F.col("doc_id").alias("leader"), "bands", "sketch"), "near-leaders")
-    buckets = leaders.select(F.explode("bands").alias("band"), F.col("leader").alias("id"))
+    leaders = materialize(known.join(leads, ["class", "doc_id"]).select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-leaders")
+    buckets = leaders.select(F.explode("bands").alias("band"), "id")
     hubs = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    pairs = buckets.join(hubs, "band").where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    sketches = leaders.select(F.col("leader").alias("id"), "sketch")
+    shared = materialize(buckets.join(hubs, "band"), "near-shared")
+    pairs = shared.where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    sketches = leaders.select("id", "sketch")
     near = materialize(
         pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
         .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
         .where(differing(F.col("x"), F.col("y")) <= most_differing(LEAST_ESTIMATE)).select("a", "b").distinct(), "near-pairs")
-    links = materialize(confirm(near, docs, "near", doc_id, text), "near-links")
-    first = components(links, "near-components")
-
-    labelled = leaders.select(F.col("leader").alias("id"), "bands", "sketch").join(first, "id", "left").select(
-        "id", "bands", "sketch", F.coalesce("component", "id").alias("component"))
-    open_ = (
-        labelled.select(F.explode("bands").alias("band"), "component").groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("n > 2 AND low != high").select("band", "n")
+    sets = shingle_sets(docs, near.select(F.explode(F.array("a", "b")).alias("id")), "near-sets", doc_id, text)
+    links = materialize(confirm(near, sets), "near-links")
+    first = components(links, "near-first")
+
+    # buckets of three and more whose members are not all joined yet
+    spread = shared.where("n > 2").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = spread.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("band")
+    members = spread.join(open_, "band", "left_semi").join(sketches, "id")
+    flagged = materialize(flag(members), "near-flagged")
+    count = flagged.groupBy("band").agg(F.count("*").alias("n"))
+    more_sets = shingle_sets(docs, flagged.select("id"), "near-more-sets", doc_id, text)
+    again = (
+        flagged.join(count, "band").join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        .join(sketches, "id").join(more_sets, "id")
     )
-    members = labelled.select(F.explode("bands").alias("band"), "id", "component", "sketch").join(open_, "band")
-    hidden = materialize(across(members, "near").join(near, ["a", "b"], "left_anti"), "near-hidden")
-    more = materialize(confirm(hidden, docs, "near-more", doc_id, text), "near-more-links")
+    more = materialize(join_components(again), "near-more-links")
+
     # a document that holds texts of several classes links those
     several = known.groupBy("doc_id").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low != high").select("doc_id")
     same = known.select("doc_id", "class").join(several, "doc_id").join(classes, "class").select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
