@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.operators import attributes as AT
 from vitrine.operators import history as H
 from vitrine.operators import merge as MG
 from vitrine.operators import offers as O
@@ -268,3 +269,38 @@ def test_maximal_candidates_equal_brute_force(spark):
     for i, c in enumerate(cases):
         kept = [v for v in c if not any(len(bare(o)) > len(bare(v)) and bare(v) in bare(o) for o in c)]
         assert got[i] == (kept[0] if len(kept) == 1 else "")
+
+
+def _detail_m(spark, line, **doc):
+    import json
+
+    base = {"id": "1", "title": {"TV": "Smart TV LED", "REF": "Geladeira Frost Free", "LDY": "Lavadora de Roupas"}[line], "description": ""}
+    rows = spark.createDataFrame([(1, json.dumps({**base, **doc}))], "k int, j string").selectExpr("k", "try_parse_json(j) AS doc", "'' AS seller_id")
+    return AT.detail_layout_m(rows, ["k"], line).first()
+
+
+def _fact(label, value):
+    return {"keyName": label, "value": value}
+
+
+def test_screen_sources_by_level(spark):
+    attribute = [{"label": "Polegadas", "current": "50 polegadas"}]
+    own, bundle = [_fact("Polegadas", "55 polegadas")], [{"factsheet": [_fact("Polegadas", "43 polegadas")]}]
+    assert _detail_m(spark, "TV", attributes=attribute, factsheet=own, bundles=bundle).screen_size == "50 polegadas"
+    assert _detail_m(spark, "TV", factsheet=own, bundles=bundle).screen_size == "55 polegadas"
+    assert _detail_m(spark, "TV", factsheet=[_fact("Cor", "Preto")], bundles=bundle).screen_size == "43 polegadas"
+
+
+def test_values_under_other_labels(spark):
+    got = _detail_m(spark, "REF", factsheet=[_fact("Outros", "Freezer: 84 L; Refrigerador: 305 L"), _fact("Detalhes", "Consumo 45 kWh/mes")])
+    assert "305" in got.ref_capacity and "45" in got.estimated_annual_electricity_use
+    assert _detail_m(spark, "LDY", factsheet=[_fact("Outros", "Abertura superior")]).ldy_loading_type != ""
+
+
+def test_every_entity_is_resolved(value):
+    texts = ["a&apos;b &nbsp;&hellip; &Aacute; &#9731; &#x1F600; &unknown; &amp;lt; &NotEqualTilde;"]
+    from html import unescape
+
+    from vitrine.functions.text import unescape_entities
+
+    assert value(unescape_entities, *texts) == [unescape(t) for t in texts]

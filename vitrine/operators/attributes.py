@@ -56,6 +56,7 @@ def resolve_fields(products: DataFrame, labels: DataFrame, keys: list[str], layo
         E.description_evidence(products, keys, layout, fields=wanted),
         E.title_evidence(products, keys, fields=wanted),
         _title_words(products, keys),
+        *([E.unlabelled_evidence(labels, keys, wanted)] if layout == "M" else []),
     ])
     policies = {f: p for f, p in E.POLICIES.items() if f in wanted}
     resolved = E.resolve(ev.filter(F.col("field").isin(*wanted)), keys, policies)

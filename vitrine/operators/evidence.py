@@ -1,7 +1,7 @@
 """The evidence table: collect candidate values, then pick by level.
 
 evidence(keys..., field, level, ordinal, source, raw).  Collection is row-local plus one
-broadcast join with the label dictionary.  Resolution first reduces repeated values
+join with the label dictionary (small, so Spark broadcasts it).  Resolution first reduces repeated values
 (hot items and copies collapse before the shuffle), then looks at one product's
 distinct values at a time.
 """
@@ -19,7 +19,7 @@ from vitrine.functions.text import (
     as_text, clean_text, collapse_repeated_range, key_text, let, present, squash,
 )
 from vitrine.functions.validators import (
-    is_capacity_band, is_screen_size, is_washer_capacity, measure_key, refrigerator_type, type_specificity,
+    exact_loading_direction, is_capacity_band, is_screen_size, is_washer_capacity, measure_key, refrigerator_type, type_specificity,
 )
 from vitrine.operators.labels import labels_of
 
@@ -55,19 +55,21 @@ def _elements(node: Column) -> Column:
 def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc", depth: int = 6) -> DataFrame:
     """Facts and attributes of a layout-M item as label rows.
 
-    Own facts count; only when there are none the bundles' facts do.  A labelled child is
-    a fact of its own and its value is not lifted to the parent.
+    Own facts count (``source`` fact); when there are none, the bundles' facts take their place.
+    Otherwise the bundles' facts come as ``bundle``, for the fields that ask for them one by one.
+    A labelled child is a fact of its own and its value is not lifted to the parent.
     """
     own = V.get(F.col(doc), "$.factsheet", "array<variant>")
     bundled = F.flatten(F.transform(
         V.get(F.col(doc), "$.bundles", "array<variant>"),
         lambda b: F.coalesce(V.get(b, "$.factsheet", "array<variant>"), F.array().cast("array<variant>")),
     ))
-    chosen = F.when(F.coalesce(F.size(own), F.lit(0)) > 0, own).otherwise(bundled)
-    wrapped = F.transform(
-        F.coalesce(chosen, F.array().cast("array<variant>")),
-        lambda d, i: F.struct(F.lpad(i.cast("string"), 5, "0").alias("path"), d.alias("doc")),
-    )
+    has_own = F.coalesce(F.size(own), F.lit(0)) > 0
+    none = F.array().cast("array<variant>")
+    placed = lambda facts, mark: F.transform(
+        F.coalesce(facts, none),
+        lambda d, i: F.struct(F.concat(F.lit(mark), F.lpad(i.cast("string"), 5, "0")).alias("path"), d.alias("doc")))
+    wrapped = F.concat(placed(F.when(has_own, own).otherwise(bundled), ""), placed(F.when(has_own, bundled), "b"))
     df = V.walk(products, wrapped, "__nodes", _elements, depth)
     nodes = F.col("__nodes")
     name = lambda d: F.coalesce(
@@ -95,7 +97,8 @@ def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc", depth
             F.array(clean_text(V.get(F.col("a"), "$.current")), clean_text(V.get(F.col("a"), "$.value"))),
             lambda v: v != "")).alias("v_pos", "value"),
     )
-    both = fact.withColumn("source", F.lit("fact")).unionByName(attributes.withColumn("source", F.lit("attribute")))
+    kind = F.when(F.col("path").startswith("b"), "bundle").otherwise("fact")
+    both = fact.withColumn("source", kind).unionByName(attributes.withColumn("source", F.lit("attribute")))
     # source order as text: facts by path, attributes behind them
     return both.select(
         *keys, "source", "label_key",
@@ -156,10 +159,17 @@ def labelled_evidence(rows: DataFrame, dictionary: DataFrame, keys: list[str], s
                       rules: tuple = RULES) -> DataFrame:
     """Join label rows with the dictionary and apply each field's value rule.
 
-    The dictionary is a fixed list of labels, hence the broadcast.  ``rules`` names the
-    value rules the dictionary uses, so that a job for one field plans only that one.
+    ``rules`` names the value rules the dictionary uses, so that a job for one field plans
+    only that one.  Rows with their own ``source`` count by it: a screen is taken from an attribute
+    before an own fact before a bundle's fact, other fields leave bundles out, and capacities and
+    loading leave attributes out.
     """
-    hits = rows.join(F.broadcast(dictionary.filter(F.col("rule").isin(*rules))), "label_key")
+    hits = rows.join(dictionary.filter(F.col("rule").isin(*rules)), "label_key")
+    if "source" in rows.columns:
+        screen, own = F.col("field") == "screen_size", F.col("source")
+        facts_only = F.col("field").isin("ref_capacity", "ldy_capacity", "ldy_loading_type")
+        hits = hits.filter(screen | (own == "fact") | ((own == "attribute") & ~facts_only)).withColumn(
+            "level", F.col("level") + F.when(screen & (own == "fact"), 1).when(screen & (own == "bundle"), 2).otherwise(0))
     value, rule = F.col("value"), F.col("rule")
     one = lambda c: F.array(F.struct(F.col("level").alias("level"), c.alias("raw")))
     branches = {
@@ -200,6 +210,30 @@ def labelled_evidence(rows: DataFrame, dictionary: DataFrame, keys: list[str], s
     )
 
 
+def unlabelled_evidence(rows: DataFrame, keys: list[str], fields) -> DataFrame:
+    """Evidence that facts (and, for loading, attributes) state under whatever label they stand."""
+    value, facts = F.col("value"), rows.filter(F.col("source") == "fact")
+    entry = lambda field, level, raws: F.struct(F.lit(field).alias("field"), F.lit(level).alias("level"), raws.alias("raws"))
+    found = []
+    if _wanted(fields, "estimated_annual_electricity_use"):
+        found.append((facts, [entry("estimated_annual_electricity_use", 30, S.description_energy(value))]))
+    if _wanted(fields, "ref_capacity"):
+        staged = facts.withColumn("parts", S.capacity_components(value))
+        found.append((staged, [
+            entry("ref_capacity", level, S.component_values(F.col("parts"), kind))
+            for kind, level in (("total", 25), ("refrigerator", 42), ("freezer", 52))]))
+    if _wanted(fields, "ldy_loading_type"):
+        some = rows.filter(F.col("source").isin("fact", "attribute"))
+        found.append((some, [entry("ldy_loading_type", 30, F.array(exact_loading_direction(value)))]))
+    return union_all([
+        some.select(*keys, "order_key", F.explode(F.array(*entries)).alias("f"))
+        .select(*keys, "order_key", "f.field", "f.level", F.posexplode("f.raws").alias("pos", "raw"))
+        .select(*keys, "field", "level", F.concat("order_key", F.lpad(F.col("pos").cast("string"), 4, "0")).alias("ordinal"),
+                F.lit("fact").alias("source"), "raw").filter(present(F.col("raw")))
+        for some, entries in found
+    ])
+
+
 def _wanted(fields, *names) -> bool:
     return fields is None or any(n in fields for n in names)
 

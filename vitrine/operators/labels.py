@@ -1,7 +1,7 @@
 """Label dictionaries: which field a labelled value speaks for, and how much it counts.
 
 The dictionaries are data; pass your own DataFrame with the same columns to extend
-them.  They are a few hundred rows at most, so joins broadcast them.
+them.  They are a few hundred rows at most, so Spark broadcasts them by their size.
 """
 
 from __future__ import annotations

@@ -35,7 +35,7 @@ ev AS (SELECT item, field, level, ordinal, value AS raw, q FROM h WHERE CASE rul
 
 
 def specs(spark, sf):
-    rows = I.select(I.spread(I.table(spark, sf, "lineitem")), SPECS)
+    rows = I.select(I.table(spark, sf, "lineitem"), SPECS)
     return rows.withColumn("label_key", key_text(F.col("label"))).drop("label", "q")
 
 
@@ -46,7 +46,7 @@ def evidence(spark, sf):
 @query("label_dictionary_join", f"""WITH {_SP}, {_DICT} SELECT item, ordinal, label_key, field, level
 FROM (SELECT *, {_KEYTXT} AS label_key FROM sp) JOIN d USING (label_key)""")
 def label_dictionary_join(spark, sf):
-    rows = specs(spark, sf).join(F.broadcast(label_dictionary(spark, "M")), "label_key")
+    rows = specs(spark, sf).join(label_dictionary(spark, "M"), "label_key")
     return rows.select("item", "ordinal", "label_key", "field", "level")
 
 

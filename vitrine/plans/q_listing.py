@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import variants as V
 from vitrine.operators import listing as L
-from vitrine.operators.numbering import running_rank
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import column_query, query
 from vitrine.sources import pages as P
@@ -51,7 +50,7 @@ BASE, PRODUCT = "https://www.shop.example", r"^https://www\.shop\.example/.*/p/"
 
 
 def pages(spark, sf, html: str):
-    return I.spread(I.table(spark, sf, "pages")).selectExpr("page_id", f"{html} AS html")
+    return I.table(spark, sf, "pages").selectExpr("page_id", f"{html} AS html")
 
 
 _BRL = "concat('R$', translate(format('{:,.2f}', cast(%s AS double)), ',.', '.,'))"
@@ -106,8 +105,7 @@ _ANCHORS = """SELECT page_id, k AS n, CASE k WHEN 1 THEN 'TV 43' ELSE 'TV 50 202
 @query("anchor_listing", _ANCHORS)
 def anchor_listing(spark, sf):
     out = L.anchor_listing(pages(spark, sf, _LINKS), KEYS, BASE, PRODUCT, "TV")
-    ranked = running_rank(out, [], "page_id", ["pos"], "r")
-    return ranked.select("page_id", F.when(F.col("item").endswith("1") & F.col("title").startswith("TV 43"), 1).otherwise(2).alias("n"),
+    return out.select("page_id", F.when(F.col("item").endswith("1") & F.col("title").startswith("TV 43"), 1).otherwise(2).alias("n"),
                          "title", "product_url", "item", "original_sku_price", "final_sku_price", "savings", "model_year")
 
 
@@ -146,7 +144,7 @@ def card_snapshot_merge(spark, sf):
 b AS (SELECT capture, min(entry) AS entry FROM p WHERE entry <> 4 GROUP BY capture)
 SELECT capture, entry AS index, k AS pos, concat('TV ', entry, k) AS title FROM b, (VALUES (0), (1)) v(k)""")
 def listing_from_capture(spark, sf):
-    entries = I.spread(I.table(spark, sf, "pages")).selectExpr(
+    entries = I.table(spark, sf, "pages").selectExpr(
         "page_id div 5 AS capture", "cast(page_id % 5 AS int) AS index", "CASE WHEN page_id % 5 = 0 THEN 'POST' ELSE 'GET' END AS method",
         "CASE WHEN page_id % 5 = 3 THEN 'https://shop.example/x' ELSE 'https://shop.example/busca/tv' END AS url", "'text/HTML' AS mime",
         "concat(html, '<script id=\"__NEXT_DATA__\">{\"props\":{\"pageProps\":{\"data\":{\"search\":{\"products\":[{\"title\":\"TV ', page_id % 5, '0\",\"path\":\"/p/1/\"}', "

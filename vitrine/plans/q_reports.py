@@ -300,7 +300,7 @@ _NEST = "concat('{\"page\":{\"more\":[0,0,0,0,0,0,0,0,0,{\"deep\":[{\"sku\":1,\"
 
 
 def _docs(spark, sf):
-    return I.spread(I.table(spark, sf, "events")).selectExpr("event_id", f"try_parse_json({_NEST}) AS doc")
+    return I.table(spark, sf, "events").selectExpr("event_id", f"try_parse_json({_NEST}) AS doc")
 
 
 @query("array_discovery", """SELECT event_id, 'page.list' AS path, 'product' AS kind, 1 AS length, 'id,sub,title' AS first_keys FROM events UNION ALL SELECT event_id, 'page.list[0].sub.notes', 'review', 1, 'author,text' FROM events
@@ -427,7 +427,7 @@ _payload_query("response_envelope_check",
 @query("freight_texts", """SELECT event_id, CASE event_type WHEN 'view' THEN concat('Entrega normal ', user_id, ' dias') WHEN 'click' THEN 'Entrega indisponivel para este CEP' WHEN 'error' THEN 'sem entrega' ELSE '' END AS delivery_availability,
 CASE event_type WHEN 'view' THEN 'Retira loja hoje' WHEN 'click' THEN 'Pickup 2h' ELSE '' END AS pick_up_availability FROM events""")
 def freight_texts(spark, sf):
-    docs = I.spread(I.table(spark, sf, "events")).selectExpr("event_id", f"""try_parse_json(CASE event_type WHEN 'view' THEN concat('{{"options":[{{"name":"Entrega normal","deadline":"', {U_}, ' dias"}},{{"freights":[{{"name":"Retira loja","description":"hoje"}},{{"name":"Agendada","deadline":"x"}}]}}]}}')
+    docs = I.table(spark, sf, "events").selectExpr("event_id", f"""try_parse_json(CASE event_type WHEN 'view' THEN concat('{{"options":[{{"name":"Entrega normal","deadline":"', {U_}, ' dias"}},{{"freights":[{{"name":"Retira loja","description":"hoje"}},{{"name":"Agendada","deadline":"x"}}]}}]}}')
         WHEN 'click' THEN '{{"items":[{{"name":"Pickup","deadline":"2h"}}]}}' WHEN 'error' THEN '{{"error":{{"message":"sem entrega"}}}}' WHEN 'signup' THEN '{{"error":{{"message":"O cálculo de frete apresentou problemas"}}}}' ELSE '[]' END) AS doc""")
     return PL.freight_texts(docs).select("event_id", "delivery_availability", "pick_up_availability")
 

@@ -72,7 +72,7 @@ def ladder_violations(events: DataFrame, keys: list[str], order: str, ladder: Da
     # only the first steps can match; any further call is a violation by itself
     head = first_rows(events, keys, [order], steps, "step")
     want = ladder.select("step", *[F.col(c).alias(f"w_{c}") for c in ("method", "profile", "multiplier")])
-    wrong = head.join(F.broadcast(want), "step", "left").filter(
+    wrong = head.join(want, "step", "left").filter(
         (F.col("method") != F.col("w_method")) | (F.col("profile") != F.col("w_profile"))
         | (F.col("multiplier") != F.col("w_multiplier")))
     counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("calls"))
