@@ -135,3 +135,31 @@ def test_title_classes(value):
     assert value(flag("TV"), "Smart TV 50", "Suporte para TV", "TV Box 4K", "Painel LED 50 polegadas Smart TV") == [1, 0, 0, 1]
     assert value(flag("REF"), "Geladeira com prateleira", "Prateleira de geladeira", "Fogão") == [1, 0, 0]
     assert value(flag("LDY"), "Lavadora de louças", "Máquina de lavar com tampa", "Escova secadora") == [0, 1, 0]
+
+
+def test_loading_clauses(value):
+    texts = {
+        "Superior": "Top load", "Front-Load": "Front load", "sem abertura frontal": "", "nao e uma maquina de lavar frontal": "",
+        "nao e Front Load, mas Front Load": "Front load", "Nao possui abertura frontal e tem carga superior": "Top load",
+        "nao frontal e superior": "", "nao frontal e sim superior": "Top load", "painel frontal": "", "Frontal ou superior": "Front load,Top load",
+    }
+    assert value(V.loading_directions, *texts) == list(texts.values())
+
+
+def test_water_is_no_capacity(value):
+    from pyspark.sql import functions as F
+
+    words = lambda c: F.array_join(F.transform(S.volumes(c), lambda m: m["word"]), ",")
+    texts = {
+        "Geladeira com Dispenser de Agua 2,5L": "", "Geladeira com Reservatorio 3L para Agua": "", "Geladeira com tanque 5L": "",
+        "Geladeira 400L com Dispenser de Agua 2,5L": "400L", "Geladeira 400L com Dispenser 2,5L de Agua": "400L",
+    }
+    assert value(words, *texts) == list(texts.values())
+    parts = lambda c: F.array_join(F.transform(S.capacity_components(c), lambda p: F.concat(p["kind"], F.lit("="), p["raw"])), ",")
+    texts = {"Tanque de agua da geladeira:5L": "", "Capacidade do Refrigerador:305L; Freezer:84L": "refrigerator=305L,freezer=84L"}
+    assert value(parts, *texts) == list(texts.values())
+
+
+def test_quantities_and_features_are_no_models(value):
+    texts = {"400L": False, "220 V": False, "3PORTAS": False, "PORTAS2": False, "FROSTFREE": False, "BRM54": True, "AB1": False, "RT38K": True}
+    assert value(D.is_valid_refrigerator_sku, *texts) == list(texts.values())

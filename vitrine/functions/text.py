@@ -298,6 +298,24 @@ def colour_word(c: Column) -> Column:
     return F.regexp_extract(as_text(c), COLOUR_PATTERN, 1)
 
 
+# ---- words around a value -----------------------------------------------------------------
+
+
+def words_before(before: Column, fillers: tuple[str, ...]) -> Column:
+    """Words of the clause in front of a value, without fillers; the nearest one is the last.
+
+    A clause ends at ``, ; | +`` or a line break.
+    """
+    clause = F.regexp_extract(before, r"([^,;|+\n]*)$", 1)
+    return F.filter(F.split(key_text(clause), " "), lambda w: (w != "") & ~w.isin(*fillers))
+
+
+def words_after(after: Column, fillers: tuple[str, ...]) -> Column:
+    """Words of the clause behind a value, without fillers; none when a separator follows at once."""
+    clause = F.regexp_extract(after, r"^\s*([^+;,|:\n]*)", 1)
+    return F.filter(F.split(key_text(clause), " "), lambda w: (w != "") & ~w.isin(*fillers))
+
+
 # ---- occurrences with their surroundings -------------------------------------------------
 
 
