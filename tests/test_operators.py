@@ -304,3 +304,24 @@ def test_every_entity_is_resolved(value):
     from vitrine.functions.text import unescape_entities
 
     assert value(unescape_entities, *texts) == [unescape(t) for t in texts]
+
+
+def test_usage_counts_survive_restarts_and_late_rows(spark, tmp_path):
+    from vitrine.streaming import jobs as J
+
+    folder, base = tmp_path / "in", str(tmp_path / "run")
+    def add(name, *rows):
+        spark.createDataFrame(rows, "retailer string, ts string").coalesce(1).write.parquet(str(folder / name / "events.parquet"))
+    add("a", ("x", "2024-01-01 10:00:00"), ("x", "2024-01-01 11:00:00"), ("y", "2024-01-02 09:00:00"))
+
+    def run():
+        stream = spark.readStream.schema("retailer string, ts string").option("recursiveFileLookup", "true").parquet(str(folder))
+        J.run_available(J.usage_counts(stream, ["retailer"]), f"{base}/checkpoint", J.write_batches(f"{base}/out"), "update")
+        out = J.latest(spark, f"{base}/out", ["window_start", "retailer"], ["calls"])
+        return {(str(r.window_start)[:10], r.retailer): r.calls for r in out.collect()}
+
+    assert run() == {("2024-01-01", "x"): 2, ("2024-01-02", "y"): 1}
+    add("b", ("x", "2024-01-01 23:00:00"), ("y", "2024-03-01 00:00:00"))  # late, but inside the watermark
+    assert run()[("2024-01-01", "x")] == 3
+    add("c", ("x", "2024-01-01 12:00:00"))  # behind the watermark: the window is closed
+    assert run() == {("2024-01-01", "x"): 3, ("2024-01-02", "y"): 1, ("2024-03-01", "y"): 1}

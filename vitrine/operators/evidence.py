@@ -108,7 +108,7 @@ def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc", depth
 
 def description_pairs(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """``label: value`` pairs of flattened texts; a value ends at ; newline or bullet."""
-    pattern = r"(?:^|[;\n\r]|\s-\s|•)\s*([\p{L}][\p{L}\p{N} ()/.]{0,59}?)\s*:\s*([^;\n\r•]+?)(?=\s+-\s|[;\n\r•]|$)"
+    pattern = r"(?:^|[;\n\r]|\s-\s|•)\s*([\p{L}][\p{L}\p{N} ()/.]*?)\s*:\s*([^;\n\r•]+?)(?=\s+-\s|[;\n\r•]|$)"
     pairs = F.transform(
         F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)),
         lambda m: F.struct(

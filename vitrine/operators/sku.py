@@ -58,7 +58,7 @@ def resolve_refrigerator_sku(rows: DataFrame, title: str = "title", existing: st
 
 
 def _conflict(source: str, left: Column, right: Column) -> Column:
-    safe = lambda c: F.substring(F.regexp_replace(c, r"[^A-Z0-9/-]+", "_"), 1, 40)
+    safe = lambda c: F.regexp_replace(c, r"[^A-Z0-9/-]+", "_")
     return F.concat(F.lit(f"casas_ldy_sku_conflict:{source}:"), safe(left), F.lit("!="), safe(right))
 
 

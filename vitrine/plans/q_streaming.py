@@ -15,8 +15,9 @@ from vitrine.streaming import jobs as J
 def usage_counts_stream(spark, sf):
     base = work_dir(spark, "usage")
     events = J.table_stream(spark, sf, "events.parquet").withColumnRenamed("event_type", "retailer")
-    J.run_available(J.usage_counts(events, ["retailer"]), f"{base}/checkpoint", J.replace_table(f"{base}/out"), "complete")
-    out = J.read_latest(spark, f"{base}/out")
+    # update mode: a batch writes only the windows it changed, and old windows leave the state
+    J.run_available(J.usage_counts(events, ["retailer"]), f"{base}/checkpoint", J.write_batches(f"{base}/out"), "update")
+    out = J.latest(spark, f"{base}/out", ["window_start", "retailer"], ["calls"])
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "retailer", "calls")
 
 

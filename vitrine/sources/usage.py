@@ -26,7 +26,7 @@ def parse_ledger(lines: DataFrame, line: str = "value", event: str = EVENT) -> D
     )
     name = lambda c: F.regexp_replace(F.lower(F.trim(as_text(c))), r"[^a-z0-9_-]+", "_")
     segment = lambda c: F.coalesce(
-        F.nullif(F.substring(F.regexp_replace(name(c), r"^_+|_+$", ""), 1, 64), F.lit("")), F.lit("unknown"))
+        F.nullif(F.regexp_replace(name(c), r"^_+|_+$", ""), F.lit("")), F.lit("unknown"))
     out = lines.withColumns({"e": e, "error": error})
     return out.select(
         *[c for c in lines.columns if c != line], "error",

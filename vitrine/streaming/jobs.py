@@ -56,15 +56,6 @@ def write_batches(path: str, transform: Callable[[DataFrame], DataFrame] | None
     return write
 
 
-def replace_table(path: str):
-    """Sink for complete results: the newest batch replaces the table."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-
-    return write
-
-
 def run_available(stream: DataFrame, checkpoint: str, sink, mode: str = "append") -> StreamingQuery:
     """Process everything that is there, then stop; the checkpoint makes it resumable."""
     query = (
@@ -75,8 +66,7 @@ def run_available(stream: DataFrame, checkpoint: str, sink, mode: str = "append"
     return query
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """Newest version written by :func:`replace_table`."""
-    versions = spark.read.option("basePath", path).parquet(path)
-    newest = versions.agg(F.max("v")).first()[0]
-    return spark.read.parquet(f"{path}/v={newest}")
+def latest(spark: SparkSession, path: str, keys: list[str], values: list[str]) -> DataFrame:
+    """Newest values of every key from batches that an update-mode stream wrote with :func:`write_batches`."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy(*keys).agg(*[F.max_by(v, "batch_id").alias(v) for v in values])
