@@ -7,7 +7,7 @@ is the only one); a product row then meets at most a handful of lookup rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.money import (
@@ -41,28 +41,22 @@ def offer_map(offers: DataFrame) -> DataFrame:
     Offers with malformed ids, or whose availability names another SKU or seller, are
     dropped first; a missing seller is taken from the availability.
     """
-    sku, product = positive_id(F.col("sku_id")), positive_id(F.col("product_id"))
-    seller = positive_id(F.col("seller_id"))
-    a_sku, a_seller = positive_id(F.col("avail_sku")), positive_id(F.col("avail_seller"))
+    names = ("product_id", "sku_id", "seller_id", "avail_sku", "avail_seller")
+    # each id is cleaned once
+    staged = offers.withColumns({f"__{c}": positive_id(F.col(c)) for c in names})
+    product, sku, seller, a_sku, a_seller = (F.col(f"__{c}") for c in names)
+    malformed = lambda c: (as_text(F.col(c)) != "") & (F.col(f"__{c}") == "")
     bad = (
-        _malformed(F.col("product_id")) | _malformed(F.col("seller_id"))
-        | _malformed(F.col("avail_sku")) | _malformed(F.col("avail_seller"))
+        malformed("product_id") | malformed("seller_id") | malformed("avail_sku") | malformed("avail_seller")
         | ((a_sku != "") & (a_sku != sku))
         | ((seller != "") & (a_seller != "") & (a_seller != seller))
     )
-    clean = offers.filter((sku != "") & ~bad).withColumns({
-        "sku_id": sku, "product_id": product,
-        "seller_id": F.when(seller != "", seller).otherwise(a_seller),
-    })
-    quote = F.struct(*[F.col(c) for c in QUOTE])
     keys = ["product_id", "sku_id", "seller_id"]
-    # equal smallest and largest quote means all duplicates agree
-    return (
-        clean.groupBy(*keys)
-        .agg(F.min(quote).alias("lo"), F.max(quote).alias("hi"))
-        .filter(F.col("lo").eqNullSafe(F.col("hi")))
-        .select(*keys, "lo.*")
-    )
+    clean = staged.filter((sku != "") & ~bad).select(
+        product.alias("product_id"), sku.alias("sku_id"), F.when(seller != "", seller).otherwise(a_seller).alias("seller_id"), *QUOTE)
+    # equal offers collapse before the shuffle; an identity with two quotes left is out
+    quotes = clean.distinct().withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return quotes.filter("__n = 1").drop("__n")
 
 
 def _lookup(offers: DataFrame, keys: list[str], count: str, pick: str) -> DataFrame:
@@ -102,14 +96,13 @@ def optional_offers(products: DataFrame, offers: DataFrame, row_keys: list[str])
     keys.  Rows: ``row_keys``, product_id, sku_id, seller_id, ``quarantined`` (bool),
     ``own_price`` (price already in the card, blank if none).
     """
-    cube = None
-    for kept in ((True, True), (True, False), (False, True), (False, False)):
-        part = offers.select(
-            "sku_id", "seller_id", "current_price",
-            (F.col("product_id") if kept[0] else F.lit(ANY)).alias("k_product"),
-            (F.col("seller_id") if kept[1] else F.lit(ANY)).alias("k_seller"),
-        )
-        cube = part if cube is None else cube.unionByName(part)
+    # each offer answers under its own ids and under the wildcard of either, in one pass
+    cell = lambda product, seller: F.struct(product.alias("k_product"), seller.alias("k_seller"))
+    own, other = (F.col("product_id"), F.col("seller_id")), F.lit(ANY)
+    cube = offers.select(
+        "sku_id", "seller_id", "current_price",
+        F.explode(F.array(cell(*own), cell(own[0], other), cell(other, own[1]), cell(other, other))).alias("k"),
+    ).select("sku_id", "seller_id", "current_price", "k.*")
     cells = cube.groupBy("sku_id", "k_product", "k_seller").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct("seller_id", "current_price")).alias("only"),
