@@ -36,6 +36,17 @@ def map_batches(df: DataFrame, ddl: str, start: Callable[[], Callable[[dict], di
     return df.mapInArrow(run, ddl)
 
 
+_CACHE: dict = {}
+
+
+def worker_cache(key, make: Callable):
+    """What a Python worker keeps from task to task: the cache of one operator, the last one that asked."""
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
 def slices(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Cut a list into runs of neighbours that hold about ``most`` bytes; a longer text is a run of its own."""
     first = size = 0

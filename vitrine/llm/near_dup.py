@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, slices, utf8
+from vitrine.llm.common import map_batches, slices, utf8, worker_cache
 from vitrine.session import materialize
 
 WORDS, THRESHOLD = 5, 75
@@ -52,15 +52,12 @@ class _Hashes(dict):
     """Word -> 64-bit hash; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-_HASHES = _Hashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -75,7 +72,8 @@ def shingles(words: list[bytes]) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     if n < WORDS:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], dtype=np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=n)
+    known = worker_cache("shingle words", _Hashes)
+    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=n)
     total = h[: n - WORDS + 1] * _PLACE[0]
     for k in range(1, WORDS):
         total = mix(total) + h[k : n - WORDS + 1 + k] * _PLACE[k]

@@ -31,13 +31,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from vitrine.llm import tokens
+from vitrine.llm.common import worker_cache
 
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 POOL = 256
 
-_WORKER: dict = {}
-
-
 def packed_ids(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
     packed = array("I", ids)
@@ -167,9 +165,8 @@ def pack_texts(
     """Pack whole texts: their ids, then ``end_id``.  All tokens but the end id bear loss."""
 
     def start():
-        if _WORKER.get("key") != vocabulary:
-            _WORKER.update(key=vocabulary, pieces=tokens.Pieces(tokens.load(vocabulary), packed_ids, None, cache))
-        known, end = _WORKER["pieces"], np.array([end_id], dtype="<u4").tobytes()
+        known = worker_cache(("packing", vocabulary, cache), lambda: tokens.Pieces(tokens.load(vocabulary), packed_ids, None, cache))
+        end = np.array([end_id], dtype="<u4").tobytes()
 
         def encode(rows):
             for key, values in zip(rows["doc_id"], known.of([t or "" for t in rows["text"]])):

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, slices, utf8
+from vitrine.llm.common import map_batches, slices, utf8, worker_cache
 
 WORDS = 1 << 14
 BINS = 8
@@ -55,18 +55,15 @@ class _Hashes(dict):
     """Word -> feature number; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         number = self[word] = zlib.crc32(word) & (WORDS - 1)
         return number
 
 
-_HASHES = _Hashes()
-
-
 def features(raw: list[bytes], declared: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of some texts: (text, word feature, value) of the distinct words, and the statistics."""
-    number = _HASHES.__getitem__
+    number = worker_cache("quality words", _Hashes).__getitem__
     per_text, stats = [], np.zeros((len(raw), len(STATISTICS)))
     for k, t in enumerate(raw):
         words = t.split()

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm import tokens
-from vitrine.llm.common import map_batches, slices
+from vitrine.llm.common import map_batches, slices, worker_cache
 
 #: entries of the broadcast table, and of the summary that a task hands over
 TABLE, PER_TASK = 16_384, 2_048
@@ -29,9 +29,6 @@ LONGEST = 32
 #: a task's counter is cut back to its larger half beyond this many entries
 COUNTER = 200_000
 
-_WORKER: dict = {}
-
-
 def frequent_pieces(docs: DataFrame, text: str = "text", table: int = TABLE, per_task: int = PER_TASK) -> list[str]:
     """The most frequent space-led pieces of all texts, most frequent first (at most ``table``)."""
 
@@ -67,15 +64,15 @@ def count_tokens(
     pieces = frequent_pieces(docs, text, table)
     lengths = tokens.Pieces(tokens.load(vocabulary), len).encode([p if p[0] == "\n" else " " + p for p in pieces])
     packed = docs.sparkSession.sparkContext.broadcast(("\x00".join(pieces), lengths))
-    key = (vocabulary, hash(tuple(pieces)), cache)
+    key = ("counts", vocabulary, hash(tuple(pieces)), cache)
 
     def start():
-        # one cache per Python worker, kept from task to task
-        if _WORKER.get("key") != key:
+        def make():
             names, values = packed.value
             seed = dict(zip(names.split("\x00"), values)) if values else {}
-            _WORKER.update(key=key, pieces=tokens.Pieces(tokens.load(vocabulary), len, seed, cache))
-        known = _WORKER["pieces"]
+            return tokens.Pieces(tokens.load(vocabulary), len, seed, cache)
+
+        known = worker_cache(key, make)
 
         def count(rows: dict) -> dict:
             texts = [t or "" for t in rows["text"]]
