@@ -40,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences with their token ids."""
-    return packing.pack_texts(docs)
+    return packing.pack_texts(docs, cache=400_000)
 
 
 STAGES = [
