@@ -140,6 +140,29 @@ def test_license_scan(docs, odd):
     assert license_scan.scan(odd.limit(0)).collect() == []
 
 
+def test_short_notices_are_licences(docs):
+    lines = [
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl", 12), ("Licensed under the Apache License, Version 2.0.", "apache", 8),
+        ("Released under the MIT License.", "mit", 5), ("Licensed under CC BY-NC 4.0.", "cc", 7), ("Distributed under CC BY-SA 3.0", "cc", 7),
+        ("Licensed under GPLv3", "gpl", 3), ("// SPDX-License-Identifier: MIT", "mit", 4),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "cc", 14),
+    ]
+    plain = ["This work is licensed under the usual terms of the house.", "Released under the name of the author.", "Licensed under the bridge, version 3."]
+    table = docs(*[(i, f"some prose before it.\n{x[0]}\nand some after") for i, x in enumerate(lines)], *[(100 + i, x) for i, x in enumerate(plain)])
+    rows = {r.doc_id: r for r in license_scan.scan(table).collect()}
+    for i, (_, label, words) in enumerate(lines):
+        assert [(s.label, s.stop - s.start, s.words) for s in rows[i].spans] == [(label, words, words)], rows[i]
+        assert rows[i].spans[0].start == 4 and rows[i].labels == label and rows[i].score == words / rows[i].n_words
+    assert all(rows[100 + i].spans == [] and rows[100 + i].labels == "" for i in range(len(plain)))
+
+
+def test_matches_hold_all_places():
+    automaton = license_scan.SuffixAutomaton()
+    for k, t in enumerate(("a b c d e f", "x c d e f y", "c d e")):
+        automaton.add(k, t.split())
+    assert automaton.matches("z b c d e f y".split(), 3, every=True) == [(1, 6, 0, 1), (2, 5, 2, 0), (2, 7, 1, 1)]
+
+
 # packing
 
 def check_pieces(pieces, streams, tokens_=1024, segments=64):

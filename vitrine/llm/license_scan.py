@@ -1,12 +1,13 @@
 """Licence scan with a generalised suffix automaton of template tokens.
 
 All templates go into one automaton; each state knows the longest token run it stands for and
-one place in one template that holds it.  A text is streamed through it once: after every word
-the automaton has the longest suffix of the words so far that occurs in any template (the
-matching statistic).  Maximal matches of enough words are chained per template while they move
-forward in text and template with small gaps, and a chain that covers enough of the template, or
-of the text's own words, is a licence span.  Runs of words that no template knows reset the
-automaton and cost one table lookup each.
+all places in all templates that hold its last words.  A text is streamed through it once: after
+every word the automaton has the longest suffix of the words so far that occurs in any template
+(the matching statistic).  Every template's own maximal matches of enough words are chained while
+they move forward in text and template with small gaps, and a chain that covers enough of the
+template, or enough words of a long one, is a licence span unless it lies inside a longer one.
+One-line notices are templates of their own, of which nearly all words must stand there.  Runs of
+words that no template knows reset the automaton and cost one table lookup each.
 
 Fixed phrases are found beside that, wherever their words stand one after another.
 
@@ -17,10 +18,12 @@ two that are named play no part.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_batches, utf8
+from vitrine.llm.common import map_batches, utf8, worker_cache
 
 # Phrases and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -49,9 +52,70 @@ TEMPLATES = {
     "cc": """This work is licensed under a Creative Commons Attribution 4.0 International License.""",
     "unlicense": """This is free and unencumbered software released into the public domain.""",
 }
-#: words of the shortest match that counts, words that may lie between two matches of a chain, and the least share of a
-#: template (or number of matched words) that a chain needs
-SHORTEST, GAP, SHARE, ENOUGH = 5, 8, 0.5, 16
+_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+_CREATIVE = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+
+
+def _gnu(kind: str, short: str, versions: tuple[str, ...]) -> list[str]:
+    long = f"the GNU {kind} Public License"
+    return [
+        long, f"the terms of {long}", f"the {short}", f"the GNU {short}",
+        *[n for v in versions for n in (
+            f"{long}, version {v}", f"{long} v{v}", f"{long} v{v}.0", f"the GNU {short} version {v}", f"the GNU {short} v{v}",
+            f"the {short} version {v}", f"the {short} v{v}", f"{short}v{v}", f"{short}-{v}.0", f"{short} {v}")],
+    ]
+
+
+#: names of licences as notices have them, by label
+NAMES = {
+    "mit": ["the MIT License", "MIT License"],
+    "apache": [
+        "the Apache License", "the Apache License, Version 2.0", "the Apache License 2.0", "Apache License 2.0", "the Apache 2.0 License",
+        "the Apache License v2.0", "Apache-2.0",
+    ],
+    "gpl": _gnu("General", "GPL", ("2", "3")),
+    "lgpl": _gnu("Lesser General", "LGPL", ("2.1", "3")),
+    "agpl": _gnu("Affero General", "AGPL", ("3",)),
+    "bsd": [
+        "the BSD License", "the New BSD License", "the Simplified BSD License", "a BSD-style license",
+        *[n for k in (2, 3) for n in (f"the {k}-Clause BSD License", f"the BSD {k}-Clause License", f"BSD-{k}-Clause")],
+    ],
+    "isc": ["the ISC License"],
+    "mpl": [
+        "the Mozilla Public License", "the Mozilla Public License, version 2.0", "the Mozilla Public License, v. 2.0",
+        "the Mozilla Public License 2.0", "the MPL 2.0", "MPL-2.0",
+    ],
+    "cc": [
+        "CC0", "CC0 1.0", *[f"CC {k}" for k in _CREATIVE], *[f"CC {k} {v}" for k in _CREATIVE for v in _VERSIONS],
+        *[
+            f"{a} Creative Commons {k}{v} License" for a in ("a", "the") for k in _CREATIVE.values()
+            for v in ("", " 4.0", " 4.0 International", " 3.0", " 3.0 Unported", " 2.5 Generic", " 2.0 Generic", " 1.0 Generic")
+        ],
+    ],
+    "unlicense": ["the Unlicense"],
+}
+#: identifiers of licences in source files, by label
+IDENTIFIERS = {
+    "mit": ["MIT"], "apache": ["Apache-2.0"], "isc": ["ISC"], "mpl": ["MPL-2.0"], "unlicense": ["Unlicense"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"], "cc": ["CC0-1.0", *[f"CC-{k}-{v}" for k in _CREATIVE for v in _VERSIONS]],
+    **{label: [f"{label.upper()}-{v}{tail}" for v in versions for tail in ("", "+", "-only", "-or-later")]
+       for label, versions in (("gpl", ("2.0", "3.0")), ("lgpl", ("2.1", "3.0")), ("agpl", ("3.0",)))},
+}
+HEADS = [
+    *[f"{v} under" for v in ("Licensed", "Released", "Distributed", "Published", "Available")],
+    *[f"This {what} is licensed under" for what in ("work", "project", "software", "program", "file")],
+]
+#: one-line notices as (label, sentence)
+NOTICES = [
+    *[(label, f"{head} {name}") for label, names in NAMES.items() for name in names for head in HEADS],
+    *[(label, f"SPDX-License-Identifier: {name}") for label, names in IDENTIFIERS.items() for name in names],
+]
+#: words of the shortest match that counts (a shorter template must stand there whole), words that may lie between two matches of a chain, and the least share of a
+#: template (or number of matched words) that a chain needs, and the least share of a notice
+SHORTEST, GAP, SHARE, ENOUGH, NEARLY = 5, 8, 0.5, 16, 0.9
 
 _CUT = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -62,23 +126,24 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """Suffix automaton of several token lists; ``place`` has one (template, end) for each state."""
+    """Suffix automaton of several token lists; ``own`` has the (template, end) of the prefixes that a state stands for."""
 
     def __init__(self) -> None:
         self.next: list[dict] = [{}]
         self.link = [-1]
         self.length = [0]
-        self.place: list[tuple[int, int]] = [(-1, -1)]
+        self.own: list[list[tuple[int, int]]] = [[]]
+        self.known: dict[int, list[list[tuple[int, int]] | None]] = {}
 
-    def _state(self, length: int, place: tuple[int, int], like: int | None = None) -> int:
+    def _state(self, length: int, like: int | None = None) -> int:
         self.next.append(dict(self.next[like]) if like is not None else {})
         self.link.append(self.link[like] if like is not None else -1)
         self.length.append(length)
-        self.place.append(place)
+        self.own.append([])
         return len(self.length) - 1
 
     def _split(self, p: int, token, q: int) -> int:
-        clone = self._state(self.length[p] + 1, self.place[q], q)
+        clone = self._state(self.length[p] + 1, q)
         self.link[q] = clone
         while p >= 0 and self.next[p].get(token) == q:
             self.next[p][token] = clone
@@ -86,68 +151,130 @@ class SuffixAutomaton:
         return clone
 
     def add(self, template: int, tokens: list) -> None:
+        self.known.clear()
         last = 0
         for i, token in enumerate(tokens):
             p, q = last, self.next[last].get(token)
             if q is not None:  # a prefix that another template has already
                 last = q if self.length[q] == self.length[p] + 1 else self._split(p, token, q)
-                continue
-            new = self._state(self.length[last] + 1, (template, i))
-            while p >= 0 and token not in self.next[p]:
-                self.next[p][token] = new
-                p = self.link[p]
-            if p < 0:
-                self.link[new] = 0
             else:
-                q = self.next[p][token]
-                self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, token, q)
-            last = new
-
-    def matches(self, tokens: list, shortest: int) -> list[tuple[int, int, int, int]]:
-        """Maximal matches as (text start, text stop, template, template start), from the matching statistics."""
+                new = self._state(self.length[last] + 1)
+                while p >= 0 and token not in self.next[p]:
+                    self.next[p][token] = new
+                    p = self.link[p]
+                if p < 0:
+                    self.link[new] = 0
+                else:
+                    q = self.next[p][token]
+                    self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, token, q)
+                last = new
+            self.own[last].append((template, i))
+
+    def places(self, shortest: int) -> list[list[tuple[int, int]] | None]:
+        """Per state all (template, end) of its last ``shortest`` words, None where it has fewer; states share the lists."""
+        if shortest not in self.known:
+            found: list[list[tuple[int, int]] | None] = [None] * len(self.length)
+            for s in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+                if self.length[s] >= shortest:
+                    if self.length[self.link[s]] < shortest:
+                        found[s] = []
+                    else:
+                        found[s] = found[self.link[s]]
+                    found[s] += self.own[s]
+            self.known[shortest] = found
+        return self.known[shortest]
+
+    def matches(self, tokens: list, shortest: int, every: bool = False) -> list[tuple[int, int, int, int]]:
+        """Maximal matches as (text start, text stop, template, template start), from the matching statistics.
+
+        They are those that no longer one holds, in all templates that have them, or (``every``) all of each template.
+        """
         found, state, length = [], 0, 0
-        nxt, link, lengths = self.next, self.link, self.length
+        nxt, link, lengths, places = self.next, self.link, self.length, self.places(shortest)
         root = nxt[0]
-
-        def close(stop: int) -> None:
-            if length >= shortest:
-                template, end = self.place[state]
-                found.append((stop - length, stop, template, end - length + 1))
-
+        open_: dict[tuple[int, int], int] = {}  # (template, place there less place in the text): start in the text
         for i, token in enumerate(tokens):
             if not state and token not in root:
                 continue
-            if token in nxt[state]:
-                state, length = nxt[state][token], length + 1
-                continue
-            close(i)
             while state and token not in nxt[state]:
                 state = link[state]
                 length = lengths[state]
             if token in nxt[state]:
                 state, length = nxt[state][token], length + 1
-            else:
-                state = length = 0
-        close(len(tokens))
-        return found
-
-
-def chains(matches: list[tuple[int, int, int, int]], gap: int = GAP) -> list[dict]:
-    """Join matches that move forward in the text and in one template, with at most ``gap`` words between them."""
-    done, open_ = [], {}
-    for a, b, template, at in matches:
-        chain = open_.get(template)
-        if chain and 0 <= a - chain["stop"] <= gap and at >= chain["end"] and at - chain["end"] <= gap:
-            chain.update(stop=b, end=at + b - a, words=chain["words"] + b - a)
-            continue
-        chain = open_[template] = {"template": template, "start": a, "stop": b, "end": at + b - a, "words": b - a}
-        done.append(chain)
+            if length < shortest:
+                if open_:
+                    found += [(a, i, t, a + d) for (t, d), a in open_.items()]
+                    open_ = {}
+                continue
+            still = {}
+            for t, end in places[state]:
+                still[t, end - i] = open_.pop((t, end - i), i + 1 - shortest)
+            found += [(a, i, t, a + d) for (t, d), a in open_.items()]
+            open_ = still
+        found += [(a, len(tokens), t, a + d) for (t, d), a in open_.items()]
+        found.sort()
+        if every:
+            return found
+        widest, reach = [], (0, 0)
+        for a, b, template, at in sorted(found, key=lambda m: (m[0], -m[1])):
+            if b > reach[1] or (a, b) == reach:
+                widest.append((a, b, template, at))
+                reach = a, b
+        return widest
+
+
+def chains(matches: list[tuple[int, int, int, int]], gap: int = GAP, need: list[float] | None = None) -> list[dict]:
+    """Join matches that move forward in the text and in one template, with at most ``gap`` words between them.
+
+    A match goes on from the chain with most words; what both have is counted once.  Chains of one template lie apart.
+    ``need`` has the least number of matched words of each template.
+    """
+    ends: list[tuple[int, int, int, int, int, int]] = []  # words, template, start, stop, template end, the one before
+    last: dict[tuple[int, int], int] = {}
+    for a, b, template, at in sorted(matches):
+        best = (b - a, template, a, b, at + b - a, -1)
+        for d in range(at - a - gap, at - a + gap + 1):
+            i = last.get((template, d))
+            if i is None:
+                continue
+            words, _, start, stop, end, _ = ends[i]
+            both = max(0, stop - a, end - at)
+            if both < b - a and a + both - stop <= gap and at + both - end <= gap and words + b - a - both > best[0]:
+                best = (words + b - a - both, template, start, b, at + b - a, i)
+        last[template, at - a] = len(ends)
+        ends.append(best)
+    done: list[dict] = []
+    passed = {e[5] for e in ends}
+    taken: dict[int, list[tuple[int, int]]] = {}
+    heads = [e for i, e in enumerate(ends) if i not in passed and (need is None or e[0] >= need[e[1]])]
+    for words, template, start, stop, end, _ in sorted(heads, key=lambda e: (-e[0], e[1:])):
+        own = taken.setdefault(template, [])
+        k = bisect_right(own, (start, stop))
+        if (not k or own[k - 1][1] <= start) and (k == len(own) or stop <= own[k][0]):
+            own.insert(k, (start, stop))
+            done.append({"template": template, "start": start, "stop": stop, "end": end, "words": words})
     return done
 
 
-def build(templates: dict[str, str] | None = None) -> tuple[SuffixAutomaton, list[str], list[int]]:
+def outermost(spans: list[dict], sizes: list[int]) -> list[dict]:
+    """The chains that do not lie inside one with more words (or as many, and a larger share of its template)."""
+    kept: list[dict] = []
+    starts: list[int] = []  # of the widest spans so far, with their stops: both rise
+    stops: list[int] = []
+    for c in sorted(spans, key=lambda c: (-c["words"], sizes[c["template"]], c["template"], c["start"])):
+        k = bisect_right(starts, c["start"])
+        if k and stops[k - 1] >= c["stop"]:
+            continue
+        kept.append(c)
+        k, m = bisect_left(starts, c["start"]), bisect_right(stops, c["stop"])
+        starts[k : max(k, m)], stops[k : max(k, m)] = [c["start"]], [c["stop"]]
+    return sorted(kept, key=lambda c: (c["start"], c["stop"]))
+
+
+def build(texts: list[tuple[str, str]]) -> tuple[SuffixAutomaton, list[str], list[int]]:
+    """The automaton of (label, text) templates, with the label and number of words of each."""
     automaton, labels, sizes = SuffixAutomaton(), [], []
-    for label, text in (templates or TEMPLATES).items():
+    for label, text in texts:
         tokens = words_of(text.encode())
         automaton.add(len(labels), tokens)
         labels.append(label)
@@ -158,17 +285,23 @@ def build(templates: dict[str, str] | None = None) -> tuple[SuffixAutomaton, lis
 def scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None,
     phrases: dict[str, str] | None = None, shortest: int = SHORTEST, gap: int = GAP, share: float = SHARE, enough: int = ENOUGH,
+    notices: list[tuple[str, str]] | None = None, nearly: float = NEARLY,
 ) -> DataFrame:
     """Per row: phrase places and labels, covered template spans, all labels, and the covered share of its words (0 to 1).
 
-    Spans count words from 0.  A span is kept if its matches hold ``share`` of the template or ``enough`` words.
+    Spans count words from 0.  A span is kept if its matches hold ``share`` of the template or ``enough`` words, or
+    ``nearly`` all words of a notice.  Own templates come without NOTICES unless ``notices`` are given.
     """
     known = [(p.encode().split(), label) for p, label in (PHRASES if phrases is None else phrases).items()]
     keys = {p[-1] for p, _ in known}
-    wanted = templates
+    long = list((TEMPLATES if templates is None else templates).items())
+    short = list(notices if notices is not None else NOTICES if templates is None else [])
 
     def start():
-        automaton, labels, sizes = build(wanted)
+        automaton, labels, sizes = worker_cache(("licences", *long, *short), lambda: build(long + short))
+        need = [min(enough, share * n) if i < len(long) else nearly * n for i, n in enumerate(sizes)]
+        run = [min(shortest, n) for n in sizes]
+        least = max(1, min([shortest, *run]))
         marks = [(key, [(p, label) for p, label in known if p[-1] == key]) for key in keys]
 
         def places(words: list[bytes]) -> list[tuple[int, str]]:
@@ -185,10 +318,8 @@ def scan(
             for key, raw in zip(rows["doc_id"], utf8(rows["text"])):
                 words = words_of(raw)
                 base = places(words)
-                spans = [
-                    c for c in chains(automaton.matches(words, shortest), gap)
-                    if c["words"] >= min(enough, share * sizes[c["template"]])
-                ]
+                found = [m for m in automaton.matches(words, least, every=True) if m[1] - m[0] >= run[m[2]]]
+                spans = outermost(chains(found, gap, need), sizes)
                 covered, reach = 0, 0
                 for a, b in sorted((c["start"], c["stop"]) for c in spans):
                     covered += max(0, b - max(a, reach))
