@@ -278,6 +278,37 @@ def test_secret_spans(docs, odd, texts):
     assert secret_scan.find_secrets(odd.limit(0)).collect() == []
 
 
+def test_keys_in_other_forms(docs):
+    number = lambda n: b"\x02\x40" + bytes([n]) * 64
+    body = b"\x02\x01\0" + b"".join(number(n) for n in range(1, 9))
+    der = b"\x30\x82" + len(body).to_bytes(2, "big") + body
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + b"\0\0\0\1" + field(b"k" * 51) + field(b"p" * 136)
+    key = base64.b64encode(der).decode()
+    lines = [key[i : i + 64] for i in range(0, len(key), 64)]
+    armour = "\n".join(["-----BEGIN RSA PRIVATE KEY-----", *lines, "-----END RSA PRIVATE KEY-----"])
+    wrap = lambda x, n=76: "\n".join(x[i : i + n] for i in range(0, len(x), n))
+    twice = base64.b64encode((armour + "\n").encode()).decode()
+    whole = base64.b64encode(json.dumps({"type": "service", "private_key": armour}).encode()).decode()
+    some = [
+        (json.dumps(armour)[1:-1], "pem"), (json.dumps(json.dumps(armour))[3:-3], "pem"), (armour.replace("\n", "\\r\\n"), "pem"),
+        (" +\n".join(f'"{x}\\n"' for x in armour.split("\n"))[1:-3], "pem"),
+        ("\n".join(lines), "key"), ("\n    ".join(lines), "key"), ("\r\n".join(lines), "key"), ("\\n".join(lines), "key"), (wrap(key, 20), "key"),
+        (wrap(base64.b64encode(ssh).decode(), 70), "key"), (wrap(der.hex().upper(), 64), "key"), (wrap(der.hex(), 32), "key"),
+        (twice, "pem"), (wrap(twice), "pem"), (wrap(armour.encode().hex(), 64), "pem"),
+    ]
+    for text, kind in some:
+        for before, after in (("\u00e9 some prose\n", "\nand some more words"), ('{"x": "', '", "y": 1}'), ("", "")):
+            found = [x for x in secret_scan.spans_of((before + text + after).encode()) if x[0] not in BASE]
+            assert found == [(kind, len(before), len(before) + len(text))], (text[:90], found)
+        row = secret_scan.redact(docs((1, f"prose\n{text}\nend"))).collect()[0]
+        assert row.text == "prose\n[secret]\nend"
+    for text in (whole, wrap(whole), f"anotherquitelongword\n{wrap(whole)}"):
+        assert [x[0] for x in secret_scan.spans_of(text.encode()) if x[0] not in BASE] == ["pem"]
+    for text in ("\n".join(lines[:-1]), wrap(base64.b64encode(b"just some text, " * 30).decode()), "MADE IN 30 DAYS " * 50, json.dumps(armour)[:-60]):
+        assert [x for x in secret_scan.spans_of(text.encode()) if x[0] not in BASE] == []
+
+
 def test_redact(docs, odd):
     out = secret_scan.redact(docs((1, "é token=abcdefghijklmnop tail"), (2, "clean"), (3, None))).collect()
     rows = {r.doc_id: r for r in out}

@@ -5,7 +5,9 @@ candidates and *parsed* before anything is reported: a signed token needs a base
 that is JSON with an ``alg`` and a payload that is JSON; a key needs base64 or hex that decodes
 to DER whose nested lengths add up and whose first members are those of a private key, or to
 the length-prefixed fields of an OpenSSH key.  Armoured keys are confirmed by their body in the
-same way.
+same way, also where their line breaks are escapes (JSON) or parts of a quoted text.  Keys without
+armour may be broken into lines: their own length tells how many characters belong to them.
+Base64 or hex that decodes to an armoured key counts as one.
 
 Null and empty texts have no spans.  Repeated rows give repeated results, rows without an id
 keep a null id, an empty table gives an empty result, and columns other than the two that are
@@ -19,6 +21,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,7 +41,20 @@ KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 TOKEN = re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 ENCODED = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_KEY = re.compile(rb"[0-9a-fA-F]{64,}")
-ARMOUR = re.compile(rb"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,.-]*?)-----END \1-----")
+ARMOUR = re.compile(rb"""-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,."'\\-]*?)-----END \1-----""")
+#: what may stand between two lines: white space, its escapes, a line that goes on, the ends of quoted parts
+BREAK = re.compile(rb"""(?:["']\s*[+.,]?\s*["']|\s|\\+[nrt]|\\)+""")
+BASE64, BASE16 = re.compile(rb"[A-Za-z0-9+/_-]+"), re.compile(rb"[0-9a-fA-F]+")
+#: where encoded DER or an encoded OpenSSH key may begin, and a longer encoded text
+START64, START16 = re.compile(rb"M[A-I]"), re.compile(rb"30")
+SSH64, SSH16 = re.compile(rb"b3BlbnNzaC1rZXktdjEA"), re.compile(rb"6[fF]70656[eE]7373682[dD]6")
+TEXT64, TEXT16 = re.compile(rb"[A-Za-z0-9+/_-]{16}"), re.compile(rb"[0-9a-fA-F]{32}")
+ESCAPED = re.compile(rb"\\[nrt]")
+#: what is left of five encoded dashes in any alignment, in one piece or two
+DASHES64, DASHES16 = (b"LS0", b"S0t", b"0tL", b"tLS"), (b"2d2d", b"d2d2")
+#: first bytes of the DER of a private key: its length, then a version or an algorithm
+HEAD = re.compile(rb"\x30(?:[\x00-\x7f]|\x81.|\x82..|\x83...|\x84....)(?:\x02\x01[\x00\x01]|\x30(?:[\x00-\x7f]|\x81.|\x82..)\x06)", re.DOTALL)
+OPENSSH = b"openssh-key-v1\0"
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -140,6 +156,122 @@ def confirmed(run: bytes, at: int) -> list[tuple[str, int, int]]:
     return found
 
 
+def gathered(text: bytes, at: int, line: re.Pattern, need: int | None = None) -> tuple[bytes, list[int], list[int]]:
+    """The encoded characters from a place on, over line breaks, and of each line its first character's number and place."""
+    parts, numbers, places, n = [], [], [], 0
+    while m := line.match(text, at):
+        parts.append(m[0])
+        numbers.append(n)
+        places.append(m.start())
+        n += len(m[0])
+        gap = None if need is not None and n >= need else BREAK.match(text, m.end())
+        if not gap:
+            break
+        at = gap.end()
+    return b"".join(parts), numbers, places
+
+
+def plain_bytes(chars: bytes, line: re.Pattern) -> bytes:
+    """What whole groups of encoded characters say, with the part of a last group that makes bytes."""
+    if line is BASE16:
+        return bytes.fromhex(chars[: len(chars) // 2 * 2].decode())
+    return decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b""
+
+
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of an OpenSSH key, by the lengths of its fields."""
+    at, count = len(OPENSSH), 3
+    for k in range(5):  # cipher, key derivation, its options; the number of keys; then each and the private part
+        if k == 3:
+            count, at = int.from_bytes(data[at : at + 4], "big"), at + 4
+            if not 1 <= count <= len(data):
+                return None
+            continue
+        for _ in range({4: count + 1}.get(k, 1)):
+            if at + 4 > len(data):
+                return None
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+    return at if at <= len(data) else None
+
+
+def broken_key(text: bytes, at: int, line: re.Pattern) -> int | None:
+    """Where the encoded key that starts at a place ends, if there is one; it may be broken into lines."""
+    data = plain_bytes(gathered(text, at, line, 48)[0][:48], line)
+    if data.startswith(OPENSSH):
+        size = openssh_size(plain_bytes(gathered(text, at, line)[0], line))
+    elif HEAD.match(data):
+        size = data[1] + 2 if data[1] < 0x80 else int.from_bytes(data[2 : 2 + data[1] - 0x80], "big") + 2 + data[1] - 0x80
+    else:
+        return None
+    if size is None:
+        return None
+    need = 2 * size if line is BASE16 else (4 * size + 2) // 3
+    chars, numbers, places = gathered(text, at, line, need)
+    if len(chars) != need or not private_key(plain_bytes(chars, line)):
+        return None
+    stop = places[-1] + need - numbers[-1]
+    while line is BASE64 and stop < len(text) and text[stop] == 61:
+        stop += 1
+    return stop
+
+
+def armoured(text: bytes) -> list[tuple[int, int]]:
+    """Places of armoured private keys whose body is one."""
+    found = []
+    for m in ARMOUR.finditer(text) if b"-----END " in text else ():
+        body = m[2]
+        if b"\\" in body or b'"' in body or b"'" in body:
+            body = re.sub(rb"\\+u00([0-9a-fA-F]{2})", lambda x: bytes.fromhex(x[1].decode()), body)
+            body = re.sub(rb"\\+[nrt]", b"\n", body).replace(b"\\", b"")
+            body = re.sub(rb"""["']\s*[+.,]?\s*["']""", b"\n", body)
+        data = decoded(b"".join(b"".join(x for x in body.split(b"\n") if b":" not in x).split()))
+        if data and (b"ENCRYPTED" in m[2] or private_key(data)):
+            found.append((m.start(), m.end()))
+    return found
+
+
+def encoded_armour(text: bytes, low: bytes) -> list[tuple[int, int]]:
+    """Places of base64 or hex, in one or more lines, that say an armoured private key."""
+    found = []
+    for pattern, line, group in ((TEXT64, BASE64, 4), (TEXT16, BASE16, 2)):
+        if not (any(x in text for x in DASHES64) if line is BASE64 else any(x in low for x in DASHES16)):
+            continue
+        at = 0
+        while m := pattern.search(text, at):
+            chars, numbers, places = gathered(text, m.start() + (ESCAPED.match(text, m.start() - 1) is not None if m.start() else 0), line)
+            at = places[-1] + len(chars) - numbers[-1]
+            for r in range(group):  # words in front may belong to the first line's group
+                data = plain_bytes(chars[r:], line)
+                for a, b in armoured(data) if b"-----BEGIN " in data else ():
+                    b += len(data[b:]) - len(data[b:].lstrip())
+                    first, last = (2 * a, 2 * b - 1) if line is BASE16 else (4 * a // 3, (4 * b + 2) // 3 - 1)
+                    i, k = (bisect_right(numbers, x + r) - 1 for x in (first, last))
+                    stop = places[k] + last + r - numbers[k] + 1
+                    while line is BASE64 and stop < len(text) and text[stop] == 61:
+                        stop += 1
+                    found.append((places[i] + first + r - numbers[i], stop))
+    return found
+
+
+def broken_keys(text: bytes, skip: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places of encoded keys, in one or more lines, that do not start in a place to skip."""
+    found = []
+    for patterns, line in (((START64, SSH64), BASE64), ((START16, SSH16), BASE16)):
+        for pattern in patterns:
+            reach = 0
+            for m in pattern.finditer(text):
+                at = m.start()
+                if at < reach or at and line.match(text, at - 1) and text[at - 1] not in b"-_" and not ESCAPED.match(text, max(0, at - 2)):
+                    continue
+                if any(a <= at < b for a, b in skip):
+                    continue
+                stop = broken_key(text, at, line)
+                if stop is not None:
+                    found.append((at, stop))
+                    reach = stop
+    return found
+
+
 def spans_of(text: bytes, runs: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all spans of a UTF-8 text, in code points, by start and kind.
 
@@ -155,12 +287,11 @@ def spans_of(text: bytes, runs: list[tuple[int, int]] | None = None) -> list[tup
             found += [(kind, a + m.start(), a + m.end()) for m in pattern.finditer(run) if len(m[0]) >= LEAST[kind]]
         if b - a >= 40:
             found += confirmed(run, a)
-    if b"-----BEGIN " in text:
-        for m in ARMOUR.finditer(text):
-            body = b"".join(x for x in m[2].split(b"\n") if b":" not in x)
-            data = decoded(b"".join(body.split()))
-            if data and (b"ENCRYPTED" in m[2] or private_key(data)):
-                found.append(("pem", m.start(), m.end()))
+    pem = armoured(text) if b"-----BEGIN " in text else []
+    pem += encoded_armour(text, low)
+    keys = broken_keys(text, pem)
+    found = [x for x in found if x[0] != "key" or not any(a <= x[1] and x[2] <= b for a, b in keys)]  # a first line by itself
+    found = list(dict.fromkeys([*found, *(("key", *x) for x in keys), *(("pem", *x) for x in pem)]))
     if found and not text.isascii():
         points = np.cumsum((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80)
         place = lambda i: int(points[i - 1]) if i else 0
