@@ -4,6 +4,7 @@ import base64
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -282,6 +283,14 @@ def test_positions_follow_the_schedule(spark, docs):
 # the pipeline
 
 
+def test_first_words_keep_white_space(spark):
+    text = "  def f():\n\n\tx = 1  # \u00e9\u3000y\r\n    return\x0bx \n"
+    rows = spark.createDataFrame([(text, n) for n in range(1, 12)] + [(None, 1), ("", 1)], "text string, n long")
+    got = [r.cut for r in rows.select(curriculum.first_words(F.col("text"), F.col("n")).alias("cut")).collect()]
+    ends = [m.end() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    assert got == [text[: ends[n - 1]] if n < len(ends) else text for n in range(1, 12)] + [None, ""]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as P
 

@@ -150,5 +150,6 @@ def training_order(assigned: DataFrame) -> DataFrame:
 
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word."""
-    cut = F.array_join(F.slice(F.split(F.regexp_replace(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " +", " "), " "), 1, n.cast("int")), " ")
-    return F.when(word_count(text) <= n, text).otherwise(cut)
+    # each word with the white space before it
+    words = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"), F.lit(0))
+    return F.when(word_count(text) <= n, text).otherwise(F.array_join(F.slice(words, 1, n.cast("int")), ""))
