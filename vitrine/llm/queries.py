@@ -10,12 +10,15 @@ from vitrine.llm import (
     fingerprint,
     license_scan,
     near_dup,
+    neighbour_graph,
     packing,
+    prefix_trie,
     quality_fm,
     repetition,
     secret_scan,
     token_counts,
     url_filter,
+    whitening,
 )
 from vitrine.llm.common import documents
 
@@ -157,3 +160,54 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM ran
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op11_rank_one_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_neighbour_descent")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_graph.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_prefix_trie", r"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS head,
+    xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda i: unicode(substr(conv_id::VARCHAR, i, 1))::UBIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: 0::UBIGINT)),
+        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), parts AS (
+  SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.head AND o.p <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.p, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.p > c.h
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d, sha256(strlen(role) || ':' || role || text) AS token, length(text) AS size FROM parts
+), paths AS (
+  SELECT conv_id, 0 AS d, '' AS path, 0 AS size FROM convs
+  UNION ALL SELECT conv_id, d, string_agg(token, '') OVER (PARTITION BY conv_id ORDER BY d), size FROM turns
+), lengths AS (
+  SELECT conv_id, max(d) AS n FROM paths GROUP BY 1
+), nodes AS (
+  SELECT path, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS own_saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE d = n), '') AS ends
+  FROM paths JOIN lengths USING (conv_id) GROUP BY path
+), kin AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.path AS parent_path
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:64 * (n.depth - 1)]
+), counted AS (
+  SELECT k.*, coalesce(c.n, 0) AS n_children FROM kin k LEFT JOIN (SELECT parent_path, count(*) AS n FROM kin GROUP BY 1) c ON c.parent_path = k.path
+), sums AS (
+  SELECT a.path, sum((c.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(c.own_saved)::BIGINT AS saved_tokens
+  FROM counted c JOIN paths a ON a.conv_id = c.conv_id AND a.d <= c.depth GROUP BY 1
+)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM counted JOIN sums USING (path)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
