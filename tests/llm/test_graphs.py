@@ -143,6 +143,9 @@ def test_neighbours_of_few(spark):
     pair = neighbour_graph.nearest(spark.createDataFrame([(0, [1.0, 2.0], 0), (3, [2.0, 1.0], 0)], VECTORS)).collect()
     assert [tuple(r) for r in pair] == [(0, 1, 3, 4.0)]
     assert neighbour_graph.nearest(spark.createDataFrame([(0, [1.0], 0)], VECTORS)).count() == 0
+    copies = neighbour_graph.nearest(spark.createDataFrame([(i, [3.0, 4.0], 0) for i in range(45)], VECTORS)).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in copies) == sorted((q, k + 1, v) for q in (0, 20, 40) for k, v in enumerate([v for v in range(45) if v != q][:20]))
+    assert {r.score for r in copies} == {25.0}
 
 
 def test_descent_finds_what_leaves_miss(spark):

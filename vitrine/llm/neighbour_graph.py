@@ -35,12 +35,14 @@ from vitrine.session import materialize
 
 #: neighbours of a node, further ways to nodes of which it is a neighbour, forests, nodes of a leaf
 DEGREE, REVERSE, FORESTS, LEAF = 32, 16, 6, 4_096
+#: leaves of a block of descent, as a power of two
+COARSE = 2
 #: most rounds of descent, and the share of all neighbours that has to change for another one
 ROUNDS, STILL = 4, 0.1
 #: nodes that a query keeps, rounds of its search, nodes that it ranks by exact products, nodes where queries enter
 BEAM, STEPS, EXACT, ENTRIES = 128, 8, 48, 512
-#: queries of one block
-BATCH = 256
+#: queries of one block, and vectors that it holds at once
+BATCH, HELD = 2_048, 65_536
 
 _NODE = "node long, code array<long>, near binary"
 
@@ -91,8 +93,29 @@ def best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(-scores, k - 1, axis=1)[:, :k] if k < scores.shape[1] else np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
 
 
+LINKS = "u long, w array<long>, score array<float>"
+
+
+def per_node(u: np.ndarray, w: np.ndarray, score: np.ndarray, degree: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the ``degree`` best distinct w of every u (u rising, best first, ties to the smaller w), and where each u begins."""
+    order = np.lexsort((w, -score, u))
+    # of equal (u, w) only the best stays
+    by = np.lexsort((-score, w, u))
+    twin = np.zeros(len(u), dtype=bool)
+    twin[by[1:]] = (u[by[1:]] == u[by[:-1]]) & (w[by[1:]] == w[by[:-1]])
+    order = order[~twin[order]]
+    first = np.flatnonzero(np.r_[True, u[order][1:] != u[order][:-1]]) if len(order) else np.zeros(0, dtype=int)
+    place = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+    order = order[place < degree]
+    return order, np.flatnonzero(np.r_[True, u[order][1:] != u[order][:-1]]) if len(order) else np.zeros(0, dtype=int)
+
+
+def as_lists(values: np.ndarray, first: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.r_[first, len(values)], pa.int32()), pa.array(values, kind))
+
+
 def seeds(nodes: DataFrame, leaves: DataFrame, degree: int) -> DataFrame:
-    """(u, w, score): the best neighbours of each node in its leaves."""
+    """(u, w, score): lists of the best neighbours of each node in each of its leaves."""
 
     def leaf(table: pa.Table):
         ids, x = table["node"].to_numpy(), vectors(table["near"], "<f4")
@@ -101,28 +124,69 @@ def seeds(nodes: DataFrame, leaves: DataFrame, degree: int) -> DataFrame:
             s = x[a : a + 512] @ x.T
             s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
             at = best(s, k)
-            yield {"u": np.repeat(ids[a : a + 512], k), "w": ids[at].ravel(), "score": np.take_along_axis(s, at, 1).ravel()}
+            cuts = np.arange(0, at.size, k)
+            yield {"u": ids[a : a + 512], "w": as_lists(ids[at].ravel(), cuts, pa.int64()), "score": as_lists(np.take_along_axis(s, at, 1).ravel(), cuts, pa.float32())}
 
-    return map_groups(leaves.join(nodes.select("node", "near"), "node").select("leaf", "node", "near"), "leaf", ["node"], "u long, w long, score float", leaf)
+    return map_groups(leaves.join(nodes.select("node", "near"), "node").select("leaf", "node", "near"), "leaf", ["node"], LINKS, leaf)
 
 
-def keep_best(pairs: DataFrame, degree: int) -> DataFrame:
-    """(node, near_ids, worst) from (u, w, score): the ``degree`` best of every node; ties to the smaller id."""
-    one = pairs.groupBy("u", "w").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("u").orderBy(F.col("score").desc(), "w")
-    top = one.withColumn("k", F.row_number().over(order)).where(F.col("k") <= degree)
-    return top.groupBy("u").agg(F.sort_array(F.collect_list(F.struct("k", "w", "score"))).alias("x")).select(
-        F.col("u").alias("node"), F.col("x.w").alias("near_ids"), F.col("x.score").alias("scores"),
-        F.when(F.size("x") == degree, F.element_at("x", -1)["score"]).otherwise(F.lit(float("-inf")).cast("float")).alias("worst"))
+def keep_best(links: DataFrame, degree: int, known: DataFrame | None = None) -> DataFrame:
+    """(node, near_ids, scores, worst, fresh): the ``degree`` best of all lists of every node; ``fresh`` are not in ``known``.
 
+    A task holds one batch and the best of the node that the next batch may go on with.
+    """
+    ddl = "node long, near_ids array<long>, scores array<float>, worst float, fresh long"
+    schema = schema_of(ddl)
+    rows = links.withColumn("old", F.lit(False))
+    if known is not None:
+        rows = rows.unionByName(known.select(F.col("node").alias("u"), F.col("near_ids").alias("w"), F.col("scores").alias("score"), F.lit(True).alias("old")))
+
+    def merged(held):
+        u, w, score, old = (np.concatenate(x) for x in held)
+        # what is known already comes first among twins, so that it doesn't count as fresh
+        by = np.lexsort((~old, w, u))
+        twin = np.r_[False, (u[by[1:]] == u[by[:-1]]) & (w[by[1:]] == w[by[:-1]])]
+        start = np.maximum.accumulate(np.where(twin, 0, np.arange(len(by))))
+        old[by] = old[by][start]
+        order, first = per_node(u, w, score, degree)
+        return u[order], w[order], score[order], old[order], first
+
+    def table(u, w, score, old, first):
+        ends = np.r_[first[1:], len(u)] - 1
+        full = ends - first + 1 >= degree
+        counts = np.add.reduceat(~old, first) if len(first) else np.zeros(0)
+        return pa.RecordBatch.from_arrays([
+            pa.array(u[first]), as_lists(w, first, pa.int64()), as_lists(score, first, pa.float32()),
+            pa.array(np.where(full, score[ends], -np.inf).astype(np.float32)), pa.array(counts.astype(np.int64))], schema=schema)
 
-def descend(nodes: DataFrame, graph: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(u, w, score) of all pairs of neighbours of one node that beat the worst neighbour of u."""
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of, w = lists(pa.chunked_array([batch.column("w")]))
+            new = batch.column("u").to_numpy()[of], w, lists(pa.chunked_array([batch.column("score")]))[1], batch.column("old").to_numpy(zero_copy_only=False)[of]
+            if not len(of):
+                continue
+            u, w, score, old, first = merged([[x, y] for x, y in zip(held, new)] if held else [[x] for x in new])
+            cut = first[-1]
+            if cut:
+                yield table(u[:cut], w[:cut], score[:cut], old[:cut], first[:-1])
+            held = u[cut:], w[cut:], score[cut:], old[cut:]
+        if held:
+            yield table(*held, np.zeros(1, dtype=int))
+
+    return rows.repartition("u").sortWithinPartitions("u").mapInArrow(run, ddl)
+
+
+def descend(nodes: DataFrame, graph: DataFrame, blocks: DataFrame, degree: int) -> DataFrame:
+    """(u, w, score): lists of neighbours of neighbours that beat the worst neighbour of u, the best of every block."""
     here = graph.join(blocks, "node").select("block", "node", "near_ids")
-    need = here.select("block", F.explode("near_ids").alias("node")).distinct()
-    items = need.join(nodes.select("node", "near").join(graph.select("node", "worst"), "node"), "node")
+    need = here.select("block", F.explode("near_ids").alias("item")).distinct()
+    of = nodes.select("node", "near").join(graph.select("node", "worst"), "node").withColumnRenamed("node", "item")
+    items = need.join(of, "item")
     rows = here.select("block", F.lit(1).alias("kind"), "node", "near_ids", F.lit(None).cast("binary").alias("near"), F.lit(0.0).cast("float").alias("worst")).unionByName(
-        items.select("block", F.lit(0).alias("kind"), "node", F.array().cast("array<long>").alias("near_ids"), "near", "worst"))
+        items.select("block", F.lit(0).alias("kind"), F.col("item").alias("node"), F.array().cast("array<long>").alias("near_ids"), "near", "worst"))
 
     def block(table: pa.Table):
         n = int((table["kind"].to_numpy() == 0).sum())
@@ -135,25 +199,27 @@ def descend(nodes: DataFrame, graph: DataFrame, blocks: DataFrame) -> DataFrame:
             better = s > worst[at][:, None]
             np.fill_diagonal(better, False)
             i, j = np.nonzero(better)
-            found.append((at[i].astype(np.int64) * len(ids) + at[j], s[i, j]))
+            found.append((at[i], at[j], s[i, j]))
             held += len(i)
             if held > 1_000_000:
                 yield once(found, ids)
                 found, held = [], 0
-        yield once(found, ids)
+        if found:
+            yield once(found, ids)
 
     def once(found: list, ids: np.ndarray) -> dict:
-        key, score = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, dtype=t) for k, t in ((0, np.int64), (1, np.float32)))
-        key, at = np.unique(key, return_index=True)
-        return {"u": ids[key // len(ids)], "w": ids[key % len(ids)], "score": score[at]}
+        u, w, score = (np.concatenate(x) for x in zip(*found))
+        order, first = per_node(ids[u], ids[w], score, degree)
+        return {"u": ids[u[order[first]]], "w": as_lists(ids[w[order]], first, pa.int64()), "score": as_lists(score[order], first, pa.float32())}
 
-    return map_groups(rows, "block", ["kind", "node"], "u long, w long, score float", block)
+    return map_groups(rows, "block", ["kind", "node"], LINKS, block)
 
 
 class Index:
-    """The nodes (node, near, code), their members (node, id), exact vectors (node, vector) and neighbours (node, near_ids)."""
+    """All rows (id, vector), the nodes (node, near, code), their members (node, id), exact vectors (node, vector) and neighbours (node, near_ids)."""
 
-    def __init__(self, nodes: DataFrame, members: DataFrame, graph: DataFrame, size: int, norm: float, entries: tuple[np.ndarray, np.ndarray]) -> None:
+    def __init__(self, rows: DataFrame, nodes: DataFrame, members: DataFrame, graph: DataFrame, size: int, norm: float, entries: tuple[np.ndarray, np.ndarray]) -> None:
+        self.rows = rows
         self.nodes, self.members, self.graph, self.size, self.norm, self.entries = nodes, members, graph, size, norm, entries
 
 
@@ -200,20 +266,21 @@ def build(
     dealt = codes.join(count, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
     leaves = materialize(dealt.select("node", "tree", F.xxhash64("tree", "code", "part").alias("leaf")), "ann-leaves")
     graph = materialize(keep_best(seeds(nodes, leaves, degree), degree), "ann-graph")
-    blocks = leaves.where("tree = 0").select("node", F.col("leaf").alias("block"))
-    pairs = lambda g: g.select(F.col("node").alias("u"), F.explode(F.arrays_zip(F.col("near_ids").alias("w"), F.col("scores").alias("score"))).alias("x")).select("u", "x.w", "x.score")
+    # blocks of a few neighbouring leaves: the larger they are, the fewer vectors are fetched twice
+    coarse = nodes.select("node", F.shiftright(F.get("code", F.lit(0)), COARSE).alias("code"))
+    parts = coarse.groupBy("code").agg(F.ceil(F.count("*") / (leaf << COARSE)).alias("parts"))
+    blocks = materialize(coarse.join(parts, "code").select("node", F.xxhash64("code", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("block")), "ann-blocks")
     for _ in range(rounds if bits else 0):
-        better = descend(nodes, graph, blocks).unionByName(pairs(graph))
-        now = materialize(keep_best(better, degree), "ann-graph")
-        changed = pairs(now).join(pairs(graph).select("u", "w"), ["u", "w"], "left_anti").count()
-        graph = now
-        if changed < still * n * degree:
+        graph = materialize(keep_best(descend(nodes, graph, blocks, degree), degree, graph), "ann-graph")
+        if graph.agg(F.sum("fresh")).first()[0] < still * n * degree:
             break
     # searches also go against the links, so that a node that is nobody's neighbour is found by its own
-    back = keep_best(pairs(graph).select(F.col("w").alias("u"), F.col("u").alias("w"), "score"), reverse).select("node", F.col("near_ids").alias("back"))
+    turned = graph.select(F.explode(F.arrays_zip(F.col("near_ids").alias("u"), F.col("scores").alias("s"))).alias("x"), "node").select(
+        "x.u", F.array("node").alias("w"), F.array("x.s").alias("score"))
+    back = keep_best(turned, reverse).select("node", F.col("near_ids").alias("back"))
     ways = graph.join(back, "node", "left").select("node", F.array_union("near_ids", F.coalesce("back", F.array().cast("array<long>"))).alias("near_ids"))
     own = few.join(heads, "vector").select("node", "id")
-    return Index(nodes, materialize(own, "ann-own"), materialize(ways, "ann-ways"), size, norm, entries)
+    return Index(known, nodes, materialize(own, "ann-own"), materialize(ways, "ann-ways"), size, norm, entries)
 
 
 def search(index: Index, queries: DataFrame, top: int = 20, beam: int = BEAM, steps: int = STEPS, exact: int = EXACT, batch: int = BATCH) -> DataFrame:
@@ -248,25 +315,35 @@ def search(index: Index, queries: DataFrame, top: int = 20, beam: int = BEAM, st
             ("query", "long"), ("vector", "binary"), ("seen", "array<long>"), ("kept", "array<long>"), ("scores", "array<float>"), ("open", "array<long>"))}, **given}
         return df.select("block", F.lit(kind).alias("kind"), *[c.alias(n) for n, c in own.items()])
 
+    def wanted(table: pa.Table):
+        ids = np.unique(np.concatenate([lists(table["ids"])[1], table["node"].to_numpy()]))
+        yield {"block": np.full(len(ids), table["block"][0].as_py()), "at": ids}
+
     def step(table: pa.Table):
         kind = table["kind"].to_numpy()
         a, b = int((kind == 0).sum()), int((kind <= 1).sum())
-        ids, x = table["node"][:a].to_numpy(), vectors(table["near"][:a], "<f4")
+        asked = table.slice(0, a).to_pydict()
         looked = table["node"][a:b].to_numpy()
         of, to = lists(table["ids"][a:b])
         cut = np.searchsorted(of, np.arange(len(looked) + 1))
-        asked = table.slice(b).to_pydict()
-        out: dict = {name: [] for name in state_schema.names}
         q = unit(asked["vector"], size, norm, False).astype(np.float32)
-        for i in range(len(asked["query"])):
-            rows = np.searchsorted(looked, np.array(asked["open"][i], dtype=np.int64))
-            new = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *(to[cut[r] : cut[r + 1]] for r in rows if r < len(looked)), *([np.array(asked["open"][i], dtype=np.int64)] if not asked["kept"][i] else [])]))
-            kept = np.array(asked["kept"][i], dtype=np.int64)
-            new = new[~np.isin(new, kept)]
-            p = np.searchsorted(ids, new)
-            s = np.array(asked["scores"][i], dtype=np.float32)
-            s = np.concatenate([s, x[p] @ q[i]]) if len(p) else s
-            all_ = np.concatenate([kept, new])
+        new, found = [], []
+        for i in range(a):
+            opened, kept = (np.array(asked[c][i], dtype=np.int64) for c in ("open", "kept"))
+            rows = np.searchsorted(looked, opened)
+            more = np.unique(np.concatenate([*(to[cut[r] : cut[r + 1]] for r in rows), opened[: 0 if len(kept) else None]]))
+            new.append(more[~np.isin(more, kept, assume_unique=True)])
+            found.append(np.zeros(len(new[-1]), dtype=np.float32))
+        for c in range(b, len(kind), HELD):  # vectors come in the order of their nodes
+            ids, x = table["node"][c : c + HELD].to_numpy(), vectors(table["near"][c : c + HELD], "<f4")
+            for i in range(a):
+                lo, hi = np.searchsorted(new[i], ids[0]), np.searchsorted(new[i], ids[-1], side="right")
+                if lo < hi:
+                    found[i][lo:hi] = x[np.searchsorted(ids, new[i][lo:hi])] @ q[i]
+        out: dict = {name: [] for name in state_schema.names}
+        for i in range(a):
+            all_ = np.concatenate([np.array(asked["kept"][i], dtype=np.int64), new[i]])
+            s = np.concatenate([np.array(asked["scores"][i], dtype=np.float32), found[i]])
             order = np.lexsort((all_, -s))[:beam]
             all_, s = all_[order], s[order]
             seen = np.array(asked["seen"][i], dtype=np.int64)
@@ -277,13 +354,13 @@ def search(index: Index, queries: DataFrame, top: int = 20, beam: int = BEAM, st
 
     for _ in range(steps):
         look = state.select("block", F.explode("open").alias("node")).distinct().join(index.graph.select("node", F.col("near_ids").alias("ids")), "node", "left")
-        look = look.withColumn("ids", F.coalesce("ids", nothing["ids"]))
-        if state.where(F.size("open") > 0).isEmpty():
+        look = materialize(look.withColumn("ids", F.coalesce("ids", nothing["ids"])), "ann-look")
+        if look.isEmpty():
             break
-        look = materialize(look, "ann-look")
-        need = look.select("block", F.explode(F.concat("ids", F.array("node"))).alias("node")).distinct().join(near, "node")
-        rows = rows_of(0, need, node=F.col("node"), near=F.col("near")).unionByName(rows_of(1, look, node=F.col("node"), ids=F.col("ids"))).unionByName(
-            rows_of(2, state, **{c: F.col(c) for c in kept_columns}))
+        need = map_groups(look, "block", [], "block long, at long", wanted)
+        vectors_ = near.withColumnRenamed("node", "at")
+        rows = rows_of(0, state, **{c: F.col(c) for c in kept_columns}).unionByName(rows_of(1, look, node=F.col("node"), ids=F.col("ids"))).unionByName(
+            rows_of(2, need.join(vectors_, "at"), node=F.col("at"), near=F.col("near")))
         state = materialize(map_groups(rows, "block", ["kind", "node"], state_ddl, step), "ann-state")
 
     # exact products of the best, and of the query's own node
@@ -316,7 +393,7 @@ def nearest(
     index = build(rows, vec_id, embedding, top + 1, **parameters)
     if index is None:
         return rows.sparkSession.createDataFrame([], ddl)
-    known = classes(rows, vec_id, embedding).where(F.col("id") % every == 0).select("id", "vector")
+    known = index.rows.where(F.col("id") % every == 0).select("id", "vector")
     asked = materialize(known.join(index.nodes.select("node", "vector"), "vector").select("id", "node"), "ann-asked")
     queries = asked.select("node").distinct().join(index.nodes.select("node", "vector"), "node").select(F.col("node").alias("query"), "vector", F.col("node").alias("own"))
     found = materialize(search(index, queries, top), "ann-found")
