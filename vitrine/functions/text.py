@@ -99,41 +99,65 @@ def loose_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold_accents(F.trim(as_text(c)))), r"(?U)\s+", " "))
 
 
-# every named entity that ends in a semicolon, as one map literal, escaped for a SQL string
-_ENTITY_MAP = "map({})".format(", ".join(
-    "'{}', '{}'".format(name[:-1], "".join(f"\\U{ord(ch):08x}" for ch in text))
-    for name, text in sorted(html5.items()) if name.endswith(";")
-))
+# Names of character references come from Python's own table of the HTML5 standard. All that end in a semicolon are one
+# text literal ("\0name=value\0..."), so that a plan holds one node for them; those that may stand without it are a pattern.
+_NAMED = "\0" + "\0".join(f"{name[:-1]}={value}" for name, value in sorted(html5.items()) if name.endswith(";")) + "\0"
+_BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+_BARE_PATTERN = f"^({'|'.join(_BARE)})"
+# what the standard puts in place of numbers 128 to 159: the characters of Windows-1252, where it has one
+_C1 = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
+_NUMERIC = r"^#(?:[xX]([0-9A-Fa-f]+)|([0-9]+));?"
+
+
+def _of_name(name: Column) -> Column:
+    """Value of a name that ends in a semicolon, NULL if there is none."""
+    key = F.concat(F.lit("\0"), name, F.lit("="))
+    at = F.instr(F.lit(_NAMED), key)
+    common = F.when(name == "amp", "&").when(name == "quot", '"').when(name == "lt", "<").when(name == "gt", ">").when(name == "nbsp", "\u00a0")
+    return F.coalesce(common, F.when(at > 0, F.substring_index(F.substring(F.lit(_NAMED), at + F.length(key), F.lit(4)), "\0", 1)))
+
+
+def _of_number(part: Column) -> Column:
+    """Character of a decimal or hexadecimal reference at the start of a text."""
+    hexadecimal = F.regexp_extract(part, _NUMERIC, 1)
+    digits = F.regexp_replace(F.concat(hexadecimal, F.regexp_extract(part, _NUMERIC, 2)), "^0+(?=.)", "")
+    code = F.when(F.length(digits) > 8, F.lit(0x7FFFFFFF).cast("long")).when(
+        hexadecimal != "", F.conv(digits, 16, 10).cast("long")).otherwise(digits.cast("long"))
+
+    def character(c: Column) -> Column:
+        silent = (
+            c.between(1, 8) | (c == 11) | c.between(14, 31) | (c == 127) | c.between(0xFDD0, 0xFDEF) | (c.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+        return (
+            F.when((c == 0) | (c > 0x10FFFF) | c.between(0xD800, 0xDFFF), "\ufffd")
+            .when(silent, "")
+            .when(c.between(128, 159), F.substring(F.lit(_C1), (c - 127).cast("int"), F.lit(1)))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")))
 
+    return let(code, character)
 
-def unescape_entities(c: Column) -> Column:
-    """Resolve every named and numeric entity in one text."""
-    text = as_text(c)
-    names = F.expr(_ENTITY_MAP)
 
-    def utf32(digits: Column, base: int) -> Column:
-        code = F.conv(digits, base, 16)
-        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+def unescape_entities(c: Column) -> Column:
+    """Resolve character references as HTML5 does, once and from left to right.
 
-    def value_of(name: Column) -> Column:
-        return (
-            F.when(name.rlike(r"^#0*(?:[0-9]{1,6}|10[0-9]{5}|110[0-9]{4}|111[0-3][0-9]{3}|11140[0-9]{2}|111410[0-9]|111411[01])$"), utf32(F.substring(name, 2, 99), 10))
-            .when(name.rlike(r"^#[xX]0*(?:[0-9A-Fa-f]{1,5}|10[0-9A-Fa-f]{4})$"), utf32(F.substring(name, 3, 99), 16))
-            .otherwise(F.try_element_at(names, name))
-        )
+    A name without its semicolon counts if the standard has it so, the longest one that fits. Numbers 128 to 159 are read as
+    Windows-1252, zero, surrogates and numbers that are no character become U+FFFD, and control characters and
+    noncharacters vanish.  Texts without ``&`` are left as they are.
+    """
+    text = as_text(c)
 
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#?[A-Za-z0-9]+);"), F.lit(1)))
-    # the ampersand itself comes last so that a doubly escaped entity loses one level only
-    ordered = F.concat(F.array_remove(found, "amp"), F.filter(found, lambda e: e == "amp"))
-    replaced = F.aggregate(
-        ordered,
-        text,
-        lambda acc, e: F.replace(
-            acc, F.concat(F.lit("&"), e, F.lit(";")),
-            F.coalesce(value_of(e), F.concat(F.lit("&"), e, F.lit(";"))),
-        ),
-    )
-    return F.when(F.contains(text, F.lit("&")), replaced).otherwise(text)
+    def resolved(part: Column) -> Column:
+        whole = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        # a name with its semicolon, else the longest that stands without one; none has itself and takes nothing
+        names = F.array(F.struct(whole.alias("name"), F.lit(1).alias("more")), F.struct(F.regexp_extract(part, _BARE_PATTERN, 1).alias("name"), F.lit(0).alias("more")))
+        found = F.filter(F.transform(F.filter(names, lambda n: n["name"] != ""), lambda n: F.struct(
+            _of_name(n["name"]).alias("value"), (F.length(n["name"]) + n["more"]).alias("size"))), lambda n: n["value"].isNotNull())
+        by_name = let(F.get(found, F.lit(0)), lambda x: F.coalesce(
+            F.concat(x["value"], F.substring(part, x["size"] + 1, F.length(part))), F.concat(F.lit("&"), part)))
+        return F.when(part.rlike(_NUMERIC), F.concat(_of_number(part), F.regexp_replace(part, _NUMERIC, ""))).otherwise(by_name)
+
+    parts = F.split(text, "&", -1)
+    joined = let(parts, lambda p: F.concat(F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, 2, F.size(p)), resolved), "")))
+    return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
 def clean_text(c: Column) -> Column:

@@ -1,8 +1,7 @@
 """Nested JSON held as VARIANT: row-local descent without shuffles.
 
 A level is an ``array<struct<path,doc>>``; going one level down is one expression, so a
-document is walked inside its own row however many rows there are.  Depth is unrolled;
-a document deeper than that fails loudly instead of being cut.
+document is walked inside its own row however many rows there are and however deep it is.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NODE = "array<struct<path:string,doc:variant>>"
-DEPTH = 12
 
 
 def get(doc: Column, path: str, kind: str = "string") -> Column:
@@ -56,21 +54,20 @@ def children(node: Column) -> Column:
     return F.coalesce(from_list, from_object, no_nodes())
 
 
-def walk(df, seed: Column, out: str, step: Callable[[Column], Column], depth: int = DEPTH):
-    """Adds ``out``: the seed nodes and everything ``step`` finds below, level by level.
+def walk(df, seed: Column, out: str, step: Callable[[Column], Column]):
+    """Adds ``out``: the seed nodes and everything ``step`` finds below, level by level, however deep a document is.
 
-    Levels are staged as columns so that the plan stays linear in the depth.
+    A row goes down until no node has children.  The steps are counted by the opening brackets of its documents, which are
+    never fewer than its levels, and a row that is done does nothing more in the steps that are left.
     """
-    level = f"__{out}0"
-    df = df.withColumn(level, seed)
-    levels = [level]
-    for n in range(1, depth + 1):
-        below = F.flatten(F.transform(F.col(levels[-1]), step))
-        level = f"__{out}{n}"
-        df = df.withColumn(level, below)
-        levels.append(level)
-    too_deep = F.size(F.flatten(F.transform(F.col(levels[-1]), step))) > 0
-    nodes = F.when(
-        too_deep, F.raise_error(F.lit(f"document deeper than {depth} levels")).cast(NODE)
-    ).otherwise(F.concat(*[F.col(x) for x in levels]))
-    return df.withColumn(out, nodes).drop(*levels)
+    brackets = lambda n: F.length(F.regexp_replace(F.coalesce(F.to_json(n["doc"]), F.lit("")), r"[^\[{]+", ""))
+    deepest = F.greatest(F.coalesce(F.array_max(F.transform(seed, brackets)), F.lit(0)), F.lit(1))
+
+    def down(state: Column, _: Column) -> Column:
+        below = F.array(F.flatten(F.transform(state["front"], step)))
+        next_ = F.get(F.transform(below, lambda b: F.struct(b.alias("front"), F.concat(state["nodes"], b).alias("nodes"))), F.lit(0))
+        return F.when(F.size(state["front"]) == 0, state).otherwise(next_)
+
+    start = F.struct(F.col(f"__{out}").alias("front"), F.col(f"__{out}").alias("nodes"))
+    walked = F.aggregate(F.sequence(F.lit(1), F.col(f"__{out}_deep")), start, down, lambda state: state["nodes"])
+    return df.withColumn(f"__{out}", F.coalesce(seed, no_nodes())).withColumn(f"__{out}_deep", deepest).withColumn(out, walked).drop(f"__{out}", f"__{out}_deep")

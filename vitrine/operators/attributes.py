@@ -11,18 +11,18 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import models as D
 from vitrine.functions import variants as V
-from vitrine.functions.measures import screen_from_spec
+from vitrine.functions.markup import with_page_pairs
+from vitrine.functions.measures import COMPACT_WORDS, screen_from_spec, title_mass
 from vitrine.functions.money import coupon_result, format_brl
 from vitrine.functions.text import (
-    as_text, clean_text, colour_word, first_present, model_year, present, squash, unescape_entities,
+    as_text, clean_text, first_present, key_text, present, squash, unescape_entities,
 )
 from vitrine.functions.urls import seller_from_url, sku_from_url, url_matches_id
-from vitrine.functions.validators import refrigerator_type
 from vitrine.operators import evidence as E
-from vitrine.operators.labels import label_dictionary, label_rows
+from vitrine.operators.labels import label_rows
 from vitrine.operators.relevance import is_line_title, is_standalone_dryer
+from vitrine.operators.row_evidence import with_evidence, with_fields
 from vitrine.operators.sku import resolve_refrigerator_sku, resolve_washer_sku
-from vitrine.session import materialize
 from vitrine.sources.pages import data_island
 
 LINE_FIELDS = {
@@ -42,30 +42,22 @@ def flat_description(html: Column) -> Column:
     return F.regexp_replace(squash(unescape_entities(t)), r":\s*:\s*", ": ")
 
 
-def resolve_fields(products: DataFrame, labels: DataFrame, keys: list[str], layout: str, line: str,
-                   source: str) -> DataFrame:
-    """All attributes of a line from labels, description and title, one row per product.
+GATED = ("screen_size", "estimated_annual_electricity_use", "ref_capacity", "ldy_capacity", "ldy_loading_type")
 
-    products: keys, title, description (flattened).
+
+def resolve_fields(products: DataFrame, layout: str, line: str, context: Column | None = None) -> DataFrame:
+    """All attributes of a line from labels, description and title, in the product's own row.
+
+    products: title, description (flattened), labels.  ``context``: category texts that may tell a compact washer.
     """
     wanted = [*LINE_FIELDS[line], "reference", "model"]
-    words = label_dictionary(products.sparkSession, layout).filter(F.col("field").isin(*wanted))
-    rules = tuple(dict.fromkeys(rule for _, field, _, rule in label_rows(layout) if field in wanted))
-    ev = E.union_all([
-        E.labelled_evidence(labels, words, keys, source, rules),
-        E.description_evidence(products, keys, layout, fields=wanted),
-        E.title_evidence(products, keys, fields=wanted),
-        _title_words(products, keys),
-        *([E.unlabelled_evidence(labels, keys, wanted)] if layout == "M" else []),
-    ])
-    policies = {f: p for f, p in E.POLICIES.items() if f in wanted}
-    resolved = E.resolve(ev.filter(F.col("field").isin(*wanted)), keys, policies)
-    out = products.join(E.pivot_fields(resolved, keys, wanted), keys, "left")
-    blanks = {f: F.coalesce(F.col(f), F.lit("")) for f in wanted}
     product = is_line_title(F.col("title"), line)
-    gated = {"screen_size", "estimated_annual_electricity_use", "ref_capacity", "ldy_capacity", "ldy_loading_type"}
-    for f in gated & set(wanted):
-        blanks[f] = F.when(product, blanks[f]).otherwise("")
+    compact = None
+    if line == "LDY" and layout == "M":
+        told = key_text(F.coalesce(context, F.lit(""))).rlike(r"\bmmlp\b|\bmini (?:maquina de lavar|lavadora)\b")
+        compact = (told | (product & key_text(F.col("title")).rlike(COMPACT_WORDS))) & (title_mass(F.col("title")) == "")
+    out = with_fields(with_evidence(products, layout, wanted, compact=compact, out="__evidence"), wanted, "__evidence").drop("__evidence")
+    blanks = {f: F.when(product, F.col(f)).otherwise("") for f in wanted if f in GATED}
     if line == "LDY":
         dryer = is_standalone_dryer(F.col("title"))
         for f in ("ldy_capacity", "ldy_loading_type"):
@@ -76,22 +68,6 @@ def resolve_fields(products: DataFrame, labels: DataFrame, keys: list[str], layo
     return out.withColumns(blanks)
 
 
-def _title_words(products: DataFrame, keys: list[str]) -> DataFrame:
-    """Colour, architecture and year a title or description spells out."""
-    t, d = F.col("title"), F.col("description")
-    labelled_year = F.regexp_extract(as_text(d), r"(?i)\bAno\b[^<\n]{0,20}?\b((?:19|20)\d{2})\b", 1)
-    labelled_colour = colour_word(F.regexp_extract(as_text(d), r"(?i)\bcor\s*:\s*([^;\n\r]+)", 1))
-    entry = lambda field, level, source, c: F.struct(
-        F.lit(field).alias("field"), F.lit(level).alias("level"), F.lit(source).alias("source"), c.alias("raw"))
-    found = F.array(
-        entry("model_year", 40, "description", labelled_year), entry("model_year", 90, "title", model_year(t)),
-        entry("ldy_color", 40, "description", labelled_colour), entry("ldy_color", 90, "title", colour_word(t)),
-        entry("ref_refrigerator_type", 0, "title", refrigerator_type(t)),
-    )
-    return products.select(*keys, F.explode(found).alias("f")).select(
-        *keys, "f.field", "f.level", F.lit("0").alias("ordinal"), "f.source", "f.raw").filter(present(F.col("raw")))
-
-
 def _offer(doc: Column, seller: Column) -> Column:
     """Offer of the wanted seller; without one the first offer; no match gives NULL."""
     offers = V.get(doc, "$.offers", "array<variant>")
@@ -100,18 +76,36 @@ def _offer(doc: Column, seller: Column) -> Column:
     return F.when(wanted == "", F.get(offers, F.lit(0))).otherwise(F.get(mine, F.lit(0)))
 
 
-def detail_layout_m(items: DataFrame, keys: list[str], line: str, doc: str = "doc",
-                    seller: str = "seller_id") -> DataFrame:
-    """Detail row of a layout-M item document and the selected seller's offer."""
+def _page_labels(pairs: Column) -> Column:
+    """Label / value pairs of a page as label rows, behind all others."""
+    return F.transform(pairs, lambda p, i: F.struct(
+        F.lit("page").alias("source"), p["label_key"].alias("label_key"),
+        F.concat(F.lit("~~"), F.lpad(i.cast("string"), 6, "0")).alias("order_key"), p["value"].alias("value")))
+
+
+def page_labels_of(layout: str, line: str) -> list[str]:
+    """Keys of the labels that a page's pairs may carry for a line."""
+    return [label for label, field, _, _ in label_rows(layout) if field in (*LINE_FIELDS[line], "reference", "model")]
+
+
+def detail_layout_m(items: DataFrame, keys: list[str], line: str, doc: str = "doc", seller: str = "seller_id",
+                    carry: list[str] = [], pairs: str | None = None) -> DataFrame:
+    """Detail row of a layout-M item document and the selected seller's offer.
+
+    Everything is decided in the row, without a shuffle.  ``carry``: further columns to keep; ``pairs``: label / value pairs of
+    the page, which join the labels.
+    """
     d = F.col(doc)
     g = lambda p: V.get(d, p)
     base = items.select(
-        *keys, d.alias("doc"), F.col(seller).alias("seller_id"), clean_text(g("$.title")).alias("title"),
+        *keys, *carry, *([pairs] if pairs else []), d.alias("doc"), F.col(seller).alias("seller_id"), clean_text(g("$.title")).alias("title"),
         flat_description(g("$.description")).alias("description"))
-    # read once per evidence source below; parsing happens here only
-    base = materialize(base, "detail-m")
-    labels = E.fact_rows(base, keys, "doc")
-    out = resolve_fields(base, labels, keys, "M", line, "fact")
+    base = E.with_fact_labels(base, "doc", "labels")
+    if pairs:
+        base = base.withColumn("labels", F.concat("labels", _page_labels(F.col(pairs))))
+    context = F.concat_ws(" ", *[V.get(F.col("doc"), p) for p in (
+        "$.path", *(f"$.{c}{k}" for c in ("category", "subcategory") for k in ("", ".id", ".name", ".url")))])
+    out = resolve_fields(base, "M", line, context)
     out = out.withColumn("offer", _offer(F.col("doc"), F.col("seller_id")))
     o, d = F.col("offer"), F.col("doc")
     tags = F.transform(
@@ -127,7 +121,7 @@ def detail_layout_m(items: DataFrame, keys: list[str], line: str, doc: str = "do
         sku = first_present(
             _safe_model(F.get(references, F.lit(0))), _safe_model(F.col("model")), D.appliance_listing_model(F.col("title")))
     return out.select(
-        *keys, F.lit("M").alias("layout"), F.col("title").alias("retailer_sku_name"), sku.alias("sku"),
+        *keys, *carry, F.lit("M").alias("layout"), F.col("title").alias("retailer_sku_name"), sku.alias("sku"),
         format_brl(V.get(o, "$.listPrice")).alias("original_sku_price"),
         format_brl(F.coalesce(F.nullif(V.get(o, "$.bestPrice.totalAmount"), F.lit("")), V.get(o, "$.price"))).alias("final_sku_price"),
         coupon["text"].alias("discount_type"), coupon["checked"].alias("discount_type_checked"),
@@ -158,19 +152,21 @@ def spec_groups(doc: Column) -> Column:
             F.transform(V.get(g, "$.specs", "array<variant>"), spec).alias("specs")))
 
 
-def detail_layout_c(items: DataFrame, keys: list[str], line: str, doc: str = "doc") -> DataFrame:
-    """Detail row of a layout-C product-source document (product and sku)."""
+def detail_layout_c(items: DataFrame, keys: list[str], line: str, doc: str = "doc", carry: list[str] = [],
+                    pairs: str | None = None) -> DataFrame:
+    """Detail row of a layout-C product-source document (product and sku), in the row; ``carry`` and ``pairs`` as for layout M."""
     g = lambda *ps: F.coalesce(*[F.nullif(clean_text(V.get(F.col(doc), p)), F.lit("")) for p in ps], F.lit(""))
     base = items.select(
-        *keys, F.col(doc).alias("doc"), g("$.product.name", "$.product.rawName", "$.sku.name").alias("title"),
+        *keys, *carry, *([pairs] if pairs else []), F.col(doc).alias("doc"), g("$.product.name", "$.product.rawName", "$.sku.name").alias("title"),
         g("$.sku.name").alias("variant"), g("$.product.brand.name", "$.product.brand", "$.sku.brand").alias("brand"),
         flat_description(F.coalesce(
             F.nullif(V.get(F.col(doc), "$.product.description"), F.lit("")),
             V.get(F.col(doc), "$.product.rawDescription"))).alias("description"),
         spec_groups(F.col(doc)).alias("spec_groups"))
-    base = materialize(base, "detail-c")
-    labels = E.spec_rows(base, keys)
-    out = resolve_fields(base, labels, keys, "C", line, "spec")
+    base = base.withColumn("labels", E.spec_labels(F.col("spec_groups")))
+    if pairs:
+        base = base.withColumn("labels", F.concat("labels", _page_labels(F.col(pairs))))
+    out = resolve_fields(base, "C", line)
     evidence = F.filter(F.split(F.col("reference"), r" \|\|\| "), lambda r: r != "")
     out = out.withColumns({"evidence": evidence, "existing_sku": F.lit("")})
     if line == "REF":
@@ -186,7 +182,7 @@ def detail_layout_c(items: DataFrame, keys: list[str], line: str, doc: str = "do
         out = out.withColumns({"sku": F.col("model"), "sku_short": F.lit(""),
                                "sku_status": F.array().cast("array<string>")})
     return out.select(
-        *keys, F.lit("C").alias("layout"), F.col("title").alias("retailer_sku_name"), "sku", "sku_short",
+        *keys, *carry, F.lit("C").alias("layout"), F.col("title").alias("retailer_sku_name"), "sku", "sku_short",
         F.array_join("sku_status", "+").alias("sku_status"), *LINE_FIELDS[line],
         squash(V.get(F.col("doc"), "$.product.id")).alias("retailer_product_id"), "brand")
 
@@ -209,17 +205,24 @@ def page_identity(product_url: Column, ids: Column, page_urls: Column) -> Column
         F.when((want == "") | (F.size(seen) == 0), False).otherwise(~hit).alias("conflict"))
 
 
+def _with_pairs(pages: DataFrame, proven: Column, layout: str, line: str) -> DataFrame:
+    """Adds ``pairs``: label / value pairs of the page's main part where its identity is proven, and none elsewhere."""
+    own = pages.withColumn("__html", F.when(proven, F.col("html")))
+    return with_page_pairs(own, "__html", "pairs", page_labels_of(layout, line)).drop("__html")
+
+
 def detail_from_page_m(pages: DataFrame, keys: list[str], line: str) -> DataFrame:
     """Detail row of a stored layout-M product page with its identity flags.
 
-    pages: keys, product_url, html.
+    pages: keys, product_url, html.  Label / value pairs of the page's main part join the evidence when identity is proven.
     """
     base = pages.select(
-        *keys, "product_url", V.get(data_island(F.col("html")), "$.props.pageProps.data.item", "variant").alias("doc"))
+        *keys, "product_url", "html", V.get(data_island(F.col("html")), "$.props.pageProps.data.item", "variant").alias("doc"))
     base = base.filter(V.as_entries(F.col("doc")).isNotNull())
     base = base.withColumn("seller_id", seller_from_url(F.col("product_url")))
-    detail = detail_layout_m(base, keys, line)
-    out = detail.join(base.select(*keys, "product_url"), keys)
+    item = squash(V.get(F.col("doc"), "$.id"))
+    base = _with_pairs(base, url_matches_id(F.col("product_url"), item), "M", line)
+    out = detail_layout_m(base, keys, line, carry=["product_url"], pairs="pairs")
     want = F.lower(squash(sku_from_url(F.col("product_url"))))
     have = F.lower(F.col("detail_item_id"))
     return out.withColumns({
@@ -232,7 +235,7 @@ def detail_from_page_c(pages: DataFrame, keys: list[str], line: str) -> DataFram
     """Detail row of a stored layout-C product page with its identity flags.
 
     The main product sits at one of three fixed places; recommendation blocks are never
-    promoted.  Label / value pairs of the page join the evidence when identity is proven.
+    promoted.  Label / value pairs of the page's main part join the evidence when identity is proven.
     """
     island = data_island(F.col("html"))
     at = lambda p: V.get(F.col("island"), p, "variant")
@@ -252,6 +255,6 @@ def detail_from_page_c(pages: DataFrame, keys: list[str], line: str) -> DataFram
     base = base.withColumn("proof", page_identity(F.col("product_url"), ids, F.array(meta, canonical)))
     doc = F.try_parse_json(F.concat(
         F.lit('{"product":'), F.to_json("p"), F.lit(',"sku":'), F.coalesce(F.to_json("s"), F.lit("{}")), F.lit("}")))
-    detail = detail_layout_c(base.select(*keys, doc.alias("doc")), keys, line)
-    return detail.join(base.select(
-        *keys, F.col("proof.verified").alias("identity_verified"), F.col("proof.conflict").alias("identity_conflict")), keys)
+    base = base.select(*keys, "html", doc.alias("doc"), F.col("proof.verified").alias("identity_verified"), F.col("proof.conflict").alias("identity_conflict"))
+    base = _with_pairs(base, F.col("identity_verified") & present(V.get(F.col("doc"), "$.product.name")), "C", line)
+    return detail_layout_c(base, keys, line, carry=["identity_verified", "identity_conflict"], pairs="pairs")

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import measures as S
 from vitrine.functions import variants as V
+from vitrine.functions.markup import with_page_pairs
 from vitrine.functions.text import (
-    as_text, clean_text, collapse_repeated_range, key_text, let, present, squash,
+    clean_text, collapse_repeated_range, key_text, let, present, squash,
 )
 from vitrine.functions.validators import (
     exact_loading_direction, is_capacity_band, is_screen_size, is_washer_capacity, measure_key, refrigerator_type, type_specificity,
@@ -31,16 +32,16 @@ TITLE_FALLBACK = 900
 # ---- label / value rows -------------------------------------------------------------------------
 
 
-def spec_rows(products: DataFrame, keys: list[str], groups: str = "spec_groups") -> DataFrame:
-    """Spec groups (``array<struct<name,specs:array<struct<name,value>>>>``) as label rows."""
-    g = products.select(*keys, F.posexplode(F.col(groups)).alias("g_pos", "g"))
-    s = g.select(*keys, "g_pos", key_text(F.col("g.name")).alias("group_key"),
-                 F.posexplode("g.specs").alias("s_pos", "s"))
-    return s.select(
-        *keys, "group_key", key_text(clean_text(F.col("s.name"))).alias("label_key"),
-        (F.col("g_pos") * 100000 + F.col("s_pos")).cast("long").alias("ordinal"),
-        clean_text(F.col("s.value")).alias("value"),
-    ).filter((F.col("label_key") != "") & (F.col("value") != ""))
+LABEL = "array<struct<source:string,label_key:string,order_key:string,value:string>>"
+
+
+def spec_labels(groups: Column) -> Column:
+    """Spec groups (``array<struct<name,specs:array<struct<name,value>>>>``) as an array of label rows."""
+    rows = F.flatten(F.transform(F.coalesce(groups, F.array().cast("array<struct<name:string,specs:array<struct<name:string,value:string>>>>")), lambda g, i: F.transform(
+        F.coalesce(g["specs"], F.array().cast("array<struct<name:string,value:string>>")), lambda s, j: F.struct(
+            F.lit("spec").alias("source"), key_text(clean_text(s["name"])).alias("label_key"),
+            F.concat(F.lpad(i.cast("string"), 6, "0"), F.lpad(j.cast("string"), 6, "0")).alias("order_key"), clean_text(s["value"]).alias("value")))))
+    return F.filter(rows, lambda r: (r["label_key"] != "") & (r["value"] != ""))
 
 
 def _elements(node: Column) -> Column:
@@ -52,58 +53,52 @@ def _elements(node: Column) -> Column:
     )
 
 
-def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc", depth: int = 6) -> DataFrame:
-    """Facts and attributes of a layout-M item as label rows.
+def with_fact_labels(products: DataFrame, doc: str = "item_doc", out: str = "labels") -> DataFrame:
+    """Adds ``out``: facts and attributes of a layout-M item as an array of label rows.
 
     Own facts count (``source`` fact); when there are none, the bundles' facts take their place.
     Otherwise the bundles' facts come as ``bundle``, for the fields that ask for them one by one.
     A labelled child is a fact of its own and its value is not lifted to the parent.
     """
+    none = F.array().cast("array<variant>")
+    listed = lambda d, path: F.coalesce(V.get(d, path, "array<variant>"), none)
     own = V.get(F.col(doc), "$.factsheet", "array<variant>")
-    bundled = F.flatten(F.transform(
-        V.get(F.col(doc), "$.bundles", "array<variant>"),
-        lambda b: F.coalesce(V.get(b, "$.factsheet", "array<variant>"), F.array().cast("array<variant>")),
-    ))
+    bundled = F.flatten(F.transform(V.get(F.col(doc), "$.bundles", "array<variant>"), lambda b: listed(b, "$.factsheet")))
     has_own = F.coalesce(F.size(own), F.lit(0)) > 0
-    none = F.array().cast("array<variant>")
     placed = lambda facts, mark: F.transform(
         F.coalesce(facts, none),
         lambda d, i: F.struct(F.concat(F.lit(mark), F.lpad(i.cast("string"), 5, "0")).alias("path"), d.alias("doc")))
     wrapped = F.concat(placed(F.when(has_own, own).otherwise(bundled), ""), placed(F.when(has_own, bundled), "b"))
-    df = V.walk(products, wrapped, "__nodes", _elements, depth)
-    nodes = F.col("__nodes")
+    df = V.walk(products, wrapped, "__nodes", _elements)
     name = lambda d: F.coalesce(
         F.nullif(V.get(d, "$.keyName"), F.lit("")), F.nullif(V.get(d, "$.slug"), F.lit("")))
-    value = lambda d: clean_text(V.get(d, "$.value"))
-
-    def values(d: Column) -> Column:
-        loose = F.filter(
-            F.coalesce(V.get(d, "$.elements", "array<variant>"), F.array().cast("array<variant>")),
-            lambda e: name(e).isNull(),
-        )
-        return F.filter(F.concat(F.array(value(d)), F.transform(loose, value)), lambda v: v != "")
+    label = lambda source, key, order, i, value: F.struct(
+        source.alias("source"), key_text(key).alias("label_key"),
+        F.concat(order, F.lit("#"), F.lpad(i.cast("string"), 3, "0")).alias("order_key"), clean_text(value).alias("value"))
+
+    def of_fact(n: Column) -> Column:
+        loose = F.filter(listed(n["doc"], "$.elements"), lambda e: name(e).isNull())
+        values = F.concat(F.array(V.get(n["doc"], "$.value")), F.transform(loose, lambda e: V.get(e, "$.value")))
+        kind = F.when(n["path"].startswith("b"), "bundle").otherwise("fact")
+        return F.when(name(n["doc"]).isNotNull(), F.transform(
+            F.filter(values, lambda v: v.isNotNull()), lambda v, i: label(kind, name(n["doc"]), n["path"], i, v)))
+
+    def of_attribute(a: Column, at: Column) -> Column:
+        key = F.coalesce(F.nullif(V.get(a, "$.label"), F.lit("")), V.get(a, "$.type"))
+        return F.transform(
+            F.filter(F.array(V.get(a, "$.current"), V.get(a, "$.value")), lambda v: v.isNotNull()),
+            lambda v, i: label(F.lit("attribute"), key, F.concat(F.lit("~"), F.lpad(at.cast("string"), 5, "0")), i, v))
 
-    facts = df.select(*keys, F.explode(nodes).alias("n")).filter(name(F.col("n.doc")).isNotNull())
-    fact = facts.select(
-        *keys, F.col("n.path").alias("path"), key_text(name(F.col("n.doc"))).alias("label_key"),
-        F.posexplode(values(F.col("n.doc"))).alias("v_pos", "value"),
-    )
-    attributes = products.select(
-        *keys, F.posexplode(V.get(F.col(doc), "$.attributes", "array<variant>")).alias("a_pos", "a")
-    ).select(
-        *keys, F.concat(F.lit("~"), F.lpad(F.col("a_pos").cast("string"), 5, "0")).alias("path"),
-        key_text(F.coalesce(F.nullif(V.get(F.col("a"), "$.label"), F.lit("")), V.get(F.col("a"), "$.type"))).alias("label_key"),
-        F.posexplode(F.filter(
-            F.array(clean_text(V.get(F.col("a"), "$.current")), clean_text(V.get(F.col("a"), "$.value"))),
-            lambda v: v != "")).alias("v_pos", "value"),
-    )
-    kind = F.when(F.col("path").startswith("b"), "bundle").otherwise("fact")
-    both = fact.withColumn("source", kind).unionByName(attributes.withColumn("source", F.lit("attribute")))
     # source order as text: facts by path, attributes behind them
-    return both.select(
-        *keys, "source", "label_key",
-        F.concat("path", F.lit("#"), F.lpad(F.col("v_pos").cast("string"), 3, "0")).alias("order_key"), "value",
-    )
+    rows = F.flatten(F.array_compact(F.concat(
+        F.transform("__nodes", of_fact), F.transform(listed(F.col(doc), "$.attributes"), of_attribute))))
+    return df.withColumn(out, F.filter(rows, lambda r: r["value"] != "")).drop("__nodes")
+
+
+def fact_rows(products: DataFrame, keys: list[str], doc: str = "item_doc") -> DataFrame:
+    """Facts and attributes of a layout-M item as label rows, see :func:`with_fact_labels`."""
+    rows = with_fact_labels(products.select(*keys, doc), doc, "__labels")
+    return rows.select(*keys, F.explode_outer("__labels").alias("l")).filter("l IS NOT NULL").select(*keys, "l.*")
 
 
 def description_pairs(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -122,33 +117,13 @@ def description_pairs(texts: DataFrame, keys: list[str], text: str = "text") ->
     )
 
 
-# Page regions that do not describe the main product.
-SIDE_REGION = (
-    r"(?is)<(aside)\b.*?</\1>|<(script|style|noscript|template)\b.*?</\2>|"
-    r"<(section|div)\b[^>]*(?:recommend|recomend|similar|showcase|vitrine|carousel|carrossel|shelf|related|"
-    r"sponsor|patrocin)[^>]*>.*?</\3>"
-)
-
-
 def table_pairs(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """Label / value pairs of flat table rows and definition lists, side regions left out."""
-    main = F.regexp_replace(as_text(F.col(html)), SIDE_REGION, " ")
-    row = r"(?is)<tr\b[^>]*>\s*<t[hd]\b[^>]*>(.*?)</t[hd]>\s*<td\b[^>]*>(.*?)</td>"
-    item = r"(?is)<dt\b[^>]*>(.*?)</dt>\s*<dd\b[^>]*>(.*?)</dd>"
-    bare = lambda c: clean_text(F.regexp_replace(c, r"<[^>]+>", " "))
-    found = F.concat(_pairs_of(main, row, bare), _pairs_of(main, item, bare))
+    """Label / value pairs of table rows and definition lists of the main part of a page."""
     return (
-        pages.select(*keys, F.posexplode(found).alias("ordinal", "p"))
+        with_page_pairs(pages.select(*keys, html), html, "__pairs")
+        # the outer form: a condition on the array itself would be pushed below, with all that makes it written out again
+        .select(*keys, F.posexplode_outer("__pairs").alias("ordinal", "p")).filter("ordinal IS NOT NULL")
         .select(*keys, "p.label_key", F.col("ordinal").cast("long").alias("ordinal"), "p.value")
-        .filter((F.col("label_key") != "") & (F.col("value") != ""))
-    )
-
-
-def _pairs_of(text: Column, pattern: str, bare) -> Column:
-    return F.transform(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda m: F.struct(key_text(bare(F.regexp_extract(m, pattern, 1))).alias("label_key"),
-                           bare(F.regexp_extract(m, pattern, 2)).alias("value")),
     )
 
 

@@ -65,7 +65,7 @@ def _category_step(node: Column) -> Column:
         lambda d: F.struct(F.lit("").alias("path"), d.alias("doc")))
 
 
-def with_categories(products: DataFrame, doc: str = "doc", depth: int = 8) -> DataFrame:
+def with_categories(products: DataFrame, doc: str = "doc") -> DataFrame:
     """Adds ``category_names``: names of the whole category tree of a product."""
     top = lambda k: F.coalesce(
         V.get(F.col(doc), f"$.{k}", "array<variant>"),
@@ -74,7 +74,7 @@ def with_categories(products: DataFrame, doc: str = "doc", depth: int = 8) -> Da
     seed = F.transform(
         F.filter(first, lambda d: V.as_entries(d).isNotNull()),
         lambda d: F.struct(F.lit("").alias("path"), d.alias("doc")))
-    df = V.walk(products, seed, "__cats", _category_step, depth)
+    df = V.walk(products, seed, "__cats", _category_step)
     name = lambda n: clean_text(F.coalesce(*[
         F.nullif(V.get(n["doc"], f"$.{k}"), F.lit("")) for k in ("name", "title", "description")]))
     plain = F.filter(

@@ -149,14 +149,13 @@ def _option_step(node: Column) -> Column:
     return F.transform(listed, lambda d: F.struct(F.lit("").alias("path"), d.alias("doc")))
 
 
-def freight_texts(rows: DataFrame, doc: str = "doc", no_delivery: str = "Entrega indisponivel para este CEP",
-                  depth: int = 6) -> DataFrame:
+def freight_texts(rows: DataFrame, doc: str = "doc", no_delivery: str = "Entrega indisponivel para este CEP") -> DataFrame:
     """Adds delivery and pickup texts of a freight document (options may be nested).
 
     Only "normal" delivery counts; a business message is used when there is none; with
     pickup alone delivery is stated as unavailable.
     """
-    df = V.walk(rows, V.root(F.col(doc)), "__opts", _option_step, depth)
+    df = V.walk(rows, V.root(F.col(doc)), "__opts", _option_step)
     deadline = lambda d: F.coalesce(*[
         F.nullif(F.trim(as_text(V.get(d, f"$.{k}"))), F.lit(""))
         for k in ("formattedDeadlineDelivery", "deliveryDateDetailed", "deadline", "description")])

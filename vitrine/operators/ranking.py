@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, present
 from vitrine.functions.urls import identity_of, with_normalized_url
-from vitrine.operators.numbering import first_rows, prefix_sums, running_rank
+from vitrine.operators.numbering import FANOUT, first_rows, prefix_sums, running_rank, spread_blank
+from vitrine.session import materialize
 
 RUN = ["retailer", "product_line", "run_date"]
 ORDER = ["page", "pos"]
@@ -55,17 +56,17 @@ def final_targets(main: DataFrame, bsr: DataFrame, ranks: DataFrame,
         .groupBy(*RUN, "url_key")
         .agg(F.min("bsr_rank").alias("mapped_rank"))
     )
+    by_url = by_url.withColumnRenamed("url_key", "ask")
+    asking = lambda rows: rows.withColumn("ask", spread_blank(F.col("url_key"))).join(by_url, [*RUN, "ask"], "left").drop("ask")
     kept = (
-        first_seen(main, order=["main_rank"])
-        .join(by_url, [*RUN, "url_key"], "left")
+        asking(first_seen(main, order=["main_rank"]))
         .withColumn("bsr_rank", F.coalesce(F.col("bsr_rank").cast("int"), F.col("mapped_rank")))
         .drop("mapped_rank")
     )
     ranked_ids = ranks.select(*RUN, "identity").distinct()
     extra = (
-        first_seen(bsr.join(ranked_ids, [*RUN, "identity"], "left_semi"), order=order)
-        .join(main.select(*RUN, "identity"), [*RUN, "identity"], "left_anti")
-        .join(by_url, [*RUN, "url_key"], "left")
+        asking(first_seen(bsr.join(ranked_ids, [*RUN, "identity"], "left_semi"), order=order)
+               .join(main.select(*RUN, "identity").distinct(), [*RUN, "identity"], "left_anti"))
         .withColumn("bsr_rank", F.coalesce(F.col("mapped_rank"), F.col("bsr_rank").cast("int")))
         .withColumn("main_rank", F.lit(None).cast("int"))
         .drop("mapped_rank")
@@ -92,6 +93,8 @@ def page_growth(df: DataFrame, keys: list[str]) -> DataFrame:
         .withColumn("new_ids", F.coalesce("new_ids", F.lit(0)))
         .withColumn("one", F.lit(1))
     )
+    # a page table is small beside its listing; what follows reads it several times
+    pages = materialize(pages, "pages")
     return (
         prefix_sums(pages, keys, "page", ["new_ids", "one"])
         .withColumn("unique_ids", F.col("new_ids_before") + F.col("new_ids"))
@@ -103,19 +106,16 @@ def page_growth(df: DataFrame, keys: list[str]) -> DataFrame:
 def page_cutoff(df: DataFrame, keys: list[str], target: int, no_growth: int = 5) -> DataFrame:
     """Pages a collector would have read: up to the unique target or the dry streak.
 
-    A streak of ``no_growth`` pages ends at page p when the running unique count of p
-    equals the one ``no_growth`` pages earlier, so an equi-join replaces a window.
+    A streak of ``no_growth`` pages ends at page p when the running unique count of p equals the one ``no_growth`` pages
+    earlier.  Pages are looked at in blocks, and the last pages of a block go along with the next one.
     """
-    pages = page_growth(df, keys)
-    earlier = pages.select(
-        *keys, (F.col("page_no") + no_growth).alias("page_no"),
-        F.col("unique_ids").alias("unique_then"),
-    )
-    marked = pages.join(earlier, [*keys, "page_no"], "left").withColumn(
-        "stops",
-        (F.col("unique_ids") >= target)
-        | F.coalesce(F.col("unique_ids") == F.col("unique_then"), F.lit(False)),
-    )
+    pages = page_growth(df, keys).withColumn("block", F.floor(F.col("page_no") / FANOUT)).withColumn("carried", F.lit(False))
+    edge = pages.filter(F.col("page_no") % FANOUT >= FANOUT - no_growth).withColumns({"block": F.col("block") + 1, "carried": F.lit(True)})
+    earlier = F.lag("unique_ids", no_growth).over(Window.partitionBy(*keys, "block").orderBy("page_no"))
+    stops = (F.col("unique_ids") >= target) | F.coalesce(F.col("unique_ids") == F.col("unique_then"), F.lit(False))
+    marked = materialize(
+        pages.unionByName(edge).withColumn("unique_then", earlier).filter("NOT carried").withColumn("stops", stops).drop("block", "carried", "unique_then"),
+        "page-marks")
     stop = marked.filter("stops").groupBy(*keys).agg(F.min("page_no").alias("stop_no"))
     return (
         marked.join(stop, keys, "left")

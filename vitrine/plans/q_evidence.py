@@ -144,3 +144,23 @@ def table_pairs(spark, sf):
         "page_id", "concat(html, '<aside><dl><dt>Cor</dt><dd>x</dd></dl></aside><table><tr><th>Modelo</th><td><b>M', page_id, '</b></td></tr></table><dl><dt>Cor:</dt><dd>Preto &amp; Branco</dd></dl>') AS html")
     out = E.table_pairs(pages, ["page_id"])
     return out.filter(F.col("label_key").isin("modelo", "cor")).select("page_id", "label_key", "value")
+
+
+# other products' regions nest, say so in a class, a label or a heading, or are cards; what is left are the page's own pairs
+_PAGE = (
+    "'<div class=\"spec\"><table><tr><th>Modelo</th><td><b>M', page_id, '</b></td><th>Cor</th><td>Preto &amp Branco</td></tr></table></div>"
+    "<div class=\"recommend-list\"><div><div><dl><dt>Cor</dt><dd>Azul</dd></dl></div></div><dl><dt>Cor</dt><dd>Verde</dd></dl></div>"
+    "<section><h2><span>Produtos similares</span></h2><div><section>x</section><p>Cor: Rosa</p></div></section>"
+    "<ul><li><div><a href=\"/x/p/1\">t</a><span>Cor</span><span>Roxo</span></div></li></ul>"
+    "<p>Capacidade total: ', 300 + page_id % 7, ' litros; Voltagem: 220V</p><span>Consumo</span><span>', 30 + page_id % 5, ' kWh</span><aside><p>Cor: x'"
+)
+
+
+@query("page_pairs", """SELECT page_id, 'modelo' AS label_key, concat('M', page_id) AS value FROM pages UNION ALL SELECT page_id, 'cor', 'Preto & Branco' FROM pages
+UNION ALL SELECT page_id, 'capacidade total', concat(300 + page_id % 7, ' litros') FROM pages UNION ALL SELECT page_id, 'consumo', concat(30 + page_id % 5, ' kWh') FROM pages""")
+def page_pairs(spark, sf):
+    from vitrine.functions.markup import with_page_pairs
+
+    pages = I.table(spark, sf, "pages").selectExpr("page_id", f"concat(html, {_PAGE}) AS html")
+    out = with_page_pairs(pages, "html", "pairs", ["modelo", "cor", "capacidade total", "consumo"])
+    return out.select("page_id", F.explode_outer("pairs").alias("p")).select("page_id", "p.label_key", "p.value")

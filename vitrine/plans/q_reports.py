@@ -310,6 +310,15 @@ def array_discovery(spark, sf):
     return out.withColumn("first_keys", F.array_join("first_keys", ","))
 
 
+@query("deep_documents", """SELECT event_id, concat(repeat('a[0].', 40), 'summaryText') AS path, 'x' AS sample FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, 'summaryText', 'y' FROM events WHERE event_id % 3 <> 0""")
+def deep_documents(spark, sf):
+    deep = "concat(repeat('{\"a\":[', 40), '{\"summaryText\":\"x\"}', repeat(']}', 40))"
+    docs = I.table(spark, sf, "events").selectExpr(
+        "event_id", f"try_parse_json(CASE WHEN event_id % 3 = 0 THEN {deep} ELSE '{{\"summaryText\":\"y\"}}' END) AS doc")
+    return C.term_paths(docs, ["event_id"], "(?i)summary").select("event_id", "path", "sample")
+
+
 @query("term_paths", """SELECT event_id, concat('page.', event_type, '.summaryText') AS path, 'STRING' AS kind, 'x' AS sample FROM events""")
 def term_paths(spark, sf):
     return C.term_paths(_docs(spark, sf), ["event_id"], "(?i)summary")

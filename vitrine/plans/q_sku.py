@@ -229,6 +229,33 @@ def detail_row_page_c(spark, sf):
                       F.col("identity_conflict").cast("int").alias("identity_conflict"))
 
 
+# the same page, with the pairs of its main part: they count where the id of the page is the URL's, regions of other products never
+_PAIRED = (
+    '<div class="shelf"><div><dl><dt>Capacidade total</dt><dd>111 L</dd></dl></div><dl><dt>Capacidade total</dt><dd>222 L</dd></dl></div>'
+    '<table><tr><th>Capacidade total</th><td>310 litros</td></tr></table><p>Consumo de energia: 42 kWh</p>')
+
+
+@query("detail_row_page_pairs", """SELECT page_id, CASE WHEN page_id % 4 = 0 THEN '' ELSE '310 litros' END AS ref_capacity, CASE WHEN page_id % 4 = 0 THEN '' ELSE '42 kWh' END AS estimated_annual_electricity_use, 'M' AS layout FROM pages
+UNION ALL SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '' ELSE '310 litros' END, CASE WHEN page_id % 3 = 0 THEN '' ELSE '42 kWh' END, 'C' FROM pages""")
+def detail_row_page_pairs(spark, sf):
+    pages = I.table(spark, sf, "pages")
+    url = "concat('https://shop.example/x/p/', page_id, '/') AS product_url"
+    m = pages.selectExpr("page_id", url, f"concat(html, '{_PAIRED}', '<script id=\"__NEXT_DATA__\">{{\"props\":{{\"pageProps\":{{\"data\":{{\"item\":{{\"id\":\"', "
+                         "CASE WHEN page_id % 4 = 0 THEN 'zz' ELSE cast(page_id AS string) END, '\",\"title\":\"Geladeira Duplex\",\"offers\":[{\"price\":7}]}}}}}</script>') AS html")
+    c = pages.selectExpr("page_id", url, f"concat(html, '{_PAIRED}', '<script id=\"__NEXT_DATA__\">{{\"props\":{{\"initialState\":{{\"Product\":{{\"product\":{{\"id\":1,\"name\":\"Geladeira Duplex\"}},\"sku\":{{\"id\":\"', "
+                         "CASE WHEN page_id % 3 = 0 THEN 'zz' ELSE cast(page_id AS string) END, '\"}}}}}</script>') AS html")
+    shown = ["page_id", "ref_capacity", "estimated_annual_electricity_use", "layout"]
+    return A.detail_from_page_m(m, ["page_id"], "REF").select(*shown).unionByName(A.detail_from_page_c(c, ["page_id"], "REF").select(*shown))
+
+
+@query("detail_row_compact_washer", """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN concat(3 + p_size, ' litros') WHEN 1 THEN '11 kg' WHEN 2 THEN '' ELSE concat(2 + p_size, 'L') END AS ldy_capacity FROM part""")
+def detail_row_compact_washer(spark, sf):
+    title = ("CASE p_size % 4 WHEN 0 THEN 'Mini lavadora' WHEN 1 THEN 'Mini lavadora 11 kg' WHEN 2 THEN 'Lavadora' ELSE concat('Lavadora mini ', " + I.vc("2 + p_size") + ", 'L') END")
+    docs = I.table(spark, sf, "part").selectExpr(
+        "p_partkey", "'b' AS seller_id", f"try_parse_json(concat('{{\"title\":\"', {title}, '\",\"factsheet\":[', CASE WHEN p_size % 4 IN (0, 2) THEN concat('{{\"keyName\":\"Capacidade de lavagem\",\"value\":\"', {I.vc('3 + p_size')}, ' litros\"}}') ELSE '' END, ']}}')) AS doc")
+    return A.detail_layout_m(docs, KEY, "LDY").select("p_partkey", "ldy_capacity")
+
+
 # ---- published rows ------------------------------------------------------------------------------------------------
 
 _GIVEN = {

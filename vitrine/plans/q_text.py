@@ -35,6 +35,12 @@ column_query(
      "text_length": (lambda c: F.length(T.clean_text(c["html"])),
                      f"length(trim(regexp_replace({_ENT}, '\\s+', ' ', 'g')))")},
 )
+# character references as pages have them: without semicolon, doubly escaped, Windows-1252 numbers, numbers of no character
+_ODD = ("&copy b", "&amp y", "&#39 z", "a &gt", "&notit;", "&#150;", "&#x80;", "&#0;", "&amp;lt;")
+_ODD_READ = ("\u00a9 b", "& y", "' z", "a >", "\u00acit;", "\u2013", "\u20ac", "\ufffd", "&lt;")
+_odd = lambda texts: "CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{t.replace(chr(39), chr(39) * 2)}'" for i, t in enumerate(texts)) + " END"
+column_query("odd_entities", "documents", ["doc_id"], {"text": f"concat(lang, ' ', {_odd(_ODD)})", "want": f"concat(lang, ' ', {_odd(_ODD_READ)})"},
+             {"read": (lambda c: T.clean_text(c["text"]), "want")})
 _KEY = "trim(regexp_replace(replace(strip_accents(lower(text)), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
 column_query(
     "normalize_key", "documents", DOC, {"text": "text"},

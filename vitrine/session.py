@@ -40,10 +40,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session.
 
-    A cluster names that folder in ``spark.checkpoint.dir``.  A session without the setting uses
-    its warehouse, which is shared as well.
+    A cluster names that folder in ``spark.checkpoint.dir``.  Only a local session, which has one machine, may do without the
+    setting and use its warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

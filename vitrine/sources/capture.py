@@ -125,9 +125,9 @@ def _has_any(keys: Column, names) -> Column:
     return F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(n) for n in names])), F.lit(False))
 
 
-def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc", depth: int = V.DEPTH) -> DataFrame:
+def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
     """Paths whose arrays hold product-like or review-like objects."""
-    df = V.walk(docs, V.root(F.col(doc)), "__nodes", lambda n: V.children(n), depth)
+    df = V.walk(docs, V.root(F.col(doc)), "__nodes", V.children)
     nodes = df.select(*keys, F.explode("__nodes").alias("n")).select(*keys, F.col("n.path").alias("path"), F.col("n.doc").alias("d"))
     items = V.as_array(F.col("d"))
     nodes = nodes.filter((F.coalesce(F.size(items), F.lit(0)) > 0) & (F.col("path") != "") & ~F.col("path").endswith("]"))
@@ -142,9 +142,9 @@ def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc", depth: i
     return nodes.select(*keys, "path", F.explode(kinds).alias("kind"), "length", "first_keys")
 
 
-def term_paths(docs: DataFrame, keys: list[str], pattern: str, doc: str = "doc", depth: int = V.DEPTH) -> DataFrame:
+def term_paths(docs: DataFrame, keys: list[str], pattern: str, doc: str = "doc") -> DataFrame:
     """Paths whose key or text matches a term."""
-    df = V.walk(docs, V.root(F.col(doc)), "__nodes", lambda n: V.children(n), depth)
+    df = V.walk(docs, V.root(F.col(doc)), "__nodes", V.children)
     nodes = df.select(*keys, F.explode("__nodes").alias("n")).select(
         *keys, F.col("n.path").alias("path"), F.col("n.doc").alias("d"))
     key = F.regexp_extract("path", r"([^.\[\]]+)$", 1)
