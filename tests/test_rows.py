@@ -147,3 +147,38 @@ def test_values_by_the_kinds_of_their_words(value):
     assert value(V.is_washer_capacity, "12 kg", "12", "120", "120 kg", "12 L", "frontal 3", "sim", "12 kWh") == [True, True, False, True, False, False, False, False]
     assert value(V.is_capacity_band, "de 300 a 400 litros", "300 - 400 L", "300 L a 400 L", "acima de 400 litros", "até 400 litros", "400 litros", "300/400") == [
         True, True, True, True, False, False, False]
+
+
+def test_blank_keys_are_dealt_out(spark):
+    """Rows without a key meet no answer and do not stand in one partition; all others meet theirs."""
+    from vitrine.operators.numbering import lookup
+
+    rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN '' WHEN id % 3 = 1 THEN NULL ELSE cast(id % 7 AS string) END AS k", "'b' AS l")
+    table = spark.createDataFrame([(str(i), "b", i) for i in range(7)] + [("", "b", 99)], "k string, l string, v int")
+    for strategy in ("1", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if strategy == "1" else "-1")
+        try:
+            out = lookup(rows, table, ["k", "l"])
+            assert out.count() == 4000
+            assert out.where("v IS NOT NULL").selectExpr("bool_and(k = v)", "count(*)").first()[:] == (True, rows.where("k <> ''").count())
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_page_cutoff_over_block_borders(spark, monkeypatch):
+    from vitrine.operators import ranking
+
+    monkeypatch.setattr(ranking, "FANOUT", 8)
+    rng = random.Random(4)
+    rows, want = [], {}
+    for run in range(6):
+        seen, counts = set(), []
+        for page in range(40):
+            ids = [rng.randrange(25 if run % 2 else 400) for _ in range(rng.randint(1, 3))]
+            rows += [(run, page * 3, str(i)) for i in ids]
+            seen |= set(ids)
+            counts.append(len(seen))
+        ends = [p for p in range(40) if counts[p] >= 60 or (p >= 5 and counts[p] == counts[p - 5])]
+        want[run] = (ends[0] if ends else 39) + 1
+    out = ranking.page_cutoff(spark.createDataFrame(rows, "run int, page long, identity string"), ["run"], 60)
+    assert {r.run: r.n for r in out.groupBy("run").agg(F.count("*").alias("n")).collect()} == want

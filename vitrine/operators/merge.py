@@ -16,7 +16,7 @@ from vitrine.functions.text import (
     append_token, as_text, blank, first_present, has_token, key_text, present, squash, tokens,
 )
 from vitrine.functions.urls import sku_from_url
-from vitrine.operators.numbering import first_rows, one_per_key
+from vitrine.operators.numbering import first_rows, lookup, one_per_key
 
 # Fields whose evaluated blank clears the listing's value.
 AUDITED_FIELDS = (
@@ -44,7 +44,7 @@ def _with_detail(rows: DataFrame, detail: DataFrame, keys: list[str]) -> DataFra
     others = [c for c in detail.columns if c not in keys]
     renamed = one_per_key(detail, keys, others).select(
         *keys, *[F.col(c).alias(f"d_{c}") for c in others], F.col("ambiguous").alias("d_ambiguous"))
-    return rows.join(renamed, keys, "left")
+    return lookup(rows, renamed, keys)
 
 
 def merge_detail(rows: DataFrame, detail: DataFrame, keys: list[str], fields: list[str],

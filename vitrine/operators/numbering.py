@@ -85,6 +85,18 @@ def spread_blank(key: Column) -> Column:
     return F.when(F.coalesce(key.cast("string"), F.lit("")) != "", key.cast("string")).otherwise(dealt)
 
 
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], never_blank: list[str] | None = None) -> DataFrame:
+    """Left join of rows with a table that has one row per key, on text keys.
+
+    A blank key (of ``never_blank``, or any) never matches, so rows with one are dealt out instead of meeting in one task.
+    """
+    known = [F.coalesce(F.col(k).cast("string"), F.lit("")) != "" for k in never_blank or keys]
+    whole = reduce(lambda a, b: a & b, known)
+    asked = rows.withColumn("__ask", F.when(whole, F.col(keys[0])).otherwise(spread_blank(F.lit(""))))
+    answers = table.filter(whole).withColumnRenamed(keys[0], "__ask")
+    return asked.join(answers, ["__ask", *keys[1:]], "left").drop("__ask")
+
+
 def first_rows(df: DataFrame, keys: list[str], order: list, n: int = 1,
                name: str | None = None) -> DataFrame:
     """First ``n`` rows per key; the limit is applied before the shuffle as well."""

@@ -15,7 +15,7 @@ from vitrine.functions.money import (
 )
 from vitrine.functions.text import append_token, as_text, blank, present, squash
 from vitrine.functions.urls import host_allowed, sku_from_url
-from vitrine.operators.numbering import one_per_key, spread_blank
+from vitrine.operators.numbering import lookup, one_per_key, spread_blank
 
 PRICE_FIELDS = ["original_sku_price", "final_sku_price", "savings", "discount_type"]
 QUOTE = [
@@ -82,8 +82,8 @@ def exact_offers(products: DataFrame, offers: DataFrame) -> DataFrame:
         .otherwise("")
     )
     return (
-        products.join(by_pair, ["product_id", "sku_id"], "left")
-        .join(by_seller, ["product_id", "sku_id", "seller_id"], "left")
+        # cards without a seller don't look at sellers
+        lookup(products.join(by_pair, ["product_id", "sku_id"], "left"), by_seller, ["seller_id", "product_id", "sku_id"], ["seller_id"])
         .withColumns({"offer_status": status, "offer": F.when(status == "", offer)})
         .drop("n_pair", "pair_offer", "n_seller", "seller_offer")
     )
@@ -153,7 +153,7 @@ def last_price_wins(products: DataFrame, offers: DataFrame) -> DataFrame:
     by_sku = last.select(F.col("offer_key").alias("sku_id"), F.col("o").alias("o_sku"))
     offer = F.coalesce("o_product", "o_sku")
     return (
-        products.join(by_product, "product_id", "left").join(by_sku, "sku_id", "left")
+        lookup(lookup(products, by_product, ["product_id"]), by_sku, ["sku_id"])
         .withColumns({
             "offer": offer,
             "seller_id": F.when(blank(F.col("seller_id")), F.coalesce(offer["seller_id"], F.lit("")))
@@ -169,13 +169,9 @@ def price_coverage(products: DataFrame, offers: DataFrame, row_keys: list[str])
     ids = ids.filter((F.col("product_id") != "") & (F.col("sku_id") != "") & (F.col("seller_id") != ""))
     ids = ids.distinct()
     count = lambda keys, name: ids.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    out = (
-        products.join(count(["product_id", "sku_id"], "n_pair"), ["product_id", "sku_id"], "left")
-        .join(count(["product_id", "sku_id", "seller_id"], "n_exact"),
-              ["product_id", "sku_id", "seller_id"], "left")
-        .join(count(["product_id"], "n_product"), ["product_id"], "left")
-        .join(count(["sku_id"], "n_sku"), ["sku_id"], "left")
-    )
+    out = products
+    for keys, name in ((["product_id", "sku_id"], "n_pair"), (["product_id", "sku_id", "seller_id"], "n_exact"), (["product_id"], "n_product"), (["sku_id"], "n_sku")):
+        out = lookup(out, count(keys, name), keys)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     n = F.when(F.col("seller_id") == "", zero("n_pair")).otherwise(zero("n_exact"))
     status = F.when(n == 1, "matched").when(n > 1, "ambiguous").otherwise("missing")
@@ -221,11 +217,7 @@ def _offer_lookups(rows: DataFrame, offers: DataFrame) -> DataFrame:
     by_product = rename(known.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_product")))
     by_sku = rename(_lookup(known, ["product_id", "sku_id"], "n_sku", "o_sku"))
     by_seller = rename(_lookup(known, ["product_id", "sku_id", "seller_id"], "n_seller", "o_seller"))
-    out = (
-        rows.join(by_product, ["k_product"], "left")
-        .join(by_sku, ["k_product", "k_sku"], "left")
-        .join(by_seller, ["k_product", "k_sku", "k_seller"], "left")
-    )
+    out = lookup(lookup(lookup(rows, by_product, ["k_product"]), by_sku, ["k_product", "k_sku"]), by_seller, ["k_product", "k_sku", "k_seller"])
     any_seller = F.col("k_seller") == ""
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return out.withColumns({

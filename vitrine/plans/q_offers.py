@@ -51,13 +51,14 @@ def optional_price_attach(spark, sf):
                       F.col("seller_pending").cast("int").alias("seller_pending"))
 
 
-_LAST = ("pos DESC, product_id DESC, sku_id DESC, seller_id DESC, old_price DESC, current_price DESC, standard_price DESC, "
-         "discount_rate DESC, savings DESC, price_description DESC, avail_product DESC, avail_sku DESC, avail_seller DESC")
+_LAST = "{" + ", ".join(f"'{c}': {c}" for c in (
+    "pos", "product_id", "sku_id", "seller_id", "old_price", "current_price", "standard_price", "discount_rate", "savings", "price_description",
+    "avail_product", "avail_sku", "avail_seller")) + "}"
 
 
 @query("last_price_wins", f"""WITH o AS ({_OFFERS}), {_CARDS},
 keyed AS (SELECT product_id AS k, * FROM o WHERE product_id <> '' UNION ALL SELECT sku_id AS k, * FROM o WHERE sku_id <> product_id),
-lst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY {_LAST}) AS r FROM keyed) WHERE r = 1)
+lst AS (SELECT k, o.seller_id AS seller_id, o.current_price AS current_price FROM (SELECT k, max({_LAST}) AS o FROM keyed GROUP BY k))
 SELECT c.card, coalesce(a.current_price, b.current_price) AS current_price,
  CASE WHEN c.seller_id <> '' THEN c.seller_id ELSE coalesce(CASE WHEN a.k IS NOT NULL THEN a.seller_id ELSE b.seller_id END, '') END AS seller_id
 FROM c LEFT JOIN lst a ON c.product_id = a.k LEFT JOIN lst b ON c.sku_id = b.k""")
