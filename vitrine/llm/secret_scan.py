@@ -9,7 +9,8 @@ same way, also where their line breaks are escapes (JSON) or parts of a quoted t
 armour may be broken into lines: their own length tells how many characters belong to them.
 Base64 or hex that decodes to an armoured key counts as one.
 
-Null and empty texts have no spans.  Repeated rows give repeated results, rows without an id
+Null and empty texts have no spans.  A text of any length is read a fixed number of times: lines of encoded characters are
+gathered once for all places where a key may begin, and lengths are read in place.  Repeated rows give repeated results, rows without an id
 keep a null id, an empty table gives an empty result, and columns other than the two that are
 named play no part.  Spans count code points, ends are exclusive.
 """
@@ -38,12 +39,13 @@ LEAST = {"assign": 12, "access": 18, "hex": 16}
 KINDS = ("assign", "access", "hex", "jwt", "key", "pem")
 
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
-TOKEN = re.compile(rb"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+PART = re.compile(rb"[A-Za-z0-9_-]+")
 ENCODED = re.compile(rb"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_KEY = re.compile(rb"[0-9a-fA-F]{64,}")
-ARMOUR = re.compile(rb"""-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,."'\\-]*?)-----END \1-----""")
+MARK = re.compile(rb"-----(BEGIN|END) ([A-Z ]*PRIVATE KEY)-----")
+BODY = re.compile(rb"""[A-Za-z0-9+/=\s:,."'\\-]*""")
 #: what may stand between two lines: white space, its escapes, a line that goes on, the ends of quoted parts
-BREAK = re.compile(rb"""(?:["']\s*[+.,]?\s*["']|\s|\\+[nrt]|\\)+""")
+BREAK = re.compile(rb"""(?:["']\s*+(?:[+.,]\s*+)?["']|\s|\\++[nrt]?)++""")
 BASE64, BASE16 = re.compile(rb"[A-Za-z0-9+/_-]+"), re.compile(rb"[0-9a-fA-F]+")
 #: where encoded DER or an encoded OpenSSH key may begin, and a longer encoded text
 START64, START16 = re.compile(rb"M[A-I]"), re.compile(rb"30")
@@ -111,7 +113,7 @@ def members(data: bytes, at: int, stop: int) -> list[tuple[int, int, int]] | Non
 
 def private_key(data: bytes) -> bool:
     """DER of a PKCS#1, SEC 1 or PKCS#8 (also encrypted) private key, or the fields of an OpenSSH key."""
-    if data.startswith(b"openssh-key-v1\0"):
+    if data[:15] == OPENSSH:
         at = 15
         for _ in range(3):  # cipher, key derivation, its options
             size = int.from_bytes(data[at : at + 4], "big")
@@ -140,12 +142,26 @@ def private_key(data: bytes) -> bool:
     return version <= 1 and len(tags) >= 6 and all(t == 0x02 for t in tags[:6])  # PKCS#1 and DSA
 
 
+def signed_tokens(run: bytes) -> list[tuple[int, int]]:
+    """Places of signed tokens: parts joined by single dots, of which two begin as encoded JSON objects do."""
+    found, reach = [], 0
+    parts = [(m.start(), m.end()) for m in PART.finditer(run)] if b".eyJ" in run else []
+    for (a, b), (c, d), after in zip(parts, parts[1:], [*parts[2:], (-1, -1)]):
+        if c != b + 1 or run[b] != 46 or not run.startswith(b"eyJ", c) or d - c < 4 or run[d : d + 1] != b".":
+            continue
+        first = run.find(b"eyJ", max(a, reach), b)
+        if first < 0 or b - first < 4:
+            continue
+        stop = after[1] if after[0] == d + 1 else d + 1
+        reach = stop
+        if signed_token(run[first:stop]):
+            found.append((first, stop))
+    return found
+
+
 def confirmed(run: bytes, at: int) -> list[tuple[str, int, int]]:
     """Signed tokens and keys inside one run without white space."""
-    found = []
-    for m in TOKEN.finditer(run):
-        if signed_token(m[0]):
-            found.append(("jwt", at + m.start(), at + m.end()))
+    found = [("jwt", at + a, at + b) for a, b in signed_tokens(run)]
     for m in HEX_KEY.finditer(run):
         if len(m[0]) % 2 == 0 and private_key(bytes.fromhex(m[0].decode())):
             found.append(("key", at + m.start(), at + m.end()))
@@ -156,7 +172,7 @@ def confirmed(run: bytes, at: int) -> list[tuple[str, int, int]]:
     return found
 
 
-def gathered(text: bytes, at: int, line: re.Pattern, need: int | None = None) -> tuple[bytes, list[int], list[int]]:
+def gathered(text: bytes, at: int, line: re.Pattern) -> tuple[bytes, list[int], list[int]]:
     """The encoded characters from a place on, over line breaks, and of each line its first character's number and place."""
     parts, numbers, places, n = [], [], [], 0
     while m := line.match(text, at):
@@ -164,13 +180,56 @@ def gathered(text: bytes, at: int, line: re.Pattern, need: int | None = None) ->
         numbers.append(n)
         places.append(m.start())
         n += len(m[0])
-        gap = None if need is not None and n >= need else BREAK.match(text, m.end())
+        gap = BREAK.match(text, m.end())
         if not gap:
             break
         at = gap.end()
     return b"".join(parts), numbers, places
 
 
+class Chain:
+    """The encoded lines from a place on, read once; later places in them are places of the same chain."""
+
+    def __init__(self, text: bytes, at: int, line: re.Pattern) -> None:
+        self.line = line
+        self.chars, self.numbers, self.places = gathered(text, at, line)
+        self.stop = self.places[-1] + len(self.chars) - self.numbers[-1] if self.places else at
+
+    def number(self, at: int) -> int | None:
+        """Number of the character at a place of the text, if it is one of the chain's."""
+        i = bisect_right(self.places, at) - 1
+        n = self.numbers[i] + at - self.places[i] if i >= 0 else -1
+        end = self.numbers[i + 1] if i + 1 < len(self.numbers) else len(self.chars)
+        return n if i >= 0 and n < end else None
+
+    def place(self, number: int) -> int:
+        i = bisect_right(self.numbers, number) - 1
+        return self.places[i] + number - self.numbers[i]
+
+
+class Bytes:
+    """What a chain says from one character on; only what is asked for is decoded."""
+
+    def __init__(self, chain: Chain, first: int, size: int | None = None) -> None:
+        self.chain, self.first = chain, first
+        left = len(chain.chars) - first
+        most = left // 2 if chain.line is BASE16 else left * 3 // 4
+        self.size = most if size is None else min(size, most)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: int | slice) -> int | bytes:
+        a, b, _ = (at if isinstance(at, slice) else slice(at, at + 1)).indices(self.size)
+        if self.chain.line is BASE16:
+            out = bytes.fromhex(self.chain.chars[self.first + 2 * a : self.first + 2 * max(a, b)].decode())
+        else:
+            lo, hi = a // 3 * 4, -(-max(a, b) // 3) * 4
+            chars = self.chain.chars[self.first + lo : self.first + hi]
+            out = (decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b"")[a - lo // 4 * 3 :][: max(0, b - a)]
+        return out if isinstance(at, slice) else out[0]
+
+
 def plain_bytes(chars: bytes, line: re.Pattern) -> bytes:
     """What whole groups of encoded characters say, with the part of a last group that makes bytes."""
     if line is BASE16:
@@ -178,7 +237,7 @@ def plain_bytes(chars: bytes, line: re.Pattern) -> bytes:
     return decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b""
 
 
-def openssh_size(data: bytes) -> int | None:
+def openssh_size(data: bytes | Bytes) -> int | None:
     """Bytes of an OpenSSH key, by the lengths of its fields."""
     at, count = len(OPENSSH), 3
     for k in range(5):  # cipher, key derivation, its options; the number of keys; then each and the private part
@@ -194,42 +253,74 @@ def openssh_size(data: bytes) -> int | None:
     return at if at <= len(data) else None
 
 
-def broken_key(text: bytes, at: int, line: re.Pattern) -> int | None:
-    """Where the encoded key that starts at a place ends, if there is one; it may be broken into lines."""
-    data = plain_bytes(gathered(text, at, line, 48)[0][:48], line)
-    if data.startswith(OPENSSH):
-        size = openssh_size(plain_bytes(gathered(text, at, line)[0], line))
-    elif HEAD.match(data):
-        size = data[1] + 2 if data[1] < 0x80 else int.from_bytes(data[2 : 2 + data[1] - 0x80], "big") + 2 + data[1] - 0x80
-    else:
+def broken_key(text: bytes, at: int, chain: Chain) -> int | None:
+    """Where the encoded key that starts at a place ends, if there is one; it may be broken into lines.
+
+    Lengths are read one after another where they stand, so a text that only looks like a key at many places costs no more.
+    """
+    first = chain.number(at)
+    if first is None:
         return None
-    if size is None:
+    data = Bytes(chain, first)
+    head = data[:36]
+    if head.startswith(OPENSSH):
+        size = openssh_size(data)
+    elif HEAD.match(head):
+        size = head[1] + 2 if head[1] < 0x80 else int.from_bytes(head[2 : 2 + head[1] - 0x80], "big") + 2 + head[1] - 0x80
+    else:
         return None
-    need = 2 * size if line is BASE16 else (4 * size + 2) // 3
-    chars, numbers, places = gathered(text, at, line, need)
-    if len(chars) != need or not private_key(plain_bytes(chars, line)):
+    if size is None or size > len(data) or not private_key(Bytes(chain, first, size)):
         return None
-    stop = places[-1] + need - numbers[-1]
-    while line is BASE64 and stop < len(text) and text[stop] == 61:
+    need = 2 * size if chain.line is BASE16 else (4 * size + 2) // 3
+    stop = chain.place(first + need - 1) + 1
+    while chain.line is BASE64 and stop < len(text) and text[stop] == 61:
         stop += 1
     return stop
 
 
 def armoured(text: bytes) -> list[tuple[int, int]]:
-    """Places of armoured private keys whose body is one."""
-    found = []
-    for m in ARMOUR.finditer(text) if b"-----END " in text else ():
-        body = m[2]
+    """Places of armoured private keys whose body is one. An end mark belongs to the last begin mark, if both have one name."""
+    found, begin = [], None
+    for m in MARK.finditer(text) if b"-----END " in text else ():
+        if m[1] == b"BEGIN":
+            begin = m
+            continue
+        if begin is None or begin[2] != m[2]:
+            begin = None
+            continue
+        first, begin = begin, None
+        if not BODY.fullmatch(text, first.end(), m.start()):
+            continue
+        raw = body = text[first.end() : m.start()]
         if b"\\" in body or b'"' in body or b"'" in body:
-            body = re.sub(rb"\\+u00([0-9a-fA-F]{2})", lambda x: bytes.fromhex(x[1].decode()), body)
-            body = re.sub(rb"\\+[nrt]", b"\n", body).replace(b"\\", b"")
-            body = re.sub(rb"""["']\s*[+.,]?\s*["']""", b"\n", body)
+            body = re.sub(rb"\\++u00([0-9a-fA-F]{2})", lambda x: bytes.fromhex(x[1].decode()), body)
+            body = re.sub(rb"\\++[nrt]", b"\n", body).replace(b"\\", b"")
+            body = re.sub(rb"""["']\s*+(?:[+.,]\s*+)?["']""", b"\n", body)
         data = decoded(b"".join(b"".join(x for x in body.split(b"\n") if b":" not in x).split()))
-        if data and (b"ENCRYPTED" in m[2] or private_key(data)):
-            found.append((m.start(), m.end()))
+        if data and (b"ENCRYPTED" in raw or private_key(data)):
+            found.append((first.start(), m.end()))
     return found
 
 
+def merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and stops of the union of spans, rising."""
+    starts: list[int] = []
+    stops: list[int] = []
+    for a, b in sorted(spans):
+        if stops and a <= stops[-1]:
+            stops[-1] = max(stops[-1], b)
+        else:
+            starts.append(a)
+            stops.append(b)
+    return starts, stops
+
+
+def inside(spans: tuple[list[int], list[int]], a: int, b: int) -> bool:
+    """Whether a stretch lies inside one of the merged spans."""
+    k = bisect_right(spans[0], a) - 1
+    return k >= 0 and b <= spans[1][k]
+
+
 def encoded_armour(text: bytes, low: bytes) -> list[tuple[int, int]]:
     """Places of base64 or hex, in one or more lines, that say an armoured private key."""
     found = []
@@ -255,17 +346,19 @@ def encoded_armour(text: bytes, low: bytes) -> list[tuple[int, int]]:
 
 def broken_keys(text: bytes, skip: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Places of encoded keys, in one or more lines, that do not start in a place to skip."""
-    found = []
+    found, aside = [], merged(skip)
     for patterns, line in (((START64, SSH64), BASE64), ((START16, SSH16), BASE16)):
         for pattern in patterns:
-            reach = 0
+            reach, chain = 0, None
             for m in pattern.finditer(text):
                 at = m.start()
-                if at < reach or at and line.match(text, at - 1) and text[at - 1] not in b"-_" and not ESCAPED.match(text, max(0, at - 2)):
+                if at < reach or at and line.match(text, at - 1, at) and text[at - 1] not in b"-_" and not ESCAPED.match(text, max(0, at - 2)):
                     continue
-                if any(a <= at < b for a, b in skip):
+                if inside(aside, at, at + 1):
                     continue
-                stop = broken_key(text, at, line)
+                if chain is None or at >= chain.stop or chain.number(at) is None:
+                    chain = Chain(text, at, line)
+                stop = broken_key(text, at, chain)
                 if stop is not None:
                     found.append((at, stop))
                     reach = stop
@@ -290,7 +383,8 @@ def spans_of(text: bytes, runs: list[tuple[int, int]] | None = None) -> list[tup
     pem = armoured(text) if b"-----BEGIN " in text else []
     pem += encoded_armour(text, low)
     keys = broken_keys(text, pem)
-    found = [x for x in found if x[0] != "key" or not any(a <= x[1] and x[2] <= b for a, b in keys)]  # a first line by itself
+    whole = merged(keys)
+    found = [x for x in found if x[0] != "key" or not inside(whole, x[1], x[2])]  # a first line by itself
     found = list(dict.fromkeys([*found, *(("key", *x) for x in keys), *(("pem", *x) for x in pem)]))
     if found and not text.isascii():
         points = np.cumsum((np.frombuffer(text, dtype=np.uint8) & 0xC0) != 0x80)
