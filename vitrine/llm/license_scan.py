@@ -6,8 +6,9 @@ every word the automaton has the longest suffix of the words so far that occurs
 (the matching statistic).  Every template's own maximal matches of enough words are chained while
 they move forward in text and template with small gaps, and a chain that covers enough of the
 template, or enough words of a long one, is a licence span unless it lies inside a longer one.
-One-line notices are templates of their own, of which nearly all words must stand there.  Runs of
-words that no template knows reset the automaton and cost one table lookup each.
+One-line notices are in an automaton of their own: a state knows the longest whole notice that ends
+there, so a word gives at most one.  Runs of words that no template knows reset the automaton and cost one table lookup each,
+and a text of any length is read word by word with a bounded number of open matches.
 
 Fixed phrases are found beside that, wherever their words stand one after another.
 
@@ -114,8 +115,8 @@ NOTICES = [
     *[(label, f"SPDX-License-Identifier: {name}") for label, names in IDENTIFIERS.items() for name in names],
 ]
 #: words of the shortest match that counts (a shorter template must stand there whole), words that may lie between two matches of a chain, and the least share of a
-#: template (or number of matched words) that a chain needs, and the least share of a notice
-SHORTEST, GAP, SHARE, ENOUGH, NEARLY = 5, 8, 0.5, 16, 0.9
+#: template (or number of matched words) that a chain needs
+SHORTEST, GAP, SHARE, ENOUGH = 5, 8, 0.5, 16
 
 _CUT = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
@@ -184,6 +185,30 @@ class SuffixAutomaton:
             self.known[shortest] = found
         return self.known[shortest]
 
+    def sentences(self, tokens: list, sizes: list[int]) -> list[tuple[int, int, int]]:
+        """(start, stop, template) of the longest whole template that ends at each word, if one does."""
+        if None not in self.known:
+            whole: list[int | None] = [None] * len(self.length)
+            for s in sorted(range(1, len(self.length)), key=self.length.__getitem__):
+                whole[s] = next((t for t, end in self.own[s] if end + 1 == sizes[t] == self.length[s]), whole[self.link[s]])
+            self.known[None] = whole
+        whole, found, state, length = self.known[None], [], 0, 0
+        nxt, link, lengths = self.next, self.link, self.length
+        root = nxt[0]
+        for i, token in enumerate(tokens):
+            if not state and token not in root:
+                continue
+            while state and token not in nxt[state]:
+                state = link[state]
+                length = lengths[state]
+            if token in nxt[state]:
+                state, length = nxt[state][token], length + 1
+            if state:
+                t = whole[state] if length == lengths[state] else whole[link[state]]
+                if t is not None:
+                    found.append((i + 1 - sizes[t], i + 1, t))
+        return found
+
     def matches(self, tokens: list, shortest: int, every: bool = False) -> list[tuple[int, int, int, int]]:
         """Maximal matches as (text start, text stop, template, template start), from the matching statistics.
 
@@ -285,12 +310,12 @@ def build(texts: list[tuple[str, str]]) -> tuple[SuffixAutomaton, list[str], lis
 def scan(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None,
     phrases: dict[str, str] | None = None, shortest: int = SHORTEST, gap: int = GAP, share: float = SHARE, enough: int = ENOUGH,
-    notices: list[tuple[str, str]] | None = None, nearly: float = NEARLY,
+    notices: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Per row: phrase places and labels, covered template spans, all labels, and the covered share of its words (0 to 1).
 
-    Spans count words from 0.  A span is kept if its matches hold ``share`` of the template or ``enough`` words, or
-    ``nearly`` all words of a notice.  Own templates come without NOTICES unless ``notices`` are given.
+    Spans count words from 0.  A span is kept if its matches hold ``share`` of the template or ``enough`` words, or if it is a whole
+    notice.  Own templates come without NOTICES unless ``notices`` are given.
     """
     known = [(p.encode().split(), label) for p, label in (PHRASES if phrases is None else phrases).items()]
     keys = {p[-1] for p, _ in known}
@@ -298,8 +323,8 @@ def scan(
     short = list(notices if notices is not None else NOTICES if templates is None else [])
 
     def start():
-        automaton, labels, sizes = worker_cache(("licences", *long, *short), lambda: build(long + short))
-        need = [min(enough, share * n) if i < len(long) else nearly * n for i, n in enumerate(sizes)]
+        (automaton, labels, sizes), (lines, line_labels, line_sizes) = worker_cache(("licences", *long, *short), lambda: (build(long), build(short)))
+        need = [min(enough, share * n) for n in sizes]
         run = [min(shortest, n) for n in sizes]
         least = max(1, min([shortest, *run]))
         marks = [(key, [(p, label) for p, label in known if p[-1] == key]) for key in keys]
@@ -319,7 +344,8 @@ def scan(
                 words = words_of(raw)
                 base = places(words)
                 found = [m for m in automaton.matches(words, least, every=True) if m[1] - m[0] >= run[m[2]]]
-                spans = outermost(chains(found, gap, need), sizes)
+                notes = [{"template": len(long) + t, "start": a, "stop": b, "end": line_sizes[t], "words": b - a} for a, b, t in lines.sentences(words, line_sizes)]
+                spans = outermost(chains(found, gap, need) + notes, sizes + line_sizes)
                 covered, reach = 0, 0
                 for a, b in sorted((c["start"], c["stop"]) for c in spans):
                     covered += max(0, b - max(a, reach))
@@ -327,9 +353,9 @@ def scan(
                 own = {label for _, label in base}
                 row = (
                     key, len(words), len(base), min((i for i, _ in base), default=None), max((i for i, _ in base), default=None),
-                    ",".join(sorted(own)), ",".join(sorted(own | {labels[c["template"]] for c in spans})),
+                    ",".join(sorted(own)), ",".join(sorted(own | {(labels + line_labels)[c["template"]] for c in spans})),
                     covered / len(words) if words else 0.0,
-                    [{"label": labels[c["template"]], "start": c["start"], "stop": c["stop"], "words": c["words"]} for c in spans],
+                    [{"label": (labels + line_labels)[c["template"]], "start": c["start"], "stop": c["stop"], "words": c["words"]} for c in spans],
                 )
                 for name, value in zip(out, row):
                     out[name].append(value)
