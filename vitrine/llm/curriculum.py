@@ -15,9 +15,9 @@ over the buckets of a source, and one inside each bucket; a source with a third
 spread over all its buckets.
 
 Null texts have size 0; a null source is a source of its own, last in order; documents of size 0
-are taken 0 times.  Rows with equal ids stand side by side in the order and count each; an empty table
-gives an empty result.  Columns other than the ones that are named are carried along or play
-no part.
+are taken 0 times.  Rows with equal ids stand side by side in the order, by size and text, and count each; rows without an id
+are ordered by their texts; an empty table gives an empty result.  All other columns are carried along whatever their
+names; only those named like the ones that are added are replaced.
 """
 
 from __future__ import annotations
@@ -38,12 +38,21 @@ LEAN = 0.5
 KEY = ["mix_source", "mix_none"]
 
 
-def _keys(docs: DataFrame, doc_id: str, source: str, size: Column, digits: int) -> DataFrame:
-    """Rows with mix_* columns: source key, place in the random order, bucket, and size."""
-    order = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+#: what the operator adds; columns of these names in the table are replaced
+OUT = ("mix_order", "mix_size", "mix_total", "mix_target", "mix_taken", "mix_passes")
+
+
+def _keys(docs: DataFrame, doc_id: str, source: str, text: str, size: Column, digits: int) -> DataFrame:
+    """Rows as one struct (mix_row), so that no name of theirs meets one used here, with source key, place in the random order, bucket and size.
+
+    Rows without an id are spread by their texts; ties go by size, then by the text's hash.
+    """
+    body = F.col(text).cast("string") if text in docs.columns else F.lit("")
+    order = F.md5(F.coalesce(F.col(doc_id).cast("string"), body, F.lit("")).cast("binary"))
     return docs.select(
-        "*", F.coalesce(F.col(source), F.lit("")).alias("mix_source"), F.col(source).isNull().alias("mix_none"),
-        order.alias("mix_order"), F.substring(order, 1, digits).alias("mix_bucket"), size.alias("mix_size"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), F.col(doc_id).cast("string").alias("mix_id"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("mix_source"), F.col(source).isNull().alias("mix_none"),
+        order.alias("mix_order"), F.substring(order, 1, digits).alias("mix_bucket"), size.alias("mix_size"), F.xxhash64(body).alias("mix_tie"),
     )
 
 
@@ -110,7 +119,7 @@ def assign(
     ``schedule`` has (source, knots array<struct<t, w>>), knots from t = 0 to 1; sources it lacks lean as by default.
     """
     size = word_count(F.col(text)) if size is None else size
-    rows = _keys(docs, doc_id, source, size, digits)
+    rows = _keys(docs, doc_id, source, text, size, digits)
     buckets = materialize(rows.groupBy(*KEY, "mix_bucket").agg(F.sum("mix_size").alias("bucket_size")), "mix-buckets")
     sources = targets(buckets.groupBy(*KEY).agg(F.sum("bucket_size").alias("mix_total")), weights, most)
     knots = leaning(sources, lean)
@@ -123,7 +132,7 @@ def assign(
         buckets.withColumn("bucket_from", F.sum("bucket_size").over(before) - F.col("bucket_size")).drop("bucket_size")
         .join(sources, KEY).join(knots.withColumn("demand", _demand(F.col("knots"))), KEY)
     )
-    inside = Window.partitionBy(*KEY, "mix_bucket").orderBy("mix_order", doc_id, "mix_size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*KEY, "mix_bucket").orderBy("mix_order", "mix_id", "mix_size", "mix_tie").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("mix_from", F.sum("mix_size").over(inside) - F.col("mix_size")).join(offsets, [*KEY, "mix_bucket"])
     placed = placed.withColumn("mix_from", F.col("mix_from") + F.col("bucket_from"))
     target = F.floor(F.col("mix_target") + 0.5)
@@ -137,15 +146,16 @@ def assign(
     return placed.withColumn("mix_passes", F.transform("mix_passes", lambda x: F.struct(
         x["taken"].alias("taken"),
         position(F.col("knots"), F.col("demand"), (x["at"] + x["taken"] / 2) / F.col("mix_target")).alias("position"),
-    ))).withColumn("mix_taken", F.aggregate("mix_passes", F.lit(0).cast("long"), lambda n, x: n + x["taken"])).drop(
-        "knots", "demand", "bucket_from", "mix_from", "mix_bucket", *KEY)
+    ))).withColumn("mix_taken", F.aggregate("mix_passes", F.lit(0).cast("long"), lambda n, x: n + x["taken"])).select(
+        *[F.col(f"mix_row.`{c}`") for c in docs.columns if c not in OUT], *OUT)
 
 
 def training_order(assigned: DataFrame) -> DataFrame:
     """One row per taken piece (mix_words of its document, whole or cut), sorted by mix_position over ranges."""
-    taken = assigned.withColumn("mix_pass", F.explode("mix_passes")).select(
-        "*", F.col("mix_pass.taken").alias("mix_words"), F.col("mix_pass.position").alias("mix_position"))
-    return taken.drop("mix_pass", "mix_passes").repartitionByRange("mix_position", "mix_order").sortWithinPartitions("mix_position", "mix_order")
+    own = [F.col(f"`{c}`") for c in assigned.columns if c not in ("mix_passes", "mix_words", "mix_position")]
+    taken = assigned.select(*own, F.explode("mix_passes").alias("mix_pass")).select(
+        *own, F.col("mix_pass.taken").alias("mix_words"), F.col("mix_pass.position").alias("mix_position"))
+    return taken.repartitionByRange("mix_position", "mix_order").sortWithinPartitions("mix_position", "mix_order")
 
 
 def first_words(text: Column, n: Column) -> Column:

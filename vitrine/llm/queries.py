@@ -92,7 +92,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_curriculum_mix", r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    md5(coalesce(doc_id::VARCHAR, '')) AS h
+    md5(coalesce(doc_id::VARCHAR, text, '')) AS h
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source
@@ -103,22 +103,36 @@ WITH sized AS (
     / (sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS one FROM filled
 ), goals AS (
   SELECT source, source_size, least(cap::DOUBLE, max(one) OVER () * w) AS target FROM levels
+), rates AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM goals
+), offs AS (
+  SELECT *, rate - coalesce(sum(rate * target) OVER () / nullif(sum(target) OVER (), 0), 0) AS off FROM rates
+), tilts AS (
+  SELECT source, source_size, target, CASE WHEN max(abs(off)) OVER () > 0 THEN 0.5::DOUBLE * off / max(abs(off)) OVER () ELSE 0 END AS tilt FROM offs
 ), placed AS (
-  SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS goal,
+  SELECT doc_id, size, source_size, target, tilt, floor(target + 0.5)::BIGINT AS goal,
     (sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
-  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+  FROM sized s JOIN tilts g ON s.source IS NOT DISTINCT FROM g.source
+), passes AS (
+  SELECT *, greatest(0, least(size, goal - start)) AS t1, greatest(0, least(size, goal - source_size - start)) AS t2,
+    greatest(0, least(size, goal - 2 * source_size - start)) AS t3 FROM placed
+), shares AS (
+  SELECT *, (start + t1 / 2.0::DOUBLE) / target AS y1, (start + source_size + t2 / 2.0::DOUBLE) / target AS y2,
+    (start + 2 * source_size + t3 / 2.0::DOUBLE) / target AS y3 FROM passes
 )
-SELECT doc_id, size, source_size, target,
-  (greatest(0, least(size, goal - start)) + greatest(0, least(size, goal - source_size - start))
-   + greatest(0, least(size, goal - 2 * source_size - start)))::BIGINT AS taken
-FROM placed
+SELECT doc_id, size, source_size, target, (t1 + t2 + t3)::BIGINT AS taken,
+  CASE WHEN t1 > 0 THEN round(least(2 * y1 / (1 - tilt + sqrt((1 - tilt) * (1 - tilt) + 4 * y1 * tilt)), 1), 9) END AS position_1,
+  CASE WHEN t2 > 0 THEN round(least(2 * y2 / (1 - tilt + sqrt((1 - tilt) * (1 - tilt) + 4 * y2 * tilt)), 1), 9) END AS position_2,
+  CASE WHEN t3 > 0 THEN round(least(2 * y3 / (1 - tilt + sqrt((1 - tilt) * (1 - tilt) + 4 * y3 * tilt)), 1), 9) END AS position_3
+FROM shares
 """)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = curriculum.assign(documents(spark, sf_dir).select("doc_id", "source", "text"))
-    ordered = plan.drop("text").withColumn("at", F.get("mix_passes", F.lit(0))["position"]).repartitionByRange("at", "mix_order")
-    return ordered.sortWithinPartitions("at", "mix_order").select(
+    plan = curriculum.assign(documents(spark, sf_dir).select("doc_id", "source", "text")).drop("text")
+    place = lambda k: F.round(F.get("mix_passes", F.lit(k))["position"], 9)
+    ordered = plan.withColumn("at", place(0)).repartitionByRange("at", "mix_order").sortWithinPartitions("at", "mix_order")
+    return ordered.select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_total").alias("source_size"), F.col("mix_target").alias("target"),
-        F.col("mix_taken").alias("taken"))
+        F.col("mix_taken").alias("taken"), *[place(k).alias(f"position_{k + 1}") for k in range(curriculum.MOST)])
 
 
 @query("op7_license_automaton")
