@@ -14,6 +14,8 @@ components; those with a near partner come back with their full sets, meet again
 every link that joins two components is given out, so a block gives fewer links than it has
 components, never its pairs.
 
+Hubs of many pairs are asked in parts, so that no task holds all of one hub.
+
 Texts without words are linked with nothing.  Rows without an id link with nothing, have no
 component and are kept.  Rows that share an id are one document that holds each of their texts.
 An empty table gives an empty result; columns other than the two that are named play no part.
@@ -154,7 +156,16 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, name: str, doc_id: str, text:
 
         return encode
 
-    return materialize(map_batches(picked.where("id IS NOT NULL").select("id", "text"), "id long, members binary", start), name)
+    return materialize(map_batches(picked.where("id IS NOT NULL").select("id", "text"), "id long, members binary", start).distinct(), name)
+
+
+def beside_hubs(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns of ``table`` (b, ...). A hub of many pairs is asked in parts of about BLOCK pairs."""
+    heavy = pairs.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("parts")).where("parts > 1")
+    parts = F.coalesce("parts", F.lit(1))
+    asked = pairs.join(heavy, "b", "left").withColumn("part", F.pmod(F.xxhash64("a"), parts)).drop("parts")
+    hubs = table.join(heavy, "b", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    return asked.join(hubs, ["b", "part"]).drop("part")
 
 
 def enough(both: int, x: int, y: int) -> bool:
@@ -177,10 +188,8 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     near.append(i)
             yield pa.RecordBatch.from_pydict({"a": [d["a"][i] for i in near], "b": [d["b"][i] for i in near]}, schema=LINK)
 
-    both = (
-        pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b").select("a", "b", "x", "y")
-    )
+    both = beside_hubs(pairs, sets.select(F.col("id").alias("b"), F.col("members").alias("y"))).join(
+        sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").select("a", "b", "x", "y")
     return both.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -320,15 +329,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("leader"))
     leads = classes.withColumnRenamed("leader", "doc_id")
-    leaders = materialize(known.join(leads, ["class", "doc_id"]).select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-leaders")
+    # rows that repeat an id and a text are one
+    leaders = known.join(leads, ["class", "doc_id"]).groupBy("class", "doc_id").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    leaders = materialize(leaders.select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-leaders")
     buckets = leaders.select(F.explode("bands").alias("band"), "id")
     hubs = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     shared = materialize(buckets.join(hubs, "band"), "near-shared")
     pairs = shared.where("id != hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     sketches = leaders.select("id", "sketch")
     near = materialize(
-        pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
-        .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")), "b")
+        beside_hubs(materialize(pairs, "near-asked"), sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y")))
+        .join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x")), "a")
         .where(differing(F.col("x"), F.col("y")) <= most_differing(LEAST_ESTIMATE)).select("a", "b").distinct(), "near-pairs")
     sets = shingle_sets(docs, near.select(F.explode(F.array("a", "b")).alias("id")), "near-sets", doc_id, text)
     links = materialize(confirm(near, sets), "near-links")
