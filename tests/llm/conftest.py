@@ -25,7 +25,7 @@ def odd(docs):
         (5, "same words here again and again my friend"), (6, "same words here again and again my friend"),
         (None, "a text without any id at all in it"), (7, long), (8, "É à ß \x85 \u3000 中文 \U0001f600 x"), (9, "x", None),
     )
-    for name in ("id", "ids", "size", "n", "a", "b", "u", "v", "band", "hub", "component", "score", "kept", "label", "mix", "part", "place", "h", "w", "host", "rule"):
+    for name in ("id", "ids", "size", "n", "a", "b", "u", "v", "band", "hub", "component", "score", "kept", "label", "mix", "part", "place", "h", "w", "host", "rule", "demand", "knots", "bucket_from", "mix_size", "mix_row", "mix_from", "one", "parts", "ask"):
         rows = rows.withColumn(name, F.lit("clash"))
     return rows
 

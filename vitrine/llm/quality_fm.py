@@ -179,10 +179,11 @@ def train(
         .groupBy("id").agg(F.min("label").alias("label"))
         .orderBy(F.xxhash64("id"), "id").limit(train_rows)
     )
-    # the sample is bounded, so it is what travels; texts stay where they are
+    # the sample is bounded, so it is what travels; of rows that repeat an id one teaches, so that what comes back is bounded too
     rows = (
         docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.col(n_chars).cast("long").alias("n_chars"))
         .join(F.broadcast(sample), "id")
+        .groupBy("id", "label").agg(F.min(F.struct("text", "n_chars")).alias("one")).select("id", "label", "one.text", "one.n_chars")
     )
 
     def start():
