@@ -42,7 +42,7 @@ KEY = ["mix_source", "mix_none"]
 OUT = ("mix_order", "mix_size", "mix_total", "mix_target", "mix_taken", "mix_passes")
 
 
-def _keys(docs: DataFrame, doc_id: str, source: str, text: str, size: Column, digits: int) -> DataFrame:
+def _keys(docs: DataFrame, doc_id: str, source: str, text: str, size: Column, digits: int, carry: list[str]) -> DataFrame:
     """Rows as one struct (mix_row), so that no name of theirs meets one used here, with source key, place in the random order, bucket and size.
 
     Rows without an id are spread by their texts; ties go by size, then by the text's hash.
@@ -50,7 +50,7 @@ def _keys(docs: DataFrame, doc_id: str, source: str, text: str, size: Column, di
     body = F.col(text).cast("string") if text in docs.columns else F.lit("")
     order = F.md5(F.coalesce(F.col(doc_id).cast("string"), body, F.lit("")).cast("binary"))
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("mix_row"), F.col(doc_id).cast("string").alias("mix_id"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("mix_row"), F.col(doc_id).cast("string").alias("mix_id"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("mix_source"), F.col(source).isNull().alias("mix_none"),
         order.alias("mix_order"), F.substring(order, 1, digits).alias("mix_bucket"), size.alias("mix_size"), F.xxhash64(body).alias("mix_tie"),
     )
@@ -113,13 +113,15 @@ def position(knots: Column, demand: Column, share: Column) -> Column:
 def assign(
     docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", size: Column | None = None,
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST, schedule: DataFrame | None = None, digits: int = DIGITS, lean: float = LEAN,
+    carry: list[str] | None = None,
 ) -> DataFrame:
     """The rows with mix_size, mix_total, mix_target, mix_taken and mix_passes (array of taken, position) added.
 
+    ``carry`` names the columns to keep (all, if not given); others, such as a text that is only counted, are not moved.
     ``schedule`` has (source, knots array<struct<t, w>>), knots from t = 0 to 1; sources it lacks lean as by default.
     """
     size = word_count(F.col(text)) if size is None else size
-    rows = _keys(docs, doc_id, source, text, size, digits)
+    rows = _keys(docs, doc_id, source, text, size, digits, docs.columns if carry is None else carry)
     buckets = materialize(rows.groupBy(*KEY, "mix_bucket").agg(F.sum("mix_size").alias("bucket_size")), "mix-buckets")
     sources = targets(buckets.groupBy(*KEY).agg(F.sum("bucket_size").alias("mix_total")), weights, most)
     knots = leaning(sources, lean)
@@ -147,7 +149,7 @@ def assign(
         x["taken"].alias("taken"),
         position(F.col("knots"), F.col("demand"), (x["at"] + x["taken"] / 2) / F.col("mix_target")).alias("position"),
     ))).withColumn("mix_taken", F.aggregate("mix_passes", F.lit(0).cast("long"), lambda n, x: n + x["taken"])).select(
-        *[F.col(f"mix_row.`{c}`") for c in docs.columns if c not in OUT], *OUT)
+        *[F.col(f"mix_row.`{c}`") for c in (docs.columns if carry is None else carry) if c not in OUT], *OUT)
 
 
 def training_order(assigned: DataFrame) -> DataFrame:

@@ -127,7 +127,7 @@ SELECT doc_id, size, source_size, target, (t1 + t2 + t3)::BIGINT AS taken,
 FROM shares
 """)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = curriculum.assign(documents(spark, sf_dir).select("doc_id", "source", "text")).drop("text")
+    plan = curriculum.assign(documents(spark, sf_dir), carry=["doc_id"])
     place = lambda k: F.round(F.get("mix_passes", F.lit(k))["position"], 9)
     ordered = plan.withColumn("at", place(0)).repartitionByRange("at", "mix_order").sortWithinPartitions("at", "mix_order")
     return ordered.select(
