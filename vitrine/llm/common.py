@@ -32,6 +32,7 @@ def map_batches(df: DataFrame, ddl: str, start: Callable[[], Callable[[dict], di
             out = fn(batch.to_pydict())
             for piece in (out,) if isinstance(out, dict) else out:
                 yield pa.RecordBatch.from_pydict(piece, schema=schema)
+        pa.default_memory_pool().release_unused()  # workers wait between tasks, and what they hold counts
 
     return df.mapInArrow(run, ddl)
 

@@ -325,13 +325,13 @@ def join_components(members: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    rows = materialize(describe(docs, doc_id, text), "near-rows")
+    rows = materialize(describe(docs, doc_id, text).withColumn("row", F.monotonically_increasing_id()), "near-rows")
     known = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("class").agg(F.min("doc_id").alias("leader"))
-    leads = classes.withColumnRenamed("leader", "doc_id")
-    # rows that repeat an id and a text are one
-    leaders = known.join(leads, ["class", "doc_id"]).groupBy("class", "doc_id").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    leaders = materialize(leaders.select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-leaders")
+    # one row of each class goes on: the first of its smallest id, however often that stands there
+    classes = materialize(known.groupBy("class").agg(F.min(F.struct("doc_id", "row")).alias("lead")).select(
+        "class", F.col("lead.doc_id").alias("leader"), F.col("lead.row").alias("row")), "near-classes")
+    leaders = materialize(known.join(classes.select("class", "row"), ["class", "row"]).select(F.col("doc_id").alias("id"), "bands", "sketch"), "near-leaders")
+    classes = classes.drop("row")
     buckets = leaders.select(F.explode("bands").alias("band"), "id")
     hubs = buckets.groupBy("band").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
     shared = materialize(buckets.join(hubs, "band"), "near-shared")
