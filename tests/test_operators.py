@@ -219,13 +219,54 @@ def test_load_modes(spark):
     spark.sql(f"DROP TABLE {table}")
 
 
-def test_publish_swaps_only_accepted_data(spark, tmp_path):
-    live, staging = str(tmp_path / "live"), str(tmp_path / "staging")
-    spark.range(3).write.parquet(live)
-    assert TB.publish(spark.range(5), staging, live, lambda df: df.count() == 99) is False
-    assert spark.read.parquet(live).count() == 3
-    assert TB.publish(spark.range(5), staging, live, lambda df: df.count() == 5) is True
-    assert spark.read.parquet(live).count() == 5
+def test_publish_points_only_at_accepted_data(spark, tmp_path):
+    live = str(tmp_path / "live")
+    assert TB.published(spark, live) is None
+    assert TB.publish(spark.range(3), live, lambda df: df.count() == 3) is True
+    assert TB.publish(spark.range(5), live, lambda df: df.count() == 99) is False
+    assert TB.published(spark, live).count() == 3
+    before = TB.published(spark, live)  # a reader that opened the old version goes on with it
+    assert TB.publish(spark.range(5), live, lambda df: df.count() == 5) is True
+    assert TB.published(spark, live).count() == 5 and before.count() == 3
+
+
+def test_readers_see_a_whole_version_while_it_is_switched(spark, tmp_path):
+    import threading
+
+    live, seen, stop = str(tmp_path / "live"), set(), threading.Event()
+    TB.publish(spark.range(1), live, lambda df: True)
+
+    def read():
+        while not stop.is_set():
+            seen.add(TB.published(spark, live).count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 8):
+        TB.publish(spark.range(n), live, lambda df: True)
+    stop.set()
+    reader.join()
+    assert seen <= set(range(1, 8)) and len(seen) > 1
+
+
+def test_load_leaves_the_session_setting(spark):
+    table, setting = "vitrine_setting_test", "spark.sql.sources.partitionOverwriteMode"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    TB.prepare_table(spark, table, "TV")
+    before = spark.conf.get(setting)
+    for other in ("static", "dynamic"):
+        spark.conf.set(setting, other)
+        try:
+            TB.load(_published(spark, "Magalu", "TV", "ab"), table, "TV")
+            TB.load(_published(spark, "Casas Bahia", "TV", "c"), table, "TV")
+            TB.load(_published(spark, "Magalu", "TV", "z"), table, "TV", "replace_slice", "magalu")
+            assert {(r.account_key, r.item_key) for r in spark.table(table).collect()} == {("magalu", "z"), ("casas_bahia", "c")}
+            TB.load(_published(spark, "Magalu", "TV", "q"), table, "TV", "overwrite")
+            assert [r.item_key for r in spark.table(table).collect()] == ["q"]
+            assert spark.conf.get(setting) == other
+        finally:
+            spark.conf.set(setting, before)
+    spark.sql(f"DROP TABLE {table}")
 
 
 def test_page_and_capture_readers(spark, tmp_path):

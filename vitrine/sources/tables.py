@@ -92,9 +92,9 @@ def load(df: DataFrame, table: str, line: str, mode: str = "append",
     if mode == "append":
         writer.mode("append").insertInto(table)
     else:
-        dynamic = "dynamic" if mode == "replace_slice" else "static"
+        # insertInto takes no such option, so the session's setting is switched for this one write
         before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", dynamic)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if mode == "replace_slice" else "static")
         try:
             writer.mode("overwrite").insertInto(table)
         finally:
@@ -145,22 +145,52 @@ def publish_gate(target: DataFrame, product: DataFrame, manifest: DataFrame, key
     )
 
 
-def publish(df: DataFrame, staging: str, final: str, accepted) -> bool:
-    """Write to staging, check what was written, then swap it in place.
+def publish(df: DataFrame, folder: str, accepted) -> bool:
+    """Write a version of its own below ``folder``, check what was written, then point at it.
 
-    ``accepted`` gets the re-read staging data and says whether it may go live.
+    ``accepted`` gets the re-read version and says whether it may go live.  Versions are never changed or moved, and the pointer
+    is one small file that a rename replaces as a whole, so a reader (:func:`published`) sees the old version or
+    the new one, also while it is being switched.  Versions that nobody reads any more are left to the folder's owner.
     """
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(staging)
-    if not accepted(spark.read.parquet(staging)):
-        return False
-    jvm = spark.sparkContext._jvm
-    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(final)
-    old = jvm.org.apache.hadoop.fs.Path(f"{final}.{uuid.uuid4().hex}.old")
-    fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(dst):
-        fs.rename(dst, old)
-    if not fs.rename(src, dst):
-        fs.rename(old, dst)
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/{version}")
+    if not accepted(spark.read.parquet(f"{folder}/{version}")):
         return False
+    _replace_text(spark, f"{folder}/{POINTER}", version)
     return True
+
+
+#: the file of a published folder that names its live version
+POINTER = "_CURRENT"
+
+
+def published(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The live version of a published folder, None if there is none yet."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{POINTER}")
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        version = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return spark.read.parquet(f"{folder}/{version}")
+
+
+def _replace_text(spark: SparkSession, target: str, text: str) -> None:
+    """Write a small file beside its target and rename it over the target in one step."""
+    gateway = spark.sparkContext._gateway
+    jvm, conf = gateway.jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{target}.{uuid.uuid4().hex}", target))
+    out = new.getFileSystem(conf).create(new)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    how = gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(old.toUri(), conf).rename(new, old, how)
