@@ -340,6 +340,53 @@ def words_after(after: Column, fillers: tuple[str, ...]) -> Column:
     return F.filter(F.split(key_text(clause), " "), lambda w: (w != "") & ~w.isin(*fillers))
 
 
+# ---- values of a text with their surroundings ---------------------------------------------
+
+
+def cut_at(text: Column, pattern: str) -> Column:
+    """A text cut once at its values: ``struct<words,gaps>``, value ``i`` standing between gaps ``i`` and ``i + 1``.
+
+    ``pattern`` must not contain capturing groups.
+    """
+    return F.struct(
+        F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("words"), F.split(text, pattern, -1).alias("gaps"))
+
+
+def values_of(pieces: Column) -> Column:
+    """Values of :func:`cut_at` as ``array<struct<at,word,gap,before,after>>``, ``at`` counting from 0.
+
+    ``gap`` is the text since the value in front, ``before`` that text with that value, ``after`` the text up to the next
+    value with that value.  Each text is copied a fixed number of times, so time grows with the text.
+    """
+    piece = lambda arr, i: as_text(F.get(arr, i))
+    return let(pieces, lambda x: F.transform(x["words"], lambda w, i: F.struct(
+        i.alias("at"), w.alias("word"), F.get(x["gaps"], i).alias("gap"),
+        F.concat(piece(x["words"], i - 1), F.get(x["gaps"], i)).alias("before"),
+        F.concat(F.get(x["gaps"], i + 1), piece(x["words"], i + 1)).alias("after"))))
+
+
+def values_in(text: Column, pattern: str) -> Column:
+    return values_of(cut_at(text, pattern))
+
+
+def text_before(pieces: Column, at: Column, values: Column | int) -> Column:
+    """Text in front of a value, back over as many values."""
+    first = F.greatest(at - values, F.lit(0))
+    parts = F.arrays_zip(F.slice(pieces["gaps"], first + 1, at - first).alias("gap"), F.slice(pieces["words"], first + 1, at - first).alias("word"))
+    return F.concat(F.array_join(F.transform(parts, lambda p: F.concat(p["gap"], p["word"])), ""), F.get(pieces["gaps"], at))
+
+
+def first_gap(pieces: Column, rule) -> Column:
+    """Index of the first gap that ``rule`` accepts, NULL for none; a value of that index or behind has it in front."""
+    found = F.array_position(F.transform(pieces["gaps"], lambda g: F.coalesce(rule(g), F.lit(False))), F.lit(True))
+    return F.when(found > 0, found - 1)
+
+
+def ends_with_sentence(text: Column) -> Column:
+    """The text up to the end of its first sentence: a full stop, ``!`` or ``?`` in front of a capital letter."""
+    return F.get(F.split(text, r"(?<=[.!?])\s+(?=\p{Lu})", 2), F.lit(0))
+
+
 # ---- occurrences with their surroundings -------------------------------------------------
 
 
