@@ -366,3 +366,24 @@ def test_usage_counts_survive_restarts_and_late_rows(spark, tmp_path):
     assert run()[("2024-01-01", "x")] == 3
     add("c", ("x", "2024-01-01 12:00:00"))  # behind the watermark: the window is closed
     assert run() == {("2024-01-01", "x"): 3, ("2024-01-02", "y"): 1, ("2024-03-01", "y"): 1}
+
+
+def test_a_run_leaves_the_stream_when_a_later_one_starts(spark, tmp_path):
+    from vitrine.streaming import jobs as J
+
+    batches = [
+        [("2024-01-01", "a"), ("2024-01-01", "a"), ("2024-01-01", "b"), (None, "x")], [("2024-01-01", "b"), ("2024-01-01", "c")],
+        [("2024-01-05", "a"), ("2024-01-05", "d")], [("2024-01-01", "late"), ("2024-01-05", "d")],
+    ]
+    seen, kept = [], []
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, "run string, id string").coalesce(1).write.parquet(f"{tmp_path}/in/batch={n}")
+        stream = spark.readStream.schema("run string, id string").parquet(f"{tmp_path}/in/batch=*")
+        query = J.run_available(J.first_seen(stream, "run", ["id"]), f"{tmp_path}/checkpoint", J.write_batches(f"{tmp_path}/out"))
+        seen.append(sorted((str(r.run)[:10], r.id) for r in spark.read.parquet(f"{tmp_path}/out").collect()))
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    first = [("2024-01-01", "a"), ("2024-01-01", "b")]
+    assert seen[0] == first and seen[1] == [*first, ("2024-01-01", "c")]
+    # the closed run has no state left, and what comes late for it is dropped
+    assert seen[2] == seen[3] == [*first, ("2024-01-01", "c"), ("2024-01-05", "a"), ("2024-01-05", "d")]
+    assert kept == [2, 3, 2, 2]

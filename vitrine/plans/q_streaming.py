@@ -21,7 +21,7 @@ def usage_counts_stream(spark, sf):
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "retailer", "calls")
 
 
-_IDS = ("SELECT DISTINCT CASE WHEN l_linestatus = 'O' THEN 'North Shop' ELSE 'South Shop' END AS retailer, l_partkey AS item, "
+_IDS = ("SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS run, CASE WHEN l_linestatus = 'O' THEN 'North Shop' ELSE 'South Shop' END AS retailer, l_partkey AS item, "
         "CASE WHEN l_linenumber <= 4 THEN '1' ELSE '2' END AS seller FROM lineitem")
 
 
@@ -32,9 +32,9 @@ def first_seen_stream(spark, sf):
         "CASE WHEN l_linestatus = 'O' THEN 'North Shop' ELSE 'South Shop' END AS retailer", "l_partkey AS item", "'' AS sku",
         "CASE WHEN l_linenumber <= 4 THEN '1' ELSE '2' END AS seller", "l_shipdate",
         "concat('https://Shop.example/p/', l_partkey, '/?utm_source=x&seller_id=', CASE WHEN l_linenumber <= 4 THEN '1' ELSE '2' END) AS product_url")
-    firsts = J.first_seen(with_identity(lines), ["retailer", "identity"], "l_shipdate", "4000 days")
+    firsts = J.first_seen(with_identity(lines), "l_shipdate", ["retailer", "identity"])
     J.run_available(firsts, f"{base}/checkpoint", J.write_batches(f"{base}/out"))
-    return spark.read.parquet(f"{base}/out").select("retailer", "item", "seller")
+    return spark.read.parquet(f"{base}/out").select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("run"), "retailer", "item", "seller")
 
 
 @query("resumable_load_stream", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

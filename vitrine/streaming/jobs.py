@@ -33,10 +33,14 @@ def usage_counts(events: DataFrame, keys: list[str], ts: str = "ts", window: str
     )
 
 
-def first_seen(occurrences: DataFrame, keys: list[str], ts: str, late: str) -> DataFrame:
-    """First occurrence of every identity; equal to the batch result inside the watermark."""
-    timed = occurrences.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys)
+def first_seen(occurrences: DataFrame, run: str, keys: list[str], late: str = "1 day") -> DataFrame:
+    """First occurrence of every identity of a run; ``run`` is its date or time.
+
+    The identities of a run leave the state once a run that is ``late`` younger was seen; an occurrence of a run that is closed so
+    is dropped.  One without a run belongs to none and is dropped too.  Up to there the result equals the batch form.
+    """
+    timed = occurrences.withColumn(run, F.col(run).cast("timestamp")).filter(F.col(run).isNotNull())
+    return timed.withWatermark(run, late).dropDuplicatesWithinWatermark([run, *keys])
 
 
 def write_batches(path: str, transform: Callable[[DataFrame], DataFrame] | None = None):
