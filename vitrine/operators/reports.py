@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import as_text, blank, present
 from vitrine.functions.urls import canonical_retailer, host_allowed, sku_from_url
-from vitrine.operators.numbering import first_rows
+from vitrine.operators.numbering import first_rows, running_rank
 
 
 # ---- listing pages --------------------------------------------------------------------------------
@@ -119,10 +119,14 @@ def review_rows(rows: DataFrame, keys: list[str], reviews: str = "reviews", limi
 
 
 def ranked_reviews(reviews: DataFrame, keys: list[str], order: str, body: str) -> DataFrame:
-    """The same from a long table of reviews: no product's reviews meet in one array."""
-    some = reviews.filter(present(F.col(body)))
-    return some.withColumn("review_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(order))).select(
-        *keys, "review_rank", F.col(body).alias("detailed_review_content"))
+    """The same from a long table of reviews: no product's reviews meet in one array or one task.
+
+    ``order`` is an integer column, nulls first; reviews of one place stand by their text.
+    """
+    some = reviews.filter(present(F.col(body))).select(
+        *keys, F.coalesce(F.col(order).cast("long"), F.lit(-(1 << 40))).alias("__place"), F.col(body).alias("detailed_review_content"))
+    ranked = running_rank(some, keys, "__place", ["detailed_review_content"], "review_rank")
+    return ranked.select(*keys, F.col("review_rank").cast("int").alias("review_rank"), "detailed_review_content")
 
 
 def short_reviews(rows: DataFrame, keys: list[str], reviews: str = "reviews", limit: int | None = None) -> DataFrame:
