@@ -167,8 +167,7 @@ SELECT user_id, calls, first_wrong_step, CASE WHEN first_wrong_step IS NULL AND
 def usage_ladder_check(spark, sf):
     calls = I.table(spark, sf, "events").selectExpr(
         "user_id", "event_id", "CASE WHEN event_type IN ('view', 'click') THEN 'POST' ELSE 'GET' END AS method", "'p' AS profile", "'10x' AS multiplier")
-    steps = spark.createDataFrame(_LADDER, "step int, method string, profile string, multiplier string")
-    out = U.ladder_violations(calls, ["user_id"], "event_id", steps)
+    out = U.ladder_violations(calls, ["user_id"], "event_id", _LADDER)
     return out.withColumn("matches_ladder", F.col("matches_ladder").cast("int"))
 
 

@@ -60,18 +60,18 @@ def usage_summary(ledger: DataFrame) -> DataFrame:
     return status.unionByName(split)
 
 
-def ladder_violations(events: DataFrame, keys: list[str], order: str, ladder: DataFrame) -> DataFrame:
+def ladder_violations(events: DataFrame, keys: list[str], order: str, ladder: list[tuple]) -> DataFrame:
     """Calls that are not the expected step of the request ladder, per run.
 
-    ladder: step (from 1), method, profile, multiplier - a short fixed list.  A run may be
-    shorter than the ladder, never longer or different.
+    ladder: (step from 1, method, profile, multiplier) of every step.  A run may be shorter
+    than the ladder, never longer or different.
     """
     from vitrine.operators.numbering import first_rows
 
-    steps = ladder.count()
+    steps = len(ladder)
     # only the first steps can match; any further call is a violation by itself
     head = first_rows(events, keys, [order], steps, "step")
-    want = ladder.select("step", *[F.col(c).alias(f"w_{c}") for c in ("method", "profile", "multiplier")])
+    want = events.sparkSession.createDataFrame(ladder, "step int, w_method string, w_profile string, w_multiplier string")
     wrong = head.join(want, "step", "left").filter(
         (F.col("method") != F.col("w_method")) | (F.col("profile") != F.col("w_profile"))
         | (F.col("multiplier") != F.col("w_multiplier")))
