@@ -37,6 +37,8 @@ _C_HTML = (
     + _product_c(2, "'Item'", ',"categories":[{"name":"Casa","subCategory":[{"name":"Freezer"}]}],"isSponsored":true') + ", ',', "
     + _product_c(3, "'Filtro geladeira'") + ", ']}}}}}}</script>')"
 )
+# the same products where layout "S" keeps them
+_S_HTML = _C_HTML.replace('"initialState":{"search":{"results":{', '"data":{"' + L.PRODUCT_PATHS["S"].split(".")[-2] + '":{').replace("]}}}}}}</script>", "]}}}}}</script>")
 _LINKS = (
     f"concat(html, '<a href=\"/x/p/', {PID}, '1/\"><b>TV 43</b> 4,5 (12) R$ 900,00 ou R$ 800,00 no pix 10% de desconto</a>"
     f"<a class=c href=''/x/p/', {PID}, '1/?a=1''>again</a><a href=\"https://www.shop.example/y/p/', {PID}, '2\" aria-label=\"Full TV 50 2025 R$ 1.000,00\"><i>x</i></a>')"
@@ -89,6 +91,14 @@ def listing_layout_c(spark, sf):
                       "savings", "sku_status", "star_rating", "count_of_star_ratings", "seller_id")
 
 
+@query("listing_layout_s", """SELECT page_id, k - 1 AS pos, CASE k WHEN 1 THEN 'Geladeira Duplex RT38' ELSE 'Item' END AS title,
+ concat('https://www.shop.example/a/p/', page_id, k) AS product_url, CASE k WHEN 1 THEN 'RT38' ELSE '' END AS sku
+FROM pages, (VALUES (1), (2)) v(k)""")
+def listing_layout_s(spark, sf):
+    out = L.explode_listing(pages(spark, sf, _S_HTML), KEYS, "S", BASE, "REF")
+    return out.select("page_id", "pos", "title", "product_url", "sku")
+
+
 @query("category_tree_haystack", """SELECT page_id, 1 AS pos, 'Casa|Freezer' AS names FROM pages UNION ALL SELECT page_id, 0, '' FROM pages UNION ALL SELECT page_id, 2, '' FROM pages""")
 def category_tree_haystack(spark, sf):
     docs = L.product_docs(pages(spark, sf, _C_HTML), KEYS, "C")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators import ranking as R
 from vitrine.plans import inputs as I
+from vitrine.plans.final import manifest_counts
 from vitrine.plans.registry import query
 
 RUN = ", ".join(R.RUN)
@@ -95,11 +96,7 @@ def final_targets(spark, sf):
 @query("final_target_counts", f"""{_FINAL} SELECT {RUN}, count(*) AS row_count,
 count(main_rank) AS main_rank_rows, count(bsr_rank) AS bsr_rank_rows FROM targets GROUP BY {RUN}""")
 def final_target_counts(spark, sf):
-    return targets(spark, sf).groupBy(*R.RUN).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count("main_rank").alias("main_rank_rows"),
-        F.count("bsr_rank").alias("bsr_rank_rows"),
-    )
+    return manifest_counts(targets(spark, sf), R.RUN)
 
 
 _GROWTH = f"""{_OCC},
