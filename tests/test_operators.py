@@ -288,6 +288,49 @@ def test_page_and_capture_readers(spark, tmp_path):
         ("", "a_b"), ("invalid_ledger_json", None)]
 
 
+def test_page_folders_and_side_files(spark, tmp_path):
+    from vitrine.sources import pages as P
+
+    rows = [("North Shop", "run:1", 7, "<p>\na\n\n", "4", "https://h/7"), ("s+t", "m", 12, "", None, None), ("s+t", "m", 13, None, "1", None)]
+    pages = spark.createDataFrame(rows, "retailer string, run_id string, page int, html string, listing_mode string, source_url string")
+    P.write_pages(pages, str(tmp_path / "made"))
+    made = P.read_pages(spark, str(tmp_path / "made"), side=True)
+    error = P.side_error(F.lit("4"), F.col("listing_mode"), F.lit("https://h/7"), F.col("source_url")).alias("error")
+    got = sorted(tuple(r) for r in made.select("retailer", "run_id", "page", "html", error).collect())
+    assert got == [("North Shop", "run:1", 7, "<p>\na\n\n", ""), ("s+t", "m", 12, "", "raw_listing_mode_unverified"),
+                   ("s+t", "m", 13, "", "raw_listing_mode_mismatch")]
+    assert P.read_pages(spark, str(tmp_path / "made")).count() == 3
+
+    folder = tmp_path / "given" / "s" / "main"
+    folder.mkdir(parents=True)
+    for n, side in ((1, '{"listing_mode": "4", "source_url": "https://h/8"}'), (2, "broken"), (3, None)):
+        (folder / f"page_{n:03d}.html").write_text(f"p{n}\n")
+        if side:
+            (folder / f"page_{n:03d}.mode.json").write_text(side)
+    given = P.read_pages(spark, str(tmp_path / "given"), side=True)
+    assert sorted(tuple(r) for r in given.select("page", "html", error).collect()) == [
+        (1, "p1\n", "raw_listing_source_mismatch"), (2, "p2\n", "raw_listing_mode_unverified"), (3, "p3\n", "raw_listing_mode_unverified")]
+
+
+def test_snapshot_keeps_texts_as_they_are(spark, tmp_path):
+    texts = ["", " lead", "tail ", 'a "b", c', "two\nlines", "\\", '"', ",", "é"]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "item string, sku string")
+    SN.write_snapshot(rows, str(tmp_path / "s"), ["sku", "item"], translate=False)
+    back = {r.item: r.sku for r in SN.read_snapshot(spark, str(tmp_path / "s"), ["item", "sku"]).collect()}
+    assert [back[str(i)] for i in range(len(texts))] == texts
+
+
+def test_operations_are_listed_by_calls_endpoint_and_name(spark):
+    from vitrine.sources.capture import operations_report
+
+    rows = [("e2", "a", 3), ("e1", "b", 3), ("e1", "a", 3), ("e9", "", 70000), ("e0", "z", 1)]
+    ops = spark.createDataFrame(rows, "endpoint string, operation string, calls long")
+    for keys, df in (([], ops), (["run"], ops.withColumn("run", F.lit("r")))):
+        got = operations_report(df, keys).collect()
+        assert [r.place for r in got] == [1, 2, 3, 4, 5]
+        assert [(r.endpoint, r.operation, r.calls) for r in got] == sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
+
+
 def test_final_rows_do_not_depend_on_partitioning(spark):
     from vitrine.plans.final import final_rows
 

@@ -8,6 +8,7 @@ from vitrine.functions import variants as V
 from vitrine.operators import listing as L
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import column_query, query
+from vitrine.session import work_dir
 from vitrine.sources import pages as P
 
 KEYS = ["page_id"]
@@ -58,9 +59,27 @@ def pages(spark, sf, html: str):
 _BRL = "concat('R$', translate(format('{:,.2f}', cast(%s AS double)), ',.', '.,'))"
 
 
-@query("page_store", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+_STORE = {
+    "retailer": "CASE WHEN page_id % 3 = 0 THEN 'North Shop' ELSE 'south_shop' END", "run_id": "concat('run:', " + I.vc("page_id % 4") + ")",
+    "page": "page_id", "listing_mode": "CASE page_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '1' ELSE '4' END",
+    "source_url": "CASE page_id % 5 WHEN 0 THEN NULL WHEN 2 THEN 'https://other.example/' ELSE url END", "html": "html",
+}
+
+
+@query("page_store", f"""WITH s AS ({I.select_sql({**_STORE, "url": "url"}, "pages")})
+SELECT page AS page_id, retailer, run_id, source_url, length(html) AS n_chars, md5(html) AS html_md5,
+ CASE WHEN listing_mode IS NULL THEN 'raw_listing_mode_unverified' WHEN listing_mode <> '4' THEN 'raw_listing_mode_mismatch'
+  WHEN source_url <> url THEN 'raw_listing_source_mismatch' ELSE '' END AS reuse_error FROM s""")
 def page_store(spark, sf):
-    return I.table(spark, sf, "pages").select("page_id", "url", F.length("html").alias("n_chars"))
+    """Every page written to a page folder and read from it again with its side file."""
+    stored = I.table(spark, sf, "pages")
+    folder = work_dir(spark, "page-store")
+    P.write_pages(I.select(stored, _STORE), folder)
+    back = P.read_pages(spark, folder, side=True).join(stored.selectExpr("page_id AS page", "url AS asked"), "page")
+    error = P.side_error(F.lit("4"), F.col("listing_mode"), F.col("asked"), F.col("source_url"))
+    return back.select(
+        F.col("page").cast("long").alias("page_id"), "retailer", "run_id", "source_url", F.length("html").alias("n_chars"),
+        F.md5("html").alias("html_md5"), error.alias("reuse_error"))
 
 
 @query("embedded_json", """SELECT page_id, 'linked_data' AS kind, 0 AS pos, 'ItemList' AS block_type FROM pages

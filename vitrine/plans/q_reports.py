@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from vitrine.operators import payloads as PL
 from vitrine.operators import reports as R
 from vitrine.plans import inputs as I
 from vitrine.plans.registry import column_query, query
+from vitrine.session import materialize, work_dir
 from vitrine.sources import capture as C
 from vitrine.sources import snapshot as S
 from vitrine.sources import tables as TB
@@ -295,6 +299,13 @@ def capture_operations(spark, sf):
                       F.array_join("variable_keys", ",").alias("variable_keys"), "query_head")
 
 
+@query("operations_report", f"""WITH {_REQS}, c AS (SELECT l_orderkey, endpoint, operation, count(*) AS calls FROM q GROUP BY ALL)
+SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY calls DESC, endpoint, operation) AS place FROM c""")
+def operations_report(spark, sf):
+    counted = C.capture_operations(C.capture_requests(entries(spark, sf), ["l_orderkey"]), ["l_orderkey"])
+    return C.operations_report(counted, ["l_orderkey"]).select("l_orderkey", "endpoint", "operation", "calls", "place")
+
+
 _NEST = "concat('{\"page\":{\"more\":[0,0,0,0,0,0,0,0,0,{\"deep\":[{\"sku\":1,\"price\":2}]}],\"list\":[{\"id\":1,\"title\":\"t', cast(event_id AS varchar(20)), '\",\"sub\":{\"notes\":[{\"text\":\"a\",\"author\":\"b\"}]}}],\"n\":[1,2],\"', event_type, '\":{\"summaryText\":\"x\"}}}')"
 
 
@@ -358,6 +369,73 @@ def replace_slice_content(spark, sf):
     return TB.replaced_slice(existing, new, "casas_bahia", "TV")
 
 
+# ---- loads into history tables: each query makes tables of its own and drops them ------------------------------
+
+_NEW = {"account_name": "CASE WHEN c_nationkey = 3 THEN 'Magalu' ELSE 'Casas Bahia' END", "product": "'TV'", "item": I.vc("c_custkey"), "main_rank": "'1'", "sku": "'new'"}
+_LOADED = """SELECT CASE account_name WHEN 'Magalu' THEN 'magalu' ELSE 'casas_bahia' END AS account_key, upper(trim(product)) AS product, trim(item) AS item_key,
+ CASE WHEN contains(main_rank, '.') THEN NULL ELSE try_cast(nullif(trim(main_rank), '') AS int) END AS main_rank, nullif(trim(sku), '') AS sku FROM"""
+_OLDSQL, _NEWSQL = I.select_sql(_FINALROWS, "orders"), I.select_sql(_NEW, "customer")
+
+
+def _publishable(rows, line):
+    """Rows of a line with all published columns, blank where a row has none."""
+    rows = rows.filter(F.upper(F.trim("product")) == line)
+    return rows.withColumns({c: F.lit("") for c in S.final_columns(line) if c not in rows.columns})
+
+
+def _loads(spark, steps):
+    """Content of the tables after loads of (line, rows, mode, retailer), and what the last load of a line inserted."""
+    pattern, inserted = f"vitrine_{{line}}_{uuid.uuid4().hex}", {}
+    try:
+        for line, rows, mode, retailer in steps:
+            TB.prepare_table(spark, TB.output_table(line, pattern=pattern), line)
+            inserted[line] = TB.load(_publishable(rows, line), TB.output_table(line, pattern=pattern), line, mode, retailer)["inserted"]
+        tables = [
+            spark.table(TB.output_table(line, pattern=pattern)).select(
+                "account_key", "product", "item_key", "main_rank", "sku", F.lit(n).cast("long").alias("inserted"))
+            for line, n in inserted.items()]
+        return materialize(reduce(lambda a, b: a.unionByName(b), tables), "loaded")
+    finally:
+        for line in {line for line, *_ in steps}:
+            spark.sql(f"DROP TABLE IF EXISTS {TB.output_table(line, pattern=pattern)}")
+
+
+@query("load_append", f"""WITH o AS ({_LOADED} ({_OLDSQL})), n AS ({_LOADED} ({_NEWSQL}))
+SELECT *, (SELECT count(*) FROM n) AS inserted FROM o WHERE product = 'TV' UNION ALL SELECT *, (SELECT count(*) FROM n) FROM n
+UNION ALL SELECT *, (SELECT count(*) FROM o WHERE product = 'REF') FROM o WHERE product = 'REF'""")
+def load_append(spark, sf):
+    """Each line is appended to the table it is routed to."""
+    old, new = I.select(I.table(spark, sf, "orders"), _FINALROWS), I.select(I.table(spark, sf, "customer"), _NEW)
+    return _loads(spark, [("TV", old, "append", None), ("REF", old, "append", None), ("TV", new, "append", None)])
+
+
+@query("load_replace_slice", f"""WITH o AS ({_LOADED} ({_OLDSQL})), n AS ({_LOADED} ({_NEWSQL})), s AS (SELECT * FROM n WHERE account_key = 'casas_bahia')
+SELECT *, (SELECT count(*) FROM s) AS inserted FROM (SELECT * FROM o WHERE product = 'TV' AND account_key = 'magalu' UNION ALL SELECT * FROM s)""")
+def load_replace_slice(spark, sf):
+    """One retailer's slice is replaced; the other slice stays, and new rows of other retailers stay out."""
+    old, new = I.select(I.table(spark, sf, "orders"), _FINALROWS), I.select(I.table(spark, sf, "customer"), _NEW)
+    return _loads(spark, [("TV", old, "append", None), ("TV", new, "replace_slice", "casas_bahia")])
+
+
+@query("load_overwrite", f"""WITH n AS ({_LOADED} ({_NEWSQL})) SELECT *, (SELECT count(*) FROM n) AS inserted FROM n""")
+def load_overwrite(spark, sf):
+    """The whole table is replaced."""
+    old, new = I.select(I.table(spark, sf, "orders"), _FINALROWS), I.select(I.table(spark, sf, "customer"), _NEW)
+    return _loads(spark, [("TV", old, "append", None), ("TV", new, "overwrite", None)])
+
+
+@query("snapshot_round_trip", """SELECT CAST(doc_id AS varchar) AS item, coalesce(lang, '') AS sku, '' AS country, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS text_md5,
+ concat(' "', coalesce(source, ''), '", ') AS savings FROM documents""")
+def snapshot_round_trip(spark, sf):
+    """Whole texts written as a snapshot and read again by other columns in another order."""
+    rows = I.table(spark, sf, "documents").selectExpr(
+        "cast(doc_id AS string) AS item", "lang AS sku", "text AS retailer_sku_name", "concat(' \"', coalesce(source, ''), '\", ') AS savings")
+    path = work_dir(spark, "snapshot")
+    S.write_snapshot(rows, path, ["retailer_sku_name", "item", "savings", "sku"], translate=False)
+    back = S.read_snapshot(spark, path, ["item", "sku", "country", "retailer_sku_name", "savings"])
+    return back.select("item", "sku", "country", "savings", F.length("retailer_sku_name").alias("n_chars"), F.md5("retailer_sku_name").alias("text_md5"))
+
+
 @query("header_contract", """WITH h AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'item,sku,item' WHEN 1 THEN 'item,sku,price,extra' ELSE 'item,sku,price' END AS header FROM documents)
 SELECT doc_id, 'duplicate_columns' AS kind, 'critical' AS severity, 'item' AS "column" FROM h WHERE header = 'item,sku,item' UNION ALL SELECT doc_id, 'missing_columns', 'critical', 'price' FROM h WHERE header = 'item,sku,item'
 UNION ALL SELECT doc_id, 'extra_columns', 'low', 'extra' FROM h WHERE header LIKE '%extra'""")

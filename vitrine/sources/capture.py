@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import variants as V
 from vitrine.functions.text import as_text, squash, starts
+from vitrine.operators.numbering import running_rank
+from vitrine.session import materialize
 
 # Headers that never leave the reader.
 SENSITIVE_HEADERS = ("authorization", "cookie", "set-cookie", "x-api-key")
@@ -110,6 +112,14 @@ def capture_operations(requests: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def operations_report(operations: DataFrame, keys: list[str]) -> DataFrame:
+    """Operations of a capture, most called first, then by endpoint and name; ``place`` counts from 1."""
+    # one row per operation is small beside the captures, which are read once
+    counted = materialize(operations.withColumn("__down", -F.col("calls")), "operations")
+    placed = running_rank(counted, keys, "__down", ["endpoint", "operation"], "place")
+    return placed.drop("__down").orderBy(*keys, "place")
+
+
 # ---- discovery inside documents ---------------------------------------------------------------
 
 # Key names that make an object a product or a review.

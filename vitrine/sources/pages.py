@@ -7,20 +7,79 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import variants as V
 from vitrine.functions.text import as_text, unescape_entities
+from vitrine.sources.snapshot import path_exists
 
 ISLAND = r"""(?is)<script[^>]+id=["']__NEXT_DATA__["'][^>]*>(.*?)</script>"""
 JSONLD = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page store ``<retailer>/<run_id>/page_<n>.html`` as one row per page."""
-    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="page_*.html")
-    name = F.input_file_name()
-    return raw.select(
-        F.regexp_extract(name, r"([^/]+)/[^/]+/page_\d+\.html$", 1).alias("retailer"),
-        F.regexp_extract(name, r"([^/]+)/page_\d+\.html$", 1).alias("run_id"),
-        F.regexp_extract(name, r"page_0*(\d+)\.html$", 1).cast("int").alias("page"),
-        name.alias("url"), F.col("value").alias("html"),
+PAGE_KEYS = ("retailer", "run_id", "page")
+SIDE_COLUMNS = ("listing_mode", "source_url")
+#: side files that Spark wrote stand in a folder beside the pages, under the same names
+SIDE_FOLDER = "-mode"
+#: a page's own path: that of its file without the ending, or its folder where Spark wrote it
+_PAGE_PATH = r"(/page_[0-9]+)\.(?:html|mode\.json)$|/part-[^/]+$"
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Store pages as text, each in a folder of its own, with its side file where ``listing_mode`` is known.
+
+    ``pages`` has one row per ``retailer``, ``run_id`` and ``page``, and ``html``; ``listing_mode`` and ``source_url`` say how
+    and from where a page was read, and may be absent.
+    """
+    rows = pages.withColumns({c: F.lit(None).cast("string") for c in SIDE_COLUMNS if c not in pages.columns})
+    rows.select(*PAGE_KEYS, as_text(F.col("html")).alias("value")).write.partitionBy(*PAGE_KEYS).option(
+        "maxRecordsPerFile", 1).text(path)
+    side = rows.filter(F.col("listing_mode").isNotNull()).select(*PAGE_KEYS, F.to_json(F.struct(*SIDE_COLUMNS)).alias("value"))
+    side.write.partitionBy(*PAGE_KEYS).text(f"{path}{SIDE_FOLDER}")
+
+
+def read_pages(spark: SparkSession, path: str, side: bool = False) -> DataFrame:
+    """One row per stored page: ``<retailer>/<run_id>/page_<n>.html``, or the folders of :func:`write_pages`.
+
+    With ``side``, ``listing_mode`` and ``source_url`` of a page's side file (``page_<n>.mode.json``) are joined by its path;
+    a page without one, or whose side file is not a JSON object, has NULL there.
+    """
+    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="{page_*.html,part-*}")
+    # Spark's writer ends a text with a line break of its own
+    own = F.when(F.input_file_name().endswith(".html"), F.col("value")).otherwise(F.regexp_replace("value", r"\n\z", ""))
+    pages = raw.select(*_page_key(), F.input_file_name().alias("url"), own.alias("html"))
+    if not side:
+        return pages
+    places = [(path, "page_*.mode.json"), (f"{path}{SIDE_FOLDER}", "part-*")]
+    known = None
+    for place, names in places:
+        if path_exists(spark, place):
+            found = spark.read.text(place, wholetext=True, recursiveFileLookup=True, pathGlobFilter=names)
+            doc = F.try_parse_json("value")
+            rows = found.select(*_page_key(), *[V.get(doc, f"$.{c}").alias(c) for c in SIDE_COLUMNS])
+            known = rows if known is None else known.unionByName(rows)
+    known = known.groupBy(*PAGE_KEYS).agg(*[F.min(c).alias(c) for c in SIDE_COLUMNS])
+    return pages.join(known, list(PAGE_KEYS), "left")
+
+
+def _page_key() -> list[Column]:
+    """Retailer, run and page number out of the path of the file that is read."""
+    parts = F.split(F.regexp_replace(F.input_file_name(), _PAGE_PATH, "$1"), "/")
+
+    def part(back: int, name: str) -> Column:
+        text = F.regexp_replace(F.element_at(parts, -back), f"^{name}=", "")
+        # names are escaped by the writer and once more in the file's address
+        for _ in range(2):
+            text = F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+        return text
+
+    return [part(3, "retailer").alias("retailer"), part(2, "run_id").alias("run_id"),
+            F.regexp_extract(F.element_at(parts, -1), r"^page[_=]0*(\d+)$", 1).cast("int").alias("page")]
+
+
+def side_error(mode: Column, listing_mode: Column, url: Column, source_url: Column) -> Column:
+    """Why a stored page may not be used again for a mode and URL ('' when it may)."""
+    return (
+        F.when(listing_mode.isNull() & source_url.isNull(), "raw_listing_mode_unverified")
+        .when(~listing_mode.eqNullSafe(mode), "raw_listing_mode_mismatch")
+        .when(~source_url.eqNullSafe(url), "raw_listing_source_mismatch")
+        .otherwise("")
     )
 
 

@@ -46,7 +46,7 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
@@ -59,7 +59,7 @@ def read_snapshot(spark: SparkSession, path: str, columns=SNAPSHOT_COLUMNS) -> D
     header lacks is blank.
     """
     schema = text_schema(columns)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False,
                          encoding="UTF-8", nullValue="\u0000", emptyValue="")
@@ -77,7 +77,8 @@ def write_snapshot(df: DataFrame, path: str, columns, translate: bool = True,
     shown = df.select(*[
         (as_text(F.col(c)) if c in df.columns else F.lit("")).alias(c) for c in columns
     ])
-    shown.write.mode(mode).csv(path, header=True, escape='"', quoteAll=True, emptyValue="")
+    shown.write.mode(mode).csv(path, header=True, escape='"', quoteAll=True, emptyValue="",
+                              ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 # ---- contracts over many files at once ------------------------------------------------------------
