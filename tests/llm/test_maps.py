@@ -163,6 +163,55 @@ def test_matches_hold_all_places():
     assert automaton.matches("z b c d e f y".split(), 3, every=True) == [(1, 6, 0, 1), (2, 5, 2, 0), (2, 7, 1, 1)]
 
 
+def test_whole_licence_files_are_covered(docs):
+    labels = list(license_scan.TEMPLATES)
+    first = {"unlicense": "This is free and unencumbered software released into the public domain."}
+    table = docs(
+        *[(i, f"Copyright 2001 A. Person\n\n{license_scan.TEMPLATES[label]}") for i, label in enumerate(labels)],
+        (100, license_scan.TEMPLATES["bsd"].split("3. Neither")[0] + "THIS SOFTWARE" + license_scan.TEMPLATES["bsd"].split("THIS SOFTWARE")[1]),
+        (101, "x " + first["unlicense"]), (102, " ".join(license_scan.TEMPLATES["mit"].split()[:40])),
+    )
+    rows = {r.doc_id: r for r in license_scan.scan(table).collect()}
+    for i, label in enumerate(labels):
+        # the whole text is one span behind the four words of the copyright line
+        assert [(s.label, s.start, s.stop) for s in rows[i].spans] == [(label, 4, rows[i].n_words)], rows[i].spans
+        assert rows[i].score == (rows[i].n_words - 4) / rows[i].n_words
+    assert rows[100].labels == "bsd" and rows[100].score > 0.95
+    assert rows[101].labels == "unlicense" and rows[102].labels == "mit" and rows[102].score == 1
+
+
+def test_phrase_places_against_every_position(docs):
+    rng = random.Random(8)
+    parts = sorted({w for p in license_scan.PHRASES for w in p.split()}) + ["word", "Mit", "LICENSE", "é"]
+    texts = [rng.choice([" ", "-", "\n"]).join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(60)]
+    rows = {r.doc_id: r for r in license_scan.scan(docs(*enumerate(texts))).collect()}
+    found = 0
+    for i, text in enumerate(texts):
+        words = [w.lower() for w in text.replace("-", " ").split()]
+        places = [(at, label) for p, label in license_scan.PHRASES.items() for at in range(len(words)) if words[at : at + len(p.split())] == p.split()]
+        found += len(places)
+        starts = [at for at, _ in places]
+        assert (rows[i].n_words, rows[i].n_base) == (len(words), len(places))
+        assert (rows[i].first_word, rows[i].last_word) == (min(starts, default=None), max(starts, default=None))
+        assert rows[i].base_labels == ",".join(sorted({label for _, label in places}))
+    assert found > 50
+
+
+def test_outermost_against_all_kept_ones():
+    rng = random.Random(9)
+    sizes = [9, 14, 20]
+    for _ in range(200):
+        spans = []
+        for _ in range(rng.randrange(12)):
+            start, n = rng.randrange(30), rng.randrange(1, 12)
+            spans.append({"template": rng.randrange(3), "start": start, "stop": start + n, "words": rng.randrange(1, n + 1)})
+        kept = []
+        for c in sorted(spans, key=lambda c: (-c["words"], sizes[c["template"]], c["template"], c["start"])):
+            if not any(k["start"] <= c["start"] and c["stop"] <= k["stop"] for k in kept):
+                kept.append(c)
+        assert license_scan.outermost(spans, sizes) == sorted(kept, key=lambda c: (c["start"], c["stop"]))
+
+
 # packing
 
 def check_pieces(pieces, streams, tokens_=1024, segments=64):
