@@ -12,12 +12,25 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
+# tables of few bytes a row: their files give too few tasks for rules that cost up to milliseconds a row
+DEALT = ("customer", "supplier", "part")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str, rows: int = 8192) -> DataFrame:
+    """A table whose rows are dealt out evenly, about ``rows`` to a task, for work that costs far more than reading.
+
+    A narrow table of millions of rows is a few MB, so its files alone give one or a few tasks.  Small tables are dealt over the
+    cores.  The count comes from the footers of the files.
+    """
+    df = table(spark, sf_dir, name)
+    n = df.count()
+    return df.repartition(max(n // rows, min(n // 256, spark.sparkContext.defaultParallelism)) + 1)
+
+
 def select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 

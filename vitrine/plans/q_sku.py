@@ -67,7 +67,7 @@ _RES = {
  CASE k WHEN 0 THEN 'casas_ref_sku_title_selected' WHEN 1 THEN 'casas_ref_sku_title_ambiguous+casas_ref_sku_product_source_selected' WHEN 2 THEN 'casas_ref_sku_title_ambiguous+casas_ref_sku_unresolved'
   WHEN 3 THEN 'casas_ref_sku_product_source_selected' ELSE 'casas_ref_sku_existing_selected' END AS sku_status FROM r""")
 def resolve_refrigerator_sku(spark, sf):
-    rows = I.select(I.table(spark, sf, "part"), _RES).withColumn("evidence", F.array("ev"))
+    rows = I.select(I.dealt(spark, sf, "part"), _RES).withColumn("evidence", F.array("ev"))
     return S.resolve_refrigerator_sku(rows).select("p_partkey", "sku", "sku_short", F.array_join("sku_status", "+").alias("sku_status"))
 
 
@@ -83,7 +83,7 @@ _RESW = {**_RES, "title": f"concat('Lavadora ', CASE p_size % 5 WHEN 0 THEN conc
   WHEN 1 THEN 'casas_ldy_sku_title_ambiguous+casas_ldy_sku_product_source_selected' WHEN 2 THEN 'casas_ldy_sku_unresolved' WHEN 3 THEN 'casas_ldy_sku_invalid_existing_rejected+casas_ldy_sku_product_source_selected'
   ELSE concat('casas_ldy_sku_conflict:product_source:OLD-', n, '!=EV', n, '+casas_ldy_sku_existing_selected') END AS sku_status FROM r""")
 def resolve_washer_sku(spark, sf):
-    rows = I.select(I.table(spark, sf, "part"), _RESW).withColumn("evidence", F.array("ev"))
+    rows = I.select(I.dealt(spark, sf, "part"), _RESW).withColumn("evidence", F.array("ev"))
     return S.resolve_washer_sku(rows).select("p_partkey", "sku", "sku_short", F.array_join("sku_status", "+").alias("sku_status"))
 
 
@@ -120,13 +120,13 @@ _TV = {
 @query("tv_sku_recovery", f"""WITH r AS ({I.select_sql(_TV, 'part')}) SELECT p_partkey, CASE k WHEN 0 THEN concat('UN50TU', n) WHEN 1 THEN concat('R-', n) ELSE sku END AS sku,
  CASE k WHEN 0 THEN 'detail+sku_title_high_confidence_recovered' WHEN 1 THEN 'detail+sku_factsheet_reference_recovered' WHEN 3 THEN 'detail+sku_reference_conflict_preserved' WHEN 5 THEN 'detail+sku_reference_conflict_preserved' ELSE 'detail' END AS parse_status FROM r""")
 def tv_sku_recovery(spark, sf):
-    return S.recover_tv_sku(I.select(I.table(spark, sf, "part"), _TV)).select("p_partkey", "sku", "parse_status")
+    return S.recover_tv_sku(I.select(I.dealt(spark, sf, "part"), _TV)).select("p_partkey", "sku", "parse_status")
 
 
 @query("tv_sku_title_fallback", f"""WITH r AS ({I.select_sql(_TV, 'part')}) SELECT p_partkey, CASE k WHEN 0 THEN concat('UN50TU', n) ELSE sku END AS sku,
  CASE k WHEN 0 THEN 'detail+sku_title_final_recovered' ELSE 'detail' END AS parse_status FROM r""")
 def tv_sku_title_fallback(spark, sf):
-    return S.tv_title_fallback(I.select(I.table(spark, sf, "part"), _TV), final_pass=True).select("p_partkey", "sku", "parse_status")
+    return S.tv_title_fallback(I.select(I.dealt(spark, sf, "part"), _TV), final_pass=True).select("p_partkey", "sku", "parse_status")
 
 
 _ROWC = lambda c: {k: c.get(k, F.lit("")) for k in ("sku", "item", "product_url", "retailer_sku_name", "screen_size", "parse_status", "retailer_product_id", "sku_short_version")}
@@ -155,7 +155,7 @@ _APPROW = {
 @query("sku_for_output_layout_c_washer", f"""WITH r AS (SELECT p_partkey, {', '.join(f'{e} AS {n}' for n, e in _APPROW.items())} FROM part)
 SELECT p_partkey, CASE k WHEN 0 THEN concat('WW11T', n) WHEN 2 THEN concat('SKU', n) ELSE '' END AS sku, CASE k WHEN 0 THEN 'WW11T' WHEN 2 THEN concat('SKU', n) ELSE '' END AS short FROM r""")
 def sku_for_output_layout_c_washer(spark, sf):
-    rows = I.select(I.table(spark, sf, "part"), {"p_partkey": "p_partkey", **_APPROW})
+    rows = I.select(I.dealt(spark, sf, "part"), {"p_partkey": "p_partkey", **_APPROW})
     c = _ROWC({k: F.col(k) for k in rows.columns})
     rows = rows.withColumn("resolved", D.sku_for_output(c, "C", "LDY", [], F.lit(""), F.lit(False)))
     return rows.select("p_partkey", F.col("resolved").alias("sku"),
@@ -178,7 +178,7 @@ UNION ALL SELECT p_partkey, 'capacidade', concat(200 + p_size, ' L'), CASE WHEN
 def fact_evidence(spark, sf):
     from vitrine.operators.evidence import fact_rows
 
-    docs = I.table(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_MDOC}) AS item_doc")
+    docs = I.dealt(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_MDOC}) AS item_doc")
     return fact_rows(docs, KEY).select("p_partkey", "label_key", "value", "source")
 
 
@@ -186,7 +186,7 @@ def fact_evidence(spark, sf):
 concat('R$', p_size, ',00') AS original_sku_price, 'R$8,00' AS final_sku_price, '45 kWh/mes' AS estimated_annual_electricity_use, CASE WHEN p_size % 3 = 0 THEN '' ELSE 'Inverse' END AS ref_refrigerator_type,
 CASE WHEN p_size % 3 = 0 THEN concat(200 + p_size, ' L') ELSE concat(300 + p_size, ' litros') END AS ref_capacity, '2023' AS model_year, '4.5' AS star_rating, cast(p_size AS varchar) AS count_of_star_ratings FROM part""")
 def detail_row_layout_m(spark, sf):
-    docs = I.table(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_MDOC}) AS doc", "'b' AS seller_id")
+    docs = I.dealt(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_MDOC}) AS doc", "'b' AS seller_id")
     return A.detail_layout_m(docs, KEY, "REF").select(
         "p_partkey", "retailer_sku_name", "sku", "original_sku_price", "final_sku_price", "estimated_annual_electricity_use",
         "ref_refrigerator_type", "ref_capacity", "model_year", "star_rating", "count_of_star_ratings")
@@ -202,7 +202,7 @@ _CDOC = (
 @query("detail_row_layout_c", """SELECT p_partkey, concat('WW11T', 1000 + p_partkey) AS sku, 'WW11T' AS sku_short, '0.3 kWh' AS estimated_annual_electricity_use,
 CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN '13kg' WHEN 2 THEN '9 kg' ELSE '11 kg' END AS ldy_capacity, CASE p_size % 4 WHEN 0 THEN '' ELSE 'Front load' END AS ldy_loading_type, 'branca' AS ldy_color, cast(1000 + p_partkey AS varchar) AS retailer_product_id FROM part""")
 def detail_row_layout_c(spark, sf):
-    docs = I.table(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_CDOC}) AS doc")
+    docs = I.dealt(spark, sf, "part").selectExpr("p_partkey", f"try_parse_json({_CDOC}) AS doc")
     return A.detail_layout_c(docs, KEY, "LDY").select(
         "p_partkey", "sku", "sku_short", "estimated_annual_electricity_use", "ldy_capacity", "ldy_loading_type", "ldy_color", "retailer_product_id")
 
@@ -251,7 +251,7 @@ def detail_row_page_pairs(spark, sf):
 @query("detail_row_compact_washer", """SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN concat(3 + p_size, ' litros') WHEN 1 THEN '11 kg' WHEN 2 THEN '' ELSE concat(2 + p_size, 'L') END AS ldy_capacity FROM part""")
 def detail_row_compact_washer(spark, sf):
     title = ("CASE p_size % 4 WHEN 0 THEN 'Mini lavadora' WHEN 1 THEN 'Mini lavadora 11 kg' WHEN 2 THEN 'Lavadora' ELSE concat('Lavadora mini ', " + I.vc("2 + p_size") + ", 'L') END")
-    docs = I.table(spark, sf, "part").selectExpr(
+    docs = I.dealt(spark, sf, "part").selectExpr(
         "p_partkey", "'b' AS seller_id", f"try_parse_json(concat('{{\"title\":\"', {title}, '\",\"factsheet\":[', CASE WHEN p_size % 4 IN (0, 2) THEN concat('{{\"keyName\":\"Capacidade de lavagem\",\"value\":\"', {I.vc('3 + p_size')}, ' litros\"}}') ELSE '' END, ']}}')) AS doc")
     return A.detail_layout_m(docs, KEY, "LDY").select("p_partkey", "ldy_capacity")
 

@@ -32,10 +32,11 @@ def column_query(name, source, keys, inputs, outputs):
     """
     from pyspark.sql import functions as F
 
-    from vitrine.plans.inputs import table
+    from vitrine.plans.inputs import DEALT, dealt, table
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = table(spark, sf_dir, source).selectExpr(
+        read = dealt if source in DEALT else table
+        base = read(spark, sf_dir, source).selectExpr(
             *keys, *[f"{expr} AS {col}" for col, expr in inputs.items()]
         )
         cols = {c: F.col(c) for c in base.columns}
