@@ -41,3 +41,14 @@ def test_pages_are_stored_many_to_a_file(spark, tmp_path):
     back = P.read_pages(spark, str(tmp_path / "made"), side=True).select(*pages.columns)
     assert sorted(tuple(r)[:5] for r in back.collect()) == sorted(r[:5] for r in rows)
     assert {r.source_url for r in back.filter("listing_mode IS NULL").collect()} == {None}
+
+
+def test_evidence_is_read_once_to_be_combined(spark, tmp_path):
+    rows = [("i", "f", 2, "01", "Late", "fact"), ("i", "f", 1, "03", "b", "fact"), ("i", "f", 1, "02", "C", "fact"),
+            ("i", "f", 1, "04", "B", "fact"), ("i", "g", 5, "01", "x", "fact"), (None, "g", 5, "01", "y", "fact"), (None, None, 5, "02", "z", "fact")]
+    made = spark.createDataFrame(rows, "item string, field string, level int, ordinal string, raw string, source string")
+    made.write.parquet(str(tmp_path / "e"))
+    out = E.combine_distinct(spark.read.parquet(str(tmp_path / "e")), ["item"])
+    got = {(r.item, r.field): (r.value, r.level) for r in out.collect()}
+    assert got == {("i", "f"): ("C,b", 1), ("i", "g"): ("x", 5)}
+    assert plan(out).count("Relation [") == 1

@@ -297,10 +297,14 @@ def distinct_evidence(evidence: DataFrame, keys: list[str], cmp_key=measure_key)
 
 def combine_distinct(evidence: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct values of the first level that has any, joined in source order."""
-    firsts = first_level(distinct_evidence(evidence, keys, key_text), keys)
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "raw"))), lambda v: v["raw"])
-    return firsts.groupBy(*keys, "field").agg(
-        F.array_join(ordered, ",").alias("value"), F.min("level").alias("level"))
+    # the values of a product's field are few once they are distinct: its first level is cut inside its row, so that evidence is read once
+    ordered = F.array_sort(F.collect_list(F.struct("level", "ordinal", "raw")))
+    known = evidence
+    for c in (*keys, "field", "level"):
+        known = known.filter(F.col(c).isNotNull())
+    groups = distinct_evidence(known, keys, key_text).groupBy(*keys, "field").agg(ordered.alias("__ev"), F.min("level").alias("level"))
+    firsts = F.filter("__ev", lambda v: v["level"] == F.col("level"))
+    return groups.select(*keys, "field", F.array_join(F.transform(firsts, lambda v: v["raw"]), ",").alias("value"), "level")
 
 
 POLICIES = {
