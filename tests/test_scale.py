@@ -52,3 +52,13 @@ def test_evidence_is_read_once_to_be_combined(spark, tmp_path):
     got = {(r.item, r.field): (r.value, r.level) for r in out.collect()}
     assert got == {("i", "f"): ("C,b", 1), ("i", "g"): ("x", 5)}
     assert plan(out).count("Relation [") == 1
+
+
+def test_request_bodies_are_parsed_once(spark):
+    bodies = ["", "no json", "7", '"query"', "{broken", "\n [{\"query\": \"query A { x }\"}, 1, {\"z\": 1}]", '{"operationName": " B "}']
+    rows = [(1, i, "POST", "https://h/graphql", "h/graphql", 200, b) for i, b in enumerate(bodies)]
+    entries = spark.createDataFrame(rows, "k int, index int, method string, url string, endpoint string, status int, body string")
+    out = C.capture_requests(entries, ["k"])
+    assert sorted((r["index"], r.batch, r.operation) for r in out.collect()) == [
+        (0, False, ""), (1, False, ""), (2, False, ""), (3, False, ""), (4, False, ""), (5, True, "A"), (6, False, "B")]
+    assert "__body" in plan(out)

@@ -70,7 +70,10 @@ def capture_requests(entries: DataFrame, keys: list[str]) -> DataFrame:
 
     A graph endpoint without a readable body still counts as one unnamed operation.
     """
-    body = F.try_parse_json("body")
+    # only lists and objects hold operations, and a text that is no JSON is slow to refuse; generated, a body is parsed once
+    read = F.when(F.col("body").rlike(r"^\s*[\[{]"), F.try_parse_json("body"))
+    entries = entries.select("*", F.explode(F.array(read)).alias("__body"))
+    body = F.col("__body")
     many = F.filter(F.coalesce(V.as_array(body), F.array(body)), lambda d: d.isNotNull() & _is_operation(d))
     graph = F.contains(F.lower("url"), F.lit("graphql"))
     none = F.array(F.try_parse_json(F.lit("{}")))
