@@ -62,3 +62,20 @@ def test_request_bodies_are_parsed_once(spark):
     assert sorted((r["index"], r.batch, r.operation) for r in out.collect()) == [
         (0, False, ""), (1, False, ""), (2, False, ""), (3, False, ""), (4, False, ""), (5, True, "A"), (6, False, "B")]
     assert "__body" in plan(out)
+
+
+def test_found_nodes_are_those_kept_and_single_values_have_kinds(spark):
+    doc = {"a": [{"summary": {"b": [1, "a summary", "{x", None, True, 1.5]}}, []], "summary": "", "z": {}}
+    docs = spark.createDataFrame([(1, json.dumps(doc)), (2, '"summary"'), (3, "broken"), (4, None)], "k int, t string").select(
+        "k", F.try_parse_json("t").alias("doc"))
+    kept = V.find(docs, V.root(F.col("doc")), "n", lambda n: n["entries"].isNotNull())
+    assert {r.k: r.p for r in kept.select("k", F.transform("n", lambda n: n["path"]).alias("p")).collect()} == {
+        1: ["", "z", "a[0]", "a[0].summary"], 2: [], 3: [], 4: []}
+    got = C.term_paths(docs, ["k"], "(?i)summary").select("path", "kind", "sample").collect()
+    assert sorted(tuple(r) for r in got) == [
+        ("a[0].summary", "OBJECT", ""), ("a[0].summary.b[1]", "STRING", "a summary"), ("summary", "STRING", "")]
+    every = C.term_paths(docs, ["k"], "^").collect()
+    assert {r.path: r.kind for r in every} == {
+        "a": "ARRAY", "summary": "STRING", "z": "OBJECT", "a[0]": "OBJECT", "a[1]": "ARRAY", "a[0].summary": "OBJECT", "a[0].summary.b": "ARRAY",
+        "a[0].summary.b[0]": "BIGINT", "a[0].summary.b[1]": "STRING", "a[0].summary.b[2]": "STRING", "a[0].summary.b[3]": "VOID",
+        "a[0].summary.b[4]": "BOOLEAN", "a[0].summary.b[5]": "DECIMAL"}

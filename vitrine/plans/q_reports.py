@@ -310,7 +310,7 @@ _NEST = "concat('{\"page\":{\"more\":[0,0,0,0,0,0,0,0,0,{\"deep\":[{\"sku\":1,\"
 
 
 def _docs(spark, sf):
-    return I.table(spark, sf, "events").selectExpr("event_id", f"try_parse_json({_NEST}) AS doc")
+    return I.dealt(spark, sf, "events", 65536).selectExpr("event_id", f"try_parse_json({_NEST}) AS doc")
 
 
 @query("array_discovery", """SELECT event_id, 'page.list' AS path, 'product' AS kind, 1 AS length, 'id,sub,title' AS first_keys FROM events UNION ALL SELECT event_id, 'page.list[0].sub.notes', 'review', 1, 'author,text' FROM events
@@ -324,7 +324,7 @@ def array_discovery(spark, sf):
 UNION ALL SELECT event_id, 'summaryText', 'y' FROM events WHERE event_id % 3 <> 0""")
 def deep_documents(spark, sf):
     deep = "concat(repeat('{\"a\":[', 40), '{\"summaryText\":\"x\"}', repeat(']}', 40))"
-    docs = I.table(spark, sf, "events").selectExpr(
+    docs = I.dealt(spark, sf, "events", 16384).selectExpr(
         "event_id", f"try_parse_json(CASE WHEN event_id % 3 = 0 THEN {deep} ELSE '{{\"summaryText\":\"y\"}}' END) AS doc")
     return C.term_paths(docs, ["event_id"], "(?i)summary").select("event_id", "path", "sample")
 

@@ -140,10 +140,10 @@ def _has_any(keys: Column, names) -> Column:
 
 def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc") -> DataFrame:
     """Paths whose arrays hold product-like or review-like objects."""
-    df = V.walk(docs, V.root(F.col(doc)), "__nodes", V.children)
+    lists = lambda n: (F.coalesce(F.size(n["items"]), F.lit(0)) > 0) & (n["path"] != "") & ~n["path"].endswith("]")
+    df = V.find(docs, V.root(F.col(doc)), "__nodes", lists)
     nodes = df.select(*keys, F.explode("__nodes").alias("n")).select(*keys, F.col("n.path").alias("path"), F.col("n.doc").alias("d"))
     items = V.as_array(F.col("d"))
-    nodes = nodes.filter((F.coalesce(F.size(items), F.lit(0)) > 0) & (F.col("path") != "") & ~F.col("path").endswith("]"))
     # object keys come out sorted by name
     names = F.map_keys(V.get(F.get(V.as_array(F.col("d")), F.lit(0)), "$", "map<string,variant>"))
     nodes = nodes.withColumns({"length": F.size(items), "first_keys": names,
@@ -157,14 +157,19 @@ def array_discovery(docs: DataFrame, keys: list[str], doc: str = "doc") -> DataF
 
 def term_paths(docs: DataFrame, keys: list[str], pattern: str, doc: str = "doc") -> DataFrame:
     """Paths whose key or text matches a term."""
-    df = V.walk(docs, V.root(F.col(doc)), "__nodes", V.children)
+    kind = lambda d: F.schema_of_variant(d)
+    text = lambda d: F.when(kind(d) == "STRING", V.get(d, "$")).otherwise("")
+
+    def matches(n: Column) -> Column:
+        # the schema of a list or an object is gathered from all below it, so a single value alone is asked for its kind
+        single = n["items"].isNull() & n["entries"].isNull()
+        said = F.when(single, text(n["doc"])).otherwise("").rlike(pattern)
+        return (n["path"] != "") & (F.regexp_extract(n["path"], r"([^.\[\]]+)$", 1).rlike(pattern) | said)
+
+    df = V.find(docs, V.root(F.col(doc)), "__nodes", matches)
     nodes = df.select(*keys, F.explode("__nodes").alias("n")).select(
         *keys, F.col("n.path").alias("path"), F.col("n.doc").alias("d"))
-    key = F.regexp_extract("path", r"([^.\[\]]+)$", 1)
-    kind = F.schema_of_variant("d")
-    text = F.when(kind == "STRING", V.get(F.col("d"), "$")).otherwise("")
-    return nodes.filter((F.col("path") != "") & (key.rlike(pattern) | text.rlike(pattern))).select(
-        *keys, "path", F.regexp_extract(kind, r"^(\w+)", 1).alias("kind"), text.alias("sample"))
+    return nodes.select(*keys, "path", F.regexp_extract(kind(F.col("d")), r"^(\w+)", 1).alias("kind"), text(F.col("d")).alias("sample"))
 
 
 def term_positions(texts: DataFrame, keys: list[str], terms: list[str], limit: int | None = None, before: int = 260,
