@@ -79,3 +79,20 @@ def test_found_nodes_are_those_kept_and_single_values_have_kinds(spark):
         "a": "ARRAY", "summary": "STRING", "z": "OBJECT", "a[0]": "OBJECT", "a[1]": "ARRAY", "a[0].summary": "OBJECT", "a[0].summary.b": "ARRAY",
         "a[0].summary.b[0]": "BIGINT", "a[0].summary.b[1]": "STRING", "a[0].summary.b[2]": "STRING", "a[0].summary.b[3]": "VOID",
         "a[0].summary.b[4]": "BOOLEAN", "a[0].summary.b[5]": "DECIMAL"}
+
+
+def test_values_of_a_list_are_read_once(spark):
+    from vitrine.functions import measures as S
+    from vitrine.functions.text import collapse_repeated_range
+    from vitrine.functions.validators import measure_key
+
+    texts = ["até 7 L", "7 litros", "acima de 8 L", "8 ml", "até 9 L", " 14 - 14 ", "10-12", "> 5 L", "Aprox. 3", None, ""]
+    values = spark.createDataFrame([(texts,)], "v array<string>").select(F.transform(
+        "v", lambda v, i: F.struct(i.alias("level"), F.lit("0").alias("ordinal"), v.alias("raw"))).alias("v"))
+    kept = values.select(S.exact_over_qualified(F.col("v")).alias("k"))
+    assert [r.raw for r in kept.first().k] == ["7 litros", "acima de 8 L", "8 ml", "até 9 L", " 14 - 14 ", "10-12", "> 5 L", "Aprox. 3", None, ""]
+    # the list is parsed in one place; the check against exact values does not parse it again for each value
+    assert plan(kept).count("transform(v#") == 1
+    keys = values.select(F.explode("v.raw").alias("t")).select(measure_key(F.col("t")).alias("k"), collapse_repeated_range(F.col("t")).alias("c")).collect()
+    assert [r.k for r in keys] == ["ate:ate 7 l", "7 litros", "acima de:acima de 8 l", "8 ml", "ate:ate 9 l", "14 14", "10 12", ">:5 l", "aprox:aprox 3", "", ""]
+    assert [r.c for r in keys] == ["até 7 L", "7 litros", "acima de 8 L", "8 ml", "até 9 L", "14", "10-12", "> 5 L", "Aprox. 3", "", ""]

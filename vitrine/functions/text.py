@@ -297,7 +297,10 @@ def has_token_prefix(c: Column, prefix: str) -> Column:
 
 def collapse_repeated_range(c: Column) -> Column:
     """``14-14`` -> ``14``; a real range stays."""
-    text = squash(c)
+    return let(squash(c), _collapsed)
+
+
+def _collapsed(text: Column) -> Column:
     parts = F.transform(F.split(text, r"\s*[-–—]\s*"), lambda p: F.trim(p))
     same = let(parts, lambda arr: (F.size(arr) >= 2) & F.forall(arr, lambda p: p != "") & (
         F.size(F.array_distinct(F.transform(arr, key_text))) == 1
