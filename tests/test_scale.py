@@ -96,3 +96,35 @@ def test_values_of_a_list_are_read_once(spark):
     keys = values.select(F.explode("v.raw").alias("t")).select(measure_key(F.col("t")).alias("k"), collapse_repeated_range(F.col("t")).alias("c")).collect()
     assert [r.k for r in keys] == ["ate:ate 7 l", "7 litros", "acima de:acima de 8 l", "8 ml", "ate:ate 9 l", "14 14", "10 12", ">:5 l", "aprox:aprox 3", "", ""]
     assert [r.c for r in keys] == ["até 7 L", "7 litros", "acima de 8 L", "8 ml", "até 9 L", "14", "10-12", "> 5 L", "Aprox. 3", "", ""]
+
+
+def test_rules_of_listing_rows_are_compiled(spark):
+    from vitrine.operators import reports as R
+
+    made = "k int, retailer string, product_line string, item string, retailer_sku_name string, product_url string, source_url string"
+    good = ("North", "TV", "7", "n", "https://shop.example/x/p/7", "u")
+    odd = [{}, {0: "Other"}, {1: None}, {2: " "}, {3: None}, {4: "https://x.example/p/7"}, {4: None}, {4: "https://a.shop.example/?skuId=8"}, {5: "v"}, {0: None, 2: None, 5: None}]
+    rows = spark.createDataFrame([(i, *[o.get(j, v) for j, v in enumerate(good)]) for i, o in enumerate(odd)], made)
+    out = R.row_violations(rows, ["k"], "North", "TV", ["shop.example"], F.lit("u"))
+    assert sorted(tuple(r) for r in out.collect()) == [
+        (1, "retailer"), (2, "product_line"), (3, "item_missing"), (3, "url_item_mismatch"), (4, "name_missing"), (5, "product_url_invalid"),
+        (6, "product_url_invalid"), (7, "url_item_mismatch"), (8, "source_url_mismatch"), (9, "item_missing"), (9, "retailer"), (9, "source_url_mismatch"),
+        (9, "url_item_mismatch")]
+    # functions with a lambda are interpreted with all that is inside them
+    assert "lambdafunction" not in plan(out)
+
+
+def test_value_rules_are_compiled(spark):
+    from vitrine.functions import validators as V
+
+    texts = ["12 kg", "12,5kg", "120", "99", "120 kg", "12 L", "frontal 3", "220 V", "45 kWh/mês", "0,5 W", "classe A 3 W", "baixo consumo", "baixo consumo de água",
+             "standby bivolt", "de 3 a 5 V", "1 2", "55\"", "55,5.", "9.99", "200", "201", "50%", "1/2", "60 cm", "x٣", "\u00a070\u00a0pol", "", " ", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = rows.select("i", *[f(F.col("t")).alias(n) for n, f in (
+        ("r", V.is_refrigerator_capacity), ("w", V.is_washer_capacity), ("e", V.is_energy_use), ("s", V.is_screen_size))])
+    got = {n: [texts[r.i] for r in sorted(out.collect()) if r[n]] for n in "rwes"}
+    assert got == {
+        "r": ["120", "99", "12 L", "frontal 3", "1 2", "55\"", "55,5.", "9.99", "200", "201", "50%", "1/2", "\u00a070\u00a0pol"],
+        "w": ["12 kg", "12,5kg", "99", "120 kg", "1 2", "55\"", "55,5.", "9.99", "50%", "1/2", "\u00a070\u00a0pol"],
+        "e": ["45 kWh/mês", "0,5 W", "classe A 3 W", "baixo consumo"], "s": ["120", "99", "55\"", "55,5.", "200", "\u00a070\u00a0pol"]}
+    assert "lambdafunction" not in plan(out)

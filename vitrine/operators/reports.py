@@ -42,8 +42,10 @@ def sort_error(run_id: Column, kind: Column, direction: Column) -> Column:
 def row_violations(rows: DataFrame, keys: list[str], retailer: str, line: str, hosts: list[str],
                    source_url: Column) -> DataFrame:
     """Listing rows that contradict their run: one row per broken rule."""
-    url_item = sku_from_url(F.col("product_url"))
-    bad_url = ~host_allowed(F.col("product_url"), hosts) | (url_item == "")
+    # the URL is taken apart once, and every rule is a flag of its own: rules inside an array function would not be compiled
+    read = rows.withColumns({"__url_item": sku_from_url(F.col("product_url")), "__allowed": host_allowed(F.col("product_url"), hosts)})
+    url_item = F.col("__url_item")
+    bad_url = ~F.col("__allowed") | (url_item == "")
     rules = (
         ("retailer", F.trim("retailer") != retailer), ("product_line", F.trim("product_line") != line),
         ("item_missing", blank(F.col("item"))), ("name_missing", blank(F.col("retailer_sku_name"))),
@@ -51,8 +53,10 @@ def row_violations(rows: DataFrame, keys: list[str], retailer: str, line: str, h
         ("url_item_mismatch", ~bad_url & (url_item != F.trim("item"))),
         ("source_url_mismatch", F.trim("source_url") != source_url),
     )
-    found = F.array_compact(F.array(*[F.when(F.coalesce(test, F.lit(True)), F.lit(name)) for name, test in rules]))
-    return rows.select(*keys, F.explode(found).alias("violation"))
+    flagged = read.select(*keys, *[F.coalesce(test, F.lit(True)).alias(f"__{name}") for name, test in rules])
+    none = F.array().cast("array<string>")
+    found = F.concat(*[F.when(F.col(f"__{name}"), F.array(F.lit(name))).otherwise(none) for name, _ in rules])
+    return flagged.select(*keys, F.explode(found).alias("violation"))
 
 
 def product_summary(products: DataFrame, keys: list[str], relevant: Column, sponsored: Column) -> DataFrame:
