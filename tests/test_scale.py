@@ -128,3 +128,38 @@ def test_value_rules_are_compiled(spark):
         "w": ["12 kg", "12,5kg", "99", "120 kg", "1 2", "55\"", "55,5.", "9.99", "50%", "1/2", "\u00a070\u00a0pol"],
         "e": ["45 kWh/mês", "0,5 W", "classe A 3 W", "baixo consumo"], "s": ["120", "99", "55\"", "55,5.", "200", "\u00a070\u00a0pol"]}
     assert "lambdafunction" not in plan(out)
+
+
+def test_ids_of_offers_are_cleaned_once(spark):
+    from vitrine.operators import offers as O
+
+    base = {"product_id": "07", "sku_id": "70", "seller_id": "", **{c: "" for c in O.QUOTE}, "current_price": "9", "avail_seller": "3"}
+    odd = [{}, {}, {"product_id": "x"}, {"seller_id": "4"}, {"sku_id": "0"}, {"sku_id": "71", "avail_sku": "70"}, {"sku_id": "72", "avail_sku": "072"},
+           {"sku_id": "73"}, {"sku_id": "73", "current_price": "8"}, {"sku_id": "74", "product_id": None}, {"sku_id": "74", "product_id": "zz"}]
+    offers = spark.createDataFrame([{**base, **o} for o in odd], ", ".join(f"{c} string" for c in base))
+    out = O.offer_map(offers)
+    assert sorted((r.product_id, r.sku_id, r.seller_id) for r in out.collect()) == [("", "74", "3"), ("7", "70", "3"), ("7", "72", "3")]
+    assert plan(out).count("RLIKE") == 5
+
+
+def test_ranks_of_wanted_rows_are_those_of_all_rows(spark):
+    from vitrine.operators import ranking as R
+
+    rows = [(f"r{i % 2}", "TV", "d", None if i % 23 == 0 else i // 7, i * 37 % 11 * 100 + i, f"i{i % 13}") for i in range(200)]
+    occ = spark.createDataFrame(rows, "retailer string, product_line string, run_date string, page long, pos long, identity string")
+    wanted = spark.createDataFrame([("r0", "TV", "d", "i3"), ("r1", "TV", "d", "i3"), ("r1", "TV", "d", "i5")], [*R.RUN, "identity"])
+    every = R.occurrence_rank(occ, R.RUN).join(wanted, wanted.columns, "left_semi")
+    some = R.occurrence_rank(occ, R.RUN, wanted=wanted)
+    shown = lambda df: sorted(tuple(r) for r in df.select(*occ.columns, "occurrence_rank").collect())
+    assert len(shown(some)) > 20 and shown(some) == shown(every)
+
+
+def test_urls_of_occurrences_are_read_once_for_targets(spark):
+    counts = load_queries()[0]["final_target_counts"](spark, "/root/testdata/sf0.001")
+    assert "parquet" in plan(counts) and "p_name" not in plan(counts) and "l_orderkey" not in plan(counts)
+
+
+def test_cards_and_price_rows_are_dealt_out(spark, tmp_path):
+    spark.range(3000).selectExpr("id AS p_partkey", "cast(id % 50 AS int) AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for rows in (I.cards(spark, str(tmp_path)), I.price_rows(spark, str(tmp_path))):
+        assert rows.count() == 3000 and rows.rdd.getNumPartitions() > 2

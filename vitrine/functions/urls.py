@@ -46,7 +46,7 @@ def _joined_params(query: Column, cut: Column) -> Column:
     simple = cut.rlike(r"^(?:[A-Za-z0-9_.-]+=[A-Za-z0-9_.-]*(?:&(?=[A-Za-z0-9])|$))*$")
     kept = F.filter(_params(query), lambda p: ~_param_name(p).startswith("utm_"))
     return (
-        F.when(query == "", "").when(simple & ~cut.rlike("(?i)utm_"), cut)
+        F.when(query == "", "").when(~F.contains(F.lower(cut), F.lit("utm_")) & simple, cut)
         .otherwise(F.array_join(F.transform(kept, _reencode), "&"))
     )
 

@@ -48,22 +48,30 @@ def prefix_sums(totals: DataFrame, keys: list[str], order: str, values: list[str
     return out.withColumns(sums).drop(*extra)
 
 
-def running_rank(df: DataFrame, keys: list[str], page: str, within: list, name: str) -> DataFrame:
+def running_rank(df: DataFrame, keys: list[str], page: str, within: list, name: str,
+                 wanted: DataFrame | None = None) -> DataFrame:
     """1-based rank over (page, within) inside ``keys``, no run in one task.
 
-    ``page`` is an integer column that bounds the rows ordered in one task.
+    ``page`` is an integer column that bounds the rows ordered in one task.  With ``wanted`` (distinct values of some
+    columns), only rows that have them come back: all pages are counted, but only theirs are ordered.
     """
     counts = df.groupBy(*keys, page).agg(F.count(F.lit(1)).alias("__n"))
     offsets = prefix_sums(counts, keys, page, ["__n"]).select(
         *keys, page, F.col("__n_before").alias("__offset")
     )
     local = F.row_number().over(Window.partitionBy(*keys, page).orderBy(*within))
-    return (
-        df.withColumn("__local", local)
+    rows = df
+    if wanted is not None:
+        # only pages that hold a wanted row are ordered
+        pages = df.join(wanted, wanted.columns, "left_semi").select(*keys, page).distinct()
+        rows = df.join(pages, [*keys, page], "left_semi")
+    ranked = (
+        rows.withColumn("__local", local)
         .join(offsets, [*keys, page])
         .withColumn(name, (F.col("__offset") + F.col("__local")).cast("long"))
         .drop("__local", "__offset")
     )
+    return ranked if wanted is None else ranked.join(wanted, wanted.columns, "left_semi")
 
 
 def one_per_key(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:

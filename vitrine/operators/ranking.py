@@ -22,9 +22,12 @@ def with_identity(df: DataFrame) -> DataFrame:
 
 
 def occurrence_rank(df: DataFrame, keys: list[str] = [*RUN, "run_id"],
-                    within: list[str] = ["pos"]) -> DataFrame:
-    """Rank of every kept occurrence in page order, duplicates included."""
-    return running_rank(df, keys, "page", within, "occurrence_rank")
+                    within: list[str] = ["pos"], wanted: DataFrame | None = None) -> DataFrame:
+    """Rank of every kept occurrence in page order, duplicates included.
+
+    ``wanted``: distinct identities of runs; only their occurrences come back, with the same ranks.
+    """
+    return running_rank(df, keys, "page", within, "occurrence_rank", wanted)
 
 
 def first_seen(df: DataFrame, keys: list[str] = RUN, order: list[str] = ORDER) -> DataFrame:

@@ -9,6 +9,7 @@ from vitrine.operators import ranking as R
 from vitrine.plans import inputs as I
 from vitrine.plans.final import manifest_counts
 from vitrine.plans.registry import query
+from vitrine.session import materialize
 
 RUN = ", ".join(R.RUN)
 _OCC = f"WITH occ AS ({I.LISTING_SQL})"
@@ -78,11 +79,15 @@ FROM bsr b LEFT JOIN by_url u ON b.retailer = u.retailer AND b.product_line = u.
 
 
 def targets(spark, sf) -> DataFrame:
-    main, bsr = split_runs(spark, sf)
-    ranked = R.top_targets(main, R.MAIN_TARGETS, "main_rank").withColumn(
+    # occurrences are read several times: their URLs are taken apart and joined once; rankings are a few rows of a run
+    occ = occurrences(spark, sf).select(*R.RUN, "run_id", "page", "pos", "item", "url_key", "identity")
+    occ = materialize(occ, "occurrences")
+    main, bsr = occ.filter("run_id = 'main'"), occ.filter("run_id = 'bsr'")
+    ranked = materialize(R.top_targets(main, R.MAIN_TARGETS, "main_rank"), "main-targets").withColumn(
         "bsr_rank", F.lit(None).cast("int"))
-    occ = R.occurrence_rank(bsr, R.RUN).withColumnRenamed("occurrence_rank", "bsr_rank")
-    return R.final_targets(ranked, occ, R.rank_map(bsr))
+    ranks = materialize(R.rank_map(bsr), "bsr-ranks")
+    counted = R.occurrence_rank(bsr, R.RUN, wanted=ranks.select(*R.RUN, "identity").distinct())
+    return R.final_targets(ranked, counted.withColumnRenamed("occurrence_rank", "bsr_rank"), ranks)
 
 
 @query("final_targets", f"""{_FINAL} SELECT {RUN}, identity, item,
