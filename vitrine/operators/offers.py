@@ -28,7 +28,7 @@ ANY = "*"
 def positive_id(c: Column) -> Column:
     """Digits without leading zeros, '' for anything else or zero."""
     text = F.trim(as_text(c))
-    return F.when(text.rlike(r"^\d{1,16}$"), F.regexp_replace(text, "^0+", "")).otherwise("")
+    return F.when(text.rlike(r"^\d{1,16}$"), F.ltrim(text, F.lit("0"))).otherwise("")
 
 
 def _malformed(c: Column) -> Column:
@@ -42,8 +42,8 @@ def offer_map(offers: DataFrame) -> DataFrame:
     dropped first; a missing seller is taken from the availability.
     """
     names = ("product_id", "sku_id", "seller_id", "avail_sku", "avail_seller")
-    # each id is cleaned once
-    staged = offers.withColumns({f"__{c}": positive_id(F.col(c)) for c in names})
+    # each id is cleaned once, and all rules are one flag: a filter on the ids would be moved in front and clean them again for each rule
+    staged = offers.select(*[positive_id(F.col(c)).alias(f"__{c}") for c in names], *[F.col(c) for c in ("product_id", "seller_id")], *QUOTE)
     product, sku, seller, a_sku, a_seller = (F.col(f"__{c}") for c in names)
     malformed = lambda c: (as_text(F.col(c)) != "") & (F.col(f"__{c}") == "")
     bad = (
@@ -52,10 +52,12 @@ def offer_map(offers: DataFrame) -> DataFrame:
         | ((seller != "") & (a_seller != "") & (a_seller != seller))
     )
     keys = ["product_id", "sku_id", "seller_id"]
-    clean = staged.filter((sku != "") & ~bad).select(
-        product.alias("product_id"), sku.alias("sku_id"), F.when(seller != "", seller).otherwise(a_seller).alias("seller_id"), *QUOTE)
+    clean = staged.select(
+        product.alias("product_id"), sku.alias("sku_id"), F.when(seller != "", seller).otherwise(a_seller).alias("seller_id"), *QUOTE,
+        ((sku != "") & ~bad).cast("int").alias("__good"))
     # equal offers collapse before the shuffle; an identity with two quotes left is out
-    quotes = clean.distinct().withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    distinct = clean.groupBy(*keys, *QUOTE).agg(F.max("__good").alias("__good")).filter("__good = 1").drop("__good")
+    quotes = distinct.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     return quotes.filter("__n = 1").drop("__n")
 
 
