@@ -122,11 +122,11 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select(table(spark, sf_dir, "part"), CARDS)
+    return select(dealt(spark, sf_dir, "part"), CARDS)
 
 
 def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select(table(spark, sf_dir, "part"), PRICE_ROWS)
+    return select(dealt(spark, sf_dir, "part"), PRICE_ROWS)
 
 
 # ---- history and current rows -------------------------------------------------------------------
