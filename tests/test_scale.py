@@ -163,3 +163,20 @@ def test_cards_and_price_rows_are_dealt_out(spark, tmp_path):
     spark.range(3000).selectExpr("id AS p_partkey", "cast(id % 50 AS int) AS p_size").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     for rows in (I.cards(spark, str(tmp_path)), I.price_rows(spark, str(tmp_path))):
         assert rows.count() == 3000 and rows.rdd.getNumPartitions() > 2
+
+
+def test_card_phrases_keep_their_rules_and_are_tried_where_their_words_stand(spark):
+    from vitrine.functions import money as M
+
+    texts = ["Full TV 7 4,5 (1.234) R$ 9.000,00 ou R$ 50,90 no  pix 12,5% de  desconto Cupom\tR$ 50 OFF 12,5% de desconto",
+             "baixou -3,5% xFull full  A 1.2.3% off use o cupom ABC-1", "R$ 1,00 Full", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    c = F.col("t")
+    out = rows.select("i", M.card_savings(c).alias("s"), M.card_discounts(c).alias("d"), M.card_name(c).alias("n"),
+                      M.card_prices(c)["final"].alias("f"), M.card_rating(c)["rating"].alias("r"))
+    assert [tuple(r)[1:] for r in sorted(out.collect())] == [
+        ("12.5%", "Cupom R$ 50 OFF; 12,5% de desconto", "TV 7", "R$ 50,90", "4.5"),
+        ("Baixou -3.5%", "use o cupom ABC-1", "baixou -3,5% xFull A 1.2.3% off use o cupom ABC-1", "", ""),
+        ("", "", "R$ 1,00", "R$ 1,00", ""), ("", "", "", "", "")]
+    # a text without a phrase's word is not searched for it, and no pattern is run only to ask whether it occurs
+    assert "baixou" in plan(out) and "Baixou\\s+(-?\\d+(?:[.,]\\d+)?)% AS" not in plan(out) and "RLIKE (?i)" not in plan(out)

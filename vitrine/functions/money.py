@@ -205,29 +205,44 @@ def discount_is_ambiguous(c: Column) -> Column:
 # ---- phrases in the text of one product card ------------------------------------------
 
 
+def _first_found(text: Column, pattern: str) -> Column:
+    """Group 1 of the first match or NULL; the text is gone through once."""
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
+def _plain_blanks(text: Column) -> Column:
+    """True for ASCII text whose white space is single blanks, which :func:`squash` would only trim."""
+    return (F.octet_length(text) == F.length(text)) & ~text.rlike(r"[^\S ]|  ")
+
+
 def card_prices(text: Column) -> Column:
     """(original, final) of a card text: first and last price, the pix price overrides."""
     prices = F.regexp_extract_all(as_text(text), F.lit(BRL_ANYWHERE), F.lit(0))
-    pix = group1(as_text(text), r"(?i)(R\$\s*[\d.]+,\d{2})\s*no\s*pix")
+    pix = _first_found(as_text(text), r"(?i)(R\$\s*[\d.]+,\d{2})\s*no\s*pix")
     return F.struct(
-        F.coalesce(F.try_element_at(prices, F.lit(1)), F.lit("")).alias("original"),
+        F.regexp_extract(as_text(text), BRL_ANYWHERE, 0).alias("original"),
         F.coalesce(pix, F.try_element_at(prices, F.lit(-1)), F.lit("")).alias("final"),
     )
 
 
 def card_rating(text: Column) -> Column:
-    pattern = r"\b([1-5][,.]\d)\s*\(([\d.]+)\)"
+    pattern = r"([1-5](?<=\b[1-5])[,.]\d)\s*\(([\d.]+)\)"
     return F.struct(
         F.replace(F.regexp_extract(as_text(text), pattern, 1), F.lit(","), F.lit(".")).alias("rating"),
         F.regexp_extract(as_text(text), pattern, 2).alias("count"),
     )
 
 
+# a percentage, looked for only where its digits begin: no other start of theirs can match
+_PERCENT = r"(?<!\d)(\d++(?:[.,]\d++)?+)%"
+
+
 def card_savings(text: Column) -> Column:
     dot = lambda x: F.replace(x, F.lit(","), F.lit("."))
     t = as_text(text)
-    lowered = group1(t, r"(?i)Baixou\s+(-?\d+(?:[.,]\d+)?)%")
-    off = group1(t, r"(?i)(\d+(?:[.,]\d+)?)%\s+(?:OFF|de\s+desconto)")
+    # patterns are tried only on texts that hold their fixed word
+    lowered = F.when(F.contains(F.lower(t), F.lit("baixou")), _first_found(t, r"(?i)Baixou\s+(-?\d+(?:[.,]\d+)?)%"))
+    off = F.when(F.contains(t, F.lit("%")), _first_found(t, rf"(?i){_PERCENT}\s+(?:OFF|de\s+desconto)"))
     return F.coalesce(
         F.concat(F.lit("Baixou "), dot(lowered), F.lit("%")),
         F.concat(dot(off), F.lit("%")),
@@ -235,24 +250,29 @@ def card_savings(text: Column) -> Column:
     )
 
 
-# Discount phrases of a card, in the order they are reported.
+# Discount phrases of a card, in the order they are reported, each with a word that its texts hold.
 CARD_DISCOUNT_PATTERNS = (
-    r"(?i)Cupom\s+R\$\s*[\d.]+(?:,\d{2})?\s*OFF",
-    r"(?i)Use\s+o\s+cupom\s+[A-Za-z0-9_-]+",
-    r"(?i)\d+(?:[.,]\d+)?%\s+de\s+desconto\s+no\s+pix",
-    r"(?i)\d+(?:[.,]\d+)?%\s+(?:de\s+)?desconto",
+    ("cupom", r"(?i)Cupom\s+R\$\s*[\d.]+(?:,\d{2})?\s*OFF"),
+    ("use", r"(?i)Use\s+o\s+cupom\s+[A-Za-z0-9_-]+"),
+    ("pix", rf"(?i){_PERCENT}\s+de\s+desconto\s+no\s+pix"),
+    ("desconto", rf"(?i){_PERCENT}\s+(?:de\s+)?desconto"),
 )
 
 
 def card_discounts(text: Column) -> Column:
+    t, none = as_text(text), F.array().cast("array<string>")
+    low = F.lower(t)
     found = F.concat(*[
-        F.regexp_extract_all(as_text(text), F.lit(p), F.lit(0)) for p in CARD_DISCOUNT_PATTERNS
+        F.when(F.contains(low, F.lit(word)), F.regexp_extract_all(t, F.lit(p), F.lit(0))).otherwise(none)
+        for word, p in CARD_DISCOUNT_PATTERNS
     ])
-    return distinct_join(F.transform(found, squash), "; ")
+    # a phrase has the white space of its text, and none is blank
+    return F.array_join(F.array_distinct(F.when(_plain_blanks(t), found).otherwise(F.transform(found, squash))), "; ")
 
 
 def card_name(text: Column) -> Column:
     """Card text before the first price, without the rating tail."""
-    t = squash(F.regexp_replace(squash(text), r"(?i)\bFull\b\s*", ""))
-    head = F.when(F.instr(t, "R$") > 1, F.regexp_extract(t, r"^(.*?)R\$", 1)).otherwise(t)
-    return F.trim(F.regexp_replace(head, r"\b[1-5][,.]\d\s*\([\d.]+\)\s*$", ""))
+    rest = F.regexp_replace(as_text(text), r"(?i)Full(?<=\bFull)\b(?U:\s*)", "")
+    t = F.when(_plain_blanks(rest), F.trim(rest)).otherwise(squash(rest))
+    head = F.when(F.startswith(t, F.lit("R$")), t).otherwise(F.substring_index(t, "R$", 1))
+    return F.trim(F.regexp_replace(head, r"[1-5](?<=\b[1-5])[,.]\d\s*\([\d.]+\)\s*$", ""))
